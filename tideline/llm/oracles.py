@@ -46,5 +46,17 @@ select doc_id, count(*) as n_lines, count_if(gone)::bigint as n_dropped, sha256(
 from f group by doc_id"""
 
 
+OP5 = rf"""
+with recursive w as (select doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents),
+s as (select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+  else list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) end) as x from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.x = b.x and a.doc_id <> b.doc_id group by all),
+e as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+r(node, c) as (select doc_id, doc_id from documents union select e.b, r.c from r join e on r.node = e.a),
+m as (select node as doc_id, min(c) as component_id from r group by node)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept from m left join n using (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": op1(), "op10_line_dedup": OP10}
+    return {"op1_quality_rules": op1(), "op5_minhash_dedup": OP5, "op10_line_dedup": OP10}

@@ -36,6 +36,12 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
@@ -43,6 +49,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op8_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), length=2048, end_id=0).drop("ids")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
@@ -51,4 +63,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op4_feistel_shards, op6_token_counts, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op8_bin_packing, op10_line_dedup)}
