@@ -16,47 +16,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved, texts
+from .pretokens import PretokenIds
 
 #: Pieces that one task packs together, about.
 GROUP_PIECES = 4096
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
-class WordIds(dict):
-    """Token ids (little-endian uint32 bytes) of words between ASCII white space; forgets all at `limit` words.
-
-    Only for tokenizers that drop white space and never join what it separates.
-    """
-
-    def __init__(self, tokenizer, limit: int = 300_000):
-        super().__init__()
-        self.tokenizer, self.limit = tokenizer, limit
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        ids = self[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return ids
-
-    def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
-
-
 def tokenized(docs: DataFrame, path: str, length: int, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """The pieces of all documents; ids (little-endian uint32) is null without with_ids."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        words, end = WordIds(tokenizer), int(end_id).to_bytes(4, "little")
+        words, end = PretokenIds(path, lower=True), int(end_id).to_bytes(4, "little")
         for batch in batches:
             out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                ids = words.of(text or b"") + end
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = words.of(text or "") + end
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at : at + 4 * length]
                     out.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))

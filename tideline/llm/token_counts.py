@@ -8,7 +8,6 @@ its count appended to the cache, a Parquet table (content, version, n_tokens).
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -16,33 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table_path
+from .pretokens import PretokenIds
 
-#: Where no token of the byte-level pattern can begin before and end behind: ahead of white space that follows other characters.
-_UNIT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-#: White space to the tokenizer's pattern that _UNIT takes for other characters: such texts are encoded whole.
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 CACHE = "content string, version string, n_tokens long"
 
 
-class UnitCounts(dict):
-    """Token counts of units of text, kept between documents; forgets all at `limit` units."""
-
-    def __init__(self, tokenizer, limit: int = 400_000):
-        super().__init__()
-        self.tokenizer, self.limit = tokenizer, limit
-
-    def __missing__(self, unit: str) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        n = self[unit] = len(self.tokenizer.encode(unit, add_special_tokens=False))
-        return n
-
-    def of(self, text: str) -> int:
-        if _OTHER_SPACE.search(text):
-            return len(self.tokenizer.encode(text, add_special_tokens=False))
-        return sum(map(self.__getitem__, _UNIT.findall(text)))
-
-
 def tokenizer_version(path: str) -> str:
     return hashlib.sha256(Path(path).read_bytes()).hexdigest()
 
@@ -52,13 +29,10 @@ def encode_counts(misses: DataFrame, path: str, version: str) -> DataFrame:
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        from tokenizers import Tokenizer
 
-        counts = UnitCounts(Tokenizer.from_file(path))
-        counts.tokenizer.no_truncation()
-        counts.tokenizer.no_padding()
+        parts = PretokenIds(path, lower=False)
         for batch in batches:
-            n = [counts.of(t or "") for t in batch.column(1).to_pylist()]
+            n = [len(parts.of(t or "")) // 4 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())], names=["content", "version", "n_tokens"])
 
     return misses.mapInArrow(run, CACHE)
