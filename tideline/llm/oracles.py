@@ -46,6 +46,20 @@ select doc_id, count(*) as n_lines, count_if(gone)::bigint as n_dropped, sha256(
 from f group by doc_id"""
 
 
+OP3 = rf"""
+with w as (select doc_id, {WORDS.format("coalesce(text, '')")} as w from documents),
+s as (select doc_id, unnest(range(1, len(w) - 33)) as i, w from w where len(w) >= 35),
+h as (select doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) as x from s),
+r as (select doc_id, i from h where x in (select x from h group by x having count(*) > 1)),
+g as (select doc_id, list_distinct(flatten(list(range(i, i + 35)))) as gone from r group by doc_id),
+p as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from w),
+c as (select doc_id, unnest(gone) as i from g),
+k as (select p.doc_id, p.i, word from p anti join c on p.doc_id = c.doc_id and p.i = c.i),
+t as (select doc_id, string_agg(word, ' ' order by i) as kept from k group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(len(gone), 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from w left join g using (doc_id) left join t using (doc_id)"""
+
+
 OP5 = rf"""
 with recursive w as (select doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents),
 s as (select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
@@ -59,4 +73,4 @@ select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = comp
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": op1(), "op5_minhash_dedup": OP5, "op10_line_dedup": OP10}
+    return {"op1_quality_rules": op1(), "op3_substring_dedup": OP3, "op5_minhash_dedup": OP5, "op10_line_dedup": OP10}

@@ -29,6 +29,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "clean_text")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import count_removed
+
+    return count_removed(table(spark, sf_dir, "documents"), depth=35)
+
+
 def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import assign_shards
 
@@ -63,4 +69,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op8_bin_packing, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_substring_dedup, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op8_bin_packing, op10_line_dedup)}
