@@ -46,6 +46,16 @@ select doc_id, count(*) as n_lines, count_if(gone)::bigint as n_dropped, sha256(
 from f group by doc_id"""
 
 
+OP2 = """
+with recursive v as (select vec_id, label, embedding::double[] as v from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+e as (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v) where list_cosine_similarity(a.v, b.v) >= 0.98),
+n as (select a as vec_id, count(*) as n from e group by a),
+r(node, c) as (select vec_id, vec_id from embeddings union select e.b, r.c from r join e on r.node = e.a),
+m as (select node as vec_id, min(c) as component_id from r group by node)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept from m left join n using (vec_id)"""
+
+
 OP3 = rf"""
 with w as (select doc_id, {WORDS.format("coalesce(text, '')")} as w from documents),
 s as (select doc_id, unnest(range(1, len(w) - 33)) as i, w from w where len(w) >= 35),
@@ -73,4 +83,4 @@ select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = comp
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": op1(), "op3_substring_dedup": OP3, "op5_minhash_dedup": OP5, "op10_line_dedup": OP10}
+    return {"op1_quality_rules": op1(), "op2_embedding_dedup": OP2, "op3_substring_dedup": OP3, "op5_minhash_dedup": OP5, "op10_line_dedup": OP10}

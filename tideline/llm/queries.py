@@ -29,6 +29,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "clean_text")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_dedup import link_vectors
+
+    return link_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import count_removed
 
@@ -69,4 +75,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_substring_dedup, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op8_bin_packing, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_embedding_dedup, op3_substring_dedup, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op8_bin_packing, op10_line_dedup)}
