@@ -61,12 +61,26 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op7_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), depth=5)
+
+
 def op8_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), length=2048, end_id=0).drop("ids")
 
 
+def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .piece_sampling import encode_texts
+
+    out = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model"), seed=7, rate=0.1)
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    return out.select("doc_id", n_bytes, (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "lossless")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
@@ -75,4 +89,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_embedding_dedup, op3_substring_dedup, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op8_bin_packing, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_embedding_dedup, op3_substring_dedup, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op7_context_tree_scores, op8_bin_packing, op9_piece_sampling, op10_line_dedup)}
