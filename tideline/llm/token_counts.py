@@ -65,7 +65,7 @@ def count_tokens(docs: DataFrame, path: str, cache: str | None = None) -> DataFr
     first = first.join(known.select("content"), "content", "left_anti").withColumnRenamed("content", "__content").hint("shuffle_hash")
     misses = rows.join(first, (F.coalesce(rows["doc_id"], F.lit(-(2**63))) == first["__doc"]) & (rows["content"] == first["__content"])).select("content", "text")
     before = known.groupBy("content").agg(F.lit(True).alias("cached"))
-    encode_counts(misses, path, version).write.mode("append").parquet(target)
+    encode_counts(misses, path, version).dropDuplicates(["content"]).write.mode("append").parquet(target)
     after = spark.read.schema(CACHE).parquet(target).where(F.col("version") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     out = small.join(after, "content")
     if cache:
