@@ -9,7 +9,7 @@ from tideline.config import DailyConfig, IntradayConfig
 from tideline.functions.scalars import daily_event_id, ratio, with_labels
 from tideline.functions.time import market_time, minute_of_day, session_of
 
-from .rolling import BY_DAY, BY_SYMBOL, anchored_vwap, daily_metrics, last_rows, rows_before, spike
+from .rolling import by_day, by_symbol, anchored_vwap, daily_metrics, last_rows, rows_before, spike
 
 
 def _yes(c: Column) -> Column:
@@ -70,22 +70,22 @@ def intraday_columns(bars: DataFrame, cfg: IntradayConfig = IntradayConfig()) ->
     out = spike(out, cfg.spike_window, cfg.spike_method)
     out = anchored_vwap(out, cfg.vwap_reference, compat=cfg.compat)
     out = out.withColumn("range_pct", ratio(F.col("high") - F.col("low"), F.col("open")) * 100).withColumn("dollar_volume", F.col("close") * F.col("volume"))
-    out = out.withColumn("volume_x", ratio(F.col("volume"), F.avg("volume").over(last_rows(BY_DAY, 20))))
+    out = out.withColumn("volume_x", ratio(F.col("volume"), F.avg("volume").over(last_rows(by_day(), 20))))
     out = out.withColumn("vwap_dist_pct", ratio(F.col("close") - F.col("vwap_ref"), F.col("vwap_ref")) * 100)
-    out = out.withColumn("ret_pct", (ratio(F.col("close"), F.lag("close", cfg.momentum_window).over(BY_DAY)) - 1) * 100)
-    span = last_rows(BY_DAY, 20) if cfg.compat else rows_before(BY_DAY, 20)
+    out = out.withColumn("ret_pct", (ratio(F.col("close"), F.lag("close", cfg.momentum_window).over(by_day())) - 1) * 100)
+    span = last_rows(by_day(), 20) if cfg.compat else rows_before(by_day(), 20)
     out = out.withColumn("high20", F.max("high").over(span)).withColumn("low20", F.min("low").over(span))
-    base = last_rows(BY_DAY, cfg.base_window)
+    base = last_rows(by_day(), cfg.base_window)
     out = out.withColumn("base_high", F.max("high").over(base)).withColumn("base_low", F.min("low").over(base))
     typical = F.percentile(F.col("high") - F.col("low"), F.lit(0.5)).over(base)
     calm = ratio(F.col("base_high") - F.col("base_low"), F.col("open")) * 100 <= cfg.base_range_multiple * typical * 100
     out = out.withColumn("calm", _yes(calm))
     for c in ("calm", "base_high", "base_low"):
-        out = out.withColumn(f"prev_{c}", F.lag(c).over(BY_DAY))
+        out = out.withColumn(f"prev_{c}", F.lag(c).over(by_day()))
     whole, opening = Window.partitionBy("symbol", "date"), F.col("minute").between(570, 570 + cfg.or_minutes - 1)
     out = out.withColumn("or_high", F.max(F.when(opening, F.col("high"))).over(whole)).withColumn("or_low", F.min(F.when(opening, F.col("low"))).over(whole)).withColumn("in_or", opening)
-    out = out.withColumn("day_high", F.max("high").over(BY_DAY.rowsBetween(Window.unboundedPreceding, 0))).withColumn("drop_pct", ratio(F.col("day_high") - F.col("close"), F.col("day_high")) * 100)
-    return out.withColumn("red_bars", F.sum((F.col("close") < F.col("open")).cast("int")).over(last_rows(BY_DAY, cfg.flush_red_bars)))
+    out = out.withColumn("day_high", F.max("high").over(by_day().rowsBetween(Window.unboundedPreceding, 0))).withColumn("drop_pct", ratio(F.col("day_high") - F.col("close"), F.col("day_high")) * 100)
+    return out.withColumn("red_bars", F.sum((F.col("close") < F.col("open")).cast("int")).over(last_rows(by_day(), cfg.flush_red_bars)))
 
 
 def rules(cfg: IntradayConfig) -> list[tuple[str, str, Column]]:
@@ -155,5 +155,5 @@ def intraday_events(bars: DataFrame, cfg: IntradayConfig = IntradayConfig()) ->
 
 def first_half(bars: DataFrame, window: int = 20) -> DataFrame:
     """Spikes per symbol-day: how many bars reach twice their rolling median volume, and the largest ratio."""
-    out = spike(bars, window, "median", BY_SYMBOL)
+    out = spike(bars, window, "median", by_symbol())
     return out.groupBy("symbol", "date").agg(F.count_if(F.col("spike_x") >= 2).alias("n_spikes"), F.max("spike_x").alias("max_spike"))

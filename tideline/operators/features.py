@@ -9,7 +9,7 @@ from tideline.functions.scalars import ratio
 from tideline.functions.time import market_time, minute_of_day
 
 from .joins import as_of, in_event_windows
-from .rolling import BY_DAY, BY_SYMBOL, DAILY, last_rows, mean_at_least, rows_before
+from .rolling import by_day, by_symbol, by_daily, last_rows, mean_at_least, rows_before
 
 
 def dollar_volume_z(bars: DataFrame, days: int = 60, k: int = 20) -> DataFrame:
@@ -33,9 +33,9 @@ def dollar_volume_z(bars: DataFrame, days: int = 60, k: int = 20) -> DataFrame:
 
 def spread_features(bars: DataFrame, position_usd: float = 10_000, flow: float = 10.0) -> DataFrame:
     """bars with spread_vol_adj (spread over ATR of 5 rows, as shares of the price), spread_anomaly, imbalance, size_ratio, friction."""
-    before = F.lag("close").over(BY_SYMBOL)
+    before = F.lag("close").over(by_symbol())
     tr = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
-    out = bars.withColumn("__tr", tr).withColumn("atr5", F.avg("__tr").over(last_rows(BY_SYMBOL, 5))).drop("__tr")
+    out = bars.withColumn("__tr", tr).withColumn("atr5", F.avg("__tr").over(last_rows(by_symbol(), 5))).drop("__tr")
     out = out.withColumn("spread_vol_adj", ratio(ratio(F.col("high") - F.col("low"), F.col("vwap")), F.col("atr5"))).withColumn("spread_anomaly", F.col("spread_vol_adj") > 1.5)
     out = out.withColumn("imbalance", ratio(F.col("close") - F.col("open"), F.col("high") - F.col("low"))).withColumn("size_ratio", ratio(F.lit(position_usd), flow * F.col("close") * F.col("volume")))
     return out.withColumn("friction", F.when(F.col("size_ratio") < 0.01, "low").when(F.col("size_ratio") < 0.05, "medium").when(F.col("size_ratio") < 0.10, "high").otherwise("extreme"))
@@ -43,7 +43,7 @@ def spread_features(bars: DataFrame, position_usd: float = 10_000, flow: float =
 
 def trade_difficulty(bars: DataFrame) -> DataFrame:
     """bars with difficulty (spread over volume ratio), its quartile per symbol, and tradable (below the symbol's p75)."""
-    x = ratio(ratio(F.col("high") - F.col("low"), F.col("vwap")), ratio(F.col("volume"), F.avg("volume").over(last_rows(BY_SYMBOL, 20))))
+    x = ratio(ratio(F.col("high") - F.col("low"), F.col("vwap")), ratio(F.col("volume"), F.avg("volume").over(last_rows(by_symbol(), 20))))
     w = Window.partitionBy("symbol")
     out = bars.withColumn("difficulty", x).where("difficulty is not null")
     return out.withColumn("quartile", F.ntile(4).over(w.orderBy("difficulty", "timestamp"))).withColumn("tradable", F.col("difficulty") < F.percentile("difficulty", F.lit(0.75)).over(w))
@@ -114,11 +114,11 @@ def quote_features(quotes: DataFrame) -> DataFrame:
 def price_features(bars: DataFrame) -> DataFrame:
     """bars with vwap_dev, range_expansion, day_return, hod_break, lod_break, velocity, slope (15 rows)."""
     out = bars.withColumn("vwap_dev", ratio(F.col("close") - F.col("vwap"), F.col("vwap"))).withColumn("__r", F.col("high") - F.col("low"))
-    out = out.withColumn("range_expansion", ratio(F.col("__r"), F.avg("__r").over(rows_before(BY_DAY, 20)))).withColumn("day_return", ratio(F.col("close"), F.first("open").over(BY_DAY.rowsBetween(Window.unboundedPreceding, 0))) - 1)
-    past = BY_DAY.rowsBetween(Window.unboundedPreceding, -1)
+    out = out.withColumn("range_expansion", ratio(F.col("__r"), F.avg("__r").over(rows_before(by_day(), 20)))).withColumn("day_return", ratio(F.col("close"), F.first("open").over(by_day().rowsBetween(Window.unboundedPreceding, 0))) - 1)
+    past = by_day().rowsBetween(Window.unboundedPreceding, -1)
     out = out.withColumn("hod_break", F.coalesce(F.col("close") > F.max("high").over(past), F.lit(False))).withColumn("lod_break", F.coalesce(F.col("close") < F.min("low").over(past), F.lit(False)))
-    out = out.withColumn("velocity", ratio(F.col("close"), F.lag("close", 3).over(BY_DAY)) - 1).withColumn("__i", F.row_number().over(BY_DAY).cast("double"))
-    return out.withColumn("slope", F.regr_slope("close", "__i").over(last_rows(BY_DAY, 15))).drop("__r", "__i")
+    out = out.withColumn("velocity", ratio(F.col("close"), F.lag("close", 3).over(by_day())) - 1).withColumn("__i", F.row_number().over(by_day()).cast("double"))
+    return out.withColumn("slope", F.regr_slope("close", "__i").over(last_rows(by_day(), 15))).drop("__r", "__i")
 
 
 def volume_gini(bars: DataFrame) -> DataFrame:
@@ -170,7 +170,7 @@ def triple_barrier(bars: DataFrame, events: DataFrame, take: float = 0.15, stop:
 
 
 def forward_label(bars: DataFrame, n: int = 5, up: float = 0.02, down: float = -0.02) -> DataFrame:
-    r = ratio(F.lead("close", n).over(BY_DAY), F.col("close")) - 1
+    r = ratio(F.lead("close", n).over(by_day()), F.col("close")) - 1
     return bars.withColumn("fwd_return", r).withColumn("fwd_label", F.when(F.col("fwd_return") >= up, 1).when(F.col("fwd_return") <= down, -1).when(F.col("fwd_return").isNotNull(), 0))
 
 
@@ -202,10 +202,10 @@ def tick_continuity(trades: DataFrame, events: DataFrame, before: int = 3, after
 
 def gap_aware(bars: DataFrame, seconds: int, n: int = 14) -> DataFrame:
     """bars with valid_step (at most two bar widths since the last) and rsi: Wilder's sums over n rows, null unless all n steps are valid."""
-    step = F.unix_timestamp("timestamp") - F.unix_timestamp(F.lag("timestamp").over(BY_SYMBOL))
-    change = F.col("close") - F.lag("close").over(BY_SYMBOL)
+    step = F.unix_timestamp("timestamp") - F.unix_timestamp(F.lag("timestamp").over(by_symbol()))
+    change = F.col("close") - F.lag("close").over(by_symbol())
     out = bars.withColumn("valid_step", F.coalesce(step <= 2 * seconds, F.lit(False))).withColumn("__c", change)
-    w = last_rows(BY_SYMBOL, n)
+    w = last_rows(by_symbol(), n)
     up, down = F.sum(F.greatest("__c", F.lit(0.0))).over(w), F.sum(F.greatest(-F.col("__c"), F.lit(0.0))).over(w)
     ok = F.sum(F.col("valid_step").cast("int")).over(w) == n
     return out.withColumn("rsi", F.when(ok, ratio(100 * up, up + down))).drop("__c")
@@ -213,7 +213,7 @@ def gap_aware(bars: DataFrame, seconds: int, n: int = 14) -> DataFrame:
 
 def filled_forward(bars: DataFrame, seconds: int = 900, most: int = 300) -> DataFrame:
     """Rows for gaps of at most `most` seconds beyond a bar width, with the last close and no volume (is_filled)."""
-    nxt = F.unix_timestamp(F.lead("timestamp").over(BY_SYMBOL))
+    nxt = F.unix_timestamp(F.lead("timestamp").over(by_symbol()))
     out = bars.withColumn("__t", F.unix_timestamp("timestamp")).withColumn("__n", nxt)
     last = F.least(F.col("__n") - seconds, F.col("__t") + F.lit(most // seconds * seconds))
     times = F.when(F.col("__n").isNotNull() & (last > F.col("__t")), F.sequence("__t", last, F.lit(seconds).cast("bigint"))).otherwise(F.array("__t"))
@@ -241,19 +241,19 @@ def similar_vectors(vectors: DataFrame, queries: DataFrame, k: int = 10) -> Data
 
 def indicators(daily: DataFrame, fast: int = 12, slow: int = 26) -> DataFrame:
     """daily with bollinger bands (20, 2), rsi14 (sums), volume_ratio, and macd: exponential means folded over each symbol's ordered closes."""
-    w = last_rows(DAILY, 20)
+    w = last_rows(by_daily(), 20)
     mean, dev = F.avg("close").over(w), F.stddev_pop("close").over(w)
-    out = daily.withColumn("bb_mid", mean).withColumn("bb_up", mean + 2 * dev).withColumn("bb_low", mean - 2 * dev).withColumn("volume_ratio", ratio(F.col("volume"), mean_at_least("volume", rows_before(DAILY, 20), 1)))
-    change = F.col("close") - F.lag("close").over(DAILY)
+    out = daily.withColumn("bb_mid", mean).withColumn("bb_up", mean + 2 * dev).withColumn("bb_low", mean - 2 * dev).withColumn("volume_ratio", ratio(F.col("volume"), mean_at_least("volume", rows_before(by_daily(), 20), 1)))
+    change = F.col("close") - F.lag("close").over(by_daily())
     out = out.withColumn("__c", change)
-    r = last_rows(DAILY, 14)
+    r = last_rows(by_daily(), 14)
     up, down = F.sum(F.greatest("__c", F.lit(0.0))).over(r), F.sum(F.greatest(-F.col("__c"), F.lit(0.0))).over(r)
     out = out.withColumn("rsi14", F.when(F.count("__c").over(r) == 14, ratio(100 * up, up + down))).drop("__c")
 
     def ema(n: int) -> Column:
         """Over the last 10 n closes, which hold all but e^-20 of the weight; oldest first."""
         a = 2.0 / (n + 1)
-        xs = F.collect_list("close").over(last_rows(DAILY, 10 * n))
+        xs = F.collect_list("close").over(last_rows(by_daily(), 10 * n))
         return F.aggregate(F.slice(xs, 2, 10 * n), F.get(xs, F.lit(0)), lambda s, x: s * (1 - a) + x * a)
 
     return out.withColumn("macd", ema(fast) - ema(slow))
@@ -268,11 +268,11 @@ def volatility_ranking(daily: DataFrame, n: int = 100) -> DataFrame:
 
 def pattern_screens(daily: DataFrame, bars: DataFrame | None = None) -> DataFrame:
     """daily with red_to_green (opened under and closed over the close before), green_to_red, first_green (after three red days), first_red."""
-    before = F.lag("close").over(DAILY)
+    before = F.lag("close").over(by_daily())
     out = daily.withColumn("red_to_green", F.coalesce((F.col("open") < before) & (F.col("close") > before), F.lit(False))).withColumn("green_to_red", F.coalesce((F.col("open") > before) & (F.col("close") < before), F.lit(False)))
     green = (F.col("close") > F.col("open")).cast("int")
-    past = F.sum(green).over(rows_before(DAILY, 3))
-    full = F.count("*").over(rows_before(DAILY, 3)) == 3
+    past = F.sum(green).over(rows_before(by_daily(), 3))
+    full = F.count("*").over(rows_before(by_daily(), 3)) == 3
     return out.withColumn("first_green", full & (past == 0) & (green == 1)).withColumn("first_red", full & (past == 3) & (green == 0))
 
 
@@ -282,12 +282,12 @@ def intraday_screens(bars: DataFrame) -> DataFrame:
     whole = Window.partitionBy("symbol", "date")
     out = bars.withColumn("__m", m).withColumn("pm_high", F.max(F.when(F.col("__m").between(240, 569), F.col("high"))).over(whole))
     over = F.coalesce(F.col("__m").between(570, 959) & (F.col("close") > F.col("pm_high")), F.lit(False))
-    past = BY_DAY.rowsBetween(Window.unboundedPreceding, -1)
+    past = by_day().rowsBetween(Window.unboundedPreceding, -1)
     out = out.withColumn("__o", over).withColumn("pm_high_break", F.col("__o") & ~F.coalesce(F.max("__o").over(past), F.lit(False)))
-    run = BY_DAY.rowsBetween(Window.unboundedPreceding, 0)
+    run = by_day().rowsBetween(Window.unboundedPreceding, 0)
     tp = (F.col("high") + F.col("low") + F.col("close")) / 3
     out = out.withColumn("__v", F.try_divide(F.sum(tp * F.col("volume")).over(run), F.sum("volume").over(run))).withColumn("__a", F.col("close") > F.col("__v"))
-    return out.withColumn("vwap_reclaim", F.coalesce(F.col("__a") & ~F.lag("__a").over(BY_DAY), F.lit(False))).drop("__m", "__o", "__v", "__a")
+    return out.withColumn("vwap_reclaim", F.coalesce(F.col("__a") & ~F.lag("__a").over(by_day()), F.lit(False))).drop("__m", "__o", "__v", "__a")
 
 
 def trade_metrics(trades: DataFrame, by: tuple[str, ...] = ("pattern",)) -> DataFrame:

@@ -10,17 +10,17 @@ from tideline.functions.scalars import EPS, body_ratio, ratio
 from tideline.functions.time import clock_session, market_time
 
 from .joins import in_intervals
-from .rolling import BY_SYMBOL, DAILY, last_rows, mean_at_least, nearest_quantile, rows_before
+from .rolling import by_symbol, by_daily, last_rows, mean_at_least, nearest_quantile, rows_before
 
 
 def with_inferred_halts(bars: DataFrame, gap: float = 0.20, volume_x: float = 10.0, drought: float = 0.1) -> DataFrame:
     """bars with halt_flat, halt_gap, halt_sequence, halt_drought and halt_like, any of them (three-valued)."""
-    before, volume = F.lag("close").over(BY_SYMBOL), F.lag("volume").over(BY_SYMBOL)
+    before, volume = F.lag("close").over(by_symbol()), F.lag("volume").over(by_symbol())
     out = bars.withColumn("halt_flat", (F.col("high") == F.col("low")) & (F.col("volume") == 0))
     out = out.withColumn("halt_gap", (F.abs(F.col("open") - before) / (before + EPS) > gap) & (F.col("volume") / (volume + EPS) > volume_x))
-    three = last_rows(BY_SYMBOL, 3)
+    three = last_rows(by_symbol(), 3)
     out = out.withColumn("halt_sequence", (F.count("*").over(three) == 3) & (F.sum(F.col("halt_flat").cast("int")).over(three) == 3))
-    usual = mean_at_least("volume", rows_before(BY_SYMBOL, 20), 5)
+    usual = mean_at_least("volume", rows_before(by_symbol(), 20), 5)
     out = out.withColumn("halt_drought", (F.col("volume") < drought * usual) & (usual > 0))
     return out.withColumn("halt_like", F.col("halt_flat") | F.col("halt_gap") | F.col("halt_sequence") | F.col("halt_drought"))
 
@@ -34,7 +34,7 @@ def with_official_halts(bars: DataFrame, halts: DataFrame) -> DataFrame:
 
 def with_halt_window(bars: DataFrame, flag: str, before: int = 15, after: int = 14) -> DataFrame:
     """bars with in_halt_window: a flagged bar stands within `after` rows before or `before` rows behind this one."""
-    return bars.withColumn("in_halt_window", F.coalesce(F.max(F.col(flag)).over(BY_SYMBOL.rowsBetween(-after, before)), F.lit(False)))
+    return bars.withColumn("in_halt_window", F.coalesce(F.max(F.col(flag)).over(by_symbol().rowsBetween(-after, before)), F.lit(False)))
 
 
 def detect_halts(bars: DataFrame, halts: DataFrame | None = None) -> DataFrame:
@@ -46,7 +46,7 @@ def detect_halts(bars: DataFrame, halts: DataFrame | None = None) -> DataFrame:
 def with_previous_close(bars: DataFrame) -> DataFrame:
     """Intraday bars with the close of the symbol's day before."""
     last = bars.groupBy("symbol", "date").agg(F.max_by("close", "timestamp").alias("__c"))
-    last = last.select("symbol", "date", F.lag("__c").over(DAILY).alias("previous_close"))
+    last = last.select("symbol", "date", F.lag("__c").over(by_daily()).alias("previous_close"))
     return bars.join(last, ["symbol", "date"], "left")
 
 
@@ -57,20 +57,20 @@ def ssr_intraday(bars: DataFrame, drop_pct: float = 10.0, rth_only: bool = True,
     if rth_only:
         trigger = trigger & (clock_session(market_time(F.col("timestamp"))) == "rth")
     out = out.withColumn("ssr_trigger", F.coalesce(trigger, F.lit(False)))
-    last = F.last(F.when(F.col("ssr_trigger"), F.col("timestamp")), ignorenulls=True).over(BY_SYMBOL.rowsBetween(Window.unboundedPreceding, 0))
+    last = F.last(F.when(F.col("ssr_trigger"), F.col("timestamp")), ignorenulls=True).over(by_symbol().rowsBetween(Window.unboundedPreceding, 0))
     out = out.withColumn("ssr_since", last)
     if compat:
         return out.withColumn("ssr_active", F.coalesce(F.datediff("timestamp", "ssr_since") <= 2, F.lit(False)))
-    days = out.groupBy("symbol", "date").agg(F.max("ssr_trigger").alias("__t")).select("symbol", "date", F.coalesce(F.lag("__t").over(DAILY), F.lit(False)).alias("ssr_day_before"))
+    days = out.groupBy("symbol", "date").agg(F.max("ssr_trigger").alias("__t")).select("symbol", "date", F.coalesce(F.lag("__t").over(by_daily()), F.lit(False)).alias("ssr_day_before"))
     out = out.join(days, ["symbol", "date"])
     return out.withColumn("ssr_active", F.coalesce(F.to_date("ssr_since") == F.col("date"), F.lit(False)) | F.col("ssr_day_before"))
 
 
 def ssr_daily(daily: DataFrame, compat: bool = False) -> DataFrame:
     """daily with ssr_day and ssr_next (the day before triggered; compat: the day after does)."""
-    hit = F.coalesce(F.col("low") <= 0.9 * F.lag("close").over(DAILY), F.lit(False))
+    hit = F.coalesce(F.col("low") <= 0.9 * F.lag("close").over(by_daily()), F.lit(False))
     out = daily.withColumn("ssr_day", hit)
-    return out.withColumn("ssr_next", F.coalesce((F.lead if compat else F.lag)("ssr_day").over(DAILY), F.lit(False)))
+    return out.withColumn("ssr_next", F.coalesce((F.lead if compat else F.lag)("ssr_day").over(by_daily()), F.lit(False)))
 
 
 def dollar_volume_threshold(session: Column, price: Column, cfg: LiquidityConfig) -> Column:
@@ -82,15 +82,15 @@ def with_liquidity(bars: DataFrame, cfg: LiquidityConfig = LiquidityConfig(), ha
     out = bars.withColumn("liq_session", clock_session(market_time(F.col("timestamp"))))
     out = out.withColumn("dollar_volume", F.col("volume") * F.col("vwap"))
     out = out.withColumn("pass_dollar_volume", F.col("dollar_volume") >= dollar_volume_threshold(F.col("liq_session"), F.col("close"), cfg))
-    out = out.withColumn("spread_proxy", (F.col("high") - F.col("low")) / (F.col("vwap") + EPS)).withColumn("spread_p95", nearest_quantile("spread_proxy", last_rows(BY_SYMBOL, cfg.spread_window), cfg.spread_quantile))
+    out = out.withColumn("spread_proxy", (F.col("high") - F.col("low")) / (F.col("vwap") + EPS)).withColumn("spread_p95", nearest_quantile("spread_proxy", last_rows(by_symbol(), cfg.spread_window), cfg.spread_quantile))
     out = out.withColumn("body", body_ratio()).withColumn("wicky", (F.col("spread_p95") > cfg.max_spread) & (F.col("body") < cfg.min_body))
     out = out.withColumn("pass_spread", (F.col("spread_p95") <= cfg.max_spread) | ~F.col("wicky"))
-    active = F.sum((F.col("volume") > 0).cast("int")).over(last_rows(BY_SYMBOL, cfg.activity_window)) / cfg.activity_window
+    active = F.sum((F.col("volume") > 0).cast("int")).over(last_rows(by_symbol(), cfg.activity_window)) / cfg.activity_window
     out = out.withColumn("activity", active).withColumn("pass_activity", F.col("activity") >= cfg.min_activity)
     out = out.withColumn("pass_price", F.col("close").between(cfg.min_price, cfg.max_price)).withColumn("pass_halt", ~F.col(halt) if halt else F.lit(True))
     tests = ["pass_dollar_volume", "pass_spread", "pass_activity", "pass_price", "pass_halt"]
     if intraday_rvol:
-        rvol = F.col("volume") / (mean_at_least("volume", rows_before(BY_SYMBOL, cfg.rvol_bars), 10) + EPS)
+        rvol = F.col("volume") / (mean_at_least("volume", rows_before(by_symbol(), cfg.rvol_bars), 10) + EPS)
         out = out.withColumn("rvol_intraday", rvol).withColumn("pass_rvol", F.col("rvol_intraday") >= cfg.min_rvol)
         tests.append("pass_rvol")
     ok = F.lit(True)

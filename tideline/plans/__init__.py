@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("daily",)
+MODULES = ("daily", "intraday")
 
 
 def _catalog():

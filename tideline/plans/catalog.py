@@ -23,7 +23,7 @@ def plain(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), DIGITS)
+            c = F.round(c.cast("double"), DIGITS) + 0.0  # no negative zero
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -34,7 +34,7 @@ def query(sql: str | None = None, doubles: str = "", dates: str = "", times: str
     def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
         QUERIES[f.__name__] = lambda spark, sf_dir: plain(f(spark, sf_dir))
         if sql:
-            parts = [f"round(({c})::double, {DIGITS}) as {c}" for c in doubles.split()] + [f"({c})::date::varchar as {c}" for c in dates.split()] + [f"epoch_us({c}) as {c}" for c in times.split()]
+            parts = [f"round(({c})::double, {DIGITS}) + 0.0 as {c}" for c in doubles.split()] + [f"({c})::date::varchar as {c}" for c in dates.split()] + [f"epoch_us({c}) as {c}" for c in times.split()]
             head, _, tail = sql.strip().rpartition("\n---\n")
             body = tail or head
             wrapped = f"select * replace ({', '.join(parts)}) from ({body})" if parts else body

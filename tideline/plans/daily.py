@@ -73,7 +73,7 @@ def rvol_day(spark, d):
 
 @query(DAILY + ",\nv as (select *, case when count(volume) over w >= 5 then avg(volume) over w end as mean_ from daily window w as (partition by symbol order by date rows between 20 preceding and 1 preceding))\n---\nselect symbol, date, volume / (mean_ + 1e-9) as rvol from v", "rvol", "date")
 def rvol_excluding_today(spark, d):
-    return S.daily_bars(spark, d).select("symbol", "date", R.rvol_excluding_today(None).alias("rvol"))
+    return S.daily_bars(spark, d).select("symbol", "date", R.rvol_excluding_today().alias("rvol"))
 
 
 @query(DAILY + ",\ns as (select symbol, date, coalesce(low <= 0.9 * lag(close) over w, false) as ssr_day from daily window w as (partition by symbol order by date))\n---\nselect *, coalesce(lag(ssr_day) over (partition by symbol order by date), false) as ssr_next from s", "", "date")
