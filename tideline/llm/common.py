@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 U64 = np.uint64
 
 
+#: Folders made for sessions (by application id) that name none, as in tests.
+_OWN: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-tideline-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        folder = _OWN[app] = _OWN.get(app) or tempfile.mkdtemp(prefix="spark-tideline-", dir="/tmp")
     return folder.rstrip("/")
 
 
