@@ -125,11 +125,27 @@ def detected(bars: DataFrame, cfg: IntradayConfig = IntradayConfig(), types: tup
     return out.withColumn("score", score())
 
 
-def best_per_bucket(events: DataFrame, minutes: int = 10, compat: bool = False) -> DataFrame:
-    """The highest score of each symbol, type and time bucket (ties: earliest, then up before down). compat: of each symbol, type and day."""
+def global_filters(bars: DataFrame, min_price: float = 1.0, max_price: float = 500.0, min_dollar_volume_day: float = 0.0, sessions: tuple[str, ...] | None = None) -> DataFrame:
+    """Bars within the price range, of symbol-days with enough dollar volume, in the given sessions (New York time)."""
+    day = F.sum(F.col("close") * F.col("volume")).over(Window.partitionBy("symbol", "date"))
+    out = bars.withColumn("__dv", day).where(F.col("close").between(min_price, max_price) & (F.col("__dv") >= min_dollar_volume_day)).drop("__dv")
+    return out.where(session_of(market_time(F.col("timestamp"))).isin(*sessions)) if sessions else out
+
+
+def consecutive(condition: Column, n: int) -> Column:
+    """Whether a condition held in the last n bars of the symbol-day."""
+    w = last_rows(by_day(), n)
+    return (F.sum(_yes(condition).cast("int")).over(w) == n) & (F.count("*").over(w) == n)
+
+
+def best_per_bucket(events: DataFrame, minutes: int = 10, compat: bool = False, keep_within_pct: float = 0.0) -> DataFrame:
+    """The highest score of each symbol, type and time bucket (ties: earliest, then up before down). compat: of each symbol, type and day.
+
+    keep_within_pct: rows that come within so many percent of their bucket's best stay as well.
+    """
     bucket = F.col("date") if compat else F.floor(F.unix_timestamp("timestamp") / (60 * minutes))
     w = Window.partitionBy("symbol", "event_type", "__b").orderBy(F.desc_nulls_last("score"), "timestamp", F.desc("direction"))
-    return events.withColumn("__b", bucket).withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__b", "__r")
+    return events.withColumn("__b", bucket).withColumn("__r", F.row_number().over(w)).withColumn("__top", F.max("score").over(Window.partitionBy("symbol", "event_type", "__b"))).where((F.col("__r") == 1) | (F.lit(keep_within_pct > 0) & (F.col("score") >= F.col("__top") * (1 - keep_within_pct / 100)))).drop("__b", "__r", "__top")
 
 
 def with_cooldown(events: DataFrame, minutes: int) -> DataFrame:

@@ -311,3 +311,31 @@ def multi_event_symbols(events: DataFrame, hours: int = 1, least: int = 2) -> Da
 def latest_features(bars: DataFrame) -> DataFrame:
     """The newest row of each symbol."""
     return bars.groupBy("symbol").agg(F.max_by(F.struct("timestamp", "close", "volume"), "timestamp").alias("x")).select("symbol", "x.*")
+
+
+def double_bottoms(bars: DataFrame, rows: int = 5, dip: float = 0.02, near: float = 0.05) -> DataFrame:
+    """Bars whose close, twice `rows` earlier, dipped, recovered by at least `dip` and came back to within `near` of the first dip."""
+    one, two = F.lag("close", rows).over(by_symbol()), F.lag("close", 2 * rows).over(by_symbol())
+    out = bars.withColumn("middle", one).withColumn("first", two)
+    return out.where((F.col("middle") >= F.col("first") * (1 + dip)) & (F.col("close") <= F.col("middle") * (1 - dip)) & (F.abs(F.col("close") - F.col("first")) <= near * F.col("first")))
+
+
+def event_sequences(events: DataFrame, first: str, then: str, minutes: int = 60) -> DataFrame:
+    """Events of one type whose symbol's next event of another type comes within so many minutes."""
+    w = Window.partitionBy("symbol").orderBy("timestamp").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    nxt = F.min(F.when(F.col("event_type") == then, F.col("timestamp"))).over(w)
+    out = events.withColumn("next_time", nxt).where(F.col("event_type") == first)
+    return out.where(F.unix_timestamp("next_time") - F.unix_timestamp("timestamp") <= 60 * minutes)
+
+
+def flat_base_breakouts(events: DataFrame, daily: DataFrame, run_pct: float = 100.0) -> DataFrame:
+    """Daily events with flat_base of the day before, max_run_pct, big_run and is_flat_base_breakout (a range or volume event out of a flat base)."""
+    base = daily.withColumn("had_flat_base", F.coalesce(F.lag("is_flat_base").over(by_daily()), F.lit(False))).withColumn("max_run_pct", (ratio(F.max("high").over(by_daily().rowsBetween(1, 5)), F.col("close")) - 1) * 100)
+    out = events.join(base.select("symbol", "date", "had_flat_base", "max_run_pct"), ["symbol", "date"], "left")
+    return out.withColumn("big_run", F.coalesce(F.col("max_run_pct") >= run_pct, F.lit(False))).withColumn("is_flat_base_breakout", F.coalesce(F.col("had_flat_base"), F.lit(False)) & (F.col("is_ire") | F.col("is_vswg")))
+
+
+def tape_windows(events: DataFrame, before: int = 3, after: int = 7, wide_before: int = 10, wide_after: int = 20, spike: float = 8.0) -> DataFrame:
+    """events with window_before_min and window_after_min: the wide ones where the spike is strong."""
+    strong = F.coalesce(F.col("spike_x") >= spike, F.lit(False))
+    return events.withColumn("window_before_min", F.when(strong, wide_before).otherwise(before)).withColumn("window_after_min", F.when(strong, wide_after).otherwise(after))

@@ -86,13 +86,15 @@ def forward_metrics(spark, d):
     return R.forward_metrics(S.daily_bars(spark, d)).select("symbol", "date", "ret_fwd", "max_run")
 
 
-@query(METRICS.replace("rows between 20 preceding", "rows between 13 preceding").replace(">= 10 then avg(tr)", ">= 7 then avg(tr)") + """,
+FLAT = METRICS.replace("rows between 20 preceding", "rows between 13 preceding").replace(">= 10 then avg(tr)", ">= 7 then avg(tr)") + """,
 f1 as (select symbol, date, atr_pct, volume / nullif(case when count(volume) over w30 >= 10 then avg(volume) over w30 end, 0) as rvol30, list_sort(list(atr_pct) filter (atr_pct is not null) over w20) as xs
   from metrics window w30 as (partition by symbol order by date rows between 29 preceding and current row), w20 as (partition by symbol order by date rows between 19 preceding and current row)),
-f2 as (select *, coalesce(atr_pct <= case when len(xs) >= 10 then xs[(round(0.25 * (len(xs) - 1)) + 1)::int] end and rvol30 <= 0.8, false) as is_quiet from f1)
----
-select symbol, date, is_quiet, case when count(*) over w >= 10 then sum(is_quiet::int) over w end::bigint as n_quiet, coalesce(case when count(*) over w >= 10 then sum(is_quiet::int) over w end >= 4, false) as is_flat_base from f2
-window w as (partition by symbol order by date rows between 19 preceding and current row)""", "", "date")
+f2 as (select *, coalesce(atr_pct <= case when len(xs) >= 10 then xs[(round(0.25 * (len(xs) - 1)) + 1)::int] end and rvol30 <= 0.8, false) as is_quiet from f1),
+flat as (select symbol, date, is_quiet, case when count(*) over w >= 10 then sum(is_quiet::int) over w end::bigint as n_quiet, coalesce(case when count(*) over w >= 10 then sum(is_quiet::int) over w end >= 4, false) as is_flat_base from f2
+window w as (partition by symbol order by date rows between 19 preceding and current row))"""
+
+
+@query(FLAT + "\n---\nselect * from flat", "", "date")
 def flat_base(spark, d):
     return R.flat_base(S.daily_bars(spark, d), quiet_days=4).select("symbol", "date", "is_quiet", "n_quiet", "is_flat_base")
 
@@ -185,3 +187,13 @@ def cap_brackets(spark, d):
 @query("det as (select case when s_suppkey % 7 <> 0 then s_acctbal * 1000000 end as c from supplier)\n---\nselect min(c) as min, max(c) as max, avg(c) as mean, quantile_cont(c, 0.5) as median, count_if(c < 2e9)::bigint as n_small, count_if(c is null)::bigint as n_unknown from det", "min max mean median")
 def cap_summary(spark, d):
     return A.cap_summary(S.details(spark, d))
+
+
+# Both metrics tables are called the same, so the breakouts' SQL takes the flat days from a table of its own.
+FLAT_DAYS = EVENTS + ",\n" + FLAT[len(DAILY) + 2 :].replace("m1 as", "g1 as").replace("from m1", "from g1").replace("m2 as", "g2 as").replace("from m2", "from g2").replace("metrics as", "gmetrics as").replace("from metrics", "from gmetrics")
+
+
+@query(FLAT_DAYS + ",\nz as (select f.symbol, f.date, coalesce(lag(is_flat_base) over (partition by f.symbol order by f.date), false) as had, (max(high) over (partition by f.symbol order by f.date rows between 1 following and 5 following) / close - 1) * 100 as run from flat f join daily using (symbol, date))\n---\nselect symbol, date, had as had_flat_base, run as max_run_pct, coalesce(run >= 100, false) as big_run, had and (is_ire or is_vswg) as is_flat_base_breakout from ev join z using (symbol, date) where is_event", "max_run_pct", "date")
+def flat_base_breakouts(spark, d):
+    base = R.flat_base(S.daily_bars(spark, d), quiet_days=4)
+    return X.flat_base_breakouts(events(spark, d).where("is_event"), base).select("symbol", "date", "had_flat_base", "max_run_pct", "big_run", "is_flat_base_breakout")

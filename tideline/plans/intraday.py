@@ -347,3 +347,30 @@ def opening_range(spark, d):
 def premarket_dollar_volume(spark, d):
     b = S.bars(spark, d)
     return D.premarket_dollar_volume(b.select("symbol", "date").distinct(), b)
+
+
+@query(BARS + ",\nl as (select symbol, timestamp, close, lag(close, 5) over s as middle, lag(close, 10) over s as first from bars window s as (partition by symbol order by timestamp))\n---\nselect symbol, timestamp, close, middle, first from l where middle >= first * 1.02 and close <= middle * 0.98 and abs(close - first) <= 0.05 * first", "close middle first", "", "timestamp")
+def double_bottoms(spark, d):
+    return X.double_bottoms(S.bars(spark, d)).select("symbol", "timestamp", "close", "middle", "first")
+
+
+@query(COLUMNS + ",\nn as (select symbol, timestamp, event_type, min(case when event_type = 'vwap_break' then timestamp end) over (partition by symbol order by timestamp range between current row and unbounded following) as next_time from events_)\n---\nselect symbol, timestamp, next_time from n where event_type = 'volume_spike' and epoch(next_time) - epoch(timestamp) <= 7200", "", "", "timestamp next_time")
+def event_sequences(spark, d):
+    e = D.intraday_events(S.bars(spark, d), CFG)
+    return X.event_sequences(e, "volume_spike", "vwap_break", 120).select("symbol", "timestamp", "next_time")
+
+
+@query(BARS + f",\nd as (select *, sum(close * volume) over (partition by symbol, date) as dv from bars)\n---\nselect symbol, count(*) as n, sum(volume)::bigint as volume from d where close between 5 and 150 and dv >= 100000 and {session()} in ('PM', 'RTH') group by 1")
+def global_filters(spark, d):
+    out = D.global_filters(S.bars(spark, d), 5.0, 150.0, 100_000, ("PM", "RTH"))
+    return out.groupBy("symbol").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
+
+
+@query(COLUMNS + ",\nw as (select symbol, timestamp, event_type, case when spike_x >= 2.5 then 10 else 3 end as b, case when spike_x >= 2.5 then 20 else 7 end as a from events_)\n---\nselect symbol, timestamp, event_type, coalesce(b, 3)::int as window_before_min, coalesce(a, 7)::int as window_after_min from w", "", "", "timestamp")
+def tape_windows(spark, d):
+    return X.tape_windows(D.intraday_events(S.bars(spark, d), CFG), spike=2.5).select("symbol", "timestamp", "event_type", "window_before_min", "window_after_min")
+
+
+@query(COLUMNS + ",\nb as (select *, floor(epoch(timestamp) / 3600) as bk, max(score) over (partition by symbol, event_type, floor(epoch(timestamp) / 3600)) as top_, row_number() over (partition by symbol, event_type, floor(epoch(timestamp) / 3600) order by score desc nulls last, timestamp, direction desc) as rn from hits)\n---\nselect symbol, timestamp, event_type, direction, score from b where rn = 1 or score >= top_ * 0.8", "score", "", "timestamp")
+def near_best_per_bucket(spark, d):
+    return D.best_per_bucket(D.detected(S.bars(spark, d), CFG), 60, keep_within_pct=20.0).select("symbol", "timestamp", "event_type", "direction", "score")

@@ -224,3 +224,12 @@ def coverage_sides(spark, d):
 def completeness(spark, d):
     o = S.table(spark, d, "orders").withColumnRenamed("o_custkey", "symbol")
     return J.completeness(o, o.where("o_orderstatus = 'F'"))
+
+
+_PROXY = "case session " + " ".join(f"when '{s}' then case when {{0}} then null when not {{0}} then '{s}_liquidity' else 'null_metric' end".format(f"(dollar_volume_bar >= {x.dollar_volume_bar} and volume >= {x.volume_bar} and spread_proxy <= {x.spread})") for s, x in MANIFEST.limits.items()) + " else 'unknown_session' end"
+
+
+@query(CASCADE.replace(_WHY, _PROXY) + "\n---\nselect coalesce(st, 'kept') as stage, coalesce(re, '') as reason, count(*) as n from cascade_ group by 1, 2")
+def proxy_cascade(spark, d):
+    """The cascade without daily metrics: three tests."""
+    return L.attribution(L.cascade(scored(spark, d), MANIFEST, ("dollar_volume_bar", "volume", "spread_proxy")))
