@@ -374,3 +374,10 @@ def tape_windows(spark, d):
 @query(COLUMNS + ",\nb as (select *, floor(epoch(timestamp) / 3600) as bk, max(score) over (partition by symbol, event_type, floor(epoch(timestamp) / 3600)) as top_, row_number() over (partition by symbol, event_type, floor(epoch(timestamp) / 3600) order by score desc nulls last, timestamp, direction desc) as rn from hits)\n---\nselect symbol, timestamp, event_type, direction, score from b where rn = 1 or score >= top_ * 0.8", "score", "", "timestamp")
 def near_best_per_bucket(spark, d):
     return D.best_per_bucket(D.detected(S.bars(spark, d), CFG), 60, keep_within_pct=20.0).select("symbol", "timestamp", "event_type", "direction", "score")
+
+
+def flagship(spark, d):
+    """intraday_events on symbol-days of any length: the smallest tables have few ticks a day."""
+    from dataclasses import replace
+
+    return D.intraday_events(S.bars(spark, d), replace(CFG, min_bars=1)).select(*OUT, "event_bias", "close_vs_open", "tier")
