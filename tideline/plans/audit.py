@@ -111,10 +111,10 @@ def kpi_alerts(spark, d):
     return Q.kpi_alerts(events(spark, d))
 
 
-@query("m as (select distinct o_custkey as s from orders), c as (select distinct c_custkey as s from customer where c_custkey % 2 = 0), o as (select distinct user_id as s from events)\n---\nselect coalesce(m.s is not null, false) as in_manifest, c.s is not null as in_checkpoint, o.s is not null as in_output, count(*) as n from (select s from m union select s from c union select s from o) a left join m on a.s = m.s left join c on a.s = c.s left join o on a.s = o.s group by 1, 2, 3")
+@query("m as (select distinct o_custkey as s from orders), c as (select distinct c_custkey as s from customer where c_acctbal > 0), o as (select distinct user_id as s from events)\n---\nselect coalesce(m.s is not null, false) as in_manifest, c.s is not null as in_checkpoint, o.s is not null as in_output, count(*) as n from (select s from m union select s from c union select s from o) a left join m on a.s = m.s left join c on a.s = c.s left join o on a.s = o.s group by 1, 2, 3")
 def reconciled(spark, d):
     m = S.table(spark, d, "orders").select(F.col("o_custkey").alias("symbol"))
-    c = S.table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("symbol"))
+    c = S.table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("symbol"))
     return Q.reconciled(m, c, S.table(spark, d, "events").select(F.col("user_id").alias("symbol")))
 
 

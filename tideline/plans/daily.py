@@ -147,13 +147,13 @@ def purged_folds(spark, d):
 
 
 def splits(spark, d):
-    """Splits from parts: every hundredth day of a symbol, forward and reverse in turn."""
-    o = S.table(spark, d, "orders").where("o_orderkey % 500 = 0")
-    odd = F.col("o_orderkey") % 1000 == 0
+    """The dearest orders as splits: those that are filled are reverse ones."""
+    o = S.table(spark, d, "orders").where("o_totalprice > 497000")
+    odd = F.col("o_orderstatus") == "F"
     return o.select((F.col("o_custkey") % 10).alias("symbol"), F.to_date("o_orderdate").alias("date"), F.when(odd, 10).otherwise(1).alias("split_from"), F.when(odd, 1).otherwise(2).alias("split_to"))
 
 
-SPLITS = DAILY + ",\nsplits as (select o_custkey % 10 as symbol, o_orderdate::date as date, case when o_orderkey % 1000 = 0 then 10 else 1 end as split_from, case when o_orderkey % 1000 = 0 then 1 else 2 end as split_to from orders where o_orderkey % 500 = 0)"
+SPLITS = DAILY + ",\nsplits as (select o_custkey % 10 as symbol, o_orderdate::date as date, case when o_orderstatus = 'F' then 10 else 1 end as split_from, case when o_orderstatus = 'F' then 1 else 2 end as split_to from orders where o_totalprice > 497000)"
 
 
 @query(SPLITS + "\n---\nselect d.symbol, d.date, coalesce(exp(sum(case when s.date > d.date then ln(split_from / split_to) else 0 end)), 1) as factor, coalesce(bool_or(s.date = d.date and split_from > split_to), false) as is_reverse_day from daily d left join splits s on d.symbol = s.symbol group by 1, 2", "factor", "date")

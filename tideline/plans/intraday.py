@@ -311,13 +311,13 @@ def triple_barrier(spark, d):
 
 
 @query(BARS + f""",
-e as (select symbol || '@' || date as event_key, symbol, date from (select distinct symbol, date from bars) where day(date) % 10 = 0), s(o, a, b) as (values (-1, 960, 1199), (0, 570, 659), (1, 240, 569)),
+e as (select symbol || '@' || date as event_key, symbol, date from (select distinct symbol, date from bars)), s(o, a, b) as (values (-1, 960, 1199), (0, 570, 659), (1, 240, 569)),
 w as (select event_key, symbol, date + o::int as date, o, a, b from e, s)
 ---
 select event_key, o as "offset", count(*) as n, sum(volume)::bigint as volume from bars b join w on b.symbol = w.symbol and ({et('timestamp')})::date = w.date where {minute()} between a and b group by 1, 2""")
 def session_slices(spark, d):
     b = S.bars(spark, d)
-    e = b.select("symbol", "date").distinct().where("day(date) % 10 = 0").withColumn("event_key", F.concat_ws("@", "symbol", "date"))
+    e = b.select("symbol", "date").distinct().withColumn("event_key", F.concat_ws("@", "symbol", "date"))
     out = J.session_slices(e, b, [(-1, "16:00", "19:59"), (0, "09:30", "10:59"), (1, "04:00", "09:29")])
     return out.groupBy("event_key", "offset").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"))
 

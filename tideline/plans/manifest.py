@@ -209,15 +209,15 @@ def small_caps(spark, d):
     return J.with_market_cap(S.table(spark, d, "lineitem").select(F.col("l_suppkey").alias("ticker")).distinct(), S.details(spark, d))
 
 
-@query("u as (select distinct o_custkey as symbol from orders where o_orderkey % 5 = 0)\n---\nselect c_custkey as symbol from customer where c_custkey not in (select symbol from u)")
+@query("u as (select distinct o_custkey as symbol from orders where o_orderstatus = 'P')\n---\nselect c_custkey as symbol from customer where c_custkey not in (select symbol from u)")
 def missing_symbols(spark, d):
-    return J.missing(S.table(spark, d, "customer").select(F.col("c_custkey").alias("symbol")), S.table(spark, d, "orders").where("o_orderkey % 5 = 0").select(F.col("o_custkey").alias("symbol")), "symbol")
+    return J.missing(S.table(spark, d, "customer").select(F.col("c_custkey").alias("symbol")), S.table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("symbol")), "symbol")
 
 
-@query("a as (select distinct c_custkey as symbol from customer where c_custkey % 3 > 0), b as (select distinct o_custkey as symbol from orders where o_orderkey % 2 = 0)\n---\nselect case when a.symbol is null then 'right_only' when b.symbol is null then 'left_only' else 'both' end as side, count(*) as n from a full join b using (symbol) group by 1")
+@query("a as (select distinct c_custkey as symbol from customer where c_acctbal > 0), b as (select distinct o_custkey as symbol from orders where o_orderstatus = 'P')\n---\nselect case when a.symbol is null then 'right_only' when b.symbol is null then 'left_only' else 'both' end as side, count(*) as n from a full join b using (symbol) group by 1")
 def coverage_sides(spark, d):
-    a = S.table(spark, d, "customer").select(F.col("c_custkey").alias("symbol")).where("symbol % 3 > 0")
-    return J.coverage(a, S.table(spark, d, "orders").where("o_orderkey % 2 = 0").select(F.col("o_custkey").alias("symbol")), "symbol")
+    a = S.table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("symbol"))
+    return J.coverage(a, S.table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("symbol")), "symbol")
 
 
 @query("e as (select o_custkey as symbol, count(*) as expected from orders group by 1), f as (select o_custkey as symbol, count(*) as done from orders where o_orderstatus = 'F' group by 1)\n---\nselect symbol, expected, coalesce(done, 0) as done, coalesce(done, 0) * 100.0 / expected as pct, coalesce(done, 0) >= expected as is_complete from e left join f using (symbol)", "pct")
