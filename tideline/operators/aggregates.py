@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,13 @@ CAP_EDGES = (0.0, 5e7, 3e8, 2e9, 1e10)
 CAP_NAMES = ("nano", "micro", "small", "mid", "large")
 
 
+
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One-row frames as one row: a union whose columns are then taken together, no join."""
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 def symbol_ranking(daily: DataFrame, n: int | None = None) -> DataFrame:
     """Symbols by number of events, with their statistics, days, event rate and rank; the first n of them."""
     events = daily.where("is_event").groupBy("symbol").agg(
@@ -54,7 +63,7 @@ def distribution(events: DataFrame, column: str) -> DataFrame:
 def top_concentration(events: DataFrame, n: int = 20) -> DataFrame:
     """Share of the n busiest symbols in all events."""
     top = top_symbols(events, n).agg(F.sum("n_events").alias("top"))
-    return top.join(events.agg(F.count("*").alias("total"))).select("top", "total", F.try_divide("top", "total").alias("share"))
+    return side_by_side(top, events.agg(F.count("*").alias("total"))).select("top", "total", F.try_divide("top", "total").alias("share"))
 
 
 def window_extent(events: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:

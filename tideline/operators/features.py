@@ -69,8 +69,8 @@ def execution_cost(events: DataFrame, position_usd: float = 10_000, halt: str |
 
 def l2_selection(events: DataFrame, q: float = 0.90, min_day: float = 5_000_000, per_month: int = 200) -> DataFrame:
     """Events over the q quantiles of liquidity_score and rvol_day with dollar_volume_day over min_day; the best of each month."""
-    limits = events.agg(F.percentile("liquidity_score", F.lit(q)).alias("__a"), F.percentile("rvol_day", F.lit(q)).alias("__b"))
-    out = events.join(F.broadcast(limits)).where((F.col("liquidity_score") > F.col("__a")) & (F.col("rvol_day") > F.col("__b")) & (F.col("dollar_volume_day") > min_day)).drop("__a", "__b")  # one row
+    least = {c: events.agg(F.percentile(c, F.lit(q))).scalar() for c in ("liquidity_score", "rvol_day")}
+    out = events.where((F.col("liquidity_score") > least["liquidity_score"]) & (F.col("rvol_day") > least["rvol_day"]) & (F.col("dollar_volume_day") > min_day))
     w = Window.partitionBy(F.date_format("timestamp", "yyyy-MM")).orderBy(F.desc("liquidity_score"), "symbol", "timestamp")
     return out.withColumn("rank_month", F.row_number().over(w)).where(F.col("rank_month") <= per_month)
 
@@ -303,8 +303,8 @@ def trade_metrics(trades: DataFrame, by: tuple[str, ...] = ("pattern",)) -> Data
 
 def multi_event_symbols(events: DataFrame, hours: int = 1, least: int = 2) -> DataFrame:
     """Symbols with several bullish event types within the last hours of the table."""
-    end = events.agg(F.max("timestamp").alias("__end"))
-    out = events.join(F.broadcast(end)).where((F.col("timestamp") >= F.col("__end") - F.expr(f"interval {hours} hours")) & (F.col("event_bias") == "bullish")).groupBy("symbol").agg(F.count_distinct("event_type").alias("n_types"), F.count("*").alias("n"))  # one row
+    start = events.agg(F.max("timestamp") - F.expr(f"interval {hours} hours")).scalar()
+    out = events.where((F.col("timestamp") >= start) & (F.col("event_bias") == "bullish")).groupBy("symbol").agg(F.count_distinct("event_type").alias("n_types"), F.count("*").alias("n"))
     return out.where(F.col("n_types") >= least)
 
 

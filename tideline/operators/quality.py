@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .aggregates import daily_rate, outliers
+from .aggregates import daily_rate, outliers, side_by_side
 from .rolling import bucket_repeats
 
 #: Classes of log lines; the first that matches counts.
@@ -18,11 +18,11 @@ def bar_quality(bars: DataFrame) -> DataFrame:
     """One row: rows, surplus rows of equal (symbol, timestamp), nulls per column, rows that step back in time in file order (id, if there)."""
     keyed = bars.groupBy("symbol", "timestamp").agg(F.count("*").alias("c")).agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("n_duplicates"))
     row = bars.agg(F.count("*").alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("open", "high", "low", "close", "volume")])
-    out = row.join(keyed).withColumn("is_empty", F.col("n_rows") == 0)
+    out = side_by_side(row, keyed).withColumn("is_empty", F.col("n_rows") == 0)
     if "id" in bars.columns:
         w = Window.partitionBy("symbol").orderBy("id")
         steps = bars.withColumn("__b", F.lag("timestamp").over(w) > F.col("timestamp")).agg(F.count_if(F.col("__b")).alias("n_unsorted"))
-        out = out.join(steps)
+        out = side_by_side(out, steps)
     return out
 
 
@@ -95,7 +95,8 @@ def dq_thresholds(daily: DataFrame, max_missing: float = 5.0, max_null: float =
 def extra_checks(events: DataFrame, max_type_share: float = 0.60, min_months: int = 30) -> DataFrame:
     """(name, value, ok): the largest share of a type, months covered, nulls in the key."""
     top = events.groupBy("event_type").agg(F.count("*").alias("c")).agg(F.max("c").alias("top"))
-    row = events.agg(F.count("*").alias("n"), F.count_distinct(F.date_format("timestamp", "yyyy-MM")).alias("months"), F.count_if(F.col("symbol").isNull() | F.col("timestamp").isNull() | F.col("event_type").isNull()).alias("nulls")).join(top)
+    row = events.agg(F.count("*").alias("n"), F.count_distinct(F.date_format("timestamp", "yyyy-MM")).alias("months"), F.count_if(F.col("symbol").isNull() | F.col("timestamp").isNull() | F.col("event_type").isNull()).alias("nulls"))
+    row = side_by_side(row, top)
     share = F.try_divide(F.col("top").cast("double"), F.col("n"))
     checks = [("max_type_share", share, share < max_type_share), ("months", F.col("months").cast("double"), F.col("months") >= min_months), ("null_keys", F.col("nulls").cast("double"), F.col("nulls") == 0)]
     return row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("name"), b.alias("value"), c.alias("ok")) for a, b, c in checks])).alias("x")).select("x.*")

@@ -11,6 +11,8 @@ from tideline.config import ManifestConfig, SessionLimits
 from tideline.functions.scalars import null_count, ratio, with_derived
 from tideline.functions.time import market_time, minute_of_day
 
+from .aggregates import side_by_side
+
 KEY = ("symbol", "timestamp", "event_type")
 
 
@@ -24,7 +26,7 @@ def exact_dedup(events: DataFrame, key: tuple[str, ...] = KEY, tie: tuple[str, .
 def dedup_stats(before: DataFrame, after: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
     a = before.agg(F.count("*").alias("n_before"))
     b = after.agg(F.count("*").alias("n_after"), F.count_distinct(*key).alias("n_keys"), F.count_distinct("symbol").alias("n_symbols"))
-    out = a.join(b).withColumn("removed", F.col("n_before") - F.col("n_after")).withColumn("removed_pct", F.try_divide(F.col("removed") * 100.0, F.col("n_before")))
+    out = side_by_side(a, b).withColumn("removed", F.col("n_before") - F.col("n_after")).withColumn("removed_pct", F.try_divide(F.col("removed") * 100.0, F.col("n_before")))
     return out.withColumn("residual", F.col("n_after") - F.col("n_keys"))
 
 
@@ -96,8 +98,8 @@ def attribution(flagged: DataFrame) -> DataFrame:
 def session_quotas(kept: DataFrame, cfg: ManifestConfig = ManifestConfig()) -> DataFrame:
     """(session, n, share, low, high, verdict); changes no rows."""
     limits = kept.sparkSession.createDataFrame([(s, float(a), float(b)) for s, (a, b) in cfg.quotas.items()], "session string, low double, high double")
-    counts = kept.groupBy("session").agg(F.count("*").alias("n"))
-    out = limits.join(counts, "session", "left").fillna(0, ["n"]).join(kept.agg(F.count("*").alias("total")))
+    counts = kept.groupBy("session").agg(F.count("*").alias("n")).withColumn("total", F.sum("n").over(Window.partitionBy()))  # one row per session
+    out = limits.join(counts, "session", "left").fillna(0, ["n"]).withColumn("total", F.max("total").over(Window.partitionBy()))
     out = out.withColumn("share", F.coalesce(F.try_divide("n", "total"), F.lit(0.0)))
     return out.withColumn("verdict", F.when(F.col("share") < F.col("low"), "below").when(F.col("share") > F.col("high"), "above").otherwise("ok")).drop("total")
 
@@ -106,7 +108,8 @@ def sanity_checks(kept: DataFrame, cfg: ManifestConfig = ManifestConfig()) -> Da
     """(name, value, ok) of ten checks."""
     top = kept.groupBy("symbol").agg(F.count("*").alias("c")).orderBy(F.desc("c"), "symbol").limit(20).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("top"))
     share = lambda s: F.coalesce(F.avg((F.col("session") == s).cast("double")), F.lit(0.0)).alias(s)
-    row = kept.agg(F.count("*").alias("n"), F.count_distinct("symbol").alias("symbols"), F.percentile("score", F.lit(0.5)).alias("score"), F.percentile("rvol_day", F.lit(0.5)).alias("rvol"), share("PM"), share("RTH"), share("AH")).join(top)
+    row = kept.agg(F.count("*").alias("n"), F.count_distinct("symbol").alias("symbols"), F.percentile("score", F.lit(0.5)).alias("score"), F.percentile("rvol_day", F.lit(0.5)).alias("rvol"), share("PM"), share("RTH"), share("AH"))
+    row = side_by_side(row, top)
     n = F.col("n").cast("double")
     checks = [("total_events", n, n.between(*cfg.events_range)), ("symbols", F.col("symbols").cast("double"), F.col("symbols") >= cfg.min_symbols), ("score_median", F.col("score"), F.col("score") >= cfg.min_score_median), ("rvol_median", F.col("rvol"), F.col("rvol") >= cfg.min_rvol_median)]
     top20 = F.coalesce(F.try_divide(F.col("top").cast("double"), n), F.lit(0.0))
