@@ -17,7 +17,7 @@ from .components import connected_components, union_find
 from .cover_tree import MARGIN, CoverTree, threshold_pairs, unit
 
 #: Vectors of a block at most, about.
-BLOCK = 512
+BLOCK = 2048
 BITS = 20
 
 
@@ -27,7 +27,8 @@ def _cells(dims: int) -> np.ndarray:
 
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, label, dims, v): vectors that can link. Of rows with one vec_id the smallest (label, vector) stands."""
-    v = F.col("embedding").cast("array<double>")
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    v = F.col("embedding") if single else F.col("embedding").cast("array<double>")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), v.alias("v"))
     rows = rows.where("vec_id is not null and label is not null and size(v) > 0").where(~bad & F.exists("v", lambda x: x != 0))
@@ -61,12 +62,12 @@ def _blocks(rows: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         label, dims, cell, sub = (k.as_py() for k in key)
-        points = unit(table["v"].combine_chunks().flatten().to_numpy().reshape(-1, dims))
-        tree = CoverTree.build(points)
+        raw = table["v"].combine_chunks().flatten().to_numpy().reshape(-1, dims)
+        tree = CoverTree.build(unit(raw))
         ids = table["vec_id"].to_numpy()[tree.order]
         return pa.table({
             "block": pa.array([f"{cell}/{sub}"]), "label": pa.array([label]), "dims": pa.array([dims], pa.int32()), "centre": pa.array([tree.points[tree.nodes[0, 2]].tolist()], pa.list_(pa.float64())),
-            "radius": pa.array([float(tree.radii[0])]), "ids": pa.array([ids.tobytes()], pa.binary()), "points": pa.array([tree.points.tobytes()], pa.binary()),
+            "radius": pa.array([float(tree.radii[0])]), "ids": pa.array([ids.tobytes()], pa.binary()), "points": pa.array([raw[tree.order].tobytes()], pa.binary()),
             "nodes": pa.array([tree.nodes.tobytes()], pa.binary()), "radii": pa.array([tree.radii.tobytes()], pa.binary()),
         })
 
@@ -76,8 +77,9 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 def _read(row: dict, dims: int, prefix: str) -> tuple[CoverTree, np.ndarray]:
     ids = np.frombuffer(row[prefix + "ids"], dtype=np.int64)
-    points = np.frombuffer(row[prefix + "points"]).reshape(len(ids), dims)
-    return CoverTree(points, None, np.frombuffer(row[prefix + "nodes"], dtype=np.int32).reshape(-1, 5), np.frombuffer(row[prefix + "radii"])), ids
+    raw = row[prefix + "points"]
+    points = np.frombuffer(raw, dtype=np.float32 if len(raw) == 4 * dims * len(ids) else np.float64).reshape(len(ids), dims)
+    return CoverTree(unit(points), None, np.frombuffer(row[prefix + "nodes"], dtype=np.int32).reshape(-1, 5), np.frombuffer(row[prefix + "radii"])), ids
 
 
 def link_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
