@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved, texts
-from .pretokens import PretokenIds
+from .pretokens import pretoken_ids
 
 #: Pieces that one task packs together, about.
 GROUP_PIECES = 4096
@@ -29,7 +29,7 @@ def tokenized(docs: DataFrame, path: str, length: int, end_id: int = 0, with_ids
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        words, end = PretokenIds(path, lower=True), int(end_id).to_bytes(4, "little")
+        words, end = pretoken_ids(path, lower=True), int(end_id).to_bytes(4, "little")
         for batch in batches:
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -8,6 +8,7 @@ encoded by the tokenizer whole.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -56,3 +57,9 @@ class PretokenIds(dict):
         if self.other.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return b"".join(map(self.__getitem__, self.pattern.findall(text.lower() if self.lower else text)))
+
+
+@lru_cache(maxsize=1)
+def pretoken_ids(path: str, lower: bool) -> PretokenIds:
+    """One for each Python worker, which goes on to the next task with it."""
+    return PretokenIds(path, lower)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table_path
-from .pretokens import PretokenIds
+from .pretokens import pretoken_ids
 
 CACHE = "content string, version string, n_tokens long"
 
@@ -30,7 +30,7 @@ def encode_counts(misses: DataFrame, path: str, version: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        parts = PretokenIds(path, lower=False)
+        parts = pretoken_ids(path, lower=False)
         for batch in batches:
             n = [len(parts.of(t or "")) // 4 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())], names=["content", "version", "n_tokens"])
