@@ -136,3 +136,17 @@ def test_embedding_dedup(spark):
     expected = Counter((r[0], n[r[0]], label[r[0]], r[0] is None or label[r[0]] == r[0]) for r in rows)
     assert links and Counter(map(tuple, embedding_dedup.link_vectors(df).collect())) == expected
     assert embedding_dedup.link_vectors(df.limit(0)).count() == 0
+
+
+def test_agendas_together_equal_one_by_one():
+    import random
+
+    from tideline.llm.piece_sampling import LITERAL, PieceModel
+    from tideline.llm.queries import tokenizer_path
+
+    model, rng = PieceModel(tokenizer_path("piece_bpe_32k.model")), random.Random(3)
+    parts = ["".join(rng.choice("▁etaoinshrdlué你ꙮ.") for _ in range(rng.randint(1, 90))) for _ in range(3000)] + ["▁the", "a", "ꙮ", LITERAL, "▁" * 70]
+    keys = np.array([rng.getrandbits(64) for _ in parts], dtype=np.uint64)
+    for rate in (0.0, 0.2, 0.9):
+        limit = int(rate * 2**53)
+        assert model.segment_many(parts, keys, limit) == [np.array(model.segment(p, int(k), limit), dtype="<u4").tobytes() for p, k in zip(parts, keys)]

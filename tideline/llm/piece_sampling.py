@@ -6,14 +6,16 @@ seed, unit, variant and span falls below the rate, so one text has many segmenta
 that are no piece are written as bytes, as is a literal U+2581, so decoding gives back every text.
 
 Texts are taken apart into units no piece can cross: white space and what follows it, and line ends. A unit has `variants`
-segmentations; which one it gets is a keyed hash of doc_id and its number in the text. Units are remembered.
+segmentations; which one it gets is a keyed hash of doc_id and its number in the text. Units are remembered,
+and so are their parts: a unit loses its last character, mostly a mark, if no piece holds it behind the one before.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
+import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -21,9 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import U64, mix64, without
+from .context_tree import KeyTable
 
 UNITS = re.compile(" +[^ \n▁]*|[^ \n▁]+|\n|▁")
 _MASK = 2**64 - 1
+NONE = float("-inf")
+LITERAL = "\ue000▁"  # stands for a U+2581 of the text, which is written as bytes; no text part is cut like this
 
 
 class PieceModel:
@@ -44,67 +49,221 @@ class PieceModel:
             else:
                 self.ids[piece], self.scores[piece] = i, m.get_score(i)
                 self.bytes.append(piece.replace("▁", " ").encode())
+        self.tables()
+        self.pairs = {pair for piece in self.scores for pair in zip(piece, piece[1:])}
 
     def units(self, text: str) -> list[str]:
         """The text after its leading mark, in units; a space stands as itself."""
         return UNITS.findall(" " + text) if text else []
 
-    def segment(self, unit: str, key: int, limit: int) -> list[int]:
-        """Ids of a unit. key, limit: a candidate merge is skipped if its hash under key is below limit (0: never)."""
+    def parts(self, unit: str) -> list[str]:
+        """The unit, its last character cut off if no piece holds it behind the one before: no merge reaches across. A literal U+2581 is marked as such."""
         if unit == "▁":
-            return [self.byte_ids[b] for b in unit.encode()]
-        parts = list(unit.replace(" ", "▁"))
-        n, scores = len(parts), self.scores
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda: list[tuple] = []
-
-        def offer(i: int, j: int) -> None:
-            whole = parts[i] + parts[j]
-            score = scores.get(whole)
-            if score is not None:
-                heapq.heappush(agenda, (-score, i, j, whole))
-
-        for i in range(n - 1):
-            offer(i, i + 1)
+            return [LITERAL]
+        unit = unit.replace(" ", "▁")
+        if len(unit) > 2 and (unit[-2], unit[-1]) not in self.pairs:
+            return [unit[:-1], unit[-1]]
+        return [unit]
+
+    def segment(self, part: str, key: int, limit: int) -> list[int]:
+        """Ids of a part. key, limit: a candidate merge is skipped if its hash under key is below limit (0: never).
+
+        The agenda is a list of the scores of neighbouring pairs, None where they make no piece or were skipped; parts are
+        a few characters long, so the best is found by looking at all.
+        """
+        if part == LITERAL:
+            return [self.byte_ids[b] for b in "▁".encode()]
+        if len(part) == 1:
+            piece = self.ids.get(part)
+            return [piece] if piece is not None else [self.byte_ids[b] for b in part.encode()]
+        scores = self.scores
+        bits, at = list(part), list(range(len(part)))
+        agenda = [scores.get(a + b, NONE) for a, b in zip(part, part[1:])]
         while agenda:
-            _, i, j, whole = heapq.heappop(agenda)
-            if not parts[i] or not parts[j] or after[i] != j or len(parts[i]) + len(parts[j]) != len(whole):
+            best = max(agenda)
+            if best == NONE:
+                break
+            i = agenda.index(best)
+            whole = bits[i] + bits[i + 1]
+            if limit and ((((key ^ (at[i] * 0x9E3779B97F4A7C15 + len(whole) * 0xC2B2AE3D27D4EB4F)) * 0xBF58476D1CE4E5B9) & _MASK) >> 11) < limit:
+                agenda[i] = NONE
                 continue
-            if limit and ((((key ^ (i * 0x9E3779B97F4A7C15 + len(whole) * 0xC2B2AE3D27D4EB4F)) * 0xBF58476D1CE4E5B9) & _MASK) >> 11) < limit:
-                continue
-            parts[i], parts[j] = whole, ""
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                offer(i, after[i])
-            if before[i] >= 0:
-                offer(before[i], i)
-        out, i = [], 0
-        while i < n:
-            piece = self.ids.get(parts[i])
-            out += [piece] if piece is not None else [self.byte_ids[b] for b in parts[i].encode()]
-            i = after[i]
+            bits[i] = whole
+            del bits[i + 1], at[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = scores.get(whole + bits[i + 1], NONE)
+            if i:
+                agenda[i - 1] = scores.get(bits[i - 1] + whole, NONE)
+        out = []
+        for b in bits:
+            piece = self.ids.get(b)
+            out += [piece] if piece is not None else [self.byte_ids[x] for x in b.encode()]
+        return out
+
+    def tables(self) -> None:
+        """Arrays for segment_many: symbols are pieces and their characters, pairs what two neighbouring symbols merge to."""
+        symbols = {c: i for i, c in enumerate(dict.fromkeys([*self.scores, *(c for p in self.scores for c in p)]))}
+        self.symbol_of = np.full(0x110000, -1, dtype=np.int32)
+        for c, i in symbols.items():
+            if len(c) == 1:
+                self.symbol_of[ord(c)] = i
+        self.piece_of = np.array([self.ids.get(c, -1) for c in symbols], dtype=np.int64)
+        found = {}
+        for piece, score in self.scores.items():
+            for cut in range(1, len(piece)):
+                a, b = symbols.get(piece[:cut]), symbols.get(piece[cut:])
+                if a is not None and b is not None:
+                    found[a << 32 | b] = (symbols[piece], score)
+        keys = np.array(sorted(found), dtype=U64)
+        self.pair_table = KeyTable(keys)
+        self.pair_symbol = np.array([found[k][0] for k in keys.tolist()] + [-1], dtype=np.int32)
+        self.pair_score = np.array([found[k][1] for k in keys.tolist()] + [NONE], dtype=np.float32)
+
+    def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merged symbol and score of pairs; -1 and NONE where they make no piece."""
+        at = self.pair_table.find((a.astype(np.int64).view(U64) << U64(32)) | (b.astype(np.int64).view(U64) & U64(0xFFFFFFFF)))
+        at[(a < 0) | (b < 0)] = -1
+        return self.pair_symbol[at], self.pair_score[at]
+
+    def segment_many(self, parts: list[str], keys: np.ndarray, limit: int) -> list[bytes]:
+        """segment() of many parts at once, a step of every agenda at a time; ids as little-endian uint32."""
+        out: list[bytes] = [b""] * len(parts)
+        sizes = np.array([len(p) for p in parts])
+        for low, high in ((1, 2), (2, 4), (4, 6), (6, 7), (7, 8), (8, 9), (9, 10), (10, 11), (11, 12), (12, 14), (14, 17), (17, 24), (24, 64)):
+            rows = np.flatnonzero((sizes >= low) & (sizes < high))
+            for at in range(0, len(rows), 20_000):
+                self._segment_rows([parts[i] for i in rows[at : at + 20_000]], rows[at : at + 20_000], keys, limit, out)
+        for i in np.flatnonzero(sizes >= 64).tolist():
+            ids = self.segment(parts[i], int(keys[i]), limit)
+            out[i] = struct.pack(f"<{len(ids)}I", *ids)
         return out
 
+    def _segment_rows(self, parts: list[str], rows: np.ndarray, keys: np.ndarray, limit: int, out: list[bytes]) -> None:
+        chars = np.array(parts)
+        width = chars.dtype.itemsize // 4
+        chars = chars.view(np.uint32).reshape(len(parts), width)
+        n = np.array([len(p) for p in parts])
+        place = np.arange(width)
+        sym = np.where(place[None, :] < n[:, None], self.symbol_of[chars], np.int32(-2))
+        start = np.broadcast_to(place.astype(np.int16), sym.shape).copy()
+        score = np.full(sym.shape, NONE, dtype=np.float32)
+        merged = np.full(sym.shape, -1, dtype=np.int32)
+        if width > 1:
+            m, s = self._pair(sym[:, :-1].reshape(-1), sym[:, 1:].reshape(-1))
+            merged[:, :-1], score[:, :-1] = m.reshape(len(parts), -1), s.reshape(len(parts), -1)
+        key = keys[rows]
+        left = np.arange(len(parts))
+        done = np.full_like(sym, -2)
+        while len(left):
+            line, i = np.arange(len(left)), score.argmax(1)
+            live = score[line, i] > NONE
+            if 2 * live.sum() < len(left):  # most rows are through: go on with the others only
+                done[left[~live]] = sym[~live]
+                left, sym, start, score, merged, key, n, i = (x[live] for x in (left, sym, start, score, merged, key, n, i))
+                line, live = np.arange(len(left)), np.ones(len(left), dtype=bool)
+            if limit:
+                begin, second = start[line, i], np.minimum(i + 2, width - 1)
+                after = np.where((i + 2 < width) & (sym[line, second] != -2), start[line, second], n)
+                mixed = (key ^ (begin.astype(U64) * U64(0x9E3779B97F4A7C15) + (after - begin).astype(U64) * U64(0xC2B2AE3D27D4EB4F))) * U64(0xBF58476D1CE4E5B9)
+                skip = (mixed >> U64(11)) < U64(limit)
+                score[line[skip], i[skip]] = NONE
+                live &= ~skip
+            go = np.flatnonzero(live)
+            g = i[go]
+            sym[go, g] = merged[go, g]
+            # Symbols shift from i + 1 on; pair i goes, so pairs shift from i on.
+            behind, at_pair = place[None, :-1] > g[:, None], place[None, :-1] >= g[:, None]
+            for x, empty, mask in ((sym, -2, behind), (start, 0, behind), (score, NONE, at_pair), (merged, -1, at_pair)):
+                old = x[go]
+                moved = np.empty_like(old)
+                moved[:, -1] = empty
+                moved[:, :-1] = np.where(mask, old[:, 1:], old[:, :-1])
+                x[go] = moved
+            for at in (g - 1, g):
+                ok = np.flatnonzero((at >= 0) & (at + 1 < width))
+                r, c = go[ok], at[ok]
+                m, s = self._pair(sym[r, c], sym[r, c + 1])
+                merged[r, c], score[r, c] = m, s
+        ids = np.where(done >= 0, self.piece_of[np.maximum(done, 0)], np.where(done == -1, -1, -2)).astype(np.int64)
+        plain = ((ids >= 0) | (ids == -2)).all(1)
+        counts = (ids != -2).sum(1)
+        packed = ids.astype("<u4")
+        for k, (row, c, ok) in enumerate(zip(rows.tolist(), counts.tolist(), plain.tolist())):
+            if ok:
+                out[row] = packed[k, :c].tobytes()
+            else:  # characters that are no piece: as bytes
+                got = self.segment(parts[k], int(keys[row]), limit)
+                out[row] = struct.pack(f"<{len(got)}I", *got)
+
     def decode(self, ids: list[int]) -> bytes:
         """The text's UTF-8 bytes: the leading mark goes."""
         return b"".join(map(self.bytes.__getitem__, ids))[1:]
 
 
-class SegmentCache(dict):
-    """Ids (little-endian uint32 bytes) of one variant of units; forgets all at `limit` units."""
+class SegmentCache:
+    """Ids of units and of their parts by variant, as little-endian uint32 bytes.
 
-    def __init__(self, model: PieceModel, seed: int, variant: int, rate: float, limit: int):
-        super().__init__()
-        self.model, self.name, self.cut, self.limit = model, f"{seed}|{variant}|", int(rate * 2**53), limit
+    Two generations: once the young one holds `limit` units or parts it becomes the old one, and what was old and not
+    asked for since is forgotten.
+    """
 
-    def __missing__(self, unit: str) -> bytes:
+    def __init__(self, model: PieceModel, seed: int, variants: int, rate: float, limit: int = 400_000):
+        self.model, self.cut, self.limit = model, int(rate * 2**53), limit
+        self.names = [f"{seed}|{v}|" for v in range(variants)]
+        self.units: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.parts: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.old_units, self.old_parts = self.units, self.parts
+
+    def _age(self) -> None:
+        if sum(map(len, self.units)) > self.limit:
+            self.old_units, self.units = self.units, [{} for _ in self.units]
+        if sum(map(len, self.parts)) > self.limit:
+            self.old_parts, self.parts = self.parts, [{} for _ in self.parts]
+
+    def encode(self, units: list[str], which: list[int]) -> list[bytes]:
+        """The ids of each unit in its variant; what is not remembered is segmented together."""
         from xxhash import xxh3_64_intdigest
 
-        if len(self) >= self.limit:
-            self.clear()
-        ids = self[unit] = np.array(self.model.segment(unit, xxh3_64_intdigest(self.name + unit), self.cut), dtype="<u4").tobytes()
-        return ids
+        self._age()
+        young = [d.get for d in self.units]
+        out = [young[v](u) for v, u in zip(which, units)]
+        new = [i for i, x in enumerate(out) if x is None]
+        if new:
+            split, cut = {}, []
+            want: list[dict[str, None]] = [{} for _ in self.parts]
+            for v, u in {(which[i], units[i]) for i in new}:
+                ids = self.old_units[v].get(u)
+                if ids is not None:
+                    self.units[v][u] = ids
+                    continue
+                pieces = split.get(u)
+                if pieces is None:
+                    pieces = split[u] = self.model.parts(u)
+                cut.append((v, u, pieces))
+                known, old, new_parts = self.parts[v], self.old_parts[v], want[v]
+                for p in pieces:
+                    if p not in known:
+                        if p in old:
+                            known[p] = old[p]
+                        else:
+                            new_parts[p] = None
+            flat = [p for parts in want for p in parts]
+            keys = np.array([xxh3_64_intdigest(name + p) for name, parts in zip(self.names, want) for p in parts], dtype=U64)
+            ids = iter(self.model.segment_many(flat, keys, self.cut))
+            for known, parts in zip(self.parts, want):
+                known.update(zip(parts, ids))
+            for v, u, pieces in cut:
+                known = self.parts[v]
+                self.units[v][u] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
+            for i in new:
+                out[i] = self.units[which[i]][units[i]]
+        return out
+
+
+@lru_cache(maxsize=1)
+def segment_cache(path: str, seed: int, variants: int, rate: float) -> SegmentCache:
+    """One for each Python worker, which goes on to the next task with it."""
+    return SegmentCache(PieceModel(path), seed, variants, rate)
 
 
 def encode_texts(docs: DataFrame, path: str, seed: int, rate: float = 0.1, variants: int = 4) -> DataFrame:
@@ -120,19 +279,28 @@ def encode_texts(docs: DataFrame, path: str, seed: int, rate: float = 0.1, varia
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        model = PieceModel(path)
         n = variants if rate else 1
-        caches = [SegmentCache(model, seed, v, rate, 800_000 // n) for v in range(n)]
+        cache = segment_cache(path, seed, n, rate)
+        model = cache.model
         for batch in batches:
             at = {c.lower(): i for i, c in enumerate(batch.schema.names)}
-            ids, same = [], []
-            for doc, text in zip(batch.column(at["doc_id"]).to_pylist(), batch.column(at["text"]).to_pylist()):
-                units = model.units(text or "")
-                start = U64(((int(doc or 0) * 0xD6E8FEB86659FD93) ^ (seed * 0xA0761D6478BD642F)) & _MASK)
-                which = (mix64(start + np.arange(len(units), dtype=U64)) % U64(n)).tolist()
-                data = b"".join([caches[v][u] for u, v in zip(units, which)])
-                ids.append(data)
-                same.append(model.decode(np.frombuffer(data, dtype="<u4").tolist()) == (text or "").encode())
+            docs_, texts = batch.column(at["doc_id"]).to_pylist(), batch.column(at["text"]).to_pylist()
+            ids, same, start = [], [], 0
+            while start < len(texts):
+                stop, units, which, counts = start, [], [], []
+                while stop < len(texts) and len(units) < 200_000:  # units taken together
+                    own = model.units(texts[stop] or "")
+                    begin = U64(((int(docs_[stop] or 0) * 0xD6E8FEB86659FD93) ^ (seed * 0xA0761D6478BD642F)) & _MASK)
+                    which += (mix64(begin + np.arange(len(own), dtype=U64)) % U64(n)).tolist()
+                    units += own
+                    counts.append(len(own))
+                    stop += 1
+                got, at_ = cache.encode(units, which), 0
+                for text, k in zip(texts[start:stop], counts):
+                    ids.append(b"".join(got[at_ : at_ + k]))
+                    at_ += k
+                    same.append(model.decode(np.frombuffer(ids[-1], dtype="<u4").tolist()) == (text or "").encode())
+                start = stop
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary()), pa.array(same)], names=[*batch.schema.names, "ids", "lossless"])
 
     return docs.mapInArrow(run, schema)
