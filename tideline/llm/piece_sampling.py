@@ -2,12 +2,13 @@
 
 Segmentation of a merge-type model: the characters of a text are merged pairwise, best score first and leftmost among
 equals, as long as a pair makes a piece. With dropout each candidate merge that comes up is skipped if a hash keyed by
-seed, unit, variant and span falls below the rate, so one text has many segmentations, each reproducible. Characters
-that are no piece are written as bytes, as is a literal U+2581, so decoding gives back every text.
+seed, doc_id, the unit's number in the text and span falls below the rate, so every occurrence of a word is drawn for
+itself, and reproducibly. Characters that are no piece are written as bytes, as is a literal U+2581, so decoding gives
+back every text.
 
-Texts are taken apart into units no piece can cross: white space and what follows it, and line ends. A unit has `variants`
-segmentations; which one it gets is a keyed hash of doc_id and its number in the text. Units are remembered,
-and so are their parts: a unit loses its last character, mostly a mark, if no piece holds it behind the one before.
+Texts are taken apart into units no piece can cross: white space and what follows it, and line ends; a unit loses its last
+character, mostly a mark, if no piece holds it behind the one before. What is remembered depends on no draw: for a part
+and the candidates skipped in it, which merges come up from there and the ids if none of them is skipped.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ from .context_tree import KeyTable
 UNITS = re.compile(" +[^ \n▁]*|[^ \n▁]+|\n|▁")
 _MASK = 2**64 - 1
 NONE = float("-inf")
+#: Parts shorter than this are remembered; a span is begin << 6 | length in them.
+LONG = 64
+#: What a span adds to the key of a unit, by span.
+SPANS = np.arange(LONG * LONG, dtype=U64) // U64(LONG) * U64(0x9E3779B97F4A7C15) + np.arange(LONG * LONG, dtype=U64) % U64(LONG) * U64(0xC2B2AE3D27D4EB4F)
 LITERAL = "\ue000▁"  # stands for a U+2581 of the text, which is written as bytes; no text part is cut like this
 
 
@@ -65,9 +70,11 @@ class PieceModel:
             return [unit[:-1], unit[-1]]
         return [unit]
 
-    def segment(self, part: str, key: int, limit: int) -> list[int]:
+    def segment(self, part: str, key: int, limit: int, skips: tuple | list = (), taken: list[int] | None = None) -> list[int]:
         """Ids of a part. key, limit: a candidate merge is skipped if its hash under key is below limit (0: never).
 
+        skips: spans that are skipped as well. taken: gets the spans merged after the last skip.
+
         The agenda is a list of the scores of neighbouring pairs, None where they make no piece or were skipped; parts are
         a few characters long, so the best is found by looking at all.
         """
@@ -85,9 +92,13 @@ class PieceModel:
                 break
             i = agenda.index(best)
             whole = bits[i] + bits[i + 1]
-            if limit and ((((key ^ (at[i] * 0x9E3779B97F4A7C15 + len(whole) * 0xC2B2AE3D27D4EB4F)) * 0xBF58476D1CE4E5B9) & _MASK) >> 11) < limit:
+            if limit and ((((key ^ (at[i] * 0x9E3779B97F4A7C15 + len(whole) * 0xC2B2AE3D27D4EB4F)) * 0xBF58476D1CE4E5B9) & _MASK) >> 11) < limit or skips and at[i] << 6 | len(whole) in skips:
                 agenda[i] = NONE
+                if taken is not None:
+                    taken.clear()
                 continue
+            if taken is not None:
+                taken.append(at[i] << 6 | len(whole))
             bits[i] = whole
             del bits[i + 1], at[i + 1], agenda[i]
             if i < len(agenda):
@@ -127,18 +138,34 @@ class PieceModel:
 
     def segment_many(self, parts: list[str], keys: np.ndarray, limit: int) -> list[bytes]:
         """segment() of many parts at once, a step of every agenda at a time; ids as little-endian uint32."""
+        return self._together(parts, keys, limit, None, None)
+
+    def follow(self, parts: list[str], skips: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Of parts shorter than LONG, if the spans in a row of skips (0: none) are skipped and no others: ids, the number of merges after the last skip, and their spans one part after the other."""
+        taken = np.zeros((len(parts), LONG + 1), dtype=np.uint16)  # the count, then spans
+        out = self._together(parts, np.zeros(len(parts), dtype=U64), 0, skips, taken)
+        return out, taken[:, 0].astype(np.int64), taken[:, 1:][np.arange(LONG) < taken[:, :1]]
+
+    def _together(self, parts: list[str], keys: np.ndarray, limit: int, skips: np.ndarray | None, taken: np.ndarray | None) -> list[bytes]:
         out: list[bytes] = [b""] * len(parts)
         sizes = np.array([len(p) for p in parts])
-        for low, high in ((1, 2), (2, 4), (4, 6), (6, 7), (7, 8), (8, 9), (9, 10), (10, 11), (11, 12), (12, 14), (14, 17), (17, 24), (24, 64)):
+        for low, high in ((1, 2), (2, 4), (4, 6), (6, 7), (7, 8), (8, 9), (9, 10), (10, 11), (11, 12), (12, 14), (14, 17), (17, 24), (24, LONG)):
             rows = np.flatnonzero((sizes >= low) & (sizes < high))
+            if skips is not None and len(rows) < 150:  # not worth the arrays
+                for i in rows.tolist():
+                    spans: list[int] = []
+                    ids = self.segment(parts[i], 0, 0, skips[i].tolist(), spans)
+                    out[i] = struct.pack(f"<{len(ids)}I", *ids)
+                    taken[i, : len(spans) + 1] = [len(spans), *spans]
+                continue
             for at in range(0, len(rows), 20_000):
-                self._segment_rows([parts[i] for i in rows[at : at + 20_000]], rows[at : at + 20_000], keys, limit, out)
-        for i in np.flatnonzero(sizes >= 64).tolist():
+                self._segment_rows([parts[i] for i in rows[at : at + 20_000]], rows[at : at + 20_000], keys, limit, out, skips, taken)
+        for i in np.flatnonzero(sizes >= LONG).tolist():
             ids = self.segment(parts[i], int(keys[i]), limit)
             out[i] = struct.pack(f"<{len(ids)}I", *ids)
         return out
 
-    def _segment_rows(self, parts: list[str], rows: np.ndarray, keys: np.ndarray, limit: int, out: list[bytes]) -> None:
+    def _segment_rows(self, parts: list[str], rows: np.ndarray, keys: np.ndarray, limit: int, out: list[bytes], skips: np.ndarray | None, taken: np.ndarray | None) -> None:
         chars = np.array(parts)
         width = chars.dtype.itemsize // 4
         chars = chars.view(np.uint32).reshape(len(parts), width)
@@ -151,7 +178,7 @@ class PieceModel:
         if width > 1:
             m, s = self._pair(sym[:, :-1].reshape(-1), sym[:, 1:].reshape(-1))
             merged[:, :-1], score[:, :-1] = m.reshape(len(parts), -1), s.reshape(len(parts), -1)
-        key = keys[rows]
+        key = keys[rows] if skips is None else skips[rows]
         left = np.arange(len(parts))
         done = np.full_like(sym, -2)
         while len(left):
@@ -161,9 +188,19 @@ class PieceModel:
                 done[left[~live]] = sym[~live]
                 left, sym, start, score, merged, key, n, i = (x[live] for x in (left, sym, start, score, merged, key, n, i))
                 line, live = np.arange(len(left)), np.ones(len(left), dtype=bool)
-            if limit:
+            if limit or skips is not None:
                 begin, second = start[line, i], np.minimum(i + 2, width - 1)
                 after = np.where((i + 2 < width) & (sym[line, second] != -2), start[line, second], n)
+            if skips is not None:
+                span = (begin << 6 | after - begin).astype(np.uint16)
+                skip = (key == span[:, None]).any(1) & live
+                score[line[skip], i[skip]] = NONE
+                live &= ~skip
+                taken[rows[left[skip]], 0] = 0
+                to = rows[left[live]]
+                taken[to, 0] += 1
+                taken[to, taken[to, 0]] = span[live]
+            elif limit:
                 mixed = (key ^ (begin.astype(U64) * U64(0x9E3779B97F4A7C15) + (after - begin).astype(U64) * U64(0xC2B2AE3D27D4EB4F))) * U64(0xBF58476D1CE4E5B9)
                 skip = (mixed >> U64(11)) < U64(limit)
                 score[line[skip], i[skip]] = NONE
@@ -192,7 +229,7 @@ class PieceModel:
             if ok:
                 out[row] = packed[k, :c].tobytes()
             else:  # characters that are no piece: as bytes
-                got = self.segment(parts[k], int(keys[row]), limit)
+                got = self.segment(parts[k], int(keys[row]), limit, () if skips is None else skips[row].tolist())
                 out[row] = struct.pack(f"<{len(got)}I", *got)
 
     def decode(self, ids: list[int]) -> bytes:
@@ -200,73 +237,128 @@ class PieceModel:
         return b"".join(map(self.bytes.__getitem__, ids))[1:]
 
 
-class SegmentCache:
-    """Ids of units and of their parts by variant, as little-endian uint32 bytes.
+class Column:
+    """An array that rows are added to."""
+
+    def __init__(self, dtype: type, *first: int):
+        self.data, self.n = np.zeros(1024, dtype=dtype), 0
+        self.add(np.array(first, dtype=dtype))
 
-    Two generations: once the young one holds `limit` units or parts it becomes the old one, and what was old and not
-    asked for since is forgotten.
+    def add(self, rows: np.ndarray) -> None:
+        end = self.n + len(rows)
+        if end > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros(max(end, len(self.data)), dtype=self.data.dtype)])
+        self.data[self.n : end] = rows
+        self.n = end
+
+
+class SegmentTree:
+    """What becomes of parts, whatever is drawn: a node for a part and the candidates skipped in it so far.
+
+    A node has the ids it comes to if no more is skipped, and an edge for each merge on the way there, to the node where
+    that one is skipped. Nodes are made when first asked for; once there are `limit` nodes, or eight times as many ids,
+    all is forgotten.
     """
 
-    def __init__(self, model: PieceModel, seed: int, variants: int, rate: float, limit: int = 400_000):
-        self.model, self.cut, self.limit = model, int(rate * 2**53), limit
-        self.names = [f"{seed}|{v}|" for v in range(variants)]
-        self.units: list[dict[str, bytes]] = [{} for _ in range(variants)]
-        self.parts: list[dict[str, bytes]] = [{} for _ in range(variants)]
-        self.old_units, self.old_parts = self.units, self.parts
-
-    def _age(self) -> None:
-        if sum(map(len, self.units)) > self.limit:
-            self.old_units, self.units = self.units, [{} for _ in self.units]
-        if sum(map(len, self.parts)) > self.limit:
-            self.old_parts, self.parts = self.parts, [{} for _ in self.parts]
-
-    def encode(self, units: list[str], which: list[int]) -> list[bytes]:
-        """The ids of each unit in its variant; what is not remembered is segmented together."""
-        from xxhash import xxh3_64_intdigest
-
-        self._age()
-        young = [d.get for d in self.units]
-        out = [young[v](u) for v, u in zip(which, units)]
-        new = [i for i, x in enumerate(out) if x is None]
+    def __init__(self, model: PieceModel, limit: int = 1_200_000):
+        self.model, self.limit = model, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.units: dict[str, int] = {}  # node of the last character cut off << 32 | node of the rest
+        self.roots: dict[str, int] = {}
+        self.text: dict[int, str] = {}
+        self.long: dict[int, str] = {}
+        # Node 0 has no ids. By node: where its ids and edges end, and the parent, root and span it was skipped at.
+        self.ids, self.ids_end, self.edges_end = Column(np.uint32), Column(np.int64, 0, 0), Column(np.int64, 0, 0)
+        self.parent, self.root, self.skipped = Column(np.int32, -1), Column(np.int32, 0), Column(np.uint16, 0)
+        self.span, self.child = Column(np.uint16), Column(np.int32)
+
+    def _add(self, ids: list[bytes], edges: np.ndarray, spans: np.ndarray, parent: np.ndarray, root: np.ndarray | None, skipped: np.ndarray) -> np.ndarray:
+        """New nodes; root: None if they are roots themselves."""
+        new = np.arange(self.parent.n, self.parent.n + len(ids))
+        self.ids_end.add(self.ids.n + np.cumsum([len(x) // 4 for x in ids], dtype=np.int64))
+        self.ids.add(np.frombuffer(b"".join(ids), dtype="<u4"))
+        self.edges_end.add(self.span.n + np.cumsum(edges))
+        self.span.add(spans)
+        self.child.add(np.full(len(spans), -1, dtype=np.int32))
+        for column, rows in ((self.parent, parent), (self.root, new if root is None else root), (self.skipped, skipped)):
+            column.add(rows)
+        return new
+
+    def _add_parts(self, parts: list[str]) -> None:
+        for some, follow in (([p for p in parts if len(p) < LONG], True), ([p for p in parts if len(p) >= LONG], False)):
+            if not some:
+                continue
+            none = np.zeros(len(some), dtype=np.int64)
+            if follow:
+                ids, edges, spans = self.model.follow(some, np.zeros((len(some), 1), dtype=np.uint16))
+            else:
+                ids, edges, spans = self.model.segment_many(some, none.astype(U64), 0), none, np.zeros(0, dtype=np.uint16)
+            new = self._add(ids, edges, spans, none - 1, None, none).tolist()
+            self.roots.update(zip(some, new))
+            (self.text if follow else self.long).update(zip(new, some))
+
+    def _add_children(self, parents: np.ndarray, edges: np.ndarray) -> None:
+        columns, at = [self.span.data[edges]], parents
+        while (self.parent.data[at] >= 0).any():
+            columns.append(self.skipped.data[at])  # 0 for roots
+            at = np.where(self.parent.data[at] >= 0, self.parent.data[at], at)
+        root = self.root.data[parents]
+        ids, counts, spans = self.model.follow([self.text[r] for r in root.tolist()], np.stack(columns, 1))
+        self.child.data[edges] = self._add(ids, counts, spans, parents, root, self.span.data[edges])
+
+    def _nodes(self, units: list[str]) -> np.ndarray:
+        found = list(map(self.units.get, units))
+        new = {u: self.model.parts(u) for u in {u for u, x in zip(units, found) if x is None}}
         if new:
-            split, cut = {}, []
-            want: list[dict[str, None]] = [{} for _ in self.parts]
-            for v, u in {(which[i], units[i]) for i in new}:
-                ids = self.old_units[v].get(u)
-                if ids is not None:
-                    self.units[v][u] = ids
-                    continue
-                pieces = split.get(u)
-                if pieces is None:
-                    pieces = split[u] = self.model.parts(u)
-                cut.append((v, u, pieces))
-                known, old, new_parts = self.parts[v], self.old_parts[v], want[v]
-                for p in pieces:
-                    if p not in known:
-                        if p in old:
-                            known[p] = old[p]
-                        else:
-                            new_parts[p] = None
-            flat = [p for parts in want for p in parts]
-            keys = np.array([xxh3_64_intdigest(name + p) for name, parts in zip(self.names, want) for p in parts], dtype=U64)
-            ids = iter(self.model.segment_many(flat, keys, self.cut))
-            for known, parts in zip(self.parts, want):
-                known.update(zip(parts, ids))
-            for v, u, pieces in cut:
-                known = self.parts[v]
-                self.units[v][u] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
-            for i in new:
-                out[i] = self.units[which[i]][units[i]]
-        return out
+            self._add_parts([p for p in {p for parts in new.values() for p in parts} if p not in self.roots])
+            for u, parts in new.items():
+                self.units[u] = self.roots[parts[0]] | (self.roots[parts[1]] << 32 if len(parts) > 1 else 0)
+            found = list(map(self.units.__getitem__, units))
+        return np.array(found, dtype=np.int64)
+
+    def encode(self, units: list[str], keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units, one after the other, and how many each has. A candidate merge of a unit is skipped if its hash under the unit's key is below limit."""
+        if self.parent.n > self.limit or self.ids.n > 8 * self.limit:
+            self._clear()
+        both = self._nodes(units)
+        node, tail = both & 0xFFFFFFFF, both >> 32
+        left = np.arange(len(units)) if limit else np.zeros(0, dtype=np.int64)
+        if self.long and limit:
+            rows = np.flatnonzero(np.isin(node, list(self.long)))
+            own = [np.array(self.model.segment(self.long[r], k, limit), dtype="<u4").tobytes() for r, k in zip(node[rows].tolist(), keys[rows].tolist())]
+            none = np.zeros(len(rows), dtype=np.int64)
+            node[rows] = self._add(own, none, np.zeros(0, dtype=np.uint16), none - 1, None, none)
+        while len(left):
+            at = node[left]
+            begin = self.edges_end.data[at]
+            count = self.edges_end.data[at + 1] - begin
+            which = np.repeat(np.arange(len(left)), count)
+            edge = np.arange(len(which)) + np.repeat(begin - np.cumsum(count) + count, count)
+            mixed = (keys[left][which] ^ SPANS[self.span.data[edge]]) * U64(0xBF58476D1CE4E5B9)
+            hit = np.flatnonzero((mixed >> U64(11)) < U64(limit))
+            which, edge = which[hit], edge[hit]
+            first = np.flatnonzero(np.diff(which, prepend=-1))
+            which, edge = which[first], edge[first]
+            new, one = np.unique(edge[self.child.data[edge] < 0], return_index=True)
+            if len(new):
+                self._add_children(at[which[self.child.data[edge] < 0][one]], new)
+            left = left[which]
+            node[left] = self.child.data[edge]
+        pairs = np.stack([node, tail], 1).reshape(-1)
+        begin = self.ids_end.data[pairs]
+        count = self.ids_end.data[pairs + 1] - begin
+        return self.ids.data[np.arange(count.sum()) + np.repeat(begin - np.cumsum(count) + count, count)], count.reshape(-1, 2).sum(1)
 
 
 @lru_cache(maxsize=1)
-def segment_cache(path: str, seed: int, variants: int, rate: float) -> SegmentCache:
+def segment_tree(path: str) -> SegmentTree:
     """One for each Python worker, which goes on to the next task with it."""
-    return SegmentCache(PieceModel(path), seed, variants, rate)
+    return SegmentTree(PieceModel(path))
 
 
-def encode_texts(docs: DataFrame, path: str, seed: int, rate: float = 0.1, variants: int = 4) -> DataFrame:
+def encode_texts(docs: DataFrame, path: str, seed: int, rate: float = 0.1) -> DataFrame:
     """docs with `ids`, the piece ids of each text as little-endian uint32, and `lossless`, whether decoding them gave the text back.
 
     rate 0 gives the library's own segmentation. Null and empty texts have no ids; a null doc_id hashes as 0; repeated
@@ -279,27 +371,26 @@ def encode_texts(docs: DataFrame, path: str, seed: int, rate: float = 0.1, varia
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        n = variants if rate else 1
-        cache = segment_cache(path, seed, n, rate)
-        model = cache.model
+        tree, limit = segment_tree(path), int(rate * 2**53)
+        model = tree.model
         for batch in batches:
             at = {c.lower(): i for i, c in enumerate(batch.schema.names)}
             docs_, texts = batch.column(at["doc_id"]).to_pylist(), batch.column(at["text"]).to_pylist()
             ids, same, start = [], [], 0
             while start < len(texts):
-                stop, units, which, counts = start, [], [], []
+                stop, units, keys, counts = start, [], [], []
                 while stop < len(texts) and len(units) < 200_000:  # units taken together
                     own = model.units(texts[stop] or "")
                     begin = U64(((int(docs_[stop] or 0) * 0xD6E8FEB86659FD93) ^ (seed * 0xA0761D6478BD642F)) & _MASK)
-                    which += (mix64(begin + np.arange(len(own), dtype=U64)) % U64(n)).tolist()
+                    keys.append(begin + np.arange(len(own), dtype=U64))
                     units += own
                     counts.append(len(own))
                     stop += 1
-                got, at_ = cache.encode(units, which), 0
-                for text, k in zip(texts[start:stop], counts):
-                    ids.append(b"".join(got[at_ : at_ + k]))
-                    at_ += k
-                    same.append(model.decode(np.frombuffer(ids[-1], dtype="<u4").tolist()) == (text or "").encode())
+                got, sizes = tree.encode(units, mix64(np.concatenate(keys)), limit)
+                bounds = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *counts])].tolist()
+                for text, a, b in zip(texts[start:stop], bounds, bounds[1:]):
+                    ids.append(got[a:b].tobytes())
+                    same.append(model.decode(got[a:b].tolist()) == (text or "").encode())
                 start = stop
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary()), pa.array(same)], names=[*batch.schema.names, "ids", "lossless"])
 
