@@ -130,12 +130,12 @@ def volume_gini(bars: DataFrame) -> DataFrame:
 
 def corporate_features(daily: DataFrame, actions: DataFrame, near: int = 5) -> DataFrame:
     """Symbol-days with days_since_reverse_split, splits_12m and action_nearby; actions (symbol, date, split_from, split_to)."""
-    a = actions.withColumn("__rev", F.col("split_from") > F.col("split_to"))
-    joined = daily.select("symbol", "date").join(a.withColumnRenamed("date", "__d"), "symbol", "left")
-    back = F.datediff("date", "__d")
-    return joined.groupBy("symbol", "date").agg(
-        F.min(F.when(F.col("__rev") & (back >= 0), back)).alias("days_since_reverse_split"), F.count_if((back >= 0) & (back <= 365)).alias("splits_12m"), F.coalesce(F.max(F.abs(back) <= near), F.lit(False)).alias("action_nearby")
-    )
+    days = daily.select("symbol", "date", F.lit(True).alias("__day"), F.lit(0).cast("long").alias("__n"), F.lit(None).cast("date").alias("__rev"))
+    acts = actions.where("symbol is not null and date is not null").select(F.col("symbol").cast(daily.schema["symbol"].dataType), F.col("date").cast("date"), F.lit(False).alias("__day"), F.lit(1).cast("long").alias("__n"), F.when(F.col("split_from") > F.col("split_to"), F.col("date").cast("date")).alias("__rev"))
+    rows = days.unionByName(acts).groupBy("symbol", "date").agg(F.max("__day").alias("__day"), F.sum("__n").alias("__n"), F.max("__rev").alias("__rev"))
+    w = Window.partitionBy("symbol").orderBy(F.unix_date("date"))
+    out = rows.withColumn("__last", F.max("__rev").over(w.rangeBetween(Window.unboundedPreceding, 0))).withColumn("splits_12m", F.sum("__n").over(w.rangeBetween(-365, 0))).withColumn("__near", F.sum("__n").over(w.rangeBetween(-near, near)))
+    return out.where("__day").select("symbol", "date", F.datediff("date", "__last").alias("days_since_reverse_split"), "splits_12m", (F.col("__near") > 0).alias("action_nearby"))
 
 
 def news_features(days: DataFrame, news: DataFrame, keywords: dict[str, str]) -> DataFrame:
@@ -223,9 +223,12 @@ def filled_forward(bars: DataFrame, seconds: int = 900, most: int = 300) -> Data
 
 def split_adjusted(daily: DataFrame, splits: DataFrame) -> DataFrame:
     """daily with factor (product of split_from / split_to of later splits), adj_close and is_reverse_day."""
-    later = splits.select("symbol", F.col("date").alias("__d"), F.ln(F.col("split_from") / F.col("split_to")).alias("__f"), (F.col("split_from") > F.col("split_to")).alias("__r"))
-    f = daily.select("symbol", "date").join(later, "symbol").groupBy("symbol", "date").agg(F.exp(F.sum(F.when(F.col("__d") > F.col("date"), F.col("__f")).otherwise(0.0))).alias("factor"), F.max((F.col("__d") == F.col("date")) & F.col("__r")).alias("is_reverse_day"))
-    out = daily.join(f, ["symbol", "date"], "left").withColumn("factor", F.coalesce("factor", F.lit(1.0))).withColumn("is_reverse_day", F.coalesce("is_reverse_day", F.lit(False)))
+    per = splits.where("symbol is not null and date is not null").groupBy(F.col("symbol").cast(daily.schema["symbol"].dataType).alias("symbol"), F.col("date").cast("date").alias("date"))
+    per = per.agg(F.sum(F.ln(F.col("split_from") / F.col("split_to"))).alias("__f"), F.max(F.col("split_from") > F.col("split_to")).alias("__r"))
+    rows = daily.withColumn("__day", F.lit(True)).unionByName(per, allowMissingColumns=True)
+    back = Window.partitionBy("symbol").orderBy(-F.unix_date("date"))  # from the end: what runs up to a day are the later splits
+    later, same = F.sum("__f").over(back.rangeBetween(Window.unboundedPreceding, -1)), F.max("__r").over(back.rangeBetween(0, 0))
+    out = rows.withColumn("factor", F.exp(F.coalesce(later, F.lit(0.0)))).withColumn("is_reverse_day", F.coalesce(same, F.lit(False))).where("__day").drop("__day", "__f", "__r")
     return out.withColumn("adj_close", F.col("close") * F.col("factor"))
 
 
