@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from tideline.llm import piece_sampling
+from tideline.llm import minhash_dedup, piece_sampling
 from tideline.llm.queries import tokenizer_path
 
 
@@ -39,3 +39,11 @@ def test_every_occurrence_is_drawn(spark):
         plain += words.count(tuple(unit))
     assert len(seen) > 50  # four variants gave four at most
     assert abs(plain / 2000 - share) < 0.05
+
+
+def test_a_document_of_several_texts_links_them(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    c = " ".join(f"c{i}" for i in range(40))
+    rows = [(5, a), (5, b), (3, a), (4, b), (6, c), (7, b), (8, c), (8, a)]
+    out = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=4).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in out) == sorted((d, 3, d == 3) for d, _ in rows)

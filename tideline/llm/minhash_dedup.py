@@ -213,7 +213,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     pairs = pairs.select(F.col("doc_id").alias("a"), F.col("main_hub.doc_id").alias("b")).distinct()
     links = saved(links.unionByName(verified(pairs, sets, percent)), "links")
     members = _labelled(members.drop("component"), links)
-    links = saved(links.unionByName(_blocks(members, saved(_unresolved(members), "open"), sets, percent)), "links")
+    links = links.unionByName(_blocks(members, saved(_unresolved(members), "open"), sets, percent))
+    # A doc_id of several texts links their classes.
+    several = rows.groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("lo"), F.max(F.struct("d1", "d2")).alias("hi")).where("lo <> hi").select("doc_id")
+    same = rows.select("doc_id", "d1", "d2").join(several, "doc_id").join(classes, ["d1", "d2"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
+    links = saved(links.unionByName(same), "links")
 
     found = connected_components(links).select(F.col("node").alias("rep"), "component")
     of_class = classes.join(found, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("c"))
