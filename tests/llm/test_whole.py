@@ -4,7 +4,10 @@ import random
 
 import numpy as np
 
-from tideline.llm import minhash_dedup, piece_sampling
+from pyspark.sql import DataFrame
+
+from tideline.llm import lm_scoring, minhash_dedup, piece_sampling, substring_dedup
+from tideline.llm.common import WordHashes
 from tideline.llm.queries import tokenizer_path
 
 
@@ -47,3 +50,29 @@ def test_a_document_of_several_texts_links_them(spark):
     rows = [(5, a), (5, b), (3, a), (4, b), (6, c), (7, b), (8, c), (8, a)]
     out = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=4).collect()
     assert sorted((r.doc_id, r.component_id, r.kept) for r in out) == sorted((d, 3, d == 3) for d, _ in rows)
+
+
+def test_rows_without_an_id_are_not_one_group(spark):
+    shared = " ".join(f"s{i}" for i in range(60))
+    texts = [" ".join(f"w{i}x{k}" for k in range(40)) + " " + shared for i in range(30)]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    scan = substring_dedup.scanned(docs, 35, 16, 200).collect()
+    # Of the other texts' anchors only those that the text itself holds.
+    words = {r.mark: substring_dedup.anchors(WordHashes().of(r.text.encode().split()), 35, 16)[0] for r in scan if r.text}
+    assert len(words) == 30 and all({*r.anchors} <= {*words[r.mark].tolist()} for r in scan)
+    assert all(len(r.anchors) == len({*r.anchors}) for r in scan)
+    several = substring_dedup.scanned(docs.unionByName(docs), 35, 16, 200).collect()
+    assert len(several) == 60 and all(len(r.anchors) == len({*r.anchors}) for r in several)
+    assert [r.n_removed for r in substring_dedup.count_removed(docs).collect()] == [60] * 30
+
+
+def test_scores_spread_rows_without_an_id(spark, monkeypatch):
+    texts = [f"text number {i} of many" for i in range(200)]
+    blocks: list[DataFrame] = []
+    frame = type(spark.range(0))
+    whole = frame.groupBy
+    monkeypatch.setattr(frame, "groupBy", lambda self, *cols: blocks.append(self) or whole(self, *cols))
+    monkeypatch.setattr(lm_scoring, "MIN_BLOCKS", 8)
+    out = lm_scoring.score_documents(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string"), depth=3)
+    assert next(x for x in blocks if "block" in x.columns).select("block").distinct().count() == 8
+    assert out.count() == 200

@@ -91,7 +91,7 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, shards = max(MIN_BLOCKS, -(-total // BLOCK_BYTES)), max(MIN_SHARDS, -(-total // SHARD_BYTES))
-    rows = rows.withColumn("train", _train(F.col("doc_id"))).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
+    rows = rows.withColumn("train", _train(F.col("doc_id"))).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
 
     def read(table) -> tuple[list[bytes], np.ndarray]:
         import pyarrow as pa

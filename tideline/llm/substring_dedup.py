@@ -46,16 +46,16 @@ def anchors(words: np.ndarray, depth: int, gram: int) -> tuple[np.ndarray, np.nd
 
 
 def anchor_counts(docs: DataFrame, depth: int, gram: int) -> DataFrame:
-    """(anchor, doc, places): the anchors of each document and at how many places each stands there."""
+    """(anchor, doc, mark, places): the anchors of each document (doc, mark, text) and at how many places each stands there."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         words = WordHashes()
         for batch in batches:
-            ids, out, counts = batch.column(0).to_numpy(zero_copy_only=False), [], []
+            keys, out, counts = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(2)], [], []
             sizes = []
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
+            for text in batch.column(2).cast(pa.binary()).to_pylist():
                 w = (text or b"").split()
                 if len(w) < depth:
                     sizes.append(0)
@@ -68,9 +68,9 @@ def anchor_counts(docs: DataFrame, depth: int, gram: int) -> DataFrame:
                 sizes.append(len(found))
             flat = np.concatenate(out) if out else np.empty(0, dtype=np.int64)
             n = np.concatenate(counts) if counts else np.empty(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(ids, sizes)), pa.array(n.astype(np.int32))], names=["anchor", "doc", "places"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat), *[pa.array(np.repeat(k, sizes)) for k in keys], pa.array(n.astype(np.int32))], names=["anchor", "doc", "mark", "places"])
 
-    return docs.mapInArrow(run, "anchor long, doc long, places int")
+    return docs.mapInArrow(run, "anchor long, doc long, mark long, places int")
 
 
 def segment_refs(docs: DataFrame, depth: int, gram: int) -> DataFrame:
@@ -168,10 +168,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def scanned(docs: DataFrame, depth: int, gram: int, hot: int) -> DataFrame:
     """All documents, saved: doc, mark, n_words, and either whole_sha256 (nothing can repeat) or text, anchors, hot."""
     keyed = _keyed(docs)
-    found = saved(anchor_counts(keyed.select("doc", "text"), depth, gram), "anchors")
+    found = saved(anchor_counts(keyed.select("doc", "mark", "text"), depth, gram), "anchors")
     counts = found.groupBy("anchor").agg(F.sum("places").alias("n")).where("n > 1")
-    lists = found.join(counts, "anchor").groupBy("doc").agg(F.collect_list("anchor").alias("anchors"), F.collect_list(F.when(F.col("n") > hot, F.col("anchor"))).alias("hot"))
-    joined = keyed.join(lists.withColumnRenamed("doc", "__doc").hint("shuffle_hash"), F.col("doc") == F.col("__doc"), "left").drop("__doc")
+    lists = found.join(counts, "anchor").groupBy("doc", "mark").agg(F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("n") > hot, F.col("anchor"))).alias("hot"))
+    joined = keyed.join(lists.withColumnsRenamed({"doc": "__doc", "mark": "__mark"}).hint("shuffle_hash"), (F.col("doc") == F.col("__doc")) & (F.col("mark") == F.col("__mark")), "left").drop("__doc", "__mark")
 
     def run(batches: Iterator) -> Iterator:
         import hashlib
