@@ -5,6 +5,7 @@ from fractions import Fraction
 from itertools import combinations, product
 
 import numpy as np
+import pytest
 
 from tideline.llm import cover_tree, embedding_dedup
 from tideline.llm.components import connected_components, union_find
@@ -103,23 +104,79 @@ def test_components_of_a_chain_and_a_star(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_cover_tree():
+def shapes(n, dims=32):
+    """Unit vectors that lie scattered, dense, closer than the threshold, in clusters of several widths, and with copies."""
     rng = np.random.default_rng(4)
-    centres = cover_tree.unit(rng.standard_normal((4, 16)))
-    points = cover_tree.unit(np.concatenate([centres[rng.integers(0, 4, 300)] + 0.03 * rng.standard_normal((300, 16)), rng.standard_normal((100, 16)), np.tile(centres[0], (40, 1))]))
-    one, two = cover_tree.CoverTree.build(points[:250]), cover_tree.CoverTree.build(points[250:])
-    for tree in (one, two):
-        for (s, e, c, *_), r in zip(tree.nodes.tolist(), tree.radii.tolist()):
-            assert np.sqrt(((tree.points[s:e] - tree.points[c]) ** 2).sum(1)).max() <= r + 1e-12
-    near = one.points @ two.points.T >= 0.98
-    a, b, links = cover_tree.threshold_pairs(one, two, 0.98, False)
-    assert a.tolist() == near.sum(1).tolist() and b.tolist() == near.sum(0).tolist() and all(near[i, j] for i, j in links)
+    centre, several = rng.standard_normal((1, dims)), cover_tree.unit(rng.standard_normal((n // 20, dims)))
+    noise = rng.standard_normal((n, dims))
+    clusters = several[rng.integers(0, len(several), n)] + rng.choice([0.005, 0.02, 0.06], n)[:, None] * noise
+    copies = several[rng.integers(0, len(several), n)]
+    return {k: cover_tree.unit(v) for k, v in {"scattered": noise, "dense": centre + 0.12 * noise, "close": centre + 0.01 * noise, "clusters": clusters, "copies": copies}.items()}
+
+
+def by_definition(near):
+    """Of a symmetric matrix of links: the smallest place reachable from each."""
+    label = np.arange(len(near))
+    while (new := np.minimum(label, np.where(near, label[None, :], len(label)).min(1)).tolist()) != label.tolist():
+        label = np.array(new)
+    return label
+
+
+@pytest.mark.parametrize("shape", shapes(20))
+def test_cover_tree_levels(shape):
+    tree = cover_tree.CoverTree.build(shapes(600)[shape])
+    assert sorted(tree.order.tolist()) == list(range(600))
+    assert shape == "copies" or tree.size[tree.leaf].max() <= cover_tree.LEAF
+    assert tree.depth() > 1
+    for (s, e, first, n), r in zip(tree.nodes.tolist(), tree.radii.tolist()):
+        far = np.sqrt(((tree.points[s:e] - tree.points[s]) ** 2).sum(1)).max()
+        assert far <= r + cover_tree.MARGIN and r <= far + cover_tree.MARGIN
+        if n:
+            kids = tree.nodes[first : first + n]
+            assert kids[0, 0] == s and kids[-1, 1] == e and (kids[1:, 0] == kids[:-1, 1]).all()
+            half = 2.0
+            while half >= r:
+                half /= 2
+            apart = np.sqrt(((tree.points[kids[:, None, 0]] - tree.points[kids[None, :, 0]]) ** 2).sum(-1)) + 9 * np.eye(n)
+            assert apart.min() > half - cover_tree.MARGIN and tree.radii[first : first + n].max() <= half + cover_tree.MARGIN
+
+
+@pytest.mark.parametrize("shape", shapes(20))
+def test_dual_traversal(shape):
+    rng = np.random.default_rng(5)
+    points, weight = shapes(600)[shape], rng.integers(1, 4, 600)
+    one, two = cover_tree.CoverTree.build(points[:350]), cover_tree.CoverTree.build(points[350:])
+    u, v = weight[:350][one.order], weight[350:][two.order]
+    near = np.zeros((600, 600), dtype=bool)
+    near[:350, 350:] = one.points @ two.points.T >= 0.98
+    near |= near.T
+    found = cover_tree.dual_traversal(one, two, 0.98, u, v)
+    assert found.weight.tolist() == (near @ np.concatenate([u, v])).tolist() and found.label.tolist() == by_definition(near).tolist()
     near = one.points @ one.points.T >= 0.98
     np.fill_diagonal(near, False)
-    assert cover_tree.threshold_pairs(one, one, 0.98, True)[0].tolist() == near.sum(1).tolist()
+    found = cover_tree.dual_traversal(one, one, 0.98, u, u)
+    assert found.weight.tolist() == (near @ u).tolist() and found.label.tolist() == by_definition(near).tolist()
+    nodes = len(one.nodes)
+    assert found.looked < nodes * nodes
+    if shape == "scattered":  # most pairs of leaves are ruled out by their radii, at the first level
+        assert found.pruned > 0.9 * found.looked
+    if shape == "clusters":  # most of the pairs of points lie under node pairs that were ruled out higher up
+        assert found.pruned > 0.6 * found.looked and found.looked < 350 * 350 / 5
+    if shape == "close":  # the whole tree links at the root
+        assert found.looked == 0
+
+
+def test_groups_by_masks():
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        near = rng.random((30, 40)) < 0.03
+        groups, both = cover_tree.Groups(70), np.zeros((70, 70), dtype=bool)
+        groups.link_where(near, np.arange(30), np.arange(30, 70))
+        both[:30, 30:] = near
+        assert groups.label.tolist() == by_definition(both | both.T).tolist()
 
 
-def test_embedding_dedup(spark):
+def test_embedding_dedup(spark, monkeypatch):
     rng = np.random.default_rng(6)
     base = rng.standard_normal((5, 8))
     rows = [(i, (base[i % 5] + 0.08 * rng.standard_normal(8)).astype(np.float32).tolist(), i % 2, "x") for i in range(120)]
@@ -135,6 +192,9 @@ def test_embedding_dedup(spark):
             label[a] = label[b] = min(label[a], label[b])
     expected = Counter((r[0], n[r[0]], label[r[0]], r[0] is None or label[r[0]] == r[0]) for r in rows)
     assert links and Counter(map(tuple, embedding_dedup.link_vectors(df).collect())) == expected
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 8)
+    monkeypatch.setattr(embedding_dedup, "TILE_CELLS", 8 * 8 * 2)
+    assert Counter(map(tuple, embedding_dedup.link_vectors(df).collect())) == expected
     assert embedding_dedup.link_vectors(df.limit(0)).count() == 0
 
 
