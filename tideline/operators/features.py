@@ -69,7 +69,7 @@ def execution_cost(events: DataFrame, position_usd: float = 10_000, halt: str |
 
 def l2_selection(events: DataFrame, q: float = 0.90, min_day: float = 5_000_000, per_month: int = 200) -> DataFrame:
     """Events over the q quantiles of liquidity_score and rvol_day with dollar_volume_day over min_day; the best of each month."""
-    least = {c: events.agg(F.percentile(c, F.lit(q))).scalar() for c in ("liquidity_score", "rvol_day")}
+    least = events.agg(F.struct(*[F.percentile(c, F.lit(q)).alias(c) for c in ("liquidity_score", "rvol_day")])).scalar()
     out = events.where((F.col("liquidity_score") > least["liquidity_score"]) & (F.col("rvol_day") > least["rvol_day"]) & (F.col("dollar_volume_day") > min_day))
     w = Window.partitionBy(F.date_format("timestamp", "yyyy-MM")).orderBy(F.desc("liquidity_score"), "symbol", "timestamp")
     return out.withColumn("rank_month", F.row_number().over(w)).where(F.col("rank_month") <= per_month)
@@ -243,7 +243,10 @@ def similar_vectors(vectors: DataFrame, queries: DataFrame, k: int = 10) -> Data
 
 
 def indicators(daily: DataFrame, fast: int = 12, slow: int = 26) -> DataFrame:
-    """daily with bollinger bands (20, 2), rsi14 (sums), volume_ratio, and macd: exponential means folded over each symbol's ordered closes."""
+    """daily with bollinger bands (20, 2), rsi14 (sums), volume_ratio, and macd: the exponential means of all closes so far.
+
+    The means are a recursion, which no window frame says: each symbol's days are one Arrow group; null closes are passed over.
+    """
     w = last_rows(by_daily(), 20)
     mean, dev = F.avg("close").over(w), F.stddev_pop("close").over(w)
     out = daily.withColumn("bb_mid", mean).withColumn("bb_up", mean + 2 * dev).withColumn("bb_low", mean - 2 * dev).withColumn("volume_ratio", ratio(F.col("volume"), mean_at_least("volume", rows_before(by_daily(), 20), 1)))
@@ -253,13 +256,18 @@ def indicators(daily: DataFrame, fast: int = 12, slow: int = 26) -> DataFrame:
     up, down = F.sum(F.greatest("__c", F.lit(0.0))).over(r), F.sum(F.greatest(-F.col("__c"), F.lit(0.0))).over(r)
     out = out.withColumn("rsi14", F.when(F.count("__c").over(r) == 14, ratio(100 * up, up + down))).drop("__c")
 
-    def ema(n: int) -> Column:
-        """Over the last 10 n closes, which hold all but e^-20 of the weight; oldest first."""
-        a = 2.0 / (n + 1)
-        xs = F.collect_list("close").over(last_rows(by_daily(), 10 * n))
-        return F.aggregate(F.slice(xs, 2, 10 * n), F.get(xs, F.lit(0)), lambda s, x: s * (1 - a) + x * a)
+    def means(table):
+        import pandas as pd
+        import pyarrow as pa
+
+        rows = table.to_pandas().sort_values("date")
+        close = rows["close"].astype("float64")
+        fast_mean, slow_mean = (close.ewm(span=n, adjust=False, ignore_na=True).mean() for n in (fast, slow))
+        return pa.table({"symbol": pa.Array.from_pandas(rows["symbol"], type=table.schema.field("symbol").type), "date": pa.Array.from_pandas(pd.Series(rows["date"])), "macd": pa.Array.from_pandas(fast_mean - slow_mean)})
 
-    return out.withColumn("macd", ema(fast) - ema(slow))
+    kind = daily.schema["symbol"].dataType.simpleString()
+    macd = daily.select("symbol", "date", F.col("close").cast("double").alias("close")).groupBy("symbol").applyInArrow(means, f"symbol {kind}, date date, macd double")
+    return out.join(macd, ["symbol", "date"])
 
 
 def volatility_ranking(daily: DataFrame, n: int = 100) -> DataFrame:
@@ -325,7 +333,7 @@ def double_bottoms(bars: DataFrame, rows: int = 5, dip: float = 0.02, near: floa
 
 def event_sequences(events: DataFrame, first: str, then: str, minutes: int = 60) -> DataFrame:
     """Events of one type whose symbol's next event of another type comes within so many minutes."""
-    w = Window.partitionBy("symbol").orderBy("timestamp").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    w = Window.partitionBy("symbol").orderBy(F.desc("timestamp")).rangeBetween(Window.unboundedPreceding, Window.currentRow)  # from the end: one running minimum
     nxt = F.min(F.when(F.col("event_type") == then, F.col("timestamp"))).over(w)
     out = events.withColumn("next_time", nxt).where(F.col("event_type") == first)
     return out.where(F.unix_timestamp("next_time") - F.unix_timestamp("timestamp") <= 60 * minutes)

@@ -48,8 +48,11 @@ def oversized(files: DataFrame, max_days: int, max_mb: float) -> DataFrame:
 
 
 def log_classes(lines: DataFrame, classes=LOG_CLASSES, excluded: str = LOG_EXCLUDED) -> DataFrame:
-    """(class, n): the first pattern that a line (value) meets; lines that are excluded or meet none are left out."""
-    low, name = F.lower("value"), F.lit(None).cast("string")
+    """(class, n): the first pattern that a line (value) meets; lines that are excluded or meet none are left out.
+
+    Neither a leading time nor a place "[n/N]" is looked at: their digits read like a status.
+    """
+    low, name = F.regexp_replace(F.lower("value"), r"^\d{4}-\d\d-\d\d[ t]\d\d:\d\d:\d\d\S*|\[\d+/\d+\]", ""), F.lit(None).cast("string")
     for c, pattern in reversed(classes):
         name = F.when(low.rlike(pattern), c).otherwise(name)
     return lines.where(~low.rlike(excluded)).groupBy(name.alias("class")).agg(F.count("*").alias("n")).where("class is not null")

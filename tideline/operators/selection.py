@@ -75,14 +75,16 @@ def cascade(events: DataFrame, cfg: ManifestConfig = ManifestConfig(), tests: tu
     out = out.withColumn("__why", why)
     out = out.withColumn("descarte_stage", F.when(low, "stage1_quality").when(F.col("__why").isNotNull(), "stage2_liquidity").otherwise(stage))
     out = out.withColumn("descarte_reason", F.when(low, "low_score").otherwise(F.col("__why"))).drop("__why")
+    order = [*score_order(), F.xxhash64(*events.columns)]  # only rows that are alike in all columns are left in any order
     caps = [("stage3_month_cap", "rank_symbol_month", ("symbol", "year", "month"), cfg.per_symbol_month), ("stage3b_day_cap", "rank_symbol_day", ("symbol", "date_only"), cfg.per_symbol_day), ("stage5_symbol_cap", "rank_symbol_total", ("symbol",), cfg.per_symbol)]
     for name, rank, by, most in caps:
-        w = Window.partitionBy(*by, F.col("descarte_stage").isNull()).orderBy(*score_order())
+        w = Window.partitionBy(*by, F.col("descarte_stage").isNull()).orderBy(*order)
         out = out.withColumn(rank, F.when(F.col("descarte_stage").isNull(), F.row_number().over(w)))
         over = F.col("descarte_stage").isNull() & (F.col(rank) > most)
         out = out.withColumn("descarte_reason", F.when(over, F.lit(rank.replace("rank_", "cap_"))).otherwise(F.col("descarte_reason"))).withColumn("descarte_stage", F.when(over, F.lit(name)).otherwise(F.col("descarte_stage")))
-    kept = out.where("descarte_stage is null").orderBy(*score_order()).limit(cfg.max_events).select(*KEY, F.lit(True).alias("__kept"))
-    out = out.join(kept, list(KEY), "left")
+    # A symbol, null too, and the rank within it name one row.
+    kept = out.where("descarte_stage is null").orderBy(*order).limit(cfg.max_events).select(F.col("symbol").alias("__symbol"), F.col("rank_symbol_total").alias("__rank"), F.lit(True).alias("__kept"))
+    out = out.join(kept, F.col("symbol").eqNullSafe(F.col("__symbol")) & (F.col("rank_symbol_total") == F.col("__rank")), "left").drop("__symbol", "__rank")
     over = F.col("descarte_stage").isNull() & F.col("__kept").isNull()
     return out.withColumn("descarte_reason", F.when(over, "global_cap").otherwise(F.col("descarte_reason"))).withColumn("descarte_stage", F.when(over, "stage5_global_cap").otherwise(F.col("descarte_stage"))).drop("__kept")
 

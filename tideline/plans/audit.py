@@ -97,7 +97,7 @@ def bucket_repeats(spark, d):
     return R.bucket_repeats(dupes(spark, d), "12 hours")
 
 
-@query(BARS + ",\nk as (select coalesce(sum(c - 1), 0)::bigint as n_duplicates from (select count(*) as c from ticks group by user_id, time_bucket(interval 1 hour, timestamp)))\n---\nselect count(*) as n_rows, count_if(price is null)::bigint as null_open, count_if(price is null)::bigint as null_high, count_if(price is null)::bigint as null_low, count_if(price is null)::bigint as null_close, count_if(size is null)::bigint as null_volume, any_value(n_duplicates) as n_duplicates, false as is_empty, (select count(*) from (select price < lag(price) over (partition by user_id order by event_id) as b from ticks) where b)::bigint * 0 as n_unsorted from ticks, k")
+@query(BARS + ",\nk as (select coalesce(sum(c - 1), 0)::bigint as n_duplicates from (select count(*) as c from ticks group by user_id, time_bucket(interval 1 hour, timestamp)))\n---\nselect count(*) as n_rows, count_if(price is null)::bigint as null_open, count_if(price is null)::bigint as null_high, count_if(price is null)::bigint as null_low, count_if(price is null)::bigint as null_close, count_if(size is null)::bigint as null_volume, any_value(n_duplicates) as n_duplicates, count(*) = 0 as is_empty, (select count(*) from (select date_trunc('hour', timestamp) < lag(date_trunc('hour', timestamp)) over (partition by user_id order by event_id) as b from ticks) where b) as n_unsorted from ticks, k")
 def bar_quality(spark, d):
     t = S.ticks(spark, d).select(F.col("user_id").alias("symbol"), F.date_trunc("hour", "timestamp").alias("timestamp"), F.col("event_id").alias("id"), *[F.col("price").alias(c) for c in ("open", "high", "low", "close")], F.col("size").alias("volume"))
     return Q.bar_quality(t)
@@ -132,8 +132,7 @@ def log_lines(spark, d):
 
 @query("select case event_type when 'error' then 'timeout' when 'view' then 'not_found' when 'signup' then 'connection' end as class, count(*) as n from events where event_type in ('error', 'view', 'signup') group by 1")
 def log_classes(spark, d):
-    # Times in a line hold digits that read like a status, so only the text behind them is classed.
-    return Q.log_classes(log_lines(spark, d).select(F.substring("value", 21, 200).alias("value")).where("value not like 'progress%'"))
+    return Q.log_classes(log_lines(spark, d))
 
 
 @query(TICKS + ",\np as (select date_trunc('second', timestamp) as ts, event_id + 1 as n from ticks where symbol = 'purchase'), g as (select arg_max(n, (ts, n)) as done, arg_min(n, (ts, n)) as first, 1000000::bigint as total, (epoch(max(ts)) - epoch(min(ts))) / 60 as minutes from p)\n---\nselect *, (done - first) / minutes as rate, (total - done) / ((done - first) / minutes) as eta_minutes from g", "minutes rate eta_minutes")
@@ -156,7 +155,7 @@ def manifest_counts(spark, d):
     return Q.manifest_counts(events(spark, d))
 
 
-@query(COLUMNS + ",\nt as (select max(c) as top, sum(c) as n from (select count(*) as c from events_ group by event_type))\n---\nselect 'max_type_share' as name, top / n as value, top / n < 0.6 as ok from t union all select 'months', count(distinct strftime(timestamp, '%Y-%m')), count(distinct strftime(timestamp, '%Y-%m')) >= 30 from events_ union all select 'null_keys', 0, true", "value")
+@query(COLUMNS + ",\nt as (select max(c) as top, sum(c) as n from (select count(*) as c from events_ group by event_type))\n---\nselect 'max_type_share' as name, top / n as value, top / n < 0.6 as ok from t union all select 'months', count(distinct strftime(timestamp, '%Y-%m')), count(distinct strftime(timestamp, '%Y-%m')) >= 30 from events_ union all select 'null_keys', coalesce(count_if(symbol is null or timestamp is null or event_type is null), 0), coalesce(count_if(symbol is null or timestamp is null or event_type is null), 0) = 0 from events_", "value")
 def extra_checks(spark, d):
     return Q.extra_checks(events(spark, d))
 

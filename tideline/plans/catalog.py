@@ -46,10 +46,10 @@ def query(sql: str | None = None, doubles: str = "", dates: str = "", times: str
 
 TICKS = "ticks as (select event_type as symbol, ts as timestamp, event_id, user_id, value as price, (props->>'k')::bigint as size from events)"
 BARS = TICKS + """,
-bars as (select symbol, time_bucket(interval 15 minutes, timestamp) as timestamp, time_bucket(interval 15 minutes, timestamp)::date as date,
+bars as (select symbol || '-' || (user_id // 150) as symbol, time_bucket(interval 15 minutes, timestamp) as timestamp, time_bucket(interval 15 minutes, timestamp)::date as date,
   arg_min(price, timestamp) as open, max(price) as high, min(price) as low, arg_max(price, timestamp) as close, sum(size)::bigint as volume,
   sum(price * size) / nullif(sum(size), 0) as vwap, count(*) as transactions from ticks group by 1, 2, 3)"""
-DAILY = """rows_ as (select l_suppkey % 10 as symbol, l_shipdate::date as date, l_extendedprice / l_quantity as price, l_quantity as q,
+DAILY = """rows_ as (select l_suppkey as symbol, l_shipdate::date as date, l_extendedprice / l_quantity as price, l_quantity as q,
   row(l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity) as o from lineitem),
 daily as (select symbol, date, arg_min(price, o) as open, max(price) as high, min(price) as low, arg_max(price, o) as close, sum(q) as volume from rows_ group by 1, 2)"""
 METRICS = DAILY + """,

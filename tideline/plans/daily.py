@@ -104,7 +104,11 @@ def indicator_bands(spark, d):
     return X.indicators(S.daily_bars(spark, d)).select("symbol", "date", "bb_mid", "bb_up", "bb_low", "rsi14")
 
 
-@query()
+@query("recursive " + DAILY + """,
+n as (select *, row_number() over (partition by symbol order by date) as i, volume / nullif(avg(volume) over (partition by symbol order by date rows between 20 preceding and 1 preceding), 0) as volume_ratio from daily),
+e as (select symbol, i, close as fast, close as slow from n where i = 1 union all select n.symbol, n.i, e.fast * 11 / 13 + n.close * 2 / 13, e.slow * 25 / 27 + n.close * 2 / 27 from e join n on n.symbol = e.symbol and n.i = e.i + 1)
+---
+select symbol, date, volume_ratio, fast - slow as macd from n join e using (symbol, i)""", "volume_ratio macd", "date")
 def indicator_macd(spark, d):
     return X.indicators(S.daily_bars(spark, d)).select("symbol", "date", "volume_ratio", "macd")
 
@@ -126,10 +130,10 @@ def describe_daily(spark, d):
 
 
 @query(DAILY + """,
-s as (select symbol, min(date) as a, max(date) as b, count(*) as n, count_if(isodow(date) < 6) as have, avg(close) as m, stddev_samp(close) as sd from daily group by 1),
+s as (select symbol, min(date) as a, max(date) as b, count(*) as n, count_if(isodow(date) < 6) as have, count_if(close is null) as nulls, avg(close) as m, stddev_samp(close) as sd from daily group by 1),
 e as (select symbol, count(*) as expected from (select symbol, unnest(generate_series(a, b, interval 1 day)) as x from s) where isodow(x) < 6 group by 1),
 o as (select symbol, count(*) as n_outliers from daily join s using (symbol) where abs(close - m) > 4 * sd group by 1),
-f as (select symbol, greatest(0.0, (expected - have) * 100.0 / nullif(expected, 0)) as missing_pct, 0.0 as null_pct, coalesce(n_outliers, 0) as n_outliers from s join e using (symbol) left join o using (symbol))
+f as (select symbol, greatest(0.0, (expected - have) * 100.0 / nullif(expected, 0)) as missing_pct, nulls * 100.0 / n as null_pct, coalesce(n_outliers, 0) as n_outliers from s join e using (symbol) left join o using (symbol))
 ---
 select *, missing_pct > 5 or null_pct > 1 or n_outliers > 0 as fail from f""", "missing_pct null_pct")
 def dq_thresholds(spark, d):
@@ -147,13 +151,13 @@ def purged_folds(spark, d):
 
 
 def splits(spark, d):
-    """The dearest orders as splits: those that are filled are reverse ones."""
-    o = S.table(spark, d, "orders").where("o_totalprice > 497000")
+    """Each order as a split of its customer's symbol: those that are filled are reverse ones."""
+    o = S.table(spark, d, "orders")
     odd = F.col("o_orderstatus") == "F"
-    return o.select((F.col("o_custkey") % 10).alias("symbol"), F.to_date("o_orderdate").alias("date"), F.when(odd, 10).otherwise(1).alias("split_from"), F.when(odd, 1).otherwise(2).alias("split_to"))
+    return o.select(F.col("o_custkey").alias("symbol"), F.to_date("o_orderdate").alias("date"), F.when(odd, 10).otherwise(1).alias("split_from"), F.when(odd, 1).otherwise(3).alias("split_to"))
 
 
-SPLITS = DAILY + ",\nsplits as (select o_custkey % 10 as symbol, o_orderdate::date as date, case when o_orderstatus = 'F' then 10 else 1 end as split_from, case when o_orderstatus = 'F' then 1 else 2 end as split_to from orders where o_totalprice > 497000)"
+SPLITS = DAILY + ",\nsplits as (select o_custkey as symbol, o_orderdate::date as date, case when o_orderstatus = 'F' then 10 else 1 end as split_from, case when o_orderstatus = 'F' then 1 else 3 end as split_to from orders)"
 
 
 @query(SPLITS + "\n---\nselect d.symbol, d.date, coalesce(exp(sum(case when s.date > d.date then ln(split_from / split_to) else 0 end)), 1) as factor, coalesce(bool_or(s.date = d.date and split_from > split_to), false) as is_reverse_day from daily d left join splits s on d.symbol = s.symbol group by 1, 2", "factor", "date")
@@ -161,12 +165,12 @@ def split_adjusted(spark, d):
     return X.split_adjusted(S.daily_bars(spark, d), splits(spark, d)).select("symbol", "date", "factor", "is_reverse_day")
 
 
-@query(SPLITS + "\n---\nselect d.symbol, d.date, min(case when split_from > split_to and d.date >= s.date then datediff('day', s.date, d.date) end)::int as days_since_reverse_split, count_if(datediff('day', s.date, d.date) between 0 and 365)::bigint as splits_12m, coalesce(bool_or(abs(datediff('day', s.date, d.date)) <= 5), false) as action_nearby from daily d left join splits s on d.symbol = s.symbol group by 1, 2", "", "date")
+@query(SPLITS + "\n---\nselect d.symbol, d.date, min(case when split_from > split_to and d.date >= s.date then datediff('day', s.date, d.date) end)::int as days_since_reverse_split, coalesce(count_if(datediff('day', s.date, d.date) between 0 and 365), 0)::bigint as splits_12m, coalesce(bool_or(abs(datediff('day', s.date, d.date)) <= 5), false) as action_nearby from daily d left join splits s on d.symbol = s.symbol group by 1, 2", "", "date")
 def corporate_features(spark, d):
     return X.corporate_features(S.daily_bars(spark, d), splits(spark, d))
 
 
-@query("q as (select o_custkey % 50 as symbol, date_trunc('quarter', o_orderdate)::date as period, sum(o_totalprice) as revenue, max(o_totalprice) as cash, min(o_totalprice) as debt, avg(o_totalprice) as equity from orders group by 1, 2)\n---\nselect symbol, period, revenue / nullif(lag(revenue) over w, 0) - 1 as qoq, revenue / nullif(lag(revenue, 4) over w, 0) - 1 as yoy, lag(cash) over w - cash as burn, debt / nullif(equity, 0) as debt_to_equity, 45 as lag_days from q window w as (partition by symbol order by period)", "qoq yoy burn debt_to_equity", "period")
+@query("q as (select o_custkey % 50 as symbol, date_trunc('quarter', o_orderdate)::date as period, sum(o_totalprice) as revenue, max(o_totalprice) as cash, min(o_totalprice) as debt, avg(o_totalprice) as equity, date_trunc('quarter', o_orderdate)::date + 45 as filed from orders group by 1, 2)\n---\nselect symbol, period, revenue / nullif(lag(revenue) over w, 0) - 1 as qoq, revenue / nullif(lag(revenue, 4) over w, 0) - 1 as yoy, lag(cash) over w - cash as burn, debt / nullif(equity, 0) as debt_to_equity, datediff('day', period, filed)::int as lag_days from q window w as (partition by symbol order by period)", "qoq yoy burn debt_to_equity", "period")
 def fundamentals(spark, d):
     o = S.table(spark, d, "orders")
     q = o.groupBy((F.col("o_custkey") % 50).alias("symbol"), F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("period")).agg(F.sum("o_totalprice").alias("revenue"), F.max("o_totalprice").alias("cash"), F.min("o_totalprice").alias("debt"), F.avg("o_totalprice").alias("equity"))

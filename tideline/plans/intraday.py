@@ -73,7 +73,12 @@ def intraday_events(spark, d):
     return D.intraday_events(S.bars(spark, d), CFG).select(*OUT, "event_bias", "close_vs_open", "tier")
 
 
-@query()
+@query("recursive " + COLUMNS + """,
+cd as (select symbol, date, event_type, min(epoch(timestamp)) as t from events_ group by all
+  union all select symbol, date, event_type, min(x) from (select cd.symbol, cd.date, cd.event_type, cd.t, epoch(e.timestamp) as x from cd join events_ e on e.symbol = cd.symbol and e.date = cd.date and e.event_type = cd.event_type and epoch(e.timestamp) - cd.t >= 7200) group by symbol, date, event_type, t)
+---
+select symbol, timestamp, event_type, direction, session, spike_x, score from events_ e where exists (from cd where cd.symbol = e.symbol and cd.date = e.date and cd.event_type = e.event_type and cd.t = epoch(e.timestamp))
+qualify row_number() over (partition by symbol, date order by score desc nulls last, timestamp, event_type, direction) <= 5""", "spike_x score", "", "timestamp")
 def intraday_events_cooldown(spark, d):
     from dataclasses import replace
 

@@ -101,11 +101,11 @@ def session_quotas(spark, d):
 
 
 @query(CASCADE + """,
-k as (select count(*)::double as n, count(distinct symbol) as symbols, quantile_cont(score, 0.5) as score, quantile_cont(rvol_day, 0.5) as rvol, coalesce(avg((session = 'PM')::int), 0) as pm, coalesce(avg((session = 'RTH')::int), 0) as rth, coalesce(avg((session = 'AH')::int), 0) as ah from kept)
+k as (select count(*)::double as n, count(distinct symbol) as symbols, quantile_cont(score, 0.5) as score, quantile_cont(rvol_day, 0.5) as rvol, coalesce(avg((session = 'PM')::int), 0) as pm, coalesce(avg((session = 'RTH')::int), 0) as rth, coalesce(avg((session = 'AH')::int), 0) as ah, coalesce((select sum(c) from (select count(*) as c from kept group by symbol order by c desc, symbol limit 20)) / nullif(count(*), 0)::double, 0.0) as top from kept)
 ---
 select unnest(['total_events', 'symbols', 'score_median', 'rvol_median', 'top20_share', 'share_PM', 'share_RTH', 'share_AH', 'storage_gb_p90', 'time_days_p90']) as name,
-  unnest([n, symbols, score, rvol, 1.0, pm, rth, ah, n * 37.0 / 1024, n * 33.0 / 86400]) as value,
-  unnest([n between 100 and 400, symbols >= 3, coalesce(score >= 0.7, false), coalesce(rvol >= 1.0, false), false, pm between 0.10 and 0.20, rth between 0.75 and 0.85, ah between 0.03 and 0.10, n * 37.0 / 1024 <= 250, n * 33.0 / 86400 <= 3]) as ok from k""", "value")
+  unnest([n, symbols, score, rvol, top, pm, rth, ah, n * 37.0 / 1024, n * 33.0 / 86400]) as value,
+  unnest([n between 100 and 400, symbols >= 3, coalesce(score >= 0.7, false), coalesce(rvol >= 1.0, false), top <= 0.25, pm between 0.10 and 0.20, rth between 0.75 and 0.85, ah between 0.03 and 0.10, n * 37.0 / 1024 <= 250, n * 33.0 / 86400 <= 3]) as ok from k""", "value")
 def sanity_checks(spark, d):
     return L.sanity_checks(kept(spark, d), MANIFEST)
 
@@ -135,7 +135,7 @@ def exact_dedup(spark, d):
     return L.exact_dedup(dupes(spark, d), tie=("direction", "spike_x")).select("symbol", "timestamp", "event_type", "direction", "score", "spike_x")
 
 
-@query(DUPES + ",\na as (select count(*) as n_before, count(distinct (symbol, timestamp, event_type)) as k, count(distinct symbol) as n_symbols from du)\n---\nselect n_before, k as n_after, k as n_keys, n_symbols, n_before - k as removed, (n_before - k) * 100.0 / nullif(n_before, 0) as removed_pct, 0::bigint as residual from a", "removed_pct")
+@query(DUPES + ",\na as (select count(*) as n_before, count(distinct (symbol, timestamp, event_type)) as k, count(distinct symbol) as n_symbols from du)\n---\nselect n_before, k as n_after, k as n_keys, n_symbols, n_before - k as removed, (n_before - k) * 100.0 / nullif(n_before, 0) as removed_pct, k - (select count(*) from (select distinct symbol, timestamp, event_type from (select * from du qualify row_number() over (partition by symbol, timestamp, event_type order by score desc nulls last) = 1))) as residual from a", "removed_pct")
 def dedup_stats(spark, d):
     x = dupes(spark, d)
     return L.dedup_stats(x, L.exact_dedup(x))
@@ -187,7 +187,7 @@ def stratified_sample(spark, d):
 
 
 @query(DAYS + """,
-n as (select count_if(dollar_volume_bar >= 4000 and spread_proxy <= 0.5) as a, count_if(dollar_volume_bar >= 3600 and spread_proxy <= 0.5) as b, count_if(dollar_volume_bar >= 3600 and spread_proxy <= 1.0) as c from en where session = 'PM')
+n as (select coalesce(count_if(dollar_volume_bar >= 4000 and spread_proxy <= 0.5), 0) as a, coalesce(count_if(dollar_volume_bar >= 3600 and spread_proxy <= 0.5), 0) as b, coalesce(count_if(dollar_volume_bar >= 3600 and spread_proxy <= 1.0), 0) as c from en where session = 'PM')
 ---
 select case when a >= 40 then 0 when b >= 40 then 1 else 2 end::int as level, case when a >= 40 then a when b >= 40 then b else c end::bigint as n from n""")
 def relaxed_level(spark, d):

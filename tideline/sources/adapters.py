@@ -25,13 +25,15 @@ def bars_of(trades: DataFrame, width: str = "15 minutes") -> DataFrame:
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bars_of(ticks(spark, sf_dir))
+    """15-minute bars; a symbol is an event type of 150 users, so that symbols grow in number with the data, not in length."""
+    return bars_of(ticks(spark, sf_dir).withColumn("symbol", F.concat_ws("-", "symbol", F.floor(F.col("user_id") / 150))))
 
 
 def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars; symbols are the suppliers."""
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
     rows = table(spark, sf_dir, "lineitem").withColumn("price", F.col("l_extendedprice") / F.col("l_quantity"))
-    return rows.groupBy((F.col("l_suppkey") % 10).alias("symbol"), F.to_date("l_shipdate").alias("date")).agg(
+    return rows.groupBy(F.col("l_suppkey").alias("symbol"), F.to_date("l_shipdate").alias("date")).agg(
         F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", order).alias("close"), F.sum("l_quantity").alias("volume")
     )
 
