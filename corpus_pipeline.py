@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm.common import saved
+from tideline.llm.common import saved, sealed
 from tideline.llm.line_dedup import dedup_lines
 from tideline.llm.minhash_dedup import keep_first
 from tideline.llm.packing import pack_documents
@@ -24,12 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 10 code points or more stay in the smallest document that holds them."""
-    from pyspark.sql import functions as F
-
-    out = dedup_lines(docs, min_chars=10)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    inner, opened = sealed(docs, new_text=True)
+    return opened(dedup_lines(inner, min_chars=10))
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
