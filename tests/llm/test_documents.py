@@ -11,6 +11,8 @@ import pytest
 from tideline.llm import line_dedup, lm_scoring, minhash_dedup, packing, piece_sampling, quality_rules, sharding, substring_dedup, token_counts
 from tideline.llm.queries import tokenizer_path
 
+from . import plain
+
 
 def split(text):
     return (text or "").encode().split()
@@ -31,13 +33,36 @@ def test_quality_rules(docs, rows, empty):
         assert (r.n_words, r.word_chars, r.n_symbols) == (len(w), sum(len(x.decode()) for x in w), sum((r.text or "").count(c) for c in "#*$%&|<>"))
         assert (r.n_dup_lines, r.n_repeat_words) == (len(lines) - len(set(lines)), len(repeated))
         assert r.base_failed == (len(w) < 50 or 2 * len(repeated) > len(w))
-        assert r.kept <= (not r.base_failed)
+        bad = [x for x in lines if plain.line_fails(x)]
+        assert (r.n_bad_lines, r.n_lost_words) == (len(bad), sum(len(split(x)) for x in bad))
+        assert r.kept == (not r.base_failed and 2 * r.n_lost_words <= len(w))
+        assert r.clean_text == (None if r.text is None else "\n".join(x for x in r.text.split("\n") if x not in bad))
     kept = {r.doc_id for r in out if r.kept}
     assert set(range(30)) <= kept and not kept & {48, 50, 51, 52, 53, 54, 55}
     assert quality_rules.keep_clean(docs).columns == docs.columns
     assert quality_rules.apply_rules(empty).count() == 0
 
 
+LINES = {
+    "=====": True, "-----": True, "!!!! ???": True, "....": True, "* * *": True, "a.": False, "- a point": False, "1. First of all": False, "x = (a + b) * c": False, "{{}} [[]] ok": True,
+    "About": True, "home news": True, "About.": False, "about\u00a0home": False, "\u00a0": False, "home | about | contact": False, "a | b | c | d": True, "HOME \u00bb NEWS \u00bb TOP \u00bb x": True,
+    "Read more": True, "Subscribe to our newsletter today": True, "\u00a9 2020 Someone. All rights reserved.": True, "PRIVACY POLICY | TERMS OF USE": True, "Une phrase en fran\u00e7ais.": False,
+    "The new privacy policy was debated for weeks, and in the end most of the members voted for it.": False, "He had to enable javascript and then accept all cookies before he could read anything there.": True,
+}
+
+
+@pytest.mark.parametrize("line", LINES)
+def test_line_rules(line):
+    assert plain.line_fails(line) == LINES[line]
+    assert quality_rules.line_fails(line.encode(), len(split(line)), quality_rules.LineRules()) == LINES[line]
+
+
+def test_a_clean_text_of_one_line_may_mention_a_policy(spark):
+    text = "The ministers met again on Tuesday to discuss what the privacy policy of a large shop means for its customers. " + " ".join(f"Speaker{i} told{i} of{i} cost{i}." for i in range(20))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [r.text for r in quality_rules.keep_clean(docs).collect()] == [text]
+
+
 def test_line_dedup(docs, rows, empty):
     holders = defaultdict(set)
     for doc, text in by_id(rows):
@@ -66,6 +91,35 @@ def test_line_state_is_reversible(docs, spark):
     assert content(whole) != content(half)
 
 
+def test_line_counts_follow_inserts_and_deletes(docs, rows, spark):
+    """The counts of all keys equal those of a state built anew; repeated rows of a doc_id are one document; an insert writes rows
+    for its own keys only; what is deleted can come back, and logs can be put together."""
+
+    def counts(state):
+        return {(r.h1, r.h2): (r.n_docs, r.owner) for r in state.live_counts().collect()}
+
+    twice = spark.createDataFrame([(1, "one line here\nanother line"), (1, "one line here"), (2, "one line here"), (3, "a third line")], "doc_id long, text string")
+    assert sorted(counts(line_dedup.build_state(twice)).values()) == [(1, 1), (1, 3), (2, 1)]
+    parts = [docs.where(f"doc_id % 3 = {i}") for i in range(3)]
+    state = line_dedup.build_state(parts[0])
+    for part in parts[1:]:
+        before = state.counts.count()
+        state = line_dedup.insert(state, part)
+        own = line_dedup.line_keys(part).select("h1", "h2").distinct().count()
+        assert 0 < state.counts.count() - before <= own
+    whole = counts(line_dedup.build_state(docs.where("doc_id is not null")))
+    assert counts(state) == whole
+    assert counts(line_dedup.insert(state, parts[1])) == whole
+    less = line_dedup.delete(state, parts[0].where("doc_id < 45"))
+    assert counts(less) == counts(line_dedup.build_state(docs.where("doc_id is not null and not (doc_id % 3 = 0 and doc_id < 45)")))
+    back = line_dedup.insert(less, parts[0])
+    assert counts(back) == whole and counts(line_dedup.compacted(back)) == whole
+    shared = [k for k, (n, _) in whole.items() if n > 1]
+    filters = {r["shard"]: line_dedup.CuckooFilter.read(r["n_buckets"], r["slots"]) for r in back.filters.collect()}
+    for h1, h2 in shared:
+        assert filters[h1 % back.n_shards].has(np.array([h1]), np.array([h2])).all()
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(1)
     keys = rng.integers(-(2**63), 2**63 - 1, (4000, 2), dtype=np.int64)

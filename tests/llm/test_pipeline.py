@@ -8,10 +8,10 @@ from itertools import combinations
 import numpy as np
 
 import corpus_pipeline
-from tideline.llm.quality_rules import LineRules, judge
 from tideline.llm.queries import tokenizer_path
 
 from .conftest import words
+from .plain import line_fails
 
 
 def documents():
@@ -22,15 +22,23 @@ def documents():
     texts += [t + "\n" + line + "\n" + line.upper() for t in ("\n".join(words(rng, 15) + "." for _ in range(8)) for _ in range(5))]
     texts += [words(rng, 60) + ". " + passage + " " + words(rng, 60) + "." for _ in range(4)]
     texts += [words(rng, 5000) + "."]
+    texts += ["Home\nAbout\n=====\n" + "\n".join(words(rng, 12) + "." for _ in range(8)) + "\nAll rights reserved.", "\n".join(["Read more", "about us: follow us on this and that"] * 40)]
     return [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
 
 
 def quality(docs):
     out = {}
     for d, t in docs.items():
-        *_, kept, clean = judge((t or "").encode(), LineRules())
-        if kept:
-            out[d] = clean.decode()
+        w, kept, lost = (t or "").encode().split(), [], 0
+        seen = Counter(zip(w, w[1:], w[2:]))
+        repeated = {i + k for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for k in range(3)}
+        for x in (t or "").split("\n"):
+            if line_fails(x):
+                lost += len(x.encode().split())
+            else:
+                kept.append(x)
+        if len(w) >= 50 and 2 * len(repeated) <= len(w) and 2 * lost <= len(w):
+            out[d] = "\n".join(kept)
     return out
 
 

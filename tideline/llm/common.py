@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,12 @@ _OWN: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where all is one process (tests), a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        master = spark.sparkContext.master
+        if master.startswith("local-cluster") or not master.startswith("local"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that driver and executors share (master {master})")
         app = spark.sparkContext.applicationId
         folder = _OWN[app] = _OWN.get(app) or tempfile.mkdtemp(prefix="spark-tideline-", dir="/tmp")
     return folder.rstrip("/")
@@ -39,7 +43,27 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def without(df: DataFrame, *names: str) -> DataFrame:
     """df without columns whose names clash (case-insensitively) with those that an operator adds."""
     low = {n.lower() for n in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
+    return df.select(*[F.col(quoted(c)) for c in df.columns if c.lower() not in low])
+
+
+def quoted(name: str) -> str:
+    """A column's name as an expression, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sealed(docs: DataFrame, new_text: bool = False) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """docs with doc_id, text (as string) and all other columns under private names, so that no column of an operator can meet
+    one of the user's; and the function that gives a table of that form the names and the order of docs again, then columns
+    named in addition. new_text: a column n_chars follows the text."""
+    low = [c.lower() for c in docs.columns]
+    names = [c if c in ("doc_id", "text") else f"__column_{i}" for i, c in enumerate(low)]
+    inner = docs.select(*[(F.col(quoted(c)).cast("string") if p == "text" else F.col(quoted(c))).alias(p) for c, p in zip(docs.columns, names)])
+
+    def opened(df: DataFrame, *more: str) -> DataFrame:
+        out = [F.length("text").cast(docs.schema[c].dataType) if new_text and x == "n_chars" else F.col(p) for c, x, p in zip(docs.columns, low, names)]
+        return df.select(*[o.alias(c) for c, o in zip(docs.columns, out)], *more)
+
+    return inner, opened
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:
@@ -47,12 +71,6 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
-def with_text(docs: DataFrame, text) -> DataFrame:
-    """documents with another text, and n_chars (if there) following it."""
-    out = docs.withColumn("text", text)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser on an array of uint64."""
     x = x ^ (x >> U64(30))

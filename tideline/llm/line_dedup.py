@@ -1,13 +1,17 @@
 """Operator 10, line dedup: sharded cuckoo filters in front of exact reference-count tables.
 
-A line's key is the line stripped of ASCII white space, A-Z in lower case. State:
+A line's key is the line stripped of ASCII white space, A-Z in lower case. State, each a log that is only appended to:
 
-- `postings` (h1, h2, doc_id): which document holds which key (128-bit hash of the key). It makes everything
-  reversible: deleting a document removes its postings.
-- `counts` (h1, h2, owner, n_docs): per key the documents holding it and the smallest of them, the owner.
+- `postings` (doc_id, h1, h2, generation, present): which document holds which key (128-bit hash of the key); deleting
+  a document appends its postings with present = false, so everything is reversible.
+- `counts` (h1, h2, n_docs, owner, generation): the reference counts of all keys: the documents holding each, and the smallest
+  of them, the owner.
 - `filters` (shard, n_buckets, slots): a cuckoo filter for each shard of keys, over the keys that at least two
   documents share. A key whose count reaches two is inserted into its shard's filter, one that falls back to one is
-  deleted from it.
+  deleted from it; filters of other shards are left alone.
+
+The row of the latest generation holds. An insert or delete counts the keys of its own documents only, looks these up in
+the tables (a semi-join by key), and writes new rows for them alone.
 
 A line is first looked up in its shard's filter. Most lines are nobody else's and end there; only the rest are joined
 with the exact table, which decides. A filter has false positives but no false negatives, so results are exact.
@@ -23,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import saved, texts, without
+from .common import saved, sealed, texts, without
 
 KEYS = "doc_id long, h1 long, h2 long"
 #: Keys of a shard, about: a filter has some 2 * 4 / 3 bytes for each.
@@ -126,8 +130,8 @@ def line_keys(docs: DataFrame, min_chars: int = 10) -> DataFrame:
 
 
 def count_keys(postings: DataFrame) -> DataFrame:
-    """The exact table: per key its owner (smallest doc_id) and another holder; counted before the shuffle, so common lines don't gather."""
-    return postings.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.count("*").alias("n_docs"))
+    """Per key the documents holding it and the smallest of them; counted before the shuffle, so common lines don't gather."""
+    return postings.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("owner"))
 
 
 def build_filters(shared: DataFrame, n_shards: int) -> DataFrame:
@@ -158,46 +162,88 @@ def _probe(postings: DataFrame, filters: DataFrame, n_shards: int, n_rows: int)
 
 @dataclass
 class LineState:
-    """The tables described above, each a DataFrame over written Parquet."""
+    """The tables described above, each a DataFrame over written Parquet; generation is the latest."""
 
     postings: DataFrame
     counts: DataFrame
     filters: DataFrame
     n_shards: int
     n_rows: int
+    generation: int = 0
 
+    def live_postings(self, log: DataFrame | None = None) -> DataFrame:
+        """(doc_id, h1, h2) that hold now; log: some of the postings."""
+        log = self.postings if log is None else log
+        if not self.generation:
+            return log.select("doc_id", "h1", "h2")
+        last = log.groupBy("doc_id", "h1", "h2").agg(F.max_by("present", "generation").alias("present"))
+        return last.where("present").drop("present")
+
+    def live_counts(self, log: DataFrame | None = None) -> DataFrame:
+        """(h1, h2, n_docs, owner) that hold now; log: some of the counts."""
+        log = self.counts if log is None else log
+        if not self.generation:
+            return log.select("h1", "h2", "n_docs", "owner")
+        last = log.groupBy("h1", "h2").agg(F.max_by(F.struct("n_docs", "owner"), "generation").alias("x"))
+        return last.select("h1", "h2", "x.n_docs", "x.owner").where("n_docs > 0")
 
-def build_state(docs: DataFrame, min_chars: int = 10) -> LineState:
-    """State over a whole table. Rows with a null doc_id take no part; several rows of one doc_id count as one document."""
-    postings = saved(line_keys(docs, min_chars), "postings")
-    return _state(postings)
 
+def _keys_of(docs: DataFrame, min_chars: int) -> DataFrame:
+    """line_keys, saved, each key once for a doc_id, also where several rows have that doc_id."""
+    keys = line_keys(docs, min_chars)
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
+    if not ids.groupBy("doc_id").count().where("count > 1").isEmpty():
+        keys = keys.distinct()
+    return saved(keys, "keys")
 
-def _state(postings: DataFrame) -> LineState:
-    shared = saved(count_keys(postings).where("owner < last"), "shared")
-    n_rows, n_shared = postings.count(), shared.count()
-    n_shards = max(1, -(-n_shared // SHARD_KEYS))
-    return LineState(postings, shared, saved(build_filters(shared, n_shards), "filters"), n_shards, n_rows)
+
+def _generation(postings: DataFrame, n: int, present: bool = True) -> DataFrame:
+    return postings.select("doc_id", "h1", "h2", F.lit(n).alias("generation"), F.lit(present).alias("present"))
+
+
+def build_state(docs: DataFrame, min_chars: int = 10) -> LineState:
+    """State over a whole table. Rows with a null doc_id take no part; several rows of one doc_id count as one document."""
+    keys = _keys_of(docs, min_chars)
+    counts = saved(count_keys(keys).withColumn("generation", F.lit(0)), "counts")
+    shared = counts.where("n_docs > 1")
+    n_shards = max(1, -(-shared.count() // SHARD_KEYS))
+    return LineState(_generation(keys, 0), counts, saved(build_filters(shared, n_shards), "filters"), n_shards, keys.count())
 
 
 def insert(state: LineState, docs: DataFrame, min_chars: int = 10) -> LineState:
-    """State with more documents; only keys whose count crossed from one to two are put into the filters."""
-    return _moved(state, saved(state.postings.unionByName(line_keys(docs, min_chars)), "postings"))
+    """State with more documents. Lines that a document of the same doc_id holds already change nothing."""
+    keys = _keys_of(docs, min_chars)
+    old = state.live_postings(state.postings.join(keys, ["doc_id", "h1", "h2"], "left_semi"))
+    fresh = saved(keys.join(old, ["doc_id", "h1", "h2"], "left_anti"), "fresh")
+    delta = saved(count_keys(fresh), "delta")
+    before = state.live_counts(state.counts.join(delta, ["h1", "h2"], "left_semi")).withColumnsRenamed({"n_docs": "had", "owner": "first"})
+    both = delta.join(before, ["h1", "h2"], "left").withColumn("had", F.coalesce("had", F.lit(0)))
+    after = both.select("h1", "h2", "had", (F.col("had") + F.col("n_docs")).alias("n_docs"), F.least("owner", "first").alias("owner"))
+    return _moved(state, fresh, True, after)
 
 
 def delete(state: LineState, doc_ids: DataFrame) -> LineState:
     """State without the documents of doc_ids (doc_id): the reverse of insert."""
-    gone = doc_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return _moved(state, saved(state.postings.join(gone, "doc_id", "left_anti"), "postings"))
-
-
-def _moved(state: LineState, postings: DataFrame) -> LineState:
-    shared = saved(count_keys(postings).where("owner < last"), "shared")
-    added = shared.join(state.counts, ["h1", "h2"], "left_anti").select("h1", "h2", F.lit(True).alias("add"))
-    gone = state.counts.join(shared, ["h1", "h2"], "left_anti").select("h1", "h2", F.lit(False).alias("add"))
-    n = state.n_shards
-    moves = added.unionByName(gone).withColumn("shard", F.expr(f"pmod(h1, {n})"))
-    whole = shared.withColumn("shard", F.expr(f"pmod(h1, {n})"))
+    ids = doc_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    gone = saved(state.live_postings(state.postings.join(ids, "doc_id", "left_semi")), "gone")
+    delta = saved(gone.select("h1", "h2").distinct(), "delta")
+    before = state.live_counts(state.counts.join(delta, ["h1", "h2"], "left_semi")).select("h1", "h2", F.col("n_docs").alias("had"))
+    rest = state.live_postings(state.postings.join(delta, ["h1", "h2"], "left_semi")).join(ids, "doc_id", "left_anti")
+    after = before.join(count_keys(rest), ["h1", "h2"], "left").withColumn("n_docs", F.coalesce("n_docs", F.lit(0)))
+    return _moved(state, gone, False, after)
+
+
+def _moved(state: LineState, postings: DataFrame, present: bool, after: DataFrame) -> LineState:
+    """State with postings that come or go, and the counts (h1, h2, had, n_docs, owner) of their keys."""
+    now, n = state.generation + 1, state.n_shards
+    after = saved(after.withColumn("generation", F.lit(now)), "counts")
+    shard = F.expr(f"pmod(h1, {n})").alias("shard")
+    moves = after.where("(had > 1) <> (n_docs > 1)").select(shard, "h1", "h2", (F.col("n_docs") > 1).alias("add"))
+    moved = saved(moves, "moves")
+    touched = moved.select("shard").distinct()
+    out = LineState(
+        state.postings.unionByName(_generation(postings, now, present)), state.counts.unionByName(after.drop("had").select(*state.counts.columns)), state.filters, n, state.n_rows + postings.count(), now
+    )
 
     def change(key, left, right):
         import pyarrow as pa
@@ -209,16 +255,25 @@ def _moved(state: LineState, postings: DataFrame) -> LineState:
         slots = f.bytes() if done else None  # no room: built anew below
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "n_buckets": pa.array([f.n if done else 0], pa.int64()), "slots": pa.array([slots], pa.binary())})
 
-    tried = saved(state.filters.groupBy("shard").cogroup(moves.groupBy("shard")).applyInArrow(change, "shard long, n_buckets long, slots binary"), "tried")
-    again = whole.join(tried.where("slots is null").select("shard"), "shard", "left_semi")
-    filters = saved(tried.where("slots is not null").unionByName(build_filters(again, n)), "filters")
-    return LineState(postings, shared, filters, n, postings.count())
+    own = state.filters.join(touched, "shard", "left_semi")
+    tried = saved(own.groupBy("shard").cogroup(moved.groupBy("shard")).applyInArrow(change, "shard long, n_buckets long, slots binary"), "tried")
+    full = tried.where("slots is null").select("shard")
+    again = out.live_counts(out.counts.withColumn("shard", shard).join(full, "shard", "left_semi").drop("shard")).where("n_docs > 1")
+    changed = tried.where("slots is not null").unionByName(build_filters(again, n))
+    out.filters = saved(state.filters.join(touched, "shard", "left_anti").select("shard", "n_buckets", "slots").unionByName(changed), "filters")
+    return out
+
+
+def compacted(state: LineState) -> LineState:
+    """The same state in tables of one generation, for when the logs have grown."""
+    postings, counts = saved(_generation(state.live_postings(), 0), "postings"), saved(state.live_counts().withColumn("generation", F.lit(0)), "counts")
+    return LineState(postings, counts, state.filters, state.n_shards, postings.count())
 
 
 def dropped_keys(state: LineState) -> DataFrame:
     """(doc_id, keys): for each document that loses lines, the keys it loses, as h1, h2, h1, h2, ..."""
-    maybe = _probe(state.postings, state.filters, state.n_shards, state.n_rows)
-    lost = maybe.join(state.counts.select("h1", "h2", "owner"), ["h1", "h2"]).where("doc_id > owner")
+    maybe = _probe(state.live_postings(), state.filters, state.n_shards, state.n_rows)
+    lost = maybe.join(state.live_counts().where("n_docs > 1").select("h1", "h2", "owner"), ["h1", "h2"]).where("doc_id > owner")
     return lost.groupBy("doc_id").agg(F.flatten(F.collect_list(F.array("h1", "h2"))).alias("__lost"))
 
 
@@ -231,7 +286,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     throughout; an empty table gives an empty table. Columns n_lines and n_dropped of docs are replaced, others kept.
     """
     lost = dropped_keys(build_state(docs, min_chars))
-    docs = without(docs, "n_lines", "n_dropped").withColumn("text", F.col("text").cast("string"))
+    docs, opened = sealed(without(docs, "n_lines", "n_dropped"))
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     lost = lost.withColumnRenamed("doc_id", "__id").hint("shuffle_hash")
     joined = docs.join(lost, docs["doc_id"].cast("long") == lost["__id"], "left").drop("__id")
@@ -261,4 +316,4 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
             cols[at] = pa.array(out, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[:-1], "n_lines", "n_dropped"])
 
-    return joined.mapInArrow(run, schema)
+    return opened(joined.mapInArrow(run, schema), "n_lines", "n_dropped")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, WordHashes, long_array, mix64, saved, shingle_hashes, texts, without
+from .common import U64, WordHashes, long_array, mix64, saved, sealed, shingle_hashes, texts
 from .components import connected_components, union_find
 
 PLACES, BANDS = 128, 32
@@ -227,6 +227,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 
 def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that are the smallest of their component, with all their columns."""
+    """The documents that are the smallest of their component, with all their columns whatever their names."""
+    docs, opened = sealed(docs)
     gone = near_duplicates(docs, k, percent).where("not kept").select(F.col("doc_id").alias("__id")).distinct().hint("shuffle_hash")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__id"], "left_anti")
+    return opened(docs.join(gone, docs["doc_id"].cast("long") == gone["__id"], "left_anti"))

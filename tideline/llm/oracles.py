@@ -15,15 +15,16 @@ def op1() -> str:
     symbols = r"length(regexp_replace({0}, '[^#*$%&|<>]', '', 'g'))"
     separators = f"length(regexp_replace(line, '[^{SEPARATORS}]', '', 'g'))"
     ends = "[" + "".join("\\" + c if c in "]\\^-" else c for c in ENDS) + "]$"
-    phrases = " or ".join(f"contains(lower(line), '{_quoted(p)}')" for p in BOILERPLATE)
+    phrases = " + ".join(f"(length(low) - length(replace(low, '{_quoted(p)}', ''))) // {len(p)}" for p in BOILERPLATE)
+    marks = r"length(regexp_replace(line, '[^!-/:-@\[-\x60\x7B-~]', '', 'g'))"
     names = ", ".join(f"'{n}'" for n in NAVIGATION)
     return rf"""
 with d as (select doc_id, coalesce(text, '') as text, {WORDS.format("coalesce(text, '')")} as w from documents),
-l as (select doc_id, i, trim(line, E' \t\n\v\f\r') as line, line as raw, len({WORDS.format("line")}) as k
+l as (select doc_id, i, trim(line, E' \t\n\v\f\r') as line, translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low, line as raw, len({WORDS.format("line")}) as k
   from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from d)),
-j as (select *, k > 0 and ({symbols.format("line")} > k or ({separators} >= 3 and 3 * {separators} >= k)
-    or (not regexp_matches(line, '{_quoted(ends)}') and k <= 4 and len(list_filter({WORDS.format("lower(line)")}, lambda x: x not in ({names}))) = 0)
-    or {phrases}) as bad,
+j as (select *, k > 0 and ({symbols.format("line")} > k or 3 * {marks} > 2 * length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) or ({separators} >= 3 and 3 * {separators} >= k)
+    or (not regexp_matches(line, '{_quoted(ends)}') and k <= 4 and len(list_filter({WORDS.format("low")}, lambda x: x not in ({names}))) = 0)
+    or k <= 12 * ({phrases})) as bad,
   k > 0 and row_number() over (partition by doc_id, raw order by i) > 1 as dup from l),
 ll as (select doc_id, count_if(dup) as n_dup_lines, count_if(bad) as n_bad_lines, coalesce(sum(k) filter (bad), 0) as n_lost_words from j group by doc_id),
 p as (select doc_id, unnest(w) as a, generate_subscripts(w, 1) as i from d),

@@ -96,7 +96,7 @@ def pack_documents(docs: DataFrame, path: str, length: int = 2048, end_id: int =
     """Per piece: doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset.
 
     Null and empty texts are the end id alone. Rows that share a doc_id, or have none, are packed each for itself.
-    A very long text is cut where its pieces end. Other columns play no part; an empty table gives an empty table.
+    Groups are dealt by a piece and its place in the written pieces, so repeated rows spread too. A very long text is cut where its pieces end. Other columns play no part; an empty table gives an empty table.
     """
     pieces = saved(tokenized(docs, path, length, end_id, with_ids), "pieces")
     groups = max(1, -(-pieces.count() // GROUP_PIECES))
@@ -108,5 +108,5 @@ def pack_documents(docs: DataFrame, path: str, length: int = 2048, end_id: int =
         base = np.int64(key[0].as_py()) << np.int64(32)
         return table.drop_columns(["group"]).append_column("sequence_id", pa.array(base + bins)).append_column("offset", pa.array(offsets))
 
-    grouped = pieces.withColumn("group", F.expr(f"pmod(xxhash64(doc_id, piece, ids_crc32), {groups})")).groupBy("group")
+    grouped = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups))).groupBy("group")
     return grouped.applyInArrow(run, f"{PIECES}, sequence_id long, offset long")

@@ -1,6 +1,7 @@
 """Operator 1, quality rules: clean line by line first, then judge the document by what is lost.
 
-Each line is held against three rules. Lines that fail are removed; a document that loses more than `max_lost_pct`
+Each line is held against three rules: punctuation (symbols, or hardly anything but marks), navigation (rows of
+separators, or menu words alone) and boilerplate (phrases of page furniture, one to every few words). Lines that fail are removed; a document that loses more than `max_lost_pct`
 percent of its words, or that fails the base limits, is rejected. One pass over the documents, no shuffle.
 """
 
@@ -15,16 +16,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
+from .common import sealed, without
 
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 #: Marks that may end a sentence, a heading or a list line.
 ENDS = ".!?:;,\"'”’»…)]。！？"
+#: ASCII marks that are neither letter nor digit.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Phrases of page furniture, in lower case.
 BOILERPLATE = (
-    "accept all cookies", "all rights reserved", "click here to", "cookie policy", "enable javascript", "lorem ipsum",
-    "powered by wordpress", "privacy policy", "sign up for our newsletter", "skip to content", "subscribe to our", "terms of service", "terms of use",
+    "accept all cookies", "add to cart", "all rights reserved", "back to top", "click here to", "cookie policy", "enable javascript", "follow us on", "leave a comment", "leave a reply", "log in to comment",
+    "lorem ipsum", "page not found", "powered by wordpress", "privacy policy", "read more", "related posts", "share on facebook", "share on twitter", "sign up for our newsletter", "skip to content",
+    "subscribe to our", "terms of service", "terms of use", "this site uses cookies", "view cart",
 )
 #: Words that alone make up a navigation line.
 NAVIGATION = ("about", "back", "blog", "contact", "faq", "forward", "help", "home", "login", "logout", "menu", "next", "news", "previous", "register", "search", "share", "sitemap", "top")
@@ -38,8 +42,10 @@ class LineRules:
 
     min_words: fewer words in the whole text fail the base. max_repeat_pct: more words than this share in repeated
     3-word windows fail it. max_symbols_per_word: a line with more symbol characters per word fails the punctuation
-    rule. min_separators: a line with as many separators, at least one to every three words, fails the navigation rule; so does a short
-    line of navigation words alone that has no end mark.
+    rule; so does one of which more than two thirds are marks. min_separators: a line with as many separators, at least one
+    to every three words, fails the navigation rule; so does a line of up to max_menu_words navigation words alone that has
+    no end mark. words_per_phrase: a line with a phrase of page furniture to every so many words or fewer fails the
+    boilerplate rule; a longer text that mentions one does not.
     max_lost_pct: documents losing more of their words are rejected.
     """
 
@@ -47,12 +53,17 @@ class LineRules:
     max_repeat_pct: int = 50
     max_symbols_per_word: int = 1
     min_separators: int = 3
+    max_menu_words: int = 4
+    words_per_phrase: int = 12
     max_lost_pct: int = 50
 
 
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bad_lines", "n_lost_words", "base_failed", "kept", "clean_text")
-_BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)))
-_NAVIGATION = frozenset(NAVIGATION)
+_PHRASES = tuple(p.encode() for p in BOILERPLATE)
+_ANY_PHRASE = re.compile(b"|".join(map(re.escape, _PHRASES)))
+_NAVIGATION = frozenset(n.encode() for n in NAVIGATION)
+_MARKS = MARKS.encode()
+_WHITE = b" \t\n\v\f\r"
 
 
 def line_fails(line: bytes, n_words: int, rules: LineRules) -> bool:
@@ -61,14 +72,17 @@ def line_fails(line: bytes, n_words: int, rules: LineRules) -> bool:
     if n > rules.max_symbols_per_word * n_words:
         return True
     text = line.decode("utf-8", "replace").strip(" \t\n\v\f\r")
+    solid = line.translate(None, _WHITE)
+    marks = len(solid) - len(solid.translate(None, _MARKS))
+    if 3 * marks > 2 * len(solid.decode("utf-8", "replace")):
+        return True
     separators = sum(map(text.count, SEPARATORS))
     if separators >= rules.min_separators and 3 * separators >= n_words:
         return True
-    if text[-1:] not in ENDS:
-        low = text.lower()
-        if n_words <= 4 and all(w in _NAVIGATION for w in low.split()):
-            return True
-    return bool(_BOILERPLATE.search(text.lower()))
+    low = line.lower()
+    if n_words <= rules.max_menu_words and text[-1:] not in ENDS and all(w in _NAVIGATION for w in low.split()):
+        return True
+    return bool(_ANY_PHRASE.search(low)) and n_words <= rules.words_per_phrase * sum(map(low.count, _PHRASES))
 
 
 def judge(text: bytes, rules: LineRules) -> tuple:
@@ -129,8 +143,6 @@ def apply_rules(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """The documents that pass, with all their columns, their failing lines removed from the text."""
-    out = apply_rules(docs, rules).where("kept").withColumn("text", F.col("clean_text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    """The documents that pass, with all their columns whatever their names, their failing lines removed from the text; n_chars follows it."""
+    inner, opened = sealed(docs, new_text=True)
+    return opened(apply_rules(inner, rules).where("kept").withColumn("text", F.col("clean_text")))

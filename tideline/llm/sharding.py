@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, without
+from .common import saved, sealed, without
 
 ROUNDS = 6
 
@@ -37,13 +37,13 @@ def feistel(numbers: np.ndarray, n: int, seed: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def number_rows(rows: DataFrame, name: str = "row_number") -> DataFrame:
-    """rows, which have a column doc_id, with their place in the order of doc_id and then of all other columns, from 0.
+def number_rows(rows: DataFrame, by: list[str], name: str = "row_number") -> DataFrame:
+    """rows with their place in the order of the columns `by`, nulls first, from 0; rows alike in these are ordered anyhow.
 
     A range sort, a count of each range, and a broadcast of those counts: one small row per partition. The sorted
     rows are written before they are counted, so the numbers hold even if a task runs again.
     """
-    order = [F.col("doc_id").asc_nulls_first(), *[F.col(f"`{c}`").asc_nulls_first() for c in rows.columns if c != "doc_id"]]
+    order = [F.col(c).asc_nulls_first() for c in by]
     n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
     placed = saved(placed.withColumn("__at", F.monotonically_increasing_id()), "numbered").withColumn("__part", F.shiftright("__at", 33))
@@ -64,9 +64,17 @@ def assign_shards(docs: DataFrame, shards: int = 16, seed: int = 20240229) -> Da
     anyhow among themselves, which changes no result. Null doc_ids come first. An empty table gives an empty table;
     other columns of docs play no part.
     """
+    return _placed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_digest()), shards, seed)
+
+
+def _digest() -> list[Column]:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    numbered = number_rows(rows)
+    return [(F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")]
+
+
+def _placed(rows: DataFrame, shards: int, seed: int) -> DataFrame:
+    """rows (doc_id, size, text_crc32, ...) with row_number, n_rows, shard and slot."""
+    numbered = number_rows(rows, ["doc_id", "size", "text_crc32"])
 
     @F.pandas_udf("long")
     def permuted(number: pd.Series, n: pd.Series) -> pd.Series:
@@ -77,7 +85,9 @@ def assign_shards(docs: DataFrame, shards: int = 16, seed: int = 20240229) -> Da
 
 
 def shuffled_shards(docs: DataFrame, shards: int = 16, seed: int = 20240229) -> DataFrame:
-    """docs themselves with shard and slot, for writing: documents with a doc_id of their own only, joined by it."""
-    docs = without(docs, "shard", "slot")
-    place = assign_shards(docs, shards, seed).select("doc_id", "shard", "slot")
-    return docs.join(place, "doc_id")
+    """docs themselves with shard and slot, for writing: each row once, also where doc_ids are null or repeated.
+
+    Columns shard and slot of docs are replaced, others kept whatever their names.
+    """
+    inner, opened = sealed(without(docs, "shard", "slot"))
+    return opened(_placed(inner.select("*", *_digest()), shards, seed), "shard", "slot")

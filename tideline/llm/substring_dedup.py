@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, WordHashes, saved, shingle_hashes
+from .common import U64, WordHashes, saved, sealed, shingle_hashes
 from .fm_index import FMIndex
 
 #: Segments of a shard, about, and the least number of shards.
@@ -246,11 +246,8 @@ def remove_repeats(docs: DataFrame, depth: int = 35, gram: int = 16, hot: int =
     Null texts stay null; for the rest see count_removed.
     """
     cuts = reports(scanned(docs, depth, gram, hot), depth, gram).withColumnsRenamed({"doc": "__doc", "mark": "__mark", "cuts": "__cuts"})
-    docs = docs.withColumn("text", F.col("text").cast("string"))
+    docs, opened = sealed(docs, new_text=True)
     doc, mark = F.coalesce(docs["doc_id"].cast("long"), F.lit(-(2**63))), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     joined = docs.join(cuts.hint("shuffle_hash"), (doc == F.col("__doc")) & (mark == F.col("__mark")), "left")
     others = [c for c in docs.columns if c != "text"]
-    out = _cut(joined.select(*[F.col(f"`{c}`") for c in others], "text", F.col("__cuts").alias("cuts")), depth).drop("n_removed")
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return opened(_cut(joined.select(*others, "text", F.col("__cuts").alias("cuts")), depth))

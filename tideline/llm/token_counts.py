@@ -14,10 +14,12 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table_path
+from .common import saved, table_path
 from .pretokens import pretoken_ids
 
 CACHE = "content string, version string, n_tokens long"
+#: Parts into which the rows of one content are dealt.
+SALTS = 32
 
 
 def tokenizer_version(path: str) -> str:
@@ -59,17 +61,19 @@ def count_tokens(docs: DataFrame, path: str, cache: str | None = None) -> DataFr
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("content"), text.alias("text"))
     known = read_cache(spark, cache).where(F.col("version") == version)
     target = cache or table_path(spark, "token_cache")
-    small = rows.select("doc_id", "n_bytes", "content")
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")
+    small = rows.select("doc_id", "n_bytes", "content", salt)
     # One document stands for all of a content; what the cache knows drops out before any text moves.
-    first = small.groupBy("content").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("__doc"))
+    parts = small.groupBy("content", "salt").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("__doc"))
+    parts = saved(parts, "contents")
+    first = parts.groupBy("content").agg(F.min("__doc").alias("__doc"))
     first = first.join(known.select("content"), "content", "left_anti").withColumnRenamed("content", "__content").hint("shuffle_hash")
     misses = rows.join(first, (F.coalesce(rows["doc_id"], F.lit(-(2**63))) == first["__doc"]) & (rows["content"] == first["__content"])).select("content", "text")
     before = known.groupBy("content").agg(F.lit(True).alias("cached"))
     encode_counts(misses, path, version).dropDuplicates(["content"]).write.mode("append").parquet(target)
     after = spark.read.schema(CACHE).parquet(target).where(F.col("version") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
-    out = small.join(after, "content")
-    if cache:
-        out = out.join(before, "content", "left")
-    else:
-        out = out.withColumn("cached", F.lit(None).cast("boolean"))
+    # Rows of one content are dealt over salts, so that a text of very many documents isn't one task.
+    of_part = parts.select("content", "salt").join(after, "content")
+    of_part = of_part.join(before, "content", "left") if cache else of_part.withColumn("cached", F.lit(None).cast("boolean"))
+    out = small.join(of_part, ["content", "salt"])
     return out.select("doc_id", "n_bytes", "n_tokens", F.coalesce("cached", F.lit(False)).alias("cached"))
