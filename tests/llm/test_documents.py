@@ -1,6 +1,8 @@
 """The operators on documents against brute force, on a table with nulls, copies, long texts and clashing columns."""
 
+import functools
 import hashlib
+import math
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -12,6 +14,7 @@ from tideline.llm import line_dedup, lm_scoring, minhash_dedup, packing, piece_s
 from tideline.llm.queries import tokenizer_path
 
 from . import plain
+from .conftest import words
 
 
 def split(text):
@@ -294,5 +297,75 @@ def test_lm_scores(docs, rows, empty):
         tokens = text[r.doc_id, r.n_bytes]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(tokens), sum(w in counts for w in tokens), total)
         assert abs(r.base_score - sum(np.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in tokens)) < 1e-6
-        assert r.score < 0 or r.n_bytes == 0
+        assert r.score < 0 and (r.bits_per_byte is None) == (r.n_bytes == 0)
     assert lm_scoring.score_documents(empty).count() == 0
+
+
+def by_definition(train, texts, depth):
+    """log10 probabilities of texts by context-tree weighting, node by node."""
+    seen = defaultdict(lambda: [0, 0])
+    children = defaultdict(set)
+
+    def decisions(text):
+        raw = b"\0" * depth + text + b"\xff"
+        for i in range(depth, len(raw)):
+            bits = f"{raw[i]:08b}"
+            for j in range(8):
+                yield [(raw[i - d : i], bits[:j]) for d in range(depth + 1)], int(bits[j])
+
+    for text in train:
+        for path, bit in decisions(text):
+            for node in path:
+                seen[node][bit] += 1
+            for up, down in zip(path, path[1:]):
+                children[up].add(down)
+
+    @functools.cache
+    def log_own(node):
+        n0, n1 = seen[node]
+        return math.lgamma(n0 + 0.5) + math.lgamma(n1 + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(n0 + n1 + 1)
+
+    @functools.cache
+    def log_weighted(node):
+        if len(node[0]) == depth:
+            return log_own(node)
+        return float(np.logaddexp(log_own(node), below(node))) - math.log(2)
+
+    @functools.cache
+    def below(node):
+        return sum(map(log_weighted, children[node]))
+
+    out = []
+    for text in texts:
+        total = 0.0
+        for path, bit in decisions(text):
+            mixed = None
+            for node in reversed(path):
+                n = seen[node]
+                own = (n[bit] + 0.5) / (n[0] + n[1] + 1)
+                weight = 1.0 if mixed is None else math.exp(log_own(node) - math.log(2) - log_weighted(node))
+                mixed = own if mixed is None else weight * own + (1 - weight) * mixed
+            total += math.log10(mixed)
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("hot", [10**9, 100])
+def test_lm_scores_by_definition(spark, monkeypatch, hot):
+    """Also with most contexts divided over shards, several bytes deep."""
+    import random
+
+    rng = random.Random(4)
+    texts = [words(rng, rng.randint(1, 40)) for _ in range(30)] + ["", None, "the the the the " * 20, "caf\u00e9 \U0001f600 END"]
+    monkeypatch.setattr(lm_scoring, "HOT_BYTES", hot)
+    monkeypatch.setattr(lm_scoring, "HOT_MOST", 10**9)
+    monkeypatch.setattr(lm_scoring, "MIN_BLOCKS", 4)
+    low = [(t or "").encode().lower() for t in texts]
+    train = [t for i, t in enumerate(low) if zlib.crc32(str(i).encode()) % 7 != 2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    if hot == 100:
+        cuts = lm_scoring.hot_contexts(docs.fillna(""), 4, hot)
+        assert sorted(cuts.hot) == [2, 3] and all(len(c) > 1 for c in cuts.hot.values())
+    out = {r.doc_id: r.score for r in lm_scoring.score_documents(docs, depth=4).collect()}
+    for i, expected in enumerate(by_definition(train, low, 4)):
+        assert abs(out[i] - expected) < 1e-4 * max(1, abs(expected)), i

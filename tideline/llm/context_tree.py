@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import numpy as np
 
-from .common import U64
+from .common import U64, mix64
 
 HALF = np.log(0.5)
-#: Depths below this are weighted over the whole corpus, from the sums of all groups; deeper ones within a group.
+#: Contexts of this many bytes are the largest groups that a tree is cut into; very frequent ones are cut further (see Cuts).
 TOP = 2
+#: Ends each text: a byte that UTF-8 has no use for, so that the model's probabilities are those of whole texts.
+END = b"\xff"
 
 
 def _log_gamma_half(n: np.ndarray) -> np.ndarray:
@@ -86,6 +88,78 @@ def deep(grams: np.ndarray, counts: np.ndarray, depth: int, top: int = TOP) -> t
     return predicted, {n: np.concatenate([t[i] for t in tables]) for i, n in enumerate(names)}
 
 
+def context_of(grams: np.ndarray, length: int) -> np.ndarray:
+    """The `length` bytes before each gram's last, as an integer."""
+    return (grams >> U64(8)) & U64((1 << 8 * length) - 1)
+
+
+class Cuts:
+    """Where trees are cut: hot[d] holds the contexts of d bytes (d = TOP, TOP + 1, ...) that are frequent enough to be divided by
+    their next byte. A gram belongs to the shortest of its contexts, from TOP bytes on, that isn't divided."""
+
+    def __init__(self, hot: dict[int, np.ndarray]):
+        self.hot = {d: np.sort(np.asarray(c, dtype=U64)) for d, c in hot.items()}
+
+    def divided(self, grams: np.ndarray, length: int) -> np.ndarray:
+        """Whether the context of that length is divided; then so are its shorter ones."""
+        table = self.hot.get(length)
+        if table is None or not len(table):
+            return np.zeros(len(grams), dtype=bool)
+        context = context_of(grams, length)
+        return table[np.minimum(np.searchsorted(table, context), len(table) - 1)] == context
+
+    def lengths(self, grams: np.ndarray) -> np.ndarray:
+        out = np.full(len(grams), TOP)
+        for d in sorted(self.hot):
+            out[self.divided(grams, d)] = d + 1
+        return out
+
+    def shards(self, grams: np.ndarray, n: int) -> np.ndarray:
+        """A shard for each gram, the same for all grams of a context that isn't divided."""
+        length = self.lengths(grams).astype(U64)
+        mask = (U64(1) << (U64(8) * length)) - U64(1)
+        return mix64((((grams >> U64(8)) & mask) << U64(3)) ^ length) % U64(n)
+
+
+class DividedNodes:
+    """The nodes of divided contexts: counts and weights, by context and place; built from the deepest up.
+
+    sums: for each length d of divided contexts (key, n0, n1, logs), key context << 8 | place: the sums over the nodes one byte
+    deeper that shards hold. Nodes that are divided themselves add to those above them; what reaches contexts of one byte is `low`.
+    """
+
+    def __init__(self, sums: dict[int, tuple[np.ndarray, ...]]):
+        self.tables: dict[int, tuple[np.ndarray, ...]] = {}
+        above: tuple[np.ndarray, ...] | None = None
+        for d in range(max(sums, default=TOP), TOP - 2, -1):
+            parts = [x for x in (sums.get(d), above) if x is not None]
+            if not parts:
+                continue
+            keys, of = np.unique(np.concatenate([p[0] for p in parts]).astype(U64), return_inverse=True)
+            n0, n1, logs = (np.bincount(of, np.concatenate([p[i] for p in parts]), len(keys)) for i in (1, 2, 3))
+            if d == TOP - 1:
+                self.low = keys, n0, n1, logs
+                return
+            own, weight = _weigh(n0, n1, logs)
+            self.tables[d] = keys, n0, n1, weight
+            above = ((keys >> U64(8)) & U64((1 << 8 * (d - 1)) - 1)) << U64(8) | (keys & U64(255)), n0, n1, own
+        self.low = tuple(np.zeros(0, dtype=t) for t in (U64, float, float, float))
+
+    def mixed(self, grams: np.ndarray, lengths: np.ndarray, predicted: np.ndarray) -> np.ndarray:
+        """predicted, by the nodes at depths lengths and deeper, mixed with those of the divided contexts."""
+        predicted = predicted.copy()
+        symbols = (grams & U64(255)).astype(np.int64)
+        for d in sorted(self.tables, reverse=True):
+            on = np.flatnonzero(lengths > d)
+            keys, n0, n1, weight = self.tables[d]
+            for j in range(8):
+                place, bit = decisions(symbols[on], j)
+                at = np.searchsorted(keys, (context_of(grams[on], d) << U64(8)) | place.astype(U64))
+                own = (np.where(bit, n1[at], n0[at]) + 0.5) / (n0[at] + n1[at] + 1)
+                predicted[on, j] = weight[at] * own + (1 - weight[at]) * predicted[on, j]
+        return predicted
+
+
 class TopNodes:
     """The nodes at depths 0 and 1: 256 + 256 * 256 places at most, whatever the corpus."""
 

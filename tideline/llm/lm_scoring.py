@@ -3,9 +3,11 @@
 The corpus is dealt into blocks of some megabytes by doc_id. Each block counts its grams (context bytes and the byte that
 follows) and its words, and sends them to the shards of their keys as packed arrays: one row for each block and shard.
 A shard merges the counts of all blocks, builds its part of the trees, and answers each block with one value per key in the
-block's own order, so keys travel once. The nodes of depth 0 and 1, bounded by 65,792 places, are summed over the shards
-and handed to all. Blocks then score their documents against the values they got. No table of the corpus is broadcast,
-and nothing is dropped: rare contexts and words are counted like others.
+block's own order, so keys travel once. Shards hold whole contexts of two bytes; those that hold over HOT_BYTES of the
+corpus are divided by the byte before, and so on, so that no context makes one shard heavy. The nodes above the shards (depth 0
+and 1: 65,792 places at most; and those of the divided contexts, 255 for each of HOT_MOST a depth at most) are summed over the
+shards and handed to all. Blocks then score their documents against the values they got. No table that grows with the corpus
+is broadcast, and nothing is dropped: rare contexts and words are counted like others.
 """
 
 from __future__ import annotations
@@ -16,11 +18,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WordHashes, mix64, saved
-from .context_tree import TOP, Counter, TopNodes, deep, gram_codes
+from .common import U64, WordHashes, saved
+from .context_tree import END as LAST
+from .context_tree import TOP, Counter, Cuts, DividedNodes, TopNodes, context_of, deep, gram_codes
 
-#: Bytes of text in a block, about; the least number of blocks; keys of a shard, about.
-BLOCK_BYTES, MIN_BLOCKS, SHARD_BYTES, MIN_SHARDS = 32_000_000, 32, 16_000_000, 64
+#: Bytes of text in a block, about; the least number of blocks; bytes of text for each shard, and the least number of these.
+BLOCK_BYTES, MIN_BLOCKS, SHARD_BYTES, MIN_SHARDS = 16_000_000, 32, 16_000_000, 64
+#: A context is divided if it stands before more bytes than this, and more than one in HOT_MOST of the corpus.
+HOT_BYTES, HOT_MOST = 16_000_000, 4096
 #: Bytes of text whose grams are taken at a time.
 CHUNK = 2_000_000
 END = b"\n"  # no word: stands for the end of a document
@@ -58,16 +63,48 @@ def _spread(begins: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
     return np.repeat(values, np.diff(np.append(begins, n)))
 
 
-def block_counts(texts: list[bytes], train: np.ndarray, depth: int, shards: int) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+def block_grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of all bytes of some texts and of each one's end, in order, and where each text begins."""
+    return gram_codes([t + LAST for t in texts], depth)
+
+
+def hot_contexts(rows: DataFrame, depth: int, least: int) -> Cuts:
+    """The contexts of `rows` (text) that stand before more than `least` bytes: those of TOP bytes, of these the ones a byte longer, ..."""
+    hot: dict[int, np.ndarray] = {}
+    for length in range(TOP, depth):
+        cuts = Cuts(dict(hot))
+
+        def run(batches: Iterator, length: int = length, cuts: Cuts = cuts) -> Iterator:
+            import pyarrow as pa
+
+            found = Counter()
+            for batch in batches:
+                texts = [t.lower() for t in batch.column(0).cast(pa.binary()).to_pylist()]
+                for a, b in chunks(texts):
+                    grams, _ = block_grams(texts[a:b], length)
+                    if length > TOP:
+                        grams = grams[cuts.divided(grams, length - 1)]
+                    found.add(*np.unique(context_of(grams, length), return_counts=True))
+            yield pa.RecordBatch.from_arrays([pa.array(found.table.keys.view(np.int64)), pa.array(found.counts)], names=["context", "n"])
+
+        counted = rows.select("text").mapInArrow(run, "context long, n long").groupBy("context").agg(F.sum("n").alias("n"))
+        top = [r["context"] for r in counted.where(F.col("n") > least).collect()]  # each holds a share of the corpus: HOT_MOST at most
+        if not top:
+            break
+        hot[length] = np.array(top, dtype=np.int64).view(U64)
+    return Cuts(hot)
+
+
+def block_counts(texts: list[bytes], train: np.ndarray, depth: int, shards: int, cuts: Cuts) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
     """(keys, counts, shard bounds) of the grams and of the words of a block, ordered by shard and key; with the words' and grams' tables."""
     grams, words, hashes = Counter(), Counter(), WordHashes()
     for a, b in chunks(texts):
-        codes, begins = gram_codes(texts[a:b], depth)
+        codes, begins = block_grams(texts[a:b], depth)
         grams.add(codes, _spread(begins, len(codes), train[a:b]))
         keys, begins = word_keys(texts[a:b], hashes)
         words.add(keys, _spread(begins, len(keys), train[a:b]))
     out = []
-    for counter, shard in ((grams, (mix64((grams.table.keys >> U64(8)) & U64((1 << 8 * TOP) - 1)) % U64(shards))), (words, words.table.keys % U64(shards))):
+    for counter, shard in ((grams, cuts.shards(grams.table.keys, shards)), (words, words.table.keys % U64(shards))):
         order = np.argsort(shard.astype(np.int64), kind="stable")
         bounds = np.searchsorted(shard[order], np.arange(shards + 1, dtype=U64))
         out.append((counter, order, bounds))
@@ -82,15 +119,16 @@ def _train(doc_id):
 def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
     """Per row of docs: doc_id, held_out, n_bytes, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
-    score: log10 probability of the text's bytes, A-Z in lower case, under the context-tree model of the training documents' bytes; base_score:
-    of its words and its end under add-one counts. Null text: empty, one token, score 0 and no
-    bits_per_byte. A null doc_id is trained on; repeated rows are documents of their own. Texts are whole; without
+    score: log10 probability of the text's bytes, A-Z in lower case, and of its end, under the context-tree model of the training
+    documents' bytes; base_score: of its words and its end under add-one counts. bits_per_byte: the code length that score stands
+    for, per byte of text. Null text: empty, one token, and no bits_per_byte. A null doc_id is trained on; repeated rows are documents of their own. Texts are whole; without
     training documents all predictions are even. Other columns play no part; an empty table gives an empty table.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, shards = max(MIN_BLOCKS, -(-total // BLOCK_BYTES)), max(MIN_SHARDS, -(-total // SHARD_BYTES))
+    cuts = hot_contexts(rows, depth, max(HOT_BYTES, total // HOT_MOST))
     rows = rows.withColumn("train", _train(F.col("doc_id"))).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
 
     def read(table) -> tuple[list[bytes], np.ndarray]:
@@ -102,7 +140,7 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
         import pyarrow as pa
 
         out = {n: [] for n in ("shard", "g_keys", "g_counts", "w_keys", "w_counts")}
-        (grams, g_order, g_at), (words, w_order, w_at) = block_counts(*read(table), depth, shards)
+        (grams, g_order, g_at), (words, w_order, w_at) = block_counts(*read(table), depth, shards, cuts)
         for s in range(shards):
             g, w = g_order[g_at[s] : g_at[s + 1]], w_order[w_at[s] : w_at[s + 1]]
             if len(g) or len(w):
@@ -111,7 +149,8 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
                     column.append(x)
         return pa.table({"block": pa.array([key[0].as_py()] * len(out["shard"]), pa.int64()), "shard": pa.array(out.pop("shard"), pa.int64()), **{k: pa.array(v, pa.binary()) for k, v in out.items()}})
 
-    counted = rows.groupBy("block").applyInArrow(count, "block long, shard long, g_keys binary, g_counts binary, w_keys binary, w_counts binary")
+    # Partitions are as many as blocks and shards, whatever the session's setting.
+    counted = rows.repartition(blocks, "block").groupBy("block").applyInArrow(count, "block long, shard long, g_keys binary, g_counts binary, w_keys binary, w_counts binary")
 
     def merge(table):
         import pyarrow as pa
@@ -124,39 +163,49 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
 
         grams, n, g_of = joined("g_keys", "g_counts")
         words, c, w_of = joined("w_keys", "w_counts")
-        predicted, nodes = deep(grams, n, depth) if len(grams) else (np.ones((0, 8)), {k: np.empty(0) for k in ("context", "place", "n0", "n1", "logs")})
-        low, at = np.unique((nodes["context"].astype(np.int64) & 255) * 256 + nodes["place"].astype(np.int64), return_inverse=True)
-        sums = {k: pa.array([np.bincount(at, nodes[k], len(low)).tolist()], pa.list_(pa.float64())) for k in ("n0", "n1", "logs")}
+        lengths, predicted = cuts.lengths(grams), np.ones((len(grams), 8))
+        sums = {k: [] for k in ("length", "key", "n0", "n1", "logs")}
+        for d in np.unique(lengths).tolist():
+            on = lengths == d
+            predicted[on], nodes = deep(grams[on], n[on], depth, d)
+            upper = ((nodes["context"].astype(np.int64) & ((1 << 8 * (d - 1)) - 1)) << 8) | nodes["place"].astype(np.int64)
+            key, at = np.unique(upper, return_inverse=True)
+            for k, x in (("length", np.full(len(key), d - 1)), ("key", key), *((c, np.bincount(at, nodes[c], len(key))) for c in ("n0", "n1", "logs"))):
+                sums[k].append(x)
+        flat = {k: pa.array([np.concatenate(x).tolist() if x else []], pa.list_(pa.int64() if k in ("length", "key") else pa.float64())) for k, x in sums.items()}
         return pa.table({
-            "shard": table["shard"][:1], "blocks": pa.array([table["block"].to_pylist()], pa.list_(pa.int64())),
-            "tails": pa.array([(grams & U64(0xFFFF)).astype(np.uint16).tobytes()], pa.binary()), "predicted": pa.array([predicted.astype(np.float32).tobytes()], pa.binary()),
+            "shard": table["shard"][:1], "blocks": pa.array([table["block"].to_pylist()], pa.list_(pa.int64())), "grams": pa.array([grams.tobytes()], pa.binary()), "predicted": pa.array([predicted.astype(np.float32).tobytes()], pa.binary()),
             "g_of": pa.array([[pack(x) for x in g_of]], pa.list_(pa.binary())), "w_counts": pa.array([[pack(c[x].astype(np.int64)) for x in w_of]], pa.list_(pa.binary())),
-            "low": pa.array([low.tolist()], pa.list_(pa.int64())), **sums, "tokens": pa.array([int(c.sum())], pa.int64()), "types": pa.array([int((c > 0).sum())], pa.int64()),
+            **flat, "tokens": pa.array([int(c.sum())], pa.int64()), "types": pa.array([int((c > 0).sum())], pa.int64()),
         })
 
-    schema = "shard long, blocks array<long>, tails binary, predicted binary, g_of array<binary>, w_counts array<binary>, low array<long>, n0 array<double>, n1 array<double>, logs array<double>, tokens long, types long"
-    model = saved(counted.groupBy("shard").applyInArrow(merge, schema), "model")
-    tops = model.select(F.explode(F.arrays_zip("low", "n0", "n1", "logs")).alias("x")).groupBy("x.low").agg(*[F.sum(f"x.{c}").alias(c) for c in ("n0", "n1", "logs")]).toPandas()  # 65,280 rows at most
+    schema = "shard long, blocks array<long>, grams binary, predicted binary, g_of array<binary>, w_counts array<binary>, length array<long>, key array<long>, n0 array<double>, n1 array<double>, logs array<double>, tokens long, types long"
+    model = saved(counted.repartition(shards, "shard").groupBy("shard").applyInArrow(merge, schema), "model")
+    upper = model.select(F.explode(F.arrays_zip("length", "key", "n0", "n1", "logs")).alias("x")).groupBy("x.length", "x.key").agg(*[F.sum(f"x.{c}").alias(c) for c in ("n0", "n1", "logs")]).toPandas()  # the nodes above the shards
     n_train, n_types = model.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
-    top = TopNodes(tops["low"].to_numpy() >> 8, tops["low"].to_numpy() & 255, *[tops[c].to_numpy() for c in ("n0", "n1", "logs")])
+    divided = DividedNodes({int(d): tuple(part[c].to_numpy() for c in ("key", "n0", "n1", "logs")) for d, part in upper.groupby("length")})
+    low = divided.low[0].astype(np.int64)
+    top = TopNodes(low >> 8, low & 255, *divided.low[1:])
 
     def answer(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             for row in batch.to_pylist():
-                values = top.log10(np.frombuffer(row["tails"], dtype=np.uint16).astype(U64), np.frombuffer(row["predicted"], dtype=np.float32).reshape(-1, 8).astype(np.float64)).astype(np.float32)
+                grams = np.frombuffer(row["grams"], dtype=U64)
+                values = divided.mixed(grams, cuts.lengths(grams), np.frombuffer(row["predicted"], dtype=np.float32).reshape(-1, 8).astype(np.float64))
+                values = top.log10(grams, values).astype(np.float32)
                 n = len(row["blocks"])
                 answers = [values[unpack(x)].tobytes() for x in row["g_of"]]
                 yield pa.RecordBatch.from_arrays([pa.array(row["blocks"], pa.int64()), pa.array([row["shard"]] * n, pa.int64()), pa.array(answers, pa.binary()), pa.array(row["w_counts"], pa.binary())], names=["to_block", "shard", "g_values", "w_counts"])
 
-    answers = model.select("shard", "blocks", "tails", "predicted", "g_of", "w_counts").mapInArrow(answer, "to_block long, shard long, g_values binary, w_counts binary")
+    answers = model.select("shard", "blocks", "grams", "predicted", "g_of", "w_counts").mapInArrow(answer, "to_block long, shard long, g_values binary, w_counts binary")
 
     def score(left, right):
         import pyarrow as pa
 
         texts, train = read(left)
-        (grams, g_order, _), (words, w_order, _) = block_counts(texts, train, depth, shards)
+        (grams, g_order, _), (words, w_order, _) = block_counts(texts, train, depth, shards, cuts)
         got = sorted(right.to_pylist(), key=lambda r: r["shard"])
         g_values, w_values = np.empty(len(g_order)), np.empty(len(w_order), dtype=np.int64)
         g_values[g_order] = np.concatenate([np.frombuffer(r["g_values"], dtype=np.float32) for r in got])
@@ -164,7 +213,7 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
         out = np.zeros((len(texts), 4))
         hashes, scale = WordHashes(), np.log10(max(1, n_train + n_types + 1))
         for a, b in chunks(texts):
-            codes, begins = gram_codes(texts[a:b], depth)
+            codes, begins = block_grams(texts[a:b], depth)
             sums = np.concatenate([[0.0], np.cumsum(g_values[grams.table.find(codes)])])
             out[a:b, 0] = sums[np.append(begins[1:], len(codes))] - sums[begins]
             keys, begins = word_keys(texts[a:b], hashes)
@@ -180,4 +229,4 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
         })
 
     schema = "doc_id long, held_out boolean, n_bytes long, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    return rows.groupBy("block").cogroup(answers.groupBy("to_block")).applyInArrow(score, schema)
+    return rows.repartition(blocks, "block").groupBy("block").cogroup(answers.repartition(blocks, "to_block").groupBy("to_block")).applyInArrow(score, schema)
