@@ -23,7 +23,7 @@ from .context_tree import END as LAST
 from .context_tree import TOP, Counter, Cuts, DividedNodes, TopNodes, context_of, deep, gram_codes
 
 #: Bytes of text in a block, about; the least number of blocks; bytes of text for each shard, and the least number of these.
-BLOCK_BYTES, MIN_BLOCKS, SHARD_BYTES, MIN_SHARDS = 16_000_000, 32, 16_000_000, 64
+BLOCK_BYTES, MIN_BLOCKS, SHARD_BYTES, MIN_SHARDS = 16_000_000, 8, 16_000_000, 32
 #: A context is divided if it stands before more bytes than this, and more than one in HOT_MOST of the corpus.
 HOT_BYTES, HOT_MOST = 16_000_000, 4096
 #: Bytes of text whose grams are taken at a time.
@@ -68,24 +68,47 @@ def block_grams(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]
     return gram_codes([t + LAST for t in texts], depth)
 
 
+#: Each byte as itself, A-Z in lower case.
+LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+
+
 def hot_contexts(rows: DataFrame, depth: int, least: int) -> Cuts:
-    """The contexts of `rows` (text) that stand before more than `least` bytes: those of TOP bytes, of these the ones a byte longer, ..."""
+    """The contexts of `rows` (text) that stand before more than `least` bytes: those of TOP bytes, of these the ones a byte longer, ...
+
+    They are counted over the texts of an Arrow batch one after the other; where trees are cut changes no result.
+    """
     hot: dict[int, np.ndarray] = {}
     for length in range(TOP, depth):
-        cuts = Cuts(dict(hot))
 
-        def run(batches: Iterator, length: int = length, cuts: Cuts = cuts) -> Iterator:
+        def run(batches: Iterator, length: int = length, hot: dict = dict(hot)) -> Iterator:
             import pyarrow as pa
 
-            found = Counter()
+            divided = {d: np.isin(np.arange(1 << 8 * TOP, dtype=U64), c) if d == TOP else np.sort(c) for d, c in hot.items()}
+            pairs, longer = np.zeros(1 << 8 * TOP, dtype=np.int64), Counter()
             for batch in batches:
-                texts = [t.lower() for t in batch.column(0).cast(pa.binary()).to_pylist()]
-                for a, b in chunks(texts):
-                    grams, _ = block_grams(texts[a:b], length)
-                    if length > TOP:
-                        grams = grams[cuts.divided(grams, length - 1)]
-                    found.add(*np.unique(context_of(grams, length), return_counts=True))
-            yield pa.RecordBatch.from_arrays([pa.array(found.table.keys.view(np.int64)), pa.array(found.counts)], names=["context", "n"])
+                column = batch.column(0).cast(pa.large_binary())
+                offsets, data = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset :], column.buffers()[2]
+                raw = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[len(column)]] if data else np.empty(0, dtype=np.uint8)
+                for at in range(0, len(raw), CHUNK):
+                    part = LOWER[raw[max(0, at - depth) : at + CHUNK]]
+                    two = part[:-1].astype(np.uint16) << 8 | part[1:]
+                    if length == TOP:
+                        pairs += np.bincount(two, minlength=len(pairs))
+                        continue
+                    ends = np.flatnonzero(divided[TOP][two]) + 1
+                    context, size = two[ends - 1].astype(U64), TOP
+                    while size < length:
+                        ends, context = ends[ends >= size], context[ends >= size]
+                        context |= part[ends - size].astype(U64) << U64(8 * size)
+                        size += 1
+                        if size < length:
+                            at_size = divided[size]
+                            on = at_size[np.minimum(np.searchsorted(at_size, context), len(at_size) - 1)] == context
+                            ends, context = ends[on], context[on]
+                    found, n = np.unique(context, return_counts=True)
+                    longer.add(found, n)
+            keys, n = (np.flatnonzero(pairs), pairs[pairs > 0]) if length == TOP else (longer.table.keys.view(np.int64), longer.counts)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], names=["context", "n"])
 
         counted = rows.select("text").mapInArrow(run, "context long, n long").groupBy("context").agg(F.sum("n").alias("n"))
         top = [r["context"] for r in counted.where(F.col("n") > least).collect()]  # each holds a share of the corpus: HOT_MOST at most
@@ -129,7 +152,7 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, shards = max(MIN_BLOCKS, -(-total // BLOCK_BYTES)), max(MIN_SHARDS, -(-total // SHARD_BYTES))
     cuts = hot_contexts(rows, depth, max(HOT_BYTES, total // HOT_MOST))
-    rows = rows.withColumn("train", _train(F.col("doc_id"))).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    rows = rows.withColumn("train", _train(F.col("doc_id"))).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
     def read(table) -> tuple[list[bytes], np.ndarray]:
         import pyarrow as pa
@@ -147,10 +170,10 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
                 row = (s, pack(grams.table.keys[g]), pack(grams.counts[g]), pack(words.table.keys[w].view(np.int64)), pack(words.counts[w]))
                 for column, x in zip(out.values(), row):
                     column.append(x)
-        return pa.table({"block": pa.array([key[0].as_py()] * len(out["shard"]), pa.int64()), "shard": pa.array(out.pop("shard"), pa.int64()), **{k: pa.array(v, pa.binary()) for k, v in out.items()}})
+        return pa.table({"block": pa.array([key[0].as_py()] * len(out["shard"]), pa.int32()), "shard": pa.array(out.pop("shard"), pa.int32()), **{k: pa.array(v, pa.binary()) for k, v in out.items()}})
 
-    # Partitions are as many as blocks and shards, whatever the session's setting.
-    counted = rows.repartition(blocks, "block").groupBy("block").applyInArrow(count, "block long, shard long, g_keys binary, g_counts binary, w_keys binary, w_counts binary")
+    # A partition for each block and each shard, whatever the session's setting: no task holds two by chance.
+    counted = rows.repartitionById(blocks, "block").groupBy("block").applyInArrow(count, "block int, shard int, g_keys binary, g_counts binary, w_keys binary, w_counts binary")
 
     def merge(table):
         import pyarrow as pa
@@ -174,13 +197,13 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
                 sums[k].append(x)
         flat = {k: pa.array([np.concatenate(x).tolist() if x else []], pa.list_(pa.int64() if k in ("length", "key") else pa.float64())) for k, x in sums.items()}
         return pa.table({
-            "shard": table["shard"][:1], "blocks": pa.array([table["block"].to_pylist()], pa.list_(pa.int64())), "grams": pa.array([grams.tobytes()], pa.binary()), "predicted": pa.array([predicted.astype(np.float32).tobytes()], pa.binary()),
+            "shard": table["shard"][:1], "blocks": pa.array([table["block"].to_pylist()], pa.list_(pa.int32())), "grams": pa.array([grams.tobytes()], pa.binary()), "predicted": pa.array([predicted.astype(np.float32).tobytes()], pa.binary()),
             "g_of": pa.array([[pack(x) for x in g_of]], pa.list_(pa.binary())), "w_counts": pa.array([[pack(c[x].astype(np.int64)) for x in w_of]], pa.list_(pa.binary())),
             **flat, "tokens": pa.array([int(c.sum())], pa.int64()), "types": pa.array([int((c > 0).sum())], pa.int64()),
         })
 
-    schema = "shard long, blocks array<long>, grams binary, predicted binary, g_of array<binary>, w_counts array<binary>, length array<long>, key array<long>, n0 array<double>, n1 array<double>, logs array<double>, tokens long, types long"
-    model = saved(counted.repartition(shards, "shard").groupBy("shard").applyInArrow(merge, schema), "model")
+    schema = "shard int, blocks array<int>, grams binary, predicted binary, g_of array<binary>, w_counts array<binary>, length array<long>, key array<long>, n0 array<double>, n1 array<double>, logs array<double>, tokens long, types long"
+    model = saved(counted.repartitionById(shards, "shard").groupBy("shard").applyInArrow(merge, schema), "model")
     upper = model.select(F.explode(F.arrays_zip("length", "key", "n0", "n1", "logs")).alias("x")).groupBy("x.length", "x.key").agg(*[F.sum(f"x.{c}").alias(c) for c in ("n0", "n1", "logs")]).toPandas()  # the nodes above the shards
     n_train, n_types = model.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
     divided = DividedNodes({int(d): tuple(part[c].to_numpy() for c in ("key", "n0", "n1", "logs")) for d, part in upper.groupby("length")})
@@ -197,9 +220,9 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
                 values = top.log10(grams, values).astype(np.float32)
                 n = len(row["blocks"])
                 answers = [values[unpack(x)].tobytes() for x in row["g_of"]]
-                yield pa.RecordBatch.from_arrays([pa.array(row["blocks"], pa.int64()), pa.array([row["shard"]] * n, pa.int64()), pa.array(answers, pa.binary()), pa.array(row["w_counts"], pa.binary())], names=["to_block", "shard", "g_values", "w_counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(row["blocks"], pa.int32()), pa.array([row["shard"]] * n, pa.int32()), pa.array(answers, pa.binary()), pa.array(row["w_counts"], pa.binary())], names=["to_block", "shard", "g_values", "w_counts"])
 
-    answers = model.select("shard", "blocks", "grams", "predicted", "g_of", "w_counts").mapInArrow(answer, "to_block long, shard long, g_values binary, w_counts binary")
+    answers = model.select("shard", "blocks", "grams", "predicted", "g_of", "w_counts").mapInArrow(answer, "to_block int, shard int, g_values binary, w_counts binary")
 
     def score(left, right):
         import pyarrow as pa
@@ -229,4 +252,4 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
         })
 
     schema = "doc_id long, held_out boolean, n_bytes long, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    return rows.repartition(blocks, "block").groupBy("block").cogroup(answers.repartition(blocks, "to_block").groupBy("to_block")).applyInArrow(score, schema)
+    return rows.repartitionById(blocks, "block").groupBy("block").cogroup(answers.repartitionById(blocks, "to_block").groupBy("to_block")).applyInArrow(score, schema)
