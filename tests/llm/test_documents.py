@@ -190,7 +190,7 @@ def test_substring_dedup(docs, rows, empty):
         kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
         expected[doc, len(w), len(gone), hashlib.sha256(kept).hexdigest()] += 1
     for hot in (200, 2):
-        assert Counter(map(tuple, substring_dedup.count_removed(docs, hot=hot).collect())) == expected
+        assert Counter(map(tuple, substring_dedup.count_removed(docs, split=hot).collect())) == expected
     assert substring_dedup.count_removed(empty).count() == 0
     out = substring_dedup.remove_repeats(docs)
     assert out.columns == docs.columns and out.count() == len(rows)

@@ -3,11 +3,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import DataFrame
 
 from tideline.llm import lm_scoring, minhash_dedup, piece_sampling, substring_dedup
 from tideline.llm.common import WordHashes
+from tideline.llm.fm_index import Bits, FMIndex
 from tideline.llm.queries import tokenizer_path
 
 
@@ -57,6 +59,7 @@ def test_rows_without_an_id_are_not_one_group(spark):
     texts = [" ".join(f"w{i}x{k}" for k in range(40)) + " " + shared for i in range(30)]
     docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
     scan = substring_dedup.scanned(docs, 35, 16, 200).collect()
+    assert all(r.doc_id is None for r in scan)
     # Of the other texts' anchors only those that the text itself holds.
     words = {r.mark: substring_dedup.anchors(WordHashes().of(r.text.encode().split()), 35, 16)[0] for r in scan if r.text}
     assert len(words) == 30 and all({*r.anchors} <= {*words[r.mark].tolist()} for r in scan)
@@ -66,6 +69,44 @@ def test_rows_without_an_id_are_not_one_group(spark):
     assert [r.n_removed for r in substring_dedup.count_removed(docs).collect()] == [60] * 30
 
 
+def test_ids_at_the_ends_of_their_range(spark):
+    shared = " ".join(f"s{i}" for i in range(60))
+    docs = spark.createDataFrame([(-(2**63), shared), (None, shared), (0, shared + " x"), (2**63 - 1, None)], "doc_id long, text string")
+    out = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.count_removed(docs).collect()}
+    assert out == {-(2**63): (60, 60), None: (60, 60), 0: (61, 60), 2**63 - 1: (0, 0)}
+
+
+def test_repeats_are_found_by_the_search(spark, monkeypatch):
+    """Without what backward search answers nothing is cut; the index alone tells how often another text's windows stand in it."""
+    shared = " ".join(f"s{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"a{i} " + shared + f" b{i}") for i in range(5)], "doc_id long, text string")
+    assert [r.n_removed for r in substring_dedup.count_removed(docs).collect()] == [60] * 5
+    rng = np.random.default_rng(3)
+    text = rng.integers(1, 4, 400)
+    text[::50] = 0
+    index = FMIndex(text, np.ones(400, dtype=np.int64), 4, 6)
+    other = rng.integers(1, 6, 300)  # with symbols that the index doesn't know
+    found = index.matches(other, np.array([0, 150]), np.array([150, 300]))
+    for i in range(300):
+        window = other[i : i + 6].tolist()
+        whole = len(window) == 6 and (i + 6 <= 150 or i >= 150)
+        assert found[i] == (sum(text[k : k + 6].tolist() == window for k in range(395)) if whole else 0)
+    table = pa.table({"d1": [1, 2], "d2": [1, 2], "n": [1, 1], "words": [b" ".join(b"w%d" % i for i in range(40)), b" ".join(b"w%d" % i for i in range(3, 43))]})
+    assert substring_dedup.search_shard(table, 35)["runs"].to_pylist() == [[3, 6], [0, 3]]
+    monkeypatch.setattr(FMIndex, "matches", lambda self, text, starts, ends: np.ones(len(text), dtype=np.int64))
+    assert substring_dedup.search_shard(table, 35).num_rows == 0
+
+
+def test_bits():
+    rng = np.random.default_rng(1)
+    for n in (1, 63, 64, 65, 1000):
+        raw = (rng.random(n) < 0.3).astype(np.uint8)
+        raw[-1] = 1
+        bits, ones = Bits(raw), np.flatnonzero(raw)
+        assert bits.rank(np.arange(n)).tolist() == (np.cumsum(raw) - raw).tolist()
+        assert bits.select(np.arange(len(ones))).tolist() == ones.tolist()
+
+
 def test_scores_spread_rows_without_an_id(spark, monkeypatch):
     texts = [f"text number {i} of many" for i in range(200)]
     blocks: list[DataFrame] = []

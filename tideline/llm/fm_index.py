@@ -7,26 +7,47 @@ import numpy as np
 _ONE = np.uint64(1)
 
 
+class Bits:
+    """A packed bit vector with a 32-bit count for every 64-bit word: half a bit of counts to each bit."""
+
+    def __init__(self, bits: np.ndarray):
+        packed = np.packbits(bits, bitorder="little")
+        self.words = np.zeros((len(bits) >> 6) + 1, dtype=np.uint64)
+        self.words.view(np.uint8)[: len(packed)] = packed
+        self.before = np.zeros(len(self.words), dtype=np.uint32)
+        np.cumsum(np.bitwise_count(self.words)[:-1], out=self.before[1:], dtype=np.uint32)
+
+    def rank(self, at: np.ndarray) -> np.ndarray:
+        """Ones before each place."""
+        w = at >> 6
+        return self.before[w].astype(np.int64) + np.bitwise_count(self.words[w] & ((_ONE << (at & 63).astype(np.uint64)) - _ONE))
+
+    def select(self, k: np.ndarray) -> np.ndarray:
+        """The place of the k-th one, from 0; k below the number of ones."""
+        w = np.searchsorted(self.before, k, side="right") - 1
+        rest, word, at = k - self.before[w].astype(np.int64), self.words[w], np.zeros(len(k), dtype=np.int64)
+        for width in (32, 16, 8, 4, 2, 1):  # into the half of the word that holds it
+            low = np.bitwise_count(word & ((_ONE << np.uint64(width)) - _ONE)).astype(np.int64)
+            up = rest >= low
+            rest, at = np.where(up, rest - low, rest), np.where(up, at + width, at)
+            word = np.where(up, word >> np.uint64(width), word)
+        return w * 64 + at
+
+
 class WaveletMatrix:
-    """A wavelet tree in matrix form: a packed bit vector with counts per 64-bit word for each bit of the symbols."""
+    """A wavelet tree in matrix form: a bit vector for each bit of the symbols."""
 
     def __init__(self, symbols: np.ndarray, n_symbols: int):
         self.levels, seq = [], symbols
         for bit in range(max(1, int(n_symbols - 1).bit_length()) - 1, -1, -1):
             bits = ((seq >> bit) & 1).astype(np.uint8)
-            packed = np.packbits(bits, bitorder="little")
-            words = np.zeros((len(bits) >> 6) + 1, dtype=np.uint64)
-            words.view(np.uint8)[: len(packed)] = packed
-            before = np.zeros(len(words), dtype=np.int64)
-            np.cumsum(np.bitwise_count(words)[:-1], out=before[1:], dtype=np.int64)
-            self.levels.append((bit, words, before, len(bits) - int(bits.sum())))
+            self.levels.append((bit, Bits(bits), len(bits) - int(bits.sum())))
             seq = np.concatenate([seq[bits == 0], seq[bits == 1]])
         self.starts = self._walk(np.arange(n_symbols), np.zeros(n_symbols, dtype=np.int64))
 
     def _walk(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
-        for bit, words, before, zeros in self.levels:
-            w = at >> 6
-            ones = before[w] + np.bitwise_count(words[w] & ((_ONE << (at & 63).astype(np.uint64)) - _ONE))
+        for bit, bits, zeros in self.levels:
+            ones = bits.rank(at)
             at = np.where((symbols >> bit) & 1, zeros + ones, at - ones)
         return at
 
@@ -38,8 +59,10 @@ class WaveletMatrix:
 class FMIndex:
     """Index of a text of symbols >= 1 in which 0 separates documents, for windows of `depth` symbols.
 
-    Suffixes are sorted by at least depth + 1 symbols, which backward search over windows of that depth needs; weights
-    say how often each place of the text counts.
+    It keeps the wavelet tree of the Burrows-Wheeler transform, where the symbols begin, a bit for each suffix whose common
+    prefix with the one before is shorter than depth, and the sums of the weights (how often a place of the text counts) in
+    the order of the suffixes. Neither the text nor its suffixes are kept: which windows are equal is known by search
+    alone. Suffixes are sorted by at least depth + 1 symbols, which backward search over windows of that depth needs.
     """
 
     def __init__(self, text: np.ndarray, weights: np.ndarray, n_symbols: int, depth: int):
@@ -56,9 +79,7 @@ class FMIndex:
         key = rank * (int(rank.max()) + 1)
         order = np.argsort(key + shifted(rank, width), kind="stable")
         window = (key + shifted(rank, depth - width))[order]
-        edge = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
-        self.block = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, n)))
-        self.block_start, self.block_end = edge, np.append(edge[1:], n)
+        self.short = Bits(np.concatenate([np.concatenate([[True], window[1:] != window[:-1]])[:n], [True]]).astype(np.uint8))
         self.weight = np.concatenate([[0], np.cumsum(weights[order])])
         self.wavelet = WaveletMatrix(text[order - 1], n_symbols)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n_symbols))])
@@ -84,8 +105,9 @@ class FMIndex:
             size = np.where(ok, size + 1, size)
             full = np.flatnonzero(ok & (size >= depth))
             if len(full):
-                b = self.block[left[full]]
-                left[full], right[full] = self.block_start[b], self.block_end[b]
+                # The parent of the interval at full depth: all suffixes that agree on the first depth symbols.
+                k = self.short.rank(left[full] + 1)
+                left[full], right[full] = self.short.select(k - 1), self.short.select(k)
                 size[full] = depth
                 out[at[full]] = self.weight[right[full]] - self.weight[left[full]]
             bad = ~ok

@@ -1,14 +1,17 @@
 """Operator 3, repeated substrings: a compressed FM-index for each shard of the corpus, searched backward.
 
 A window is `depth` consecutive words. Its anchor is the smallest of the hashes of its `gram`-word runs, so equal
-windows have equal anchors, and neighbouring windows mostly share theirs. Steps:
+windows have equal anchors, and neighbouring windows mostly share theirs. Windows are routed by their anchor, those of an
+anchor found at more than `split` places by the hash of all their words: equal windows have equal routes, and no route
+gathers more than `split` places of different windows. Steps:
 
 1. anchors are counted over all documents; one found at a single place can't belong to a repeated window;
-2. runs of windows with one repeated anchor become segments. Anchors found at more than `hot` places get segments of
-   one window each, and of these the ones seen once go, so a passage of very many documents leaves only what repeats;
-3. equal segments are counted and sent once, with their words, to the shard of their anchor;
-4. each shard builds an FM-index (wavelet trees over its word sequence), streams its segments through it by backward
-   search and reports the windows whose matching statistics reach the depth more than once;
+2. runs of windows with one route become segments; equal segments are counted. A segment that is its route's only window
+   and is found once can't repeat, and goes before its words move;
+3. each segment is sent once, with its words and its count, to the shard of its route;
+4. each shard builds a compressed FM-index of its segments (a wavelet tree over the Burrows-Wheeler transform, and a bit
+   for each suffix that differs from the one before within `depth` words), streams segments through it from their ends by
+   backward search, and reports the windows whose interval at full depth holds more than one place;
 5. the reports go back to all documents holding the segment, and the words they cover are cut.
 """
 
@@ -17,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,7 +77,8 @@ def anchor_counts(docs: DataFrame, depth: int, gram: int) -> DataFrame:
 
 
 def segment_refs(docs: DataFrame, depth: int, gram: int) -> DataFrame:
-    """Segments of documents (doc, mark, text, anchors, hot): the place of each, its digest, anchor and number of windows."""
+    """Segments of documents (doc, mark, text, anchors, heavy): the place of each, its digest, route, number of windows, and
+    whether it is all of its route."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -83,7 +87,7 @@ def segment_refs(docs: DataFrame, depth: int, gram: int) -> DataFrame:
         words = WordHashes()
         for batch in batches:
             rows, digests = [], []
-            for doc, mark, text, known, hot in zip(*[batch.column(i) for i in range(5)]):
+            for doc, mark, text, known, heavy in zip(*[batch.column(i) for i in range(5)]):
                 w = words.of((text.as_py() or "").encode().split())
                 if len(w) < depth:
                     continue
@@ -91,24 +95,25 @@ def segment_refs(docs: DataFrame, depth: int, gram: int) -> DataFrame:
                 known = np.sort(known.values.to_numpy())
                 at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
                 live = known[at] == hashes
-                cut = np.concatenate([[True], (hashes[1:] != hashes[:-1])])
-                is_hot = np.isin(hashes, hot.values.to_numpy())
-                cut |= is_hot
-                starts = np.flatnonzero(cut)
+                route, alone = hashes, np.zeros(len(hashes), dtype=bool)
+                if len(heavy := heavy.values.to_numpy()):
+                    alone = np.isin(hashes, heavy)
+                    route = np.where(alone, shingle_hashes(w, depth).view(np.int64), hashes)
+                starts = np.flatnonzero(np.concatenate([[True], route[1:] != route[:-1]]) | alone)
                 ends = np.append(starts[1:], len(hashes))
                 doc, mark = doc.as_py(), mark.as_py()
                 for s, e in zip(starts[live[starts]].tolist(), ends[live[starts]].tolist()):
                     digests.append(xxh3_128_digest(w[s : e + depth - 1].tobytes()))
-                    rows.append((doc, mark, s, e - s, int(hashes[s]), bool(is_hot[s])))
+                    rows.append((doc, mark, s, e - s, int(route[s]), bool(alone[s])))
             both = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
             cols = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["doc", "mark", "at", "windows", "anchor", "hot", "d1", "d2"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["doc", "mark", "at", "windows", "route", "alone", "d1", "d2"])
 
-    return docs.mapInArrow(run, "doc long, mark long, at long, windows int, anchor long, hot boolean, d1 long, d2 long")
+    return docs.mapInArrow(run, "doc long, mark long, at long, windows int, route long, alone boolean, d1 long, d2 long")
 
 
 def segment_words(docs: DataFrame, depth: int) -> DataFrame:
-    """The words of segments: docs (doc, text, list of (d1, d2, anchor, n, at, windows))."""
+    """The words of segments: docs (text, list of (d1, d2, route, n, at, windows))."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -117,11 +122,11 @@ def segment_words(docs: DataFrame, depth: int) -> DataFrame:
             rows = []
             for text, wanted in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
                 w = (text or b"").split()
-                rows += [(x["d1"], x["d2"], x["anchor"], x["n"], b" ".join(w[x["at"] : x["at"] + x["windows"] + depth - 1])) for x in wanted]
+                rows += [(x["d1"], x["d2"], x["route"], x["n"], b" ".join(w[x["at"] : x["at"] + x["windows"] + depth - 1])) for x in wanted]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)], names=["d1", "d2", "anchor", "n", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)], names=["d1", "d2", "route", "n", "words"])
 
-    return docs.mapInArrow(run, "d1 long, d2 long, anchor long, n long, words binary")
+    return docs.mapInArrow(run, "d1 long, d2 long, route long, n long, words binary")
 
 
 def search_shard(table, depth: int):
@@ -160,18 +165,23 @@ def cut_words(words: list[bytes], starts: list[int], runs: list[list[int]], dept
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc, mark, text): rows of one doc_id but other texts are told apart by mark."""
+    """(doc, mark, text, doc_id): rows of one doc_id but other texts, and rows without one, are told apart by mark."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(F.coalesce(doc_id, F.lit(0)).alias("doc"), _mark(doc_id, text).alias("mark"), text.alias("text"), doc_id.alias("doc_id"))
 
 
-def scanned(docs: DataFrame, depth: int, gram: int, hot: int) -> DataFrame:
-    """All documents, saved: doc, mark, n_words, and either whole_sha256 (nothing can repeat) or text, anchors, hot."""
+def _mark(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(text, doc_id.isNull())
+
+
+def scanned(docs: DataFrame, depth: int, gram: int, split: int) -> DataFrame:
+    """All documents, saved: doc, mark, doc_id, n_words, and either whole_sha256 (nothing can repeat) or text, anchors, heavy."""
     keyed = _keyed(docs)
     found = saved(anchor_counts(keyed.select("doc", "mark", "text"), depth, gram), "anchors")
     counts = found.groupBy("anchor").agg(F.sum("places").alias("n")).where("n > 1")
-    lists = found.join(counts, "anchor").groupBy("doc", "mark").agg(F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("n") > hot, F.col("anchor"))).alias("hot"))
-    joined = keyed.join(lists.withColumnsRenamed({"doc": "__doc", "mark": "__mark"}).hint("shuffle_hash"), (F.col("doc") == F.col("__doc")) & (F.col("mark") == F.col("__mark")), "left").drop("__doc", "__mark")
+    lists = found.join(counts, "anchor").groupBy("doc", "mark").agg(F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("n") > split, F.col("anchor"))).alias("heavy"))
+    joined = keyed.select("doc", "mark", "doc_id", "text").join(lists.withColumnsRenamed({"doc": "__doc", "mark": "__mark"}).hint("shuffle_hash"), (F.col("doc") == F.col("__doc")) & (F.col("mark") == F.col("__mark")), "left").drop("__doc", "__mark")
 
     def run(batches: Iterator) -> Iterator:
         import hashlib
@@ -179,26 +189,26 @@ def scanned(docs: DataFrame, depth: int, gram: int, hot: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            texts, known = batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).is_valid().to_pylist()
+            texts, known = batch.column(3).cast(pa.binary()).to_pylist(), batch.column(4).is_valid().to_pylist()
             words = [t.split() for t in texts]
             n = pa.array([len(w) for w in words], pa.int64())
             sha = pa.array([None if k else hashlib.sha256(b" ".join(w)).hexdigest() for w, k in zip(words, known)], pa.string())
             text = pa.array([t if k else None for t, k in zip(texts, known)], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], n, sha, text, *batch.columns[3:]], names=["doc", "mark", "n_words", "whole_sha256", "text", "anchors", "hot"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], n, sha, text, *batch.columns[4:]], names=["doc", "mark", "doc_id", "n_words", "whole_sha256", "text", "anchors", "heavy"])
 
-    return saved(joined.mapInArrow(run, "doc long, mark long, n_words long, whole_sha256 string, text string, anchors array<long>, hot array<long>"), "scanned")
+    return saved(joined.mapInArrow(run, "doc long, mark long, doc_id long, n_words long, whole_sha256 string, text string, anchors array<long>, heavy array<long>"), "scanned")
 
 
 def reports(scan: DataFrame, depth: int, gram: int) -> DataFrame:
     """(doc, mark, cuts): per document with repeats, its segments' places and the runs of repeated windows in them."""
     maybe = scan.where("text is not null")
-    refs = saved(segment_refs(maybe.select("doc", "mark", "text", "anchors", "hot"), depth, gram), "segments")
-    # A segment with a hot anchor is one window, and all windows of that anchor are such segments: seen once, it is unique.
-    counted = refs.groupBy("d1", "d2").agg(F.min(F.struct("doc", "mark", "at", "windows", "anchor", "hot")).alias("r"), F.count("*").alias("n")).where("n > 1 or not r.hot")
-    wanted = counted.select("r.doc", "r.mark", F.struct("d1", "d2", "r.anchor", "n", "r.at", "r.windows").alias("x")).groupBy("doc", "mark").agg(F.collect_list("x").alias("wanted"))
+    refs = saved(segment_refs(maybe.select("doc", "mark", "text", "anchors", "heavy"), depth, gram), "segments")
+    counted = refs.groupBy("d1", "d2").agg(F.min(F.struct("doc", "mark", "at", "windows", "route", "alone")).alias("r"), F.count("*").alias("n")).where("n > 1 or not r.alone")
+    wanted = counted.select("r.doc", "r.mark", F.struct("d1", "d2", "r.route", "n", "r.at", "r.windows").alias("x")).groupBy("doc", "mark").agg(F.collect_list("x").alias("wanted"))
     words = saved(segment_words(maybe.join(wanted, ["doc", "mark"]).select("text", "wanted"), depth), "words")
     shards = max(MIN_SHARDS, -(-words.count() // SHARD_SEGMENTS))
-    found = words.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(lambda t: search_shard(t, depth), "d1 long, d2 long, runs array<int>")
+    dealt = words.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)).cast("int")).drop("route")
+    found = dealt.repartitionById(shards, "shard").groupBy("shard").applyInArrow(lambda t: search_shard(t, depth), "d1 long, d2 long, runs array<int>")
     return refs.join(found, ["d1", "d2"]).groupBy("doc", "mark").agg(F.collect_list(F.struct("at", "runs")).alias("cuts"))
 
 
@@ -223,31 +233,31 @@ def _cut(rows: DataFrame, depth: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def count_removed(docs: DataFrame, depth: int = 35, gram: int = 16, hot: int = 200) -> DataFrame:
+def count_removed(docs: DataFrame, depth: int = 35, gram: int = 16, split: int = 200) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space).
 
     A word goes if it lies in a window of `depth` words whose words stand, in that order, anywhere else as well. Null and
     empty texts have no words; a null doc_id is a document like others; repeated rows are documents of their own, so
-    they repeat each other. Texts are taken whole; an empty table gives an empty table; other columns play no part.
+    they repeat each other. Texts are taken whole; an empty table gives an empty table; other columns play no part. split
+    changes no result, only how windows of frequent anchors are dealt out.
     """
-    scan = scanned(docs, depth, gram, hot)
+    scan = scanned(docs, depth, gram, split)
     cuts = reports(scan, depth, gram)
-    single = scan.where("text is null").select("doc", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("whole_sha256").alias("kept_sha256"))
-    rows = scan.where("text is not null").select("doc", "mark", "n_words", "text").join(cuts, ["doc", "mark"], "left").select("doc", "n_words", "text", "cuts")
+    single = scan.where("text is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("whole_sha256").alias("kept_sha256"))
+    rows = scan.where("text is not null").select("doc", "mark", "doc_id", "n_words", "text").join(cuts, ["doc", "mark"], "left").select("doc_id", "n_words", "text", "cuts")
     squeezed = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
-    several = _cut(rows, depth).select("doc", "n_words", "n_removed", F.sha2(squeezed, 256).alias("kept_sha256"))
-    out = single.unionByName(several)
-    return out.select(F.when(F.col("doc") != F.lit(-(2**63)), F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+    several = _cut(rows, depth).select("doc_id", "n_words", "n_removed", F.sha2(squeezed, 256).alias("kept_sha256"))
+    return single.unionByName(several)
 
 
-def remove_repeats(docs: DataFrame, depth: int = 35, gram: int = 16, hot: int = 200) -> DataFrame:
+def remove_repeats(docs: DataFrame, depth: int = 35, gram: int = 16, split: int = 200) -> DataFrame:
     """docs with their repeated words cut. Texts that lose words have the rest joined by one space; others stay as they are.
 
     Null texts stay null; for the rest see count_removed.
     """
-    cuts = reports(scanned(docs, depth, gram, hot), depth, gram).withColumnsRenamed({"doc": "__doc", "mark": "__mark", "cuts": "__cuts"})
+    cuts = reports(scanned(docs, depth, gram, split), depth, gram).withColumnsRenamed({"doc": "__doc", "mark": "__mark", "cuts": "__cuts"})
     docs, opened = sealed(docs, new_text=True)
-    doc, mark = F.coalesce(docs["doc_id"].cast("long"), F.lit(-(2**63))), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    doc, mark = F.coalesce(docs["doc_id"].cast("long"), F.lit(0)), _mark(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
     joined = docs.join(cuts.hint("shuffle_hash"), (doc == F.col("__doc")) & (mark == F.col("__mark")), "left")
     others = [c for c in docs.columns if c != "text"]
     return opened(_cut(joined.select(*others, "text", F.col("__cuts").alias("cuts")), depth))
