@@ -63,6 +63,17 @@ class IntradayConfig:
     dedup_minutes: int = 10
     cooldown_minutes: int = 0
     max_per_symbol_day: int = 0
+    # Off unless set: more confirmation of single detectors, a detector of trade speed, and two further parts of the score.
+    bearish_red_bars: int = 0
+    bearish_drop_pct: float = 0.0
+    vwap_up_bars: int = 1
+    vwap_down_bars: int = 1
+    failed_reclaim_bars: int = 0
+    min_acceleration: float = 0.0
+    flush_window: int = 0
+    tape_transactions: int = 0
+    tape_spike: float = 3.0
+    full_score: bool = False
     compat: bool = False
 
 
@@ -115,3 +126,4 @@ class LiquidityConfig:
     min_activity: float = 0.70
     min_price: float = 0.50
     max_price: float = 50.0
+    max_spread_z: float = 0.0

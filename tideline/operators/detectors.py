@@ -56,7 +56,12 @@ def premarket_dollar_volume(events: DataFrame, hourly: DataFrame, hours: tuple[i
 
 
 def premarket_gate(events: DataFrame, hourly: DataFrame, minimum: float = 50_000, hours: tuple[int, ...] = (7, 8)) -> DataFrame:
-    return premarket_dollar_volume(events, hourly, hours).where(F.col("pm_dollar_volume") >= minimum)
+    """events (symbol, date, is_event) with pm_ok, and is_event only where it holds: enough premarket dollar volume, or no premarket bar at all."""
+    et = market_time(F.col("timestamp"))
+    price = F.coalesce("vwap", "close") if "vwap" in hourly.columns else F.col("close")
+    flags = hourly.where(F.hour(et).isin(*hours)).groupBy("symbol", F.to_date(et).alias("date")).agg((F.sum(price * F.col("volume")) >= minimum).alias("pm_ok"))
+    out = events.join(flags, ["symbol", "date"], "left").withColumn("pm_ok", F.coalesce("pm_ok", F.lit(True)))
+    return out.withColumn("is_event", F.col("is_event") & F.col("pm_ok"))
 
 
 def intraday_columns(bars: DataFrame, cfg: IntradayConfig = IntradayConfig()) -> DataFrame:
@@ -85,7 +90,34 @@ def intraday_columns(bars: DataFrame, cfg: IntradayConfig = IntradayConfig()) ->
     whole, opening = Window.partitionBy("symbol", "date"), F.col("minute").between(570, 570 + cfg.or_minutes - 1)
     out = out.withColumn("or_high", F.max(F.when(opening, F.col("high"))).over(whole)).withColumn("or_low", F.min(F.when(opening, F.col("low"))).over(whole)).withColumn("in_or", opening)
     out = out.withColumn("day_high", F.max("high").over(by_day().rowsBetween(Window.unboundedPreceding, 0))).withColumn("drop_pct", ratio(F.col("day_high") - F.col("close"), F.col("day_high")) * 100)
-    return out.withColumn("red_bars", F.sum((F.col("close") < F.col("open")).cast("int")).over(last_rows(by_day(), cfg.flush_red_bars)))
+    out = out.withColumn("red_bars", F.sum((F.col("close") < F.col("open")).cast("int")).over(last_rows(by_day(), cfg.flush_red_bars)))
+    return _optional_columns(out, cfg)
+
+
+def _optional_columns(out: DataFrame, cfg: IntradayConfig) -> DataFrame:
+    """The columns of those options that cfg turns on, over the same partitions and order."""
+    red, below = F.col("close") < F.col("open"), F.col("close") < F.col("vwap_ref")
+    if cfg.flush_window:
+        out = out.withColumn("day_high", F.max("high").over(last_rows(by_day(), cfg.flush_window))).withColumn("drop_pct", ratio(F.col("day_high") - F.col("close"), F.col("day_high")) * 100)
+    if cfg.bearish_red_bars:
+        out = out.withColumn("bearish", consecutive(red, cfg.bearish_red_bars))
+    if cfg.vwap_up_bars > 1:
+        out = out.withColumn("held_above", consecutive(F.col("close") > F.col("vwap_ref"), cfg.vwap_up_bars))
+    if cfg.vwap_down_bars > 1:
+        out = out.withColumn("held_below", consecutive(below, cfg.vwap_down_bars))
+    if cfg.failed_reclaim_bars:
+        touched = F.max((below & (F.col("high") >= F.col("vwap_ref"))).cast("int")).over(last_rows(by_day(), cfg.failed_reclaim_bars))
+        out = out.withColumn("failed_reclaim", _yes(touched == 1))
+    if cfg.min_acceleration:
+        out = out.withColumn("acceleration", ratio(F.abs("ret_pct"), F.abs(F.lag("ret_pct", cfg.momentum_window).over(by_day()))))
+    if cfg.tape_transactions:
+        usual = F.percentile("transactions", F.lit(0.5)).over(last_rows(by_day(), cfg.spike_window))
+        out = out.withColumn("tape_x", ratio(F.col("transactions"), usual))
+    if cfg.full_score:
+        three = last_rows(by_day(), 3)
+        ups = F.sum((F.col("close") > F.col("open")).cast("int")).over(three)
+        out = out.withColumn("same_bars", F.when(F.col("close") > F.col("open"), ups).otherwise(F.count("*").over(three) - ups))
+    return out
 
 
 def rules(cfg: IntradayConfig) -> list[tuple[str, str, Column]]:
@@ -97,13 +129,20 @@ def rules(cfg: IntradayConfig) -> list[tuple[str, str, Column]]:
     after_or = ~F.col("in_or") & (F.col("minute") < 960) & (F.lit(True) if cfg.compat else F.col("minute") >= 570 + cfg.or_minutes)
     broke_or = after_or & (F.col("volume_x") >= cfg.or_volume)
     calm = F.col("prev_calm") & (F.col("volume_x") >= cfg.base_volume)
-    return [
+    on = F.lit(True)
+    bearish = F.col("bearish") & (F.col("drop_pct") >= cfg.bearish_drop_pct) if cfg.bearish_red_bars else on
+    above, under = F.col("held_above") if cfg.vwap_up_bars > 1 else on, F.col("held_below") if cfg.vwap_down_bars > 1 else on
+    if cfg.failed_reclaim_bars:
+        under = under & F.col("failed_reclaim")
+    faster = F.col("acceleration") >= cfg.min_acceleration if cfg.min_acceleration else on
+    tape = [("tape_speed", d, (F.col("transactions") >= cfg.tape_transactions) & (F.col("tape_x") >= cfg.tape_spike) & w) for d, w in (("up", up), ("down", ~up))] if cfg.tape_transactions else []
+    return tape + [
         ("volume_spike", "up", spiked & up),
-        ("volume_spike", "down", spiked & ~up),
-        ("vwap_break", "up", (F.col("vwap_dist_pct") >= cfg.vwap_up_pct) & (F.col("volume_x") >= cfg.vwap_up_volume)),
-        ("vwap_break", "down", (F.col("vwap_dist_pct") <= -cfg.vwap_down_pct) & (F.col("volume_x") >= cfg.vwap_down_volume)),
+        ("volume_spike", "down", spiked & ~up & bearish),
+        ("vwap_break", "up", (F.col("vwap_dist_pct") >= cfg.vwap_up_pct) & (F.col("volume_x") >= cfg.vwap_up_volume) & above),
+        ("vwap_break", "down", (F.col("vwap_dist_pct") <= -cfg.vwap_down_pct) & (F.col("volume_x") >= cfg.vwap_down_volume) & under),
         ("price_momentum", "up", (F.col("ret_pct") >= cfg.momentum_up_pct) & (F.col("volume_x") >= cfg.momentum_volume) & (F.col("close") > F.col("high20"))),
-        ("price_momentum", "down", (F.col("ret_pct") <= -cfg.momentum_down_pct) & (F.col("volume_x") >= cfg.momentum_volume) & (F.col("close") < F.col("low20"))),
+        ("price_momentum", "down", (F.col("ret_pct") <= -cfg.momentum_down_pct) & (F.col("volume_x") >= cfg.momentum_volume) & (F.col("close") < F.col("low20")) & faster),
         ("consolidation_break", "up", calm & (ratio(F.col("close") - F.col("prev_base_high"), F.col("prev_base_high")) * 100 >= cfg.base_break_pct)),
         ("consolidation_break", "down", calm & (ratio(F.col("prev_base_low") - F.col("close"), F.col("prev_base_low")) * 100 >= cfg.base_break_pct)),
         ("opening_range_break", "up", broke_or & (ratio(F.col("close") - F.col("or_high"), F.col("or_high")) * 100 >= cfg.or_break_pct)),
@@ -112,9 +151,11 @@ def rules(cfg: IntradayConfig) -> list[tuple[str, str, Column]]:
     ]
 
 
-def score() -> Column:
-    """0.3 of the spike, 0.25 of the range in percent, and 0.2."""
-    return 0.3 * F.coalesce("spike_x", F.lit(1.0)) + 0.25 * F.coalesce("range_pct", F.lit(0.0)) + 0.2
+def score(full: bool = False) -> Column:
+    """0.3 of the spike, 0.25 of the range in percent, and 0.2; full: also 0.15 of the last three bars' count that went the same way,
+    and 0.1 of the distance from the VWAP in percent."""
+    out = 0.3 * F.coalesce("spike_x", F.lit(1.0)) + 0.25 * F.coalesce("range_pct", F.lit(0.0)) + 0.2
+    return out + 0.15 * F.col("same_bars") + 0.1 * F.coalesce(F.abs("vwap_dist_pct"), F.lit(0.0)) if full else out
 
 
 def detected(bars: DataFrame, cfg: IntradayConfig = IntradayConfig(), types: tuple[str, ...] | None = None) -> DataFrame:
@@ -122,7 +163,7 @@ def detected(bars: DataFrame, cfg: IntradayConfig = IntradayConfig(), types: tup
     chosen = [r for r in rules(cfg) if types is None or r[0] in types]
     hits = F.filter(F.array(*[F.when(_yes(rule), F.struct(F.lit(t).alias("event_type"), F.lit(d).alias("direction"))) for t, d, rule in chosen]), lambda x: x.isNotNull())
     out = intraday_columns(bars, cfg).withColumn("__hit", F.explode(hits)).select("*", "__hit.event_type", "__hit.direction").drop("__hit")
-    return out.withColumn("score", score())
+    return out.withColumn("score", score(cfg.full_score))
 
 
 def global_filters(bars: DataFrame, min_price: float = 1.0, max_price: float = 500.0, min_dollar_volume_day: float = 0.0, sessions: tuple[str, ...] | None = None) -> DataFrame:

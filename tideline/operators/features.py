@@ -157,12 +157,29 @@ def fundamentals(quarters: DataFrame) -> DataFrame:
     return out.withColumn("burn", F.lag("cash").over(w) - F.col("cash")).withColumn("debt_to_equity", ratio(F.col("debt"), F.col("equity"))).withColumn("lag_days", F.datediff("filed", "period"))
 
 
+def atr_barriers(events: DataFrame, bars: DataFrame, period: int = 14, take: float = 2.0, stop: float = 1.0) -> DataFrame:
+    """events with take_pct and stop_pct, shares of the entry: multiples of the mean true range of the `period` bars up to the event."""
+    before = F.lag("close").over(by_symbol())
+    tr = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
+    ranges = bars.withColumn("__tr", tr).withColumn("atr", mean_at_least("__tr", last_rows(by_symbol(), period), period)).withColumn("__id", F.lit(0).cast("long"))
+    out = as_of(events.withColumn("timestamp", F.col("event_time")).withColumn("__id", F.lit(0).cast("long")), ranges, ["atr"], order="__id").drop("timestamp", "__id")
+    return out.withColumn("take_pct", ratio(take * F.col("atr"), F.col("entry"))).withColumn("stop_pct", ratio(stop * F.col("atr"), F.col("entry"))).drop("atr")
+
+
+def risk_barriers(events: DataFrame, risk: str, r: float = 1.5) -> DataFrame:
+    """events with stop_pct, the share of the entry in column `risk`, and take_pct, r times as much."""
+    return events.withColumn("stop_pct", F.col(risk).cast("double")).withColumn("take_pct", r * F.col("stop_pct"))
+
+
 def triple_barrier(bars: DataFrame, events: DataFrame, take: float = 0.15, stop: float = 0.10, minutes: int = 15, cost: float = 0.0) -> DataFrame:
-    """events (event_key, symbol, event_time, entry) with label 1, -1 or 0, exit_time and exit_return: the first bar to touch a barrier; the stop wins within one bar."""
+    """events (event_key, symbol, event_time, entry) with label 1, -1 or 0, exit_time and exit_return: the first bar to touch a barrier; the stop wins within one bar.
+
+    events may have take_pct and stop_pct of their own (see atr_barriers and risk_barriers), which go first where not null.
+    """
+    take, stop = (F.coalesce(F.col(c), F.lit(float(d))) if c in events.columns else F.lit(float(d)) for c, d in (("take_pct", take), ("stop_pct", stop)))
     future = in_event_windows(bars, events.select("event_key", "symbol", "event_time"), 0, minutes).where("timestamp > event_time")
-    entry = events.select("event_key", "entry")
-    j = future.join(entry, "event_key")
-    side = F.when(F.col("low") <= F.col("entry") * (1 - stop), -1).when(F.col("high") >= F.col("entry") * (1 + take), 1)
+    j = future.join(events.select("event_key", "entry", take.alias("__take"), stop.alias("__stop")), "event_key")
+    side = F.when(F.col("low") <= F.col("entry") * (1 - F.col("__stop")), -1).when(F.col("high") >= F.col("entry") * (1 + F.col("__take")), 1)
     hit = j.withColumn("__side", side).groupBy("event_key").agg(F.min_by(F.struct("timestamp", "__side"), F.when(F.col("__side").isNotNull(), F.col("timestamp"))).alias("h"), F.max_by(F.struct("timestamp", "close"), "timestamp").alias("l"), F.max(F.col("__side").isNotNull()).alias("any"))
     out = events.join(hit, "event_key", "left").withColumn("label", F.when(F.col("any"), F.col("h.__side")).otherwise(0)).withColumn("exit_time", F.when(F.col("any"), F.col("h.timestamp")).otherwise(F.col("l.timestamp")))
     gain = F.when(F.col("label") == 1, take).when(F.col("label") == -1, -stop).otherwise(ratio(F.col("l.close"), F.col("entry")) - 1)
@@ -193,6 +210,23 @@ def purged_folds(days: DataFrame, k: int = 5, purge: int = 1, embargo: int = 3)
     return out.withColumn("part", F.when(F.col("own") == F.col("fold"), "test").when(near, "left_out").otherwise("train")).where("part <> 'left_out'").select("date", "fold", "part")
 
 
+def fundamentals_as_of(days: DataFrame, quarters: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """days (symbol, date) with the columns of the last quarter filed on or before the day (quarters: symbol, filed, period, ...)."""
+    at = lambda c: F.col(c).cast("timestamp")
+    filed = quarters.where("filed is not null").withColumn("timestamp", at("filed")).withColumn("__order", F.unix_date("period").cast("long"))
+    return as_of(days.withColumn("timestamp", at("date")).withColumn("__order", F.lit(0).cast("long")), filed, list(columns), order="__order").drop("timestamp", "__order")
+
+
+def gap_aware_atr(bars: DataFrame, seconds: int, n: int = 14) -> DataFrame:
+    """bars with atr: mean true range of n rows, null unless all n steps are at most two bar widths."""
+    before = F.lag("close").over(by_symbol())
+    step = F.unix_timestamp("timestamp") - F.unix_timestamp(F.lag("timestamp").over(by_symbol()))
+    out = bars.withColumn("__ok", F.coalesce(step <= 2 * seconds, F.lit(False)).cast("int"))
+    out = out.withColumn("__tr", F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before)))
+    w = last_rows(by_symbol(), n)
+    return out.withColumn("atr", F.when(F.sum("__ok").over(w) == n, F.avg("__tr").over(w))).drop("__ok", "__tr")
+
+
 def tick_continuity(trades: DataFrame, events: DataFrame, before: int = 3, after: int = 7) -> DataFrame:
     """Per event the share of the minutes around it that hold a trade."""
     minute = F.floor((F.unix_timestamp("timestamp") - F.unix_timestamp("event_time")) / 60)
@@ -242,6 +276,15 @@ def similar_vectors(vectors: DataFrame, queries: DataFrame, k: int = 10) -> Data
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "vec_id", "cosine", "rank")
 
 
+def similar_outcomes(neighbours: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Per query: how many of its neighbours (query_id, vec_id, cosine) have an outcome (vec_id, outcome), their mean and its mean weighted by cosine."""
+    joined = neighbours.join(outcomes, "vec_id", "left")
+    weight = F.when(F.col("outcome").isNotNull(), F.col("cosine"))
+    return joined.groupBy("query_id").agg(
+        F.count("*").alias("n"), F.count("outcome").alias("n_known"), F.avg("outcome").alias("mean_outcome"), F.try_divide(F.sum(F.col("cosine") * F.col("outcome")), F.sum(weight)).alias("weighted_outcome")
+    )
+
+
 def indicators(daily: DataFrame, fast: int = 12, slow: int = 26) -> DataFrame:
     """daily with bollinger bands (20, 2), rsi14 (sums), volume_ratio, and macd: the exponential means of all closes so far.
 

@@ -89,6 +89,11 @@ def with_liquidity(bars: DataFrame, cfg: LiquidityConfig = LiquidityConfig(), ha
     out = out.withColumn("activity", active).withColumn("pass_activity", F.col("activity") >= cfg.min_activity)
     out = out.withColumn("pass_price", F.col("close").between(cfg.min_price, cfg.max_price)).withColumn("pass_halt", ~F.col(halt) if halt else F.lit(True))
     tests = ["pass_dollar_volume", "pass_spread", "pass_activity", "pass_price", "pass_halt"]
+    if cfg.max_spread_z:  # the spread against its symbol's rows before, in deviations
+        past = rows_before(by_symbol(), cfg.activity_window)
+        out = out.withColumn("spread_z", ratio(F.col("spread_proxy") - F.avg("spread_proxy").over(past), F.stddev_pop("spread_proxy").over(past)))
+        out = out.withColumn("pass_spread_z", F.coalesce(F.col("spread_z") <= cfg.max_spread_z, F.lit(True)))
+        tests.append("pass_spread_z")
     if intraday_rvol:
         rvol = F.col("volume") / (mean_at_least("volume", rows_before(by_symbol(), cfg.rvol_bars), 10) + EPS)
         out = out.withColumn("rvol_intraday", rvol).withColumn("pass_rvol", F.col("rvol_intraday") >= cfg.min_rvol)
@@ -106,7 +111,3 @@ def liquidity_breakdown(flagged: DataFrame) -> DataFrame:
         F.count("*").alias("n_rows"), F.count_if(F.col("liquidity_pass")).alias("n_pass"), F.count_if(~F.col("liquidity_pass")).alias("n_fail"), F.count_if(F.col("liquidity_pass").isNull()).alias("n_null"),
         *[F.count_if(~F.col(t)).alias(t.replace("pass_", "fail_")) for t in tests],
     )
-
-
-def spread_of(bars: DataFrame) -> Column:
-    return ratio(F.col("high") - F.col("low"), F.col("vwap"))

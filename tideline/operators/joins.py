@@ -75,6 +75,19 @@ def with_market_cap(symbols: DataFrame, details: DataFrame, most: float = 2e9) -
     return symbols.join(details.select("ticker", "market_cap"), "ticker", "left").where(F.col("market_cap").isNull() | (F.col("market_cap") < most))
 
 
+def restricted(df: DataFrame, to: DataFrame, key: str) -> DataFrame:
+    """The rows of df whose key is among those of `to`."""
+    return df.join(to.select(key).distinct(), key, "left_semi")
+
+
+def cap_audit(symbols: DataFrame, details: DataFrame, most: float = 2e9) -> DataFrame:
+    """One row: symbols (ticker) with and without a known market cap, below `most`, and at or over it."""
+    cap = F.col("market_cap")
+    return symbols.join(details.select("ticker", "market_cap"), "ticker", "left").agg(
+        F.count("*").alias("n_symbols"), F.count_if(cap.isNotNull()).alias("n_with"), F.count_if(cap.isNull()).alias("n_without"), F.count_if(cap < most).alias("n_under"), F.count_if(cap >= most).alias("n_over")
+    )
+
+
 def missing(universe: DataFrame, available: DataFrame, key: str | list[str]) -> DataFrame:
     return universe.join(available.select(*([key] if isinstance(key, str) else key)).distinct(), key, "left_anti")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.functions.time import market_time, session_of
+
 from .aggregates import daily_rate, outliers, side_by_side
 from .rolling import bucket_repeats
 
@@ -58,6 +60,19 @@ def log_classes(lines: DataFrame, classes=LOG_CLASSES, excluded: str = LOG_EXCLU
     return lines.where(~low.rlike(excluded)).groupBy(name.alias("class")).agg(F.count("*").alias("n")).where("class is not null")
 
 
+#: Error types of a log, any case, and what marks a line that is none of them.
+ERROR_TYPES = (("ERROR", r"ERROR"), ("FAILED", r"FAILED"), ("Exception", r"Exception"), ("Traceback", r"Traceback"), ("HTTP 429 Rate Limit", r"429.*Too Many"), ("WinError", r"WinError"), ("FileNotFoundError", r"FileNotFoundError"))
+NO_ERROR = r"Skipping|\[\d+/\d+\]|Failed: 0|_log_heartbeat|DEBUG"
+
+
+def log_error_types(lines: DataFrame, types=ERROR_TYPES, excluded: str = NO_ERROR) -> DataFrame:
+    """(class, n): how many lines (value) meet each pattern, any case; a line counts for every one it meets. Lines that are excluded, or
+    tell of a retry, count for none."""
+    real = lines.where(~F.col("value").rlike(excluded) & ~F.lower("value").contains("retrying"))
+    met = F.filter(F.array(*[F.when(F.col("value").rlike(f"(?i){p}"), F.lit(n)) for n, p in types]), lambda x: x.isNotNull())
+    return real.select(F.explode(met).alias("class")).groupBy("class").agg(F.count("*").alias("n"))
+
+
 def log_progress(lines: DataFrame) -> DataFrame:
     """From lines "YYYY-MM-DD HH:MM:SS ... [n/N]": last place, total, rate per minute and minutes to go."""
     p = lines.select(F.try_to_timestamp(F.regexp_extract("value", r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d)", 1)).alias("ts"), F.expr(r"try_cast(regexp_extract(value, '\\[(\\d+)/(\\d+)\\]', 1) as long)").alias("n"), F.expr(r"try_cast(regexp_extract(value, '\\[(\\d+)/(\\d+)\\]', 2) as long)").alias("total")).where("ts is not null and n is not null")
@@ -95,6 +110,18 @@ def dq_thresholds(daily: DataFrame, max_missing: float = 5.0, max_null: float =
     return out.withColumn("fail", (F.coalesce("missing_pct", F.lit(0.0)) > max_missing) | (F.col("null_pct") > max_null) | (F.col("n_outliers") > 0)).select("symbol", "missing_pct", "null_pct", "n_outliers", "fail")
 
 
+def recommended_checks(events: DataFrame, ssr: str = "ssr", min_dollar_volume: float = 150_000, max_spread: float = 0.03, price: tuple[float, float] = (5.0, 100.0), min_rvol: float = 2.0) -> DataFrame:
+    """(name, value, ok): sessions that don't fit their New York time, medians of dollar volume and spread, share of rows with a flag for
+    short-sale restrictions, mean price, mean relative volume. Medians are exact."""
+    wrong = F.count_if(~F.col("session").eqNullSafe(session_of(market_time(F.col("timestamp"))))).cast("double")
+    row = events.agg(
+        wrong.alias("tz"), F.percentile("dollar_volume_bar", F.lit(0.5)).alias("dv"), F.percentile("spread_proxy", F.lit(0.5)).alias("spread"), F.avg(F.col(ssr).isNotNull().cast("double")).alias("ssr"),
+        F.avg("close").alias("price"), F.avg("rvol_day").alias("rvol"),
+    )
+    checks = [("timezone", "tz", F.col("tz") == 0), ("dollar_volume_median", "dv", F.col("dv") >= min_dollar_volume), ("spread_median", "spread", F.col("spread") <= max_spread), ("ssr_present", "ssr", F.col("ssr") == 1), ("price_mean", "price", F.col("price").between(*price)), ("rvol_mean", "rvol", F.col("rvol") >= min_rvol)]
+    return row.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).cast("double").alias("value"), F.coalesce(ok, F.lit(False)).alias("ok")) for n, c, ok in checks])).alias("x")).select("x.*")
+
+
 def extra_checks(events: DataFrame, max_type_share: float = 0.60, min_months: int = 30) -> DataFrame:
     """(name, value, ok): the largest share of a type, months covered, nulls in the key."""
     top = events.groupBy("event_type").agg(F.count("*").alias("c")).agg(F.max("c").alias("top"))

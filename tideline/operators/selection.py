@@ -178,15 +178,52 @@ def stratified_sample(events: DataFrame, ranking: DataFrame, strata: list[tuple[
     for s, a, b in strata:
         name = F.when((F.col("rank") >= a) & (F.col("rank") < b), s).otherwise(name)
     out = events.join(ranking.select("symbol", name.alias("stratum")), "symbol").where("stratum is not null")
-    w = Window.partitionBy("stratum").orderBy(F.xxhash64("symbol", "timestamp", "event_type", F.lit(seed)), "symbol", "timestamp", "event_type")
+    w = Window.partitionBy("stratum").orderBy(drawn(seed), "symbol", "timestamp", "event_type")
     return out.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= n).drop("__r")
 
 
+def drawn(seed: int) -> Column:
+    """A keyed hash of an event: sorting by it draws the same ones every time."""
+    return F.md5(F.concat_ws("|", F.lit(seed), "symbol", F.unix_micros("timestamp"), "event_type").cast("binary"))
+
+
+def proportional_sample(events: DataFrame, by: tuple[str, ...], n: int, seed: int = 42) -> DataFrame:
+    """About n events, each group with its share of them (rounded up), chosen by a keyed hash."""
+    sizes = events.groupBy(*by).agg(F.count("*").alias("__size"))
+    total = sizes.agg(F.sum("__size")).scalar()
+    quota = sizes.select(*by, F.ceil(F.col("__size") * n / total).alias("__quota"))
+    w = Window.partitionBy(*by).orderBy(drawn(seed), "symbol", "timestamp", "event_type")
+    return events.withColumn("__r", F.row_number().over(w)).join(quota, list(by)).where("__r <= __quota").drop("__r", "__quota")
+
+
+def rank_slice(ranking: DataFrame, offset: int, length: int, rank: str = "rank") -> DataFrame:
+    """The rows of ranks offset + 1, ..., offset + length."""
+    return ranking.where(F.col(rank).between(offset + 1, offset + length))
+
+
 def discard_margin(flagged: DataFrame, cfg: ManifestConfig = ManifestConfig()) -> DataFrame:
     """Discarded rows with the share by which a score missed (null for other reasons)."""
     return flagged.where("descarte_stage is not null").withColumn("margin", F.when(F.col("descarte_reason") == "low_score", F.lit(cfg.min_score) - F.col("score")))
 
 
+def stage_margins(flagged: DataFrame, cfg: ManifestConfig = ManifestConfig()) -> DataFrame:
+    """Discarded rows with miss_field, miss_value and miss_limit: the score, the first liquidity test of the session that failed, or
+    the rank that went over its cap. Null where a metric or the session is unknown, and for the global cap."""
+    cases = [(F.col("descarte_reason") == "low_score", "score", F.col("score"), F.lit(cfg.min_score))]
+    for session, x in cfg.limits.items():
+        own = (F.col("descarte_stage") == "stage2_liquidity") & (F.col("session") == session)
+        tests = (("dollar_volume_bar", x.dollar_volume_bar), ("volume", x.volume_bar), ("dollar_volume_day", x.dollar_volume_day), ("rvol_day", x.rvol_day))
+        cases += [(own & (F.col(c) < limit), c, F.col(c), F.lit(float(limit))) for c, limit in tests]
+        cases.append((own & (F.col("spread_proxy") > x.spread), "spread_proxy", F.col("spread_proxy"), F.lit(float(x.spread))))
+    for stage, rank, most in (("stage3_month_cap", "rank_symbol_month", cfg.per_symbol_month), ("stage3b_day_cap", "rank_symbol_day", cfg.per_symbol_day), ("stage5_symbol_cap", "rank_symbol_total", cfg.per_symbol)):
+        cases.append((F.col("descarte_stage") == stage, rank, F.col(rank), F.lit(most)))
+    miss = F.lit(None).cast("struct<field:string,value:double,bound:double>")
+    for when, field, value, limit in reversed(cases):
+        miss = F.when(when, F.struct(F.lit(field).alias("field"), value.cast("double").alias("value"), limit.cast("double").alias("bound"))).otherwise(miss)
+    out = flagged.where("descarte_stage is not null").withColumn("__m", miss)
+    return out.withColumn("miss_field", F.col("__m.field")).withColumn("miss_value", F.col("__m.value")).withColumn("miss_limit", F.col("__m.bound")).drop("__m")
+
+
 def relaxed_level(events: DataFrame, session: str, need: int, levels: list[SessionLimits]) -> DataFrame:
     """(level, n): rows of a session passing each level of limits; the first that reaches `need`, else the last."""
     own = events.where(F.col("session") == session)

@@ -11,7 +11,7 @@ from tideline.operators import selection as L
 from tideline.sources import adapters as S
 from tideline.sources import bars as B
 
-from .catalog import et, minute, query
+from .catalog import et, minute, query, session
 from .intraday import CFG, COLUMNS
 
 LOW = SessionLimits(300, 20, 5000, 0.8, 1.5)
@@ -179,7 +179,13 @@ def top_per_day(spark, d):
     return L.top_per_group(events(spark, d), ("symbol", "date"), 3, [F.desc_nulls_last("score"), F.asc("timestamp"), F.asc("event_type"), F.asc("direction")]).select("symbol", "date", "event_type", "rank")
 
 
-@query()
+_DRAWN = "md5(concat_ws('|', 42, symbol, epoch_us(timestamp), event_type))"
+
+
+@query(COLUMNS + f""",
+rk_ as (select symbol, row_number() over (order by count(*) desc, symbol) - 1 as rank from events_ group by 1), st_ as (select symbol, case when rank < 2 then 'top' when rank < 5 then 'rest' end as stratum from rk_ where rank < 5)
+---
+select stratum, symbol, timestamp, event_type from events_ join st_ using (symbol) qualify row_number() over (partition by stratum order by {_DRAWN}, symbol, timestamp, event_type) <= 10""", "", "", "timestamp")
 def stratified_sample(spark, d):
     e = events(spark, d)
     ranking = e.groupBy("symbol").agg(F.count("*").alias("n")).selectExpr("symbol", "row_number() over (order by n desc, symbol) - 1 as rank")
@@ -201,6 +207,43 @@ def l2_selection(spark, d):
     return X.l2_selection(e, 0.6, 5000, 30).select("symbol", "timestamp", "event_type", "rank_month")
 
 
+@query(CASCADE + f""",
+lim(session, dvb, vol, dvd, rv, sp) as (values {", ".join(f"('{s}', {x.dollar_volume_bar}, {x.volume_bar}, {x.dollar_volume_day}, {x.rvol_day}, {x.spread})" for s, x in MANIFEST.limits.items())}),
+mi as (select c.*, case when re = 'low_score' then 'score' when st = 'stage2_liquidity' then case when dollar_volume_bar < dvb then 'dollar_volume_bar' when volume < vol then 'volume' when dollar_volume_day < dvd then 'dollar_volume_day' when rvol_day < rv then 'rvol_day' when spread_proxy > sp then 'spread_proxy' end
+  when st = 'stage3_month_cap' then 'rank_symbol_month' when st = 'stage3b_day_cap' then 'rank_symbol_day' when st = 'stage5_symbol_cap' then 'rank_symbol_total' end as miss_field, lim.* exclude (session) from cascade_ c left join lim using (session) where st is not null)
+---
+select symbol, timestamp, event_type, miss_field, case miss_field when 'score' then score when 'dollar_volume_bar' then dollar_volume_bar when 'volume' then volume when 'dollar_volume_day' then dollar_volume_day when 'rvol_day' then rvol_day when 'spread_proxy' then spread_proxy when 'rank_symbol_month' then r1 when 'rank_symbol_day' then r2 when 'rank_symbol_total' then r3 end as miss_value,
+  case miss_field when 'score' then 0.3 when 'dollar_volume_bar' then dvb when 'volume' then vol when 'dollar_volume_day' then dvd when 'rvol_day' then rv when 'spread_proxy' then sp when 'rank_symbol_month' then 60 when 'rank_symbol_day' then 6 when 'rank_symbol_total' then 50 end as miss_limit from mi""", "miss_value miss_limit", "", "timestamp")
+def stage_margins(spark, d):
+    return L.stage_margins(flagged(spark, d), MANIFEST).select("symbol", "timestamp", "event_type", "miss_field", "miss_value", "miss_limit")
+
+
+@query(CASCADE + f""",
+di as (select * from cascade_ where st is not null), si as (select event_type, session, ceil(count(*) * 200.0 / (select count(*) from di)) as quota from di group by 1, 2)
+---
+select symbol, timestamp, event_type, session, st as descarte_stage from di join si using (event_type, session) qualify row_number() over (partition by event_type, session order by {_DRAWN}, symbol, timestamp, event_type) <= quota""", "", "", "timestamp")
+def discard_sample(spark, d):
+    """A sample of the discarded events, each type and session with its share."""
+    out = L.proportional_sample(flagged(spark, d).where("descarte_stage is not null"), ("event_type", "session"), 200)
+    return out.select("symbol", "timestamp", "event_type", "session", "descarte_stage")
+
+
+@query(COLUMNS + "\n---\nselect symbol, n, rank from (select symbol, count(*) as n, row_number() over (order by count(*) desc, symbol)::int as rank from events_ group by 1) where rank between 2 and 4")
+def rank_slice(spark, d):
+    n = events(spark, d).groupBy("symbol").agg(F.count("*").alias("n")).selectExpr("symbol", "n", "row_number() over (order by n desc, symbol) as rank")  # one row per symbol
+    return L.rank_slice(n, 1, 3)
+
+
+@query(DAYS + f""",
+b0 as (select count_if(session is distinct from {session('timestamp')})::double as tz, quantile_cont(dollar_volume_bar, 0.5) as dv, quantile_cont(spread_proxy, 0.5) as sp, avg((spike_x is not null)::int) as ssr, avg(close) as price, avg(rvol_day) as rvol from en)
+---
+select unnest(['timezone', 'dollar_volume_median', 'spread_median', 'ssr_present', 'price_mean', 'rvol_mean']) as name, unnest([tz, dv, sp, ssr, price, rvol]) as value, unnest([tz = 0, coalesce(dv >= 3000, false), coalesce(sp <= 0.9, false), coalesce(ssr = 1, false), coalesce(price between 5 and 100, false), coalesce(rvol >= 1.2, false)]) as ok from b0""", "value")
+def recommended_checks(spark, d):
+    from tideline.operators import quality as Q
+
+    return Q.recommended_checks(L.enriched(events(spark, d), day_metrics(spark, d)), ssr="spike_x", min_dollar_volume=3000, max_spread=0.9, min_rvol=1.2)
+
+
 DETAILS = "det as (select s_suppkey as ticker, case when s_suppkey % 7 <> 0 then s_acctbal * 1000000 end as market_cap from supplier), li as (select distinct l_suppkey as ticker from lineitem)"
 
 

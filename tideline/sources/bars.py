@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Names of vendor columns.
 BAR_NAMES = {"v": "volume", "vw": "vwap", "o": "open", "c": "close", "h": "high", "l": "low", "t": "timestamp", "n": "transactions"}
 TRADE_NAMES = {"sip_timestamp": "timestamp_ns", "participant_timestamp": "exchange_timestamp_ns"}
+QUOTE_COLUMNS = ("ask_price", "bid_price", "ask_size", "bid_size", "ask_exchange", "bid_exchange", "conditions", "indicators")
 
 
 def scan_bars(spark: SparkSession, root: str, **options: str) -> DataFrame:
@@ -45,6 +47,15 @@ def normalised_ticks(df: DataFrame, names: dict[str, str] = TRADE_NAMES) -> Data
     return out.withColumn("timestamp", F.timestamp_micros(F.expr("timestamp_ns div 1000")))
 
 
+def normalised_quotes(df: DataFrame) -> DataFrame:
+    """Quotes with vendor names and epoch ns: as normalised_ticks, then the quote's own columns, null where df has none."""
+    out = normalised_ticks(df)
+    for c in QUOTE_COLUMNS:
+        if c not in out.columns:
+            out = out.withColumn(c, F.lit(None).cast("double" if c.endswith(("price", "size")) else "string"))
+    return out
+
+
 def write_bars(df: DataFrame, path: str) -> None:
     """Bars partitioned by date, sorted in each file; dates that df has are replaced, others stay."""
     ordered = df.repartition("date").sortWithinPartitions("symbol", "timestamp")
@@ -82,12 +93,11 @@ def short_interest(df: DataFrame, business_days: bool = False) -> DataFrame:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string" if c == "publish_date" else "double"))
     df = df.withColumn("settlement_date", F.try_to_date("settlement_date")).withColumn("publish_date", F.try_to_date("publish_date"))
-    if df.where("publish_date is not null").isEmpty():
-        step = F.lit(7)
-        if business_days:  # seven weekdays on: a week, and two more that may meet a weekend
-            step = F.when(F.dayofweek("settlement_date").between(2, 4), 9).when(F.dayofweek("settlement_date") == 7, 10).when(F.dayofweek("settlement_date") == 1, 9).otherwise(11)
-        df = df.withColumn("publish_date", F.date_add("settlement_date", step))
-    return df
+    none = df.agg(F.count("publish_date")).scalar() == 0
+    step = F.lit(7)
+    if business_days:  # seven weekdays on: a week, and two more that may meet a weekend
+        step = F.when(F.dayofweek("settlement_date").between(2, 4), 9).when(F.dayofweek("settlement_date") == 7, 10).when(F.dayofweek("settlement_date") == 1, 9).otherwise(11)
+    return df.withColumn("publish_date", F.when(none, F.date_add("settlement_date", step)).otherwise(F.col("publish_date")))
 
 
 def short_volume(df: DataFrame) -> DataFrame:
