@@ -235,7 +235,7 @@ def rank_slice(spark, d):
 
 
 @query(DAYS + f""",
-b0 as (select count_if(session is distinct from {session('timestamp')})::double as tz, quantile_cont(dollar_volume_bar, 0.5) as dv, quantile_cont(spread_proxy, 0.5) as sp, avg((spike_x is not null)::int) as ssr, avg(close) as price, avg(rvol_day) as rvol from en)
+b0 as (select coalesce(count_if(session is distinct from {session('timestamp')}), 0)::double as tz, quantile_cont(dollar_volume_bar, 0.5) as dv, quantile_cont(spread_proxy, 0.5) as sp, avg((spike_x is not null)::int) as ssr, avg(close) as price, avg(rvol_day) as rvol from en)
 ---
 select unnest(['timezone', 'dollar_volume_median', 'spread_median', 'ssr_present', 'price_mean', 'rvol_mean']) as name, unnest([tz, dv, sp, ssr, price, rvol]) as value, unnest([tz = 0, coalesce(dv >= 3000, false), coalesce(sp <= 0.9, false), coalesce(ssr = 1, false), coalesce(price between 5 and 100, false), coalesce(rvol >= 1.2, false)]) as ok from b0""", "value")
 def recommended_checks(spark, d):
