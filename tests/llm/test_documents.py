@@ -150,6 +150,17 @@ def test_minhash_dedup(docs, rows, empty):
     assert minhash_dedup.near_duplicates(empty).count() == 0
 
 
+def test_pairs_of_one_hub_are_dealt(spark, monkeypatch):
+    """The pairs of a hub meet its set in several salts; none is lost or repeated."""
+    rng = np.random.default_rng(4)
+    sets = {i: sorted(rng.choice(40, rng.integers(25, 40), replace=False).tolist()) for i in range(60)}
+    pairs = [(a, b) for b in (0, 1) for a in range(2, 60)] + [(3, 2)]
+    expected = [(a, b) for a, b in pairs if 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})]
+    monkeypatch.setattr(minhash_dedup, "HUB_PAIRS", 7)
+    got = minhash_dedup.verified(spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(list(sets.items()), "doc_id long, shingles array<long>"), 80)
+    assert 0 < len(expected) < len(pairs) and sorted(map(tuple, got.collect())) == sorted(expected)
+
+
 def test_near_copies_that_do_not_link_to_one_hub(spark):
     """A chain of texts, each near its neighbours only, and a group around a text that is not in it."""
     rng = np.random.default_rng(2)

@@ -31,6 +31,8 @@ from .components import connected_components, union_find
 PLACES, BANDS = 128, 32
 #: Sets of a block that is compared with another block in one task.
 BLOCK = 256
+#: Pairs of one hub that are verified together.
+HUB_PAIRS = 512
 STEP = U64(0x9E3779B97F4A7C15)
 STEPS = np.arange(1, PLACES + 1, dtype=U64) * STEP
 
@@ -120,10 +122,16 @@ def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union.
+
+    b is a hub of any number of pairs: these are dealt over salts of about HUB_PAIRS pairs, and b's set goes to each of its
+    salts, so that no task gets the sets of all that meet one hub.
+    """
+    salts = pairs.groupBy("b").agg(F.ceil(F.count("*") / HUB_PAIRS).alias("salts"))
+    dealt = pairs.join(salts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"))
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t"))
-    both = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("s", "t")))
+    two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t")).join(salts, "b").select("b", "t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    both = dealt.join(one, "a").join(two, ["b", "salt"]).withColumn("common", F.size(F.array_intersect("s", "t")))
     return both.where(F.col("common") * (100 + percent) >= percent * (F.size("s") + F.size("t"))).select("a", "b")
 
 
