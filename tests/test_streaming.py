@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.config import IntradayConfig
-from tideline.operators.detectors import intraday_events
+from tideline.operators.detectors import intraday_events, with_cooldown
 from tideline.sources.adapters import bars_of
 from tideline.streaming import stream
 
@@ -73,6 +73,20 @@ def test_cooldown_equals_batch(spark, ticks, tmp_path):
     assert {tuple(r) for r in got.collect()} == want
 
 
+def test_cooldown_equals_the_batch_operator_over_midnight(spark, tmp_path):
+    """Many batches over three days, equal seconds included; the state of a day goes when the day is over."""
+    t0 = datetime(2025, 1, 10, 20, 0)
+    rows = [("AB"[i % 2], t0 + timedelta(seconds=170 * (i // 3)), 1.0, 1, ("x", "y", "z")[i % 3]) for i in range(3000)]
+    for k in range(6):
+        spark.createDataFrame(rows[500 * k : 500 * (k + 1)], TICK).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.05)
+    stored = spark.read.schema(TICK).parquet(str(tmp_path / "in"))
+    want = with_cooldown(stored.withColumn("date", F.to_date("timestamp")), 17).select("symbol", "event_type", "timestamp")
+    got = stream.finished(stream.cooldown(source(spark, str(tmp_path / "in")), 17))
+    rows = sorted(map(tuple, want.collect()))
+    assert len({r[2].date() for r in rows}) == 3 and sorted(map(tuple, got.collect())) == rows
+
+
 def test_stream_static_join(spark, ticks, tmp_path):
     static = spark.createDataFrame([("A", 5.0)], "symbol string, mean_volume double")
     got = rows_of(spark, stream.enriched_stream(source(spark, ticks), static, ["symbol"]), "joined", tmp_path)

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("daily", "intraday", "manifest", "audit", "inputs")
+MODULES = ("daily", "intraday", "manifest", "audit", "inputs", "live")
 
 
 def _catalog():

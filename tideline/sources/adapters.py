@@ -10,9 +10,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ticks_of(events: DataFrame) -> DataFrame:
+    """Events as ticks; a stream of them stays one."""
     size = F.get_json_object("props", "$.k").cast("long")
-    return table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("timestamp"), "event_id", "user_id", F.col("value").alias("price"), size.alias("size"))
+    return events.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("timestamp"), "event_id", "user_id", F.col("value").alias("price"), size.alias("size"))
+
+
+def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ticks_of(table(spark, sf_dir, "events"))
 
 
 def bars_of(trades: DataFrame, width: str = "15 minutes") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,24 +55,49 @@ def live_detectors(spark: SparkSession, bars_path: str, events_path: str, cfg: I
 
 
 def cooldown(events: DataFrame, minutes: int, late: str = "1 hour") -> DataFrame:
-    """Events at least `minutes` after the last accepted one of their symbol and type: state holds that one time per key.
+    """Events at least `minutes` after the last accepted one of their symbol, day and type, as `with_cooldown` has them: state
+    holds that one time per key, and goes once the watermark has passed the day.
 
-    Events of a batch are taken in time order; the columns are symbol, event_type, timestamp.
+    Times count in whole seconds, and all events of an accepted second stay; events of a batch are taken in time order. The
+    columns are symbol, event_type, timestamp.
     """
     import pandas as pd
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-    step = pd.Timedelta(minutes=minutes)
+    step = 60 * minutes
 
     def accept(key, frames, state: GroupState):
-        rows = pd.concat(list(frames), ignore_index=True).sort_values("timestamp", kind="stable")
-        last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames), ignore_index=True).sort_values("second", kind="stable")
+        last = state.get[0] if state.exists else None
         kept = []
-        for i, t in enumerate(rows["timestamp"]):
-            if last is None or t - last >= step:
+        for i, t in enumerate(rows["second"].tolist()):
+            if last is None or t == last or t - last >= step:
                 kept.append(i)
                 last = t
-        state.update((int(last.value // 1000) if last.unit == "ns" else int(last.as_unit("us").value),))
-        yield rows.iloc[kept]
-
-    return events.select("symbol", "event_type", "timestamp").withWatermark("timestamp", late).groupBy("symbol", "event_type").applyInPandasWithState(accept, "symbol string, event_type string, timestamp timestamp", "last long", "append", GroupStateTimeout.NoTimeout)
+        state.update((last,))
+        state.setTimeoutTimestamp(max(int(rows["day_end"].iloc[0]) * 1000, state.getCurrentWatermarkMs() + 1))
+        yield rows.iloc[kept][["symbol", "event_type", "timestamp"]]
+
+    day = F.to_date("timestamp")
+    columns = ["symbol", "event_type", "timestamp", day.alias("date"), F.unix_timestamp("timestamp").alias("second"), F.unix_timestamp(F.date_add(day, 1).cast("timestamp")).alias("day_end")]
+    keyed = events.withWatermark("timestamp", late).select(*columns).groupBy("symbol", "date", "event_type")
+    return keyed.applyInPandasWithState(accept, "symbol string, event_type string, timestamp timestamp", "last long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir, or, where that is unset (tests), a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{folder or tempfile.mkdtemp(prefix='spark-tideline-', dir='/tmp')}/stream-{uuid.uuid4().hex}"
+
+
+def finished(stream: DataFrame) -> DataFrame:
+    """What a stream has written once it has taken all that its source holds."""
+    folder = shared_folder(stream.sparkSession)
+    query = stream.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
