@@ -117,3 +117,23 @@ def test_scores_spread_rows_without_an_id(spark, monkeypatch):
     out = lm_scoring.score_documents(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string"), depth=3)
     assert next(x for x in blocks if "block" in x.columns).select("block").distinct().count() == 8
     assert out.count() == 200
+
+
+def test_repeats_keep_their_first_place(spark):
+    rng = random.Random(5)
+    pool = [" ".join(rng.choice("abcdefghijklmnop") + str(rng.randint(0, 9)) for _ in range(rng.randint(20, 90))) for _ in range(12)]
+    texts = {i - 3: " ".join(rng.choice(pool) for _ in range(rng.randint(1, 8))) for i in range(40)}
+    texts |= {100: None, 101: "", 102: "x y " * 400, 103: "x y " * 300 + pool[0]}
+    words, first = {d: (t or "").split() for d, t in texts.items()}, {}
+    for d in sorted(words):
+        for i in range(len(words[d]) - 34):
+            first.setdefault(tuple(words[d][i : i + 35]), (d, i))
+    expected = {}
+    for d, w in words.items():
+        gone = {j for i in range(len(w) - 34) if first[tuple(w[i : i + 35])] < (d, i) for j in range(i, i + 35)}
+        expected[d] = " ".join(x for i, x in enumerate(w) if i not in gone) if gone else texts[d]
+    assert sum(expected[d] != t for d, t in texts.items()) > 30
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    for split in (200, 2):
+        assert {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs, split=split, keep_first=True).collect()} == expected
+    assert substring_dedup.remove_repeats(docs.where("doc_id > 200"), keep_first=True).count() == 0

@@ -85,12 +85,13 @@ class FMIndex:
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n_symbols))])
         self.n, self.n_symbols = n, n_symbols
 
-    def matches(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def matches(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray, begins: np.ndarray | None = None) -> np.ndarray:
         """Matching statistics at the threshold: for each place of text the weight of the index's windows equal to the one starting there.
 
         Documents text[starts[i]:ends[i]] are streamed from their ends, all at once, one symbol a step. An interval
         that reaches the full depth is narrowed by the next symbol and then widened to all suffixes that agree on the
         first `depth` symbols; one that becomes empty starts anew a symbol before its end. Places with no window have 0.
+        begins, if given, receives where the interval of each place's window begins: a number that only equal windows share.
         """
         out, depth = np.zeros(len(text), dtype=np.int64), self.depth
         lanes = np.flatnonzero(ends - starts >= depth)
@@ -110,6 +111,8 @@ class FMIndex:
                 left[full], right[full] = self.short.select(k - 1), self.short.select(k)
                 size[full] = depth
                 out[at[full]] = self.weight[right[full]] - self.weight[left[full]]
+                if begins is not None:
+                    begins[at[full]] = left[full]
             bad = ~ok
             at = np.where(ok, at - 1, at + size - 1)
             if bad.any():

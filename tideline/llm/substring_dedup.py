@@ -12,7 +12,8 @@ gathers more than `split` places of different windows. Steps:
 4. each shard builds a compressed FM-index of its segments (a wavelet tree over the Burrows-Wheeler transform, and a bit
    for each suffix that differs from the one before within `depth` words), streams segments through it from their ends by
    backward search, and reports the windows whose interval at full depth holds more than one place;
-5. the reports go back to all documents holding the segment, and the words they cover are cut.
+5. the reports go back to all documents holding the segment, and the words they cover are cut. With keep_first, equal
+   windows (which meet in one shard, and have one interval there) are reported but for the first of their places.
 """
 
 from __future__ import annotations
@@ -113,24 +114,35 @@ def segment_refs(docs: DataFrame, depth: int, gram: int) -> DataFrame:
 
 
 def segment_words(docs: DataFrame, depth: int) -> DataFrame:
-    """The words of segments: docs (text, list of (d1, d2, route, n, at, windows))."""
+    """The words of segments and their first places: docs (doc, mark, text, list of (d1, d2, route, n, at, windows))."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             rows = []
-            for text, wanted in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
+            for doc, mark, text, wanted in zip(*[batch.column(i).to_pylist() for i in range(2)], batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist()):
                 w = (text or b"").split()
-                rows += [(x["d1"], x["d2"], x["route"], x["n"], b" ".join(w[x["at"] : x["at"] + x["windows"] + depth - 1])) for x in wanted]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)], names=["d1", "d2", "route", "n", "words"])
+                rows += [(x["d1"], x["d2"], x["route"], x["n"], doc, mark, x["at"], b" ".join(w[x["at"] : x["at"] + x["windows"] + depth - 1])) for x in wanted]
+            kinds = (*[pa.int64()] * 7, pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 8, kinds)], names=["d1", "d2", "route", "n", "doc0", "mark0", "at0", "words"])
 
-    return docs.mapInArrow(run, "d1 long, d2 long, route long, n long, words binary")
+    return docs.mapInArrow(run, "d1 long, d2 long, route long, n long, doc0 long, mark0 long, at0 long, words binary")
 
 
-def search_shard(table, depth: int):
-    """The segments of a shard that hold repeated windows, and where: start, end, start, end, ... of runs of windows."""
+def _runs(marked: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of marked places as start, end, start, end, ... within their segments, and up to where they reach for each segment."""
+    edges = np.diff(np.concatenate([[0], marked.astype(np.int8), [0]]))
+    up, down = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    owner = np.searchsorted(ends, up)
+    pairs = np.stack([up - starts[owner], down - starts[owner]], axis=1).astype(np.int32)
+    return pairs.reshape(-1), np.concatenate([[0], 2 * np.cumsum(np.bincount(owner, minlength=len(ends)))]).astype(np.int32)
+
+
+def search_shard(table, depth: int, keep_first: bool = False):
+    """The segments of a shard that hold repeated windows, and where: start, end, start, end, ... of runs of windows.
+
+    With keep_first, also the runs for the segment's first place (doc0, mark0, at0), without the windows found first there."""
     import pyarrow as pa
 
     ids: dict[bytes, int] = {}
@@ -142,15 +154,23 @@ def search_shard(table, depth: int):
         texts.append(0)
     text, sizes = np.array(texts, dtype=np.int64), np.array(sizes, dtype=np.int64)
     ends = np.cumsum(sizes + 1) - 1
+    starts = ends - sizes
     index = FMIndex(text, np.repeat(table["n"].to_numpy(), sizes + 1), len(ids) + 1, depth)
-    repeated = np.concatenate([[0], (index.matches(text, ends - sizes, ends) > 1).astype(np.int8), [0]])
-    up, down = np.flatnonzero(np.diff(repeated) == 1), np.flatnonzero(np.diff(repeated) == -1)
-    owner = np.searchsorted(ends, up)
-    first = (ends - sizes)[owner]
-    pairs = np.stack([up - first, down - first], axis=1).astype(np.int32)
-    hit, counts = np.unique(owner, return_counts=True)
-    runs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], 2 * np.cumsum(counts)]).astype(np.int32)), pa.array(pairs.reshape(-1)))
-    return pa.table({"d1": table["d1"].take(pa.array(hit)), "d2": table["d2"].take(pa.array(hit)), "runs": runs})
+    begins = (np.zeros(len(text), dtype=np.int64),) if keep_first else ()
+    repeated = index.matches(text, starts, ends, *begins) > 1
+    pairs, upto = _runs(repeated, starts, ends)
+    hit = pa.array(np.flatnonzero(np.diff(upto)))
+    columns = {"d1": table["d1"], "d2": table["d2"], "runs": pa.ListArray.from_arrays(pa.array(upto), pa.array(pairs))}
+    if keep_first:
+        at = np.flatnonzero(repeated)
+        owner = np.searchsorted(ends, at)
+        doc, mark, place = (table[c].to_numpy()[owner] for c in ("doc0", "mark0", "at0"))
+        window = begins[0][at]
+        order = np.lexsort((place + at - starts[owner], mark, doc, window))
+        repeated[at[order[np.concatenate([[True], window[order][1:] != window[order][:-1]])[: len(at)]]]] = False
+        pairs, upto = _runs(repeated, starts, ends)
+        columns |= {c: table[c] for c in ("doc0", "mark0", "at0")} | {"first_runs": pa.ListArray.from_arrays(pa.array(upto), pa.array(pairs))}
+    return pa.table(columns).take(hit)
 
 
 def cut_words(words: list[bytes], starts: list[int], runs: list[list[int]], depth: int) -> list[bytes]:
@@ -199,17 +219,22 @@ def scanned(docs: DataFrame, depth: int, gram: int, split: int) -> DataFrame:
     return saved(joined.mapInArrow(run, "doc long, mark long, doc_id long, n_words long, whole_sha256 string, text string, anchors array<long>, heavy array<long>"), "scanned")
 
 
-def reports(scan: DataFrame, depth: int, gram: int) -> DataFrame:
+def reports(scan: DataFrame, depth: int, gram: int, keep_first: bool = False) -> DataFrame:
     """(doc, mark, cuts): per document with repeats, its segments' places and the runs of repeated windows in them."""
     maybe = scan.where("text is not null")
     refs = saved(segment_refs(maybe.select("doc", "mark", "text", "anchors", "heavy"), depth, gram), "segments")
     counted = refs.groupBy("d1", "d2").agg(F.min(F.struct("doc", "mark", "at", "windows", "route", "alone")).alias("r"), F.count("*").alias("n")).where("n > 1 or not r.alone")
     wanted = counted.select("r.doc", "r.mark", F.struct("d1", "d2", "r.route", "n", "r.at", "r.windows").alias("x")).groupBy("doc", "mark").agg(F.collect_list("x").alias("wanted"))
-    words = saved(segment_words(maybe.join(wanted, ["doc", "mark"]).select("text", "wanted"), depth), "words")
+    words = saved(segment_words(maybe.join(wanted, ["doc", "mark"]).select("doc", "mark", "text", "wanted"), depth), "words")
     shards = max(MIN_SHARDS, -(-words.count() // SHARD_SEGMENTS))
     dealt = words.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)).cast("int")).drop("route")
-    found = dealt.repartitionById(shards, "shard").groupBy("shard").applyInArrow(lambda t: search_shard(t, depth), "d1 long, d2 long, runs array<int>")
-    return refs.join(found, ["d1", "d2"]).groupBy("doc", "mark").agg(F.collect_list(F.struct("at", "runs")).alias("cuts"))
+    schema = "d1 long, d2 long, runs array<int>" + (", doc0 long, mark0 long, at0 long, first_runs array<int>" if keep_first else "")
+    found = dealt.repartitionById(shards, "shard").groupBy("shard").applyInArrow(lambda t: search_shard(t, depth, keep_first), schema)
+    hits = refs.join(found, ["d1", "d2"])
+    if keep_first:
+        at_first = (F.col("doc") == F.col("doc0")) & (F.col("mark") == F.col("mark0")) & (F.col("at") == F.col("at0"))
+        hits = hits.withColumn("runs", F.when(at_first, F.col("first_runs")).otherwise(F.col("runs"))).where(F.size("runs") > 0)
+    return hits.groupBy("doc", "mark").agg(F.collect_list(F.struct("at", "runs")).alias("cuts"))
 
 
 def _cut(rows: DataFrame, depth: int) -> DataFrame:
@@ -250,12 +275,14 @@ def count_removed(docs: DataFrame, depth: int = 35, gram: int = 16, split: int =
     return single.unionByName(several)
 
 
-def remove_repeats(docs: DataFrame, depth: int = 35, gram: int = 16, split: int = 200) -> DataFrame:
+def remove_repeats(docs: DataFrame, depth: int = 35, gram: int = 16, split: int = 200, keep_first: bool = False) -> DataFrame:
     """docs with their repeated words cut. Texts that lose words have the rest joined by one space; others stay as they are.
 
-    Null texts stay null; for the rest see count_removed.
+    With keep_first a window stays at its first place, by doc_id (null: as 0), then by place in the text: a word goes if a window
+    covering it also starts at an earlier place, so each cut word is left in some earlier text. Rows equal in doc_id and text are one
+    place then. Null texts stay null; for the rest see count_removed.
     """
-    cuts = reports(scanned(docs, depth, gram, split), depth, gram).withColumnsRenamed({"doc": "__doc", "mark": "__mark", "cuts": "__cuts"})
+    cuts = reports(scanned(docs, depth, gram, split), depth, gram, keep_first).withColumnsRenamed({"doc": "__doc", "mark": "__mark", "cuts": "__cuts"})
     docs, opened = sealed(docs, new_text=True)
     doc, mark = F.coalesce(docs["doc_id"].cast("long"), F.lit(0)), _mark(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
     joined = docs.join(cuts.hint("shuffle_hash"), (doc == F.col("__doc")) & (mark == F.col("__mark")), "left")
