@@ -14,6 +14,7 @@ COLUMNS = {
     "op6_token_counts": {"doc_id", "n_bytes", "n_tokens", "over_limit"},
     "op7_context_tree_scores": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
     "op8_bin_packing": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
+    "op11_source_mix": {"doc_id", "size", "source_size", "target", "taken"},
     "op9_piece_sampling": {"doc_id", "n_pieces", "ids_crc32", "lossless"},
 }
 

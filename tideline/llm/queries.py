@@ -88,5 +88,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import plan_mix, taken_words
+
+    return taken_words(plan_mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), percent=150, repeat=2))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_embedding_dedup, op3_substring_dedup, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op7_context_tree_scores, op8_bin_packing, op9_piece_sampling, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_embedding_dedup, op3_substring_dedup, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op7_context_tree_scores, op8_bin_packing, op9_piece_sampling, op10_line_dedup, op11_source_mix)}
