@@ -22,7 +22,7 @@ COLUMNS = {
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.sql(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
     return con
 

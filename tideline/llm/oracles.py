@@ -83,5 +83,25 @@ m as (select node as doc_id, min(c) as component_id from r group by node)
 select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept from m left join n using (doc_id)"""
 
 
+#: CRC-32 bit by bit, as DuckDB has no function for it; node keys are lists of turn digests.
+OP12 = r"""
+with t as (select conv_id, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) || '-' || length(coalesce(text, '')) as k, length(coalesce(text, '')) as n, row_number() over
+  (partition by conv_id order by turn nulls first, coalesce(role, ''), substr(coalesce(text, ''), 1, 64), md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 as p
+  from conversations where conv_id is not null),
+c as (select conv_id, conv_id - conv_id % 100 as root, xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end))) % 6 as h from (select distinct conv_id from t)),
+r as (select c.conv_id, p, k, n from c join t on t.conv_id = c.root and t.p < h
+  union all select c.conv_id, p - h + (select count(*) from t x where x.conv_id = c.root and x.p < h), k, n from c join t on t.conv_id = c.conv_id and t.p >= h),
+s as (select c.conv_id, coalesce(list(k order by p) filter (p is not null), []) as ks, coalesce(list(n order by p) filter (p is not null), []) as ns from c left join r using (conv_id) group by c.conv_id),
+m as (select conv_id, d, md5(array_to_string(ks[1:d], ',')) as node, case when d > 0 then md5(array_to_string(ks[1:d - 1], ',')) end as up, coalesce(ns[d], 0) as n, d = len(ks) as ends
+  from (select *, unnest(range(0, len(ks) + 1)) as d from s)),
+g as (select node, d, up, min(conv_id) as conv_id, count(*) as n_convs, any_value(n) as n, sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256 from m group by node, d, up),
+k as (select up, d - 1 as d, count(*) as n from g where d > 0 group by all),
+o as (select g.*, coalesce(k.n, 0) as n_children from g left join k on k.up = g.node and k.d = g.d),
+z as (select m.node, m.d, count_if(n_children = 0) as n_leaves, sum((n_convs - 1) * o.n) as saved from o join m on m.conv_id = o.conv_id and m.d <= o.d group by all)
+select o.conv_id, o.d::bigint as depth, p.conv_id as parent_conv_id, o.n_convs, o.n_children, n_leaves::bigint as n_leaves, saved::bigint as saved_tokens, o.ends_sha256
+from o join z on z.node = o.node and z.d = o.d left join o p on p.node = o.up and p.d = o.d - 1"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": op1(), "op2_embedding_dedup": OP2, "op3_substring_dedup": OP3, "op5_minhash_dedup": OP5, "op10_line_dedup": OP10}
+    return {"op1_quality_rules": op1(), "op2_embedding_dedup": OP2, "op3_substring_dedup": OP3, "op5_minhash_dedup": OP5, "op10_line_dedup": OP10, "op12_prefix_trie": OP12}

@@ -94,5 +94,11 @@ def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(plan_mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), percent=150, repeat=2))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import ordered_turns, prefix_trie, share_openings
+
+    return prefix_trie(*share_openings(ordered_turns(table(spark, sf_dir, "conversations")), every=100, most=6))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_embedding_dedup, op3_substring_dedup, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op7_context_tree_scores, op8_bin_packing, op9_piece_sampling, op10_line_dedup, op11_source_mix)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_embedding_dedup, op3_substring_dedup, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op7_context_tree_scores, op8_bin_packing, op9_piece_sampling, op10_line_dedup, op11_source_mix, op12_prefix_trie)}
