@@ -221,7 +221,8 @@ def _draws(sources: DataFrame, block: int, slots: int, seed: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(s), shard), slot, rank[s], b, epoch, words)], names=["shard", "slot", "rank", "block", "epoch", "words"])
 
     members = grouped.agg(F.sort_array(F.collect_list(F.struct("rank", "n_draws", "blocks", "size", "cut"))).alias("members"))
-    work = members.select("g", "members", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")).repartition(F.col("chunk"))
+    work = members.select("g", "members", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+    work = work.repartition(min(chunks, max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))), "chunk")  # a number, so that AQE leaves these few rows apart
     return saved(work.mapInArrow(run, DRAWS), "mix-draws")
 
 
