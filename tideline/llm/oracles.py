@@ -103,5 +103,25 @@ select o.conv_id, o.d::bigint as depth, p.conv_id as parent_conv_id, o.n_convs,
 from o join z on z.node = o.node and z.d = o.d left join o p on p.node = o.up and p.d = o.d - 1"""
 
 
+#: Words carry their language, so that joins go by words alone.
+OP13 = r"""
+with d as (select coalesce(lang, 'und') as lang, string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?' || chr(11) || chr(12) || chr(13), 'abcdefghijklmnopqrstuvwxyz' || repeat(chr(10), 9)), chr(10)) as ps from documents),
+w as (select lang, regexp_extract_all(unnest(ps), '[^\x20\x09]+') as w from d),
+k as (select lang, list_transform(w, lambda x: x || chr(10) || lang) as w from w),
+o as (select lang, unnest(w) as x, unnest(w[2:]) as y, unnest(w[3:]) as z from k),
+g as (select lang, x, y, z, count(*) as f from o where x is not null group by all),
+f1 as (select lang, x, sum(f)::bigint as f from g group by all),
+f2 as (select lang, x, y, sum(f)::bigint as f from g where y is not null group by all),
+f3 as (select lang, x, y, z, f from g where z is not null and f >= 10),
+n as (select lang, sum(f)::bigint as n from f1 group by lang),
+s2 as (select c.lang, concat_ws(' ', split_part(c.x, chr(10), 1), split_part(c.y, chr(10), 1)) as phrase, c.x as p, c.y as q, c.f as a, 1 as j, u.f as l, v.f as r from f2 c join f1 u on u.x = c.x join f1 v on v.x = c.y where c.f >= 10),
+s3 as (select c.lang, concat_ws(' ', split_part(c.x, chr(10), 1), split_part(c.y, chr(10), 1), split_part(c.z, chr(10), 1)) as phrase, c.f as a, 1 as j, u.f as l, v.f as r from f3 c join f1 u on u.x = c.x join f2 v on v.x = c.y and v.y = c.z
+  union all select c.lang, concat_ws(' ', split_part(c.x, chr(10), 1), split_part(c.y, chr(10), 1), split_part(c.z, chr(10), 1)), c.f, 2, u.f, v.f from f3 c join f2 u on u.x = c.x and u.y = c.y join f1 v on v.x = c.z),
+m as (select lang, p, q, max(f) as f from (select lang, x as p, y as q, f from f3 union all select lang, y, z, f from f3) group by all),
+s as (select lang, phrase, a, j, l, r from s3 union all select s2.lang, phrase, a, j, l, r from s2 left join m on m.p = s2.p and m.q = s2.q where m.f is null or 100 * m.f < 50 * a),
+b as (select *, ((1000000::hugeint * a * a) // (l::hugeint * r))::bigint as score from s qualify row_number() over (partition by lang, phrase order by score, j) = 1)
+select b.lang, row_number() over (partition by b.lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score from b join n on n.lang = b.lang qualify rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": op1(), "op2_embedding_dedup": OP2, "op3_substring_dedup": OP3, "op5_minhash_dedup": OP5, "op10_line_dedup": OP10, "op12_prefix_trie": OP12}
+    return {"op1_quality_rules": op1(), "op2_embedding_dedup": OP2, "op3_substring_dedup": OP3, "op5_minhash_dedup": OP5, "op10_line_dedup": OP10, "op12_prefix_trie": OP12, "op13_collocations": OP13}

@@ -100,5 +100,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(*share_openings(ordered_turns(table(spark, sf_dir, "conversations")), every=100, most=6))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"), order=3, min_count=10, share=50, top=2000)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_embedding_dedup, op3_substring_dedup, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op7_context_tree_scores, op8_bin_packing, op9_piece_sampling, op10_line_dedup, op11_source_mix, op12_prefix_trie)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_embedding_dedup, op3_substring_dedup, op4_feistel_shards, op5_minhash_dedup, op6_token_counts, op7_context_tree_scores, op8_bin_packing, op9_piece_sampling, op10_line_dedup, op11_source_mix, op12_prefix_trie, op13_collocations)}
