@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import detectors as D
 from tideline.sources import adapters as S
-from tideline.streaming import stream
+from tideline.streaming import ordered, stream
 
 from . import intraday
 from .catalog import TICKS, query
@@ -71,13 +71,30 @@ def stream_detectors(spark, d):
     return spark.read.schema(D.intraday_events(bars, intraday.CFG).schema).parquet(f"{folder}/events").select(*intraday.OUT)
 
 
-@query(
+@query(intraday.COLUMNS + "\n---\nselect symbol, timestamp, event_type, direction, session, spike_x, score from events_", "spike_x score", "", "timestamp")
+def stream_live_detectors(spark, d):
+    """The detectors with rolling state, on bars that arrive up to an hour late over several runs of the query."""
+    return stream.replayed(S.bars(spark, d), lambda bars: ordered.live_events(bars, intraday.CFG, "1 hour"), 3600).select(*intraday.OUT)
+
+
+COOLDOWN = (
     "recursive " + GROUPED + """,
 e as (select users, event_type, timestamp, timestamp::date as date, floor(epoch(timestamp))::bigint as s from g),
 cd as (select users, date, event_type, min(s) as t from e group by all
   union all select users, date, event_type, min(x) from (select cd.users, cd.date, cd.event_type, cd.t, e.s as x from cd join e on e.users = cd.users and e.date = cd.date and e.event_type = cd.event_type and e.s - cd.t >= 7200) group by users, date, event_type, t)
 ---
-select users as symbol, event_type, timestamp from e where exists (from cd where cd.users = e.users and cd.date = e.date and cd.event_type = e.event_type and cd.t = e.s)""", "", "", "timestamp",
+select users as symbol, event_type, timestamp from e where exists (from cd where cd.users = e.users and cd.date = e.date and cd.event_type = e.event_type and cd.t = e.s)"""
 )
+
+
+@query(COOLDOWN, "", "", "timestamp")
 def stream_cooldown(spark, d):
     return stream.finished(stream.cooldown(ticks(spark, d).withColumn("symbol", F.col("users")), 120))
+
+
+@query(COOLDOWN, "", "", "timestamp")
+def stream_ordered_cooldown(spark, d):
+    """The cooldown in event time, on events that arrive up to an hour late over several runs of the query."""
+    group = F.concat(F.lit("u"), F.floor(F.col("user_id") / 150))
+    rows = S.ticks(spark, d).select(group.alias("symbol"), F.col("symbol").alias("event_type"), "timestamp")
+    return stream.replayed(rows, lambda events: ordered.cooldown(events, 120, "1 hour"), 3600)

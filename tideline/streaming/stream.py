@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.config import IntradayConfig
 from tideline.operators.detectors import intraday_events
@@ -90,7 +92,8 @@ def cooldown(events: DataFrame, minutes: int, late: str = "1 hour") -> DataFrame
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, or, where that is unset (tests), a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder and not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not folder and (master.startswith("local-cluster") or not master.startswith("local")):
         raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     return f"{folder or tempfile.mkdtemp(prefix='spark-tideline-', dir='/tmp')}/stream-{uuid.uuid4().hex}"
 
@@ -101,3 +104,42 @@ def finished(stream: DataFrame) -> DataFrame:
     query = stream.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start()
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """State in RocksDB, which operators with timers need, while a query is started; the session's own setting comes back."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+def replayed(rows: DataFrame, build: Callable[[DataFrame], DataFrame], late: int, slices: int = 4) -> DataFrame:
+    """What build makes of rows (with a timestamp) that arrive over time: each row up to `late` seconds after its time, in as many
+    slices, one run of the query for each from where the last one stopped, then a heartbeat that lets out what waits."""
+    spark = rows.sparkSession
+    folder = shared_folder(spark)
+    span = rows.agg(F.unix_seconds(F.min("timestamp")).alias("a"), F.unix_seconds(F.max("timestamp")).alias("b")).first()
+    if span["a"] is None:
+        return finished(build(spark.readStream.schema(rows.schema).parquet(_written(rows, f"{folder}/in"))))
+    step = max(1, -(-(span["b"] + late - span["a"] + 1) // slices))
+    at = F.unix_seconds("timestamp") + F.pmod(F.xxhash64(*rows.columns), F.lit(late)) - span["a"]
+    rows.withColumn("__slice", F.floor(at / step)).write.partitionBy("__slice").parquet(f"{folder}/all")
+    beat = spark.range(1).select(*[(F.timestamp_seconds(F.lit(span["b"] + 30 * 86_400 + late)) if f.name == "timestamp" else F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema])
+    every = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("__slice", T.LongType())])).parquet(f"{folder}/all")
+    for k in range(slices + 1):
+        _written(every.where(f"__slice = {k}").drop("__slice") if k < slices else beat, f"{folder}/in")
+        out = build(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"))
+        with rocksdb(spark):
+            query = out.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start()
+        query.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{folder}/rows")
+
+
+def _written(rows: DataFrame, path: str) -> str:
+    rows.write.mode("append").parquet(path)
+    return path
