@@ -1,6 +1,7 @@
 """Cases in which operators once did less than the whole job."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -137,3 +138,16 @@ def test_repeats_keep_their_first_place(spark):
     for split in (200, 2):
         assert {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs, split=split, keep_first=True).collect()} == expected
     assert substring_dedup.remove_repeats(docs.where("doc_id > 200"), keep_first=True).count() == 0
+
+
+def test_many_rows_alike_are_one_document(spark):
+    """Rows alike in doc_id and text, null doc_ids included: the work doesn't grow with the square of their number."""
+    long, other, n = " ".join(f"w{i}" for i in range(200)), " ".join(f"v{i}" for i in range(100)), 2000
+    rows = [(1, long)] * n + [(None, other)] * n + [(2, "short text")] * n + [(3, long + " z"), (None, " ".join(f"u{i}" for i in range(50)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = Counter((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.count_removed(docs).collect())
+    assert out == {(1, 200, 200): n, (None, 100, 100): n, (2, 2, 0): n, (3, 201, 200): 1, (None, 50, 0): 1}
+    cuts = substring_dedup.reports(substring_dedup.scanned(docs, 35, 16, 200), 35, 16).collect()
+    assert sorted(len(r.cuts) for r in cuts) == [66, 166, 166]  # one for each window of a frequent anchor, however many rows
+    kept = Counter((r.doc_id, r.text) for r in substring_dedup.remove_repeats(docs).collect())
+    assert kept == {(1, ""): n, (None, ""): n, (2, "short text"): n, (3, "z"): 1, (None, rows[-1][1]): 1}

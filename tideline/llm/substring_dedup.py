@@ -78,8 +78,8 @@ def anchor_counts(docs: DataFrame, depth: int, gram: int) -> DataFrame:
 
 
 def segment_refs(docs: DataFrame, depth: int, gram: int) -> DataFrame:
-    """Segments of documents (doc, mark, text, anchors, heavy): the place of each, its digest, route, number of windows, and
-    whether it is all of its route."""
+    """Segments of documents (doc, mark, text, anchors, heavy, copies): the place of each, its digest, route, number of windows,
+    whether it is all of its route, and in how many copies its document is there."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -88,7 +88,7 @@ def segment_refs(docs: DataFrame, depth: int, gram: int) -> DataFrame:
         words = WordHashes()
         for batch in batches:
             rows, digests = [], []
-            for doc, mark, text, known, heavy in zip(*[batch.column(i) for i in range(5)]):
+            for doc, mark, text, known, heavy, copies in zip(*[batch.column(i) for i in range(6)]):
                 w = words.of((text.as_py() or "").encode().split())
                 if len(w) < depth:
                     continue
@@ -102,15 +102,15 @@ def segment_refs(docs: DataFrame, depth: int, gram: int) -> DataFrame:
                     route = np.where(alone, shingle_hashes(w, depth).view(np.int64), hashes)
                 starts = np.flatnonzero(np.concatenate([[True], route[1:] != route[:-1]]) | alone)
                 ends = np.append(starts[1:], len(hashes))
-                doc, mark = doc.as_py(), mark.as_py()
+                doc, mark, copies = doc.as_py(), mark.as_py(), copies.as_py()
                 for s, e in zip(starts[live[starts]].tolist(), ends[live[starts]].tolist()):
                     digests.append(xxh3_128_digest(w[s : e + depth - 1].tobytes()))
-                    rows.append((doc, mark, s, e - s, int(route[s]), bool(alone[s])))
+                    rows.append((doc, mark, s, e - s, int(route[s]), bool(alone[s]), copies))
             both = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
-            cols = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["doc", "mark", "at", "windows", "route", "alone", "d1", "d2"])
+            cols = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 7, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["doc", "mark", "at", "windows", "route", "alone", "copies", "d1", "d2"])
 
-    return docs.mapInArrow(run, "doc long, mark long, at long, windows int, route long, alone boolean, d1 long, d2 long")
+    return docs.mapInArrow(run, "doc long, mark long, at long, windows int, route long, alone boolean, copies long, d1 long, d2 long")
 
 
 def segment_words(docs: DataFrame, depth: int) -> DataFrame:
@@ -195,35 +195,71 @@ def _mark(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(text, doc_id.isNull())
 
 
+def _once(keyed: DataFrame, depth: int) -> DataFrame:
+    """keyed without rows whose document has stood in the same task before, where its text is long enough to hold a window:
+    anchors tell how many there are of these. What is left of many copies are as many rows as tasks."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            keep = []
+            for key, text in zip(zip(*[batch.column(i).to_pylist() for i in range(2)]), batch.column(2).cast(pa.binary()).to_pylist()):
+                keep.append(key not in seen or len(text.split()) < depth)
+                seen.add(key)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return keyed.mapInArrow(run, keyed.schema)
+
+
 def scanned(docs: DataFrame, depth: int, gram: int, split: int) -> DataFrame:
-    """All documents, saved: doc, mark, doc_id, n_words, and either whole_sha256 (nothing can repeat) or text, anchors, heavy."""
+    """All documents, saved: doc, mark, doc_id, n_words, and either whole_sha256 (nothing can repeat; one row each) or text,
+    anchors, heavy, copies (the first of rows alike in doc_id and text has their number, the others have 0 and no text)."""
     keyed = _keyed(docs)
     found = saved(anchor_counts(keyed.select("doc", "mark", "text"), depth, gram), "anchors")
     counts = found.groupBy("anchor").agg(F.sum("places").alias("n")).where("n > 1")
-    lists = found.join(counts, "anchor").groupBy("doc", "mark").agg(F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("n") > split, F.col("anchor"))).alias("heavy"))
-    joined = keyed.select("doc", "mark", "doc_id", "text").join(lists.withColumnsRenamed({"doc": "__doc", "mark": "__mark"}).hint("shuffle_hash"), (F.col("doc") == F.col("__doc")) & (F.col("mark") == F.col("__mark")), "left").drop("__doc", "__mark")
+    lists = found.join(counts, "anchor").groupBy("doc", "mark").agg(F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("n") > split, F.col("anchor"))).alias("heavy"), F.count("*").alias("rows"))
+    # Each row of a document has brought each of its anchors once.
+    lists = lists.select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), "anchors", "heavy", F.expr("rows div size(anchors)").alias("copies"))
+    # Dealt out by hand, so that no task has a part of a document's rows only.
+    dealt = _once(keyed.select("doc", "mark", "text", "doc_id"), depth).repartition("doc", "mark")
+    joined = dealt.select("doc", "mark", "doc_id", "text").join(lists.hint("shuffle_hash"), (F.col("doc") == F.col("__doc")) & (F.col("mark") == F.col("__mark")), "left").drop("__doc", "__mark")
 
     def run(batches: Iterator) -> Iterator:
         import hashlib
 
         import pyarrow as pa
 
+        names = ["doc", "mark", "doc_id", "n_words", "whole_sha256", "text", "anchors", "heavy", "copies"]
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
+            known, keep = batch.column(4).is_valid().to_pylist(), []
+            for key, k in zip(zip(*[batch.column(i).to_pylist() for i in range(2)]), known):
+                keep.append(not k or key not in seen)
+                if k:
+                    seen.add(key)
+            again = batch.filter(pa.array([not k for k in keep], pa.bool_()))
+            if again.num_rows:
+                none, empty = pa.nulls(again.num_rows, pa.string()), pa.array([[]] * again.num_rows, again.column(4).type)
+                n = pa.array([len(t.split()) for t in again.column(3).cast(pa.binary()).to_pylist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([*again.columns[:3], n, none, none, empty, empty, pa.array([0] * again.num_rows, pa.int64())], names=names)
+            batch = batch.filter(pa.array(keep, pa.bool_()))
             texts, known = batch.column(3).cast(pa.binary()).to_pylist(), batch.column(4).is_valid().to_pylist()
             words = [t.split() for t in texts]
             n = pa.array([len(w) for w in words], pa.int64())
             sha = pa.array([None if k else hashlib.sha256(b" ".join(w)).hexdigest() for w, k in zip(words, known)], pa.string())
             text = pa.array([t if k else None for t, k in zip(texts, known)], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], n, sha, text, *batch.columns[4:]], names=["doc", "mark", "doc_id", "n_words", "whole_sha256", "text", "anchors", "heavy"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], n, sha, text, *batch.columns[4:]], names=names)
 
-    return saved(joined.mapInArrow(run, "doc long, mark long, doc_id long, n_words long, whole_sha256 string, text string, anchors array<long>, heavy array<long>"), "scanned")
+    return saved(joined.mapInArrow(run, "doc long, mark long, doc_id long, n_words long, whole_sha256 string, text string, anchors array<long>, heavy array<long>, copies long"), "scanned")
 
 
 def reports(scan: DataFrame, depth: int, gram: int, keep_first: bool = False) -> DataFrame:
     """(doc, mark, cuts): per document with repeats, its segments' places and the runs of repeated windows in them."""
     maybe = scan.where("text is not null")
-    refs = saved(segment_refs(maybe.select("doc", "mark", "text", "anchors", "heavy"), depth, gram), "segments")
-    counted = refs.groupBy("d1", "d2").agg(F.min(F.struct("doc", "mark", "at", "windows", "route", "alone")).alias("r"), F.count("*").alias("n")).where("n > 1 or not r.alone")
+    refs = saved(segment_refs(maybe.select("doc", "mark", "text", "anchors", "heavy", "copies"), depth, gram), "segments")
+    counted = refs.groupBy("d1", "d2").agg(F.min(F.struct("doc", "mark", "at", "windows", "route", "alone")).alias("r"), F.sum("copies").alias("n")).where("n > 1 or not r.alone")
     wanted = counted.select("r.doc", "r.mark", F.struct("d1", "d2", "r.route", "n", "r.at", "r.windows").alias("x")).groupBy("doc", "mark").agg(F.collect_list("x").alias("wanted"))
     words = saved(segment_words(maybe.join(wanted, ["doc", "mark"]).select("doc", "mark", "text", "wanted"), depth), "words")
     shards = max(MIN_SHARDS, -(-words.count() // SHARD_SEGMENTS))
@@ -268,10 +304,10 @@ def count_removed(docs: DataFrame, depth: int = 35, gram: int = 16, split: int =
     """
     scan = scanned(docs, depth, gram, split)
     cuts = reports(scan, depth, gram)
-    single = scan.where("text is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("whole_sha256").alias("kept_sha256"))
-    rows = scan.where("text is not null").select("doc", "mark", "doc_id", "n_words", "text").join(cuts, ["doc", "mark"], "left").select("doc_id", "n_words", "text", "cuts")
+    single = scan.where("whole_sha256 is not null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("whole_sha256").alias("kept_sha256"))
+    rows = scan.where("text is not null").select("doc", "mark", "doc_id", "n_words", "copies", "text").join(cuts, ["doc", "mark"], "left").select("doc_id", "n_words", "copies", "text", "cuts")
     squeezed = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
-    several = _cut(rows, depth).select("doc_id", "n_words", "n_removed", F.sha2(squeezed, 256).alias("kept_sha256"))
+    several = _cut(rows, depth).select("doc_id", "n_words", "n_removed", F.sha2(squeezed, 256).alias("kept_sha256"), F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("col")
     return single.unionByName(several)
 
 
