@@ -67,8 +67,12 @@ def config_fingerprint(config: dict) -> str:
 
 
 def data_fingerprint(df: DataFrame) -> DataFrame:
-    """One row: rows, and a sum over the rows of the first 60 bits of their MD5, which doesn't depend on their order."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns])
+    """One row: rows, and a sum over the rows of the first 60 bits of their MD5, which doesn't depend on their order.
+
+    Each field goes in with its length before it, a null as a sign of its own, so different rows have different texts.
+    """
+    sized = lambda c: F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+    text = F.concat(*[sized(F.col(f"`{c}`").cast("string")) for c in df.columns])
     bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(bits), F.lit(0)).cast("decimal(38,0)").alias("fingerprint"))
 

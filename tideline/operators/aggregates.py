@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.functions.quantiles import exact_quantiles, quantile_columns
+from tideline.storage import saved
+
 CAP_EDGES = (0.0, 5e7, 3e8, 2e9, 1e10)
 CAP_NAMES = ("nano", "micro", "small", "mid", "large")
 
@@ -74,13 +77,16 @@ def window_extent(events: DataFrame, start: int | None = None, end: int | None =
 
 def daily_rate(events: DataFrame) -> DataFrame:
     """Median, p95 and maximum of the events per symbol-day."""
-    n = events.groupBy("symbol", "date").agg(F.count("*").alias("n"))
-    return n.agg(F.percentile("n", F.lit(0.5)).alias("median"), F.percentile("n", F.lit(0.95)).alias("p95"), F.max("n").alias("max"))
+    n = saved(events.groupBy("symbol", "date").agg(F.count("*").alias("n")), "daily-counts")
+    found = exact_quantiles(n, {"n": (0.5, 0.95)})
+    return n.agg(F.max("n").alias("max")).select(*quantile_columns(found, "n", ((0.5, "median"), (0.95, "p95"))), "max")
 
 
 def outliers(events: DataFrame, columns: tuple[str, ...] = ("spike_x", "dollar_volume")) -> DataFrame:
     """(metric, median, p95, p99, max) and alerts: spikes over 500 times, a median dollar volume under 50k."""
-    arms = [F.struct(F.lit(c).alias("metric"), *[F.percentile(c, F.lit(q)).alias(n) for q, n in ((0.5, "median"), (0.95, "p95"), (0.99, "p99"))], F.max(F.col(c).cast("double")).alias("max")) for c in columns]
+    events, names = saved(events.select(*columns), "outliers"), ((0.5, "median"), (0.95, "p95"), (0.99, "p99"))
+    found = exact_quantiles(events, {c: (0.5, 0.95, 0.99) for c in columns})
+    arms = [F.struct(F.lit(c).alias("metric"), *quantile_columns(found, c, names), F.max(F.col(c).cast("double")).alias("max")) for c in columns]
     out = events.agg(F.array(*arms).alias("x")).select(F.explode("x").alias("x")).select("x.*")
     return out.withColumn("alert", F.when(F.col("metric") == "spike_x", F.col("max") > 500).otherwise(F.col("median") < 50_000))
 
@@ -125,14 +131,15 @@ def cap_brackets(details: DataFrame, edges: tuple[float, ...] = CAP_EDGES, names
 
 
 def cap_summary(details: DataFrame, most: float = 2e9) -> DataFrame:
-    c = F.col("market_cap")
-    return details.agg(F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.percentile(c, F.lit(0.5)).alias("median"), F.count_if(c < most).alias("n_small"), F.count_if(c.isNull()).alias("n_unknown"))
+    c, median = F.col("market_cap"), quantile_columns(exact_quantiles(details, {"market_cap": (0.5,)}), "market_cap", ((0.5, "median"),))
+    return details.agg(F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), *median, F.count_if(c < most).alias("n_small"), F.count_if(c.isNull()).alias("n_unknown"))
 
 
 def score_report(events: DataFrame) -> DataFrame:
-    s = F.col("score")
+    s, events = F.col("score"), saved(events.select("score"), "scores")
+    found = exact_quantiles(events, {"score": (0.25, 0.5, 0.75, 0.9)})
     return events.agg(
-        F.min(s).alias("min"), F.max(s).alias("max"), F.avg(s).alias("mean"), *[F.percentile(s, F.lit(q)).alias(n) for q, n in ((0.25, "p25"), (0.5, "median"), (0.75, "p75"), (0.9, "p90"))],
+        F.min(s).alias("min"), F.max(s).alias("max"), F.avg(s).alias("mean"), *quantile_columns(found, "score", ((0.25, "p25"), (0.5, "median"), (0.75, "p75"), (0.9, "p90"))),
         *[F.avg((s >= t).cast("double")).alias(f"share_{int(t * 100)}") for t in (0.6, 0.7, 0.8)],
     )
 
@@ -144,7 +151,9 @@ def dividends(actions: DataFrame, n: int = 20) -> DataFrame:
 
 def describe(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """(metric, count, mean, stddev, min, p25, p50, p75, max) of numeric columns."""
-    arms = [F.struct(F.lit(c).alias("metric"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev(F.col(c).cast("double")).alias("stddev"), F.min(F.col(c).cast("double")).alias("min"), *[F.percentile(c, F.lit(q)).alias(n) for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))], F.max(F.col(c).cast("double")).alias("max")) for c in columns]
+    df = saved(df.select(*columns), "described")
+    found = exact_quantiles(df, {c: (0.25, 0.5, 0.75) for c in columns})
+    arms = [F.struct(F.lit(c).alias("metric"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev(F.col(c).cast("double")).alias("stddev"), F.min(F.col(c).cast("double")).alias("min"), *quantile_columns(found, c, ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))), F.max(F.col(c).cast("double")).alias("max")) for c in columns]
     return df.agg(F.array(*arms).alias("x")).select(F.explode("x").alias("x")).select("x.*")
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.functions.quantiles import exact_quantiles
 from tideline.functions.scalars import ratio
 from tideline.functions.time import market_time, minute_of_day
+from tideline.storage import saved
 
 from .joins import as_of, in_event_windows
 from .rolling import by_day, by_symbol, by_daily, last_rows, mean_at_least, rows_before
@@ -69,8 +71,10 @@ def execution_cost(events: DataFrame, position_usd: float = 10_000, halt: str |
 
 def l2_selection(events: DataFrame, q: float = 0.90, min_day: float = 5_000_000, per_month: int = 200) -> DataFrame:
     """Events over the q quantiles of liquidity_score and rvol_day with dollar_volume_day over min_day; the best of each month."""
-    least = events.agg(F.struct(*[F.percentile(c, F.lit(q)).alias(c) for c in ("liquidity_score", "rvol_day")])).scalar()
-    out = events.where((F.col("liquidity_score") > least["liquidity_score"]) & (F.col("rvol_day") > least["rvol_day"]) & (F.col("dollar_volume_day") > min_day))
+    events = saved(events, "candidates")
+    least = exact_quantiles(events, {"liquidity_score": (q,), "rvol_day": (q,)})
+    above = [F.col(c) > F.lit(x).cast("double") for (c, _), x in least.items()]
+    out = events.where(above[0] & above[1] & (F.col("dollar_volume_day") > min_day))
     w = Window.partitionBy(F.date_format("timestamp", "yyyy-MM")).orderBy(F.desc("liquidity_score"), "symbol", "timestamp")
     return out.withColumn("rank_month", F.row_number().over(w)).where(F.col("rank_month") <= per_month)
 
@@ -186,6 +190,29 @@ def triple_barrier(bars: DataFrame, events: DataFrame, take: float = 0.15, stop:
     return out.withColumn("exit_return", gain - cost).drop("h", "l", "any")
 
 
+def intraday_sigma(bars: DataFrame, n: int = 20) -> DataFrame:
+    """bars with sigma: the deviation of the returns of the last n bars of the day."""
+    out = bars.withColumn("__r", ratio(F.col("close"), F.lag("close").over(by_day())) - 1)
+    return out.withColumn("sigma", F.stddev_samp("__r").over(last_rows(by_day(), n))).drop("__r")
+
+
+def net_of_costs(
+    labelled: DataFrame, fee_per_share: float = 0.003, fee_per_dollar: float = 0.0000278, normal: float = 0.5, restricted: float = 2.0, tick: float = 0.01, least_ticks: int = 1, volatility: float = 0.2,
+) -> DataFrame:
+    """labelled (entry, exit_return; spread in dollars, sigma, ssr) with fees, slip, net_return and net_label, its sign.
+
+    Fees, as shares of the entry: per share both ways, and per dollar of the sale. Slippage both ways: a share of the spread, larger under
+    a short-sale restriction, of so many ticks at least, and a share of the intraday deviation. A null spread is one tick, a null
+    sigma or ssr none; an entry of 0 gives nulls.
+    """
+    entry, sale = F.col("entry"), F.col("entry") * (1 + F.col("exit_return"))
+    factor = F.when(F.coalesce("ssr", F.lit(False)), restricted).otherwise(normal)
+    one_way = F.greatest(factor * F.coalesce("spread", F.lit(0.0)), F.lit(tick * least_ticks)) + volatility * F.coalesce("sigma", F.lit(0.0)) * entry
+    out = labelled.withColumn("fees", ratio(2 * fee_per_share + fee_per_dollar * sale, entry)).withColumn("slip", ratio(2 * one_way, entry))
+    out = out.withColumn("net_return", F.col("exit_return") - F.col("fees") - F.col("slip"))
+    return out.withColumn("net_label", F.when(F.col("net_return").isNull(), 0).otherwise(F.signum("net_return")).cast("int"))
+
+
 def forward_label(bars: DataFrame, n: int = 5, up: float = 0.02, down: float = -0.02) -> DataFrame:
     r = ratio(F.lead("close", n).over(by_day()), F.col("close")) - 1
     return bars.withColumn("fwd_return", r).withColumn("fwd_label", F.when(F.col("fwd_return") >= up, 1).when(F.col("fwd_return") <= down, -1).when(F.col("fwd_return").isNotNull(), 0))
@@ -285,10 +312,36 @@ def similar_outcomes(neighbours: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
 
 
+def exponential_mean(rows: DataFrame, column: str, span: int, name: str, by: str = "symbol", order: str = "date", block: int = 256) -> DataFrame:
+    """by, order and name: the mean m = (1 - a) m + a x with a = 2 / (span + 1), from the first value on; at a null the mean so far.
+
+    Each step is x -> p x + q, and steps compose: a block of so many values is one p and one q, the blocks of a group are put
+    together in order, and what comes in from the blocks before is added inside each. Expressions only.
+    """
+    keep, gain = 1 - 2 / (span + 1), 2 / (span + 1)
+    w = Window.partitionBy(by).orderBy(order)
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    x = F.col(column).cast("double")
+    out = rows.select(by, order, x.alias("__x")).withColumn("__i", F.count("__x").over(so_far) - 1)
+    known = out.where("__x is not null").withColumn("__b", F.expr(f"__i div {block}")).withColumn("__k", F.col("__i") % block)
+    # The first value is the mean itself: it enters the first block as what comes in from before.
+    step = F.when(F.col("__i") == 0, 0.0).otherwise(gain * F.col("__x")) * F.pow(F.lit(1 / keep), F.col("__k") + 1)
+    inner = Window.partitionBy(by, "__b").orderBy("__k").rowsBetween(Window.unboundedPreceding, 0)
+    known = known.withColumn("__q", F.sum(step).over(inner) * F.pow(F.lit(keep), F.col("__k") + 1))
+    blocks = known.groupBy(by, "__b").agg(F.max("__k").alias("n"), F.max_by("__q", "__k").alias("q"), F.min_by("__x", "__k").alias("x"))
+    chain = F.sort_array(F.collect_list(F.struct("__b", "n", "q", "x")))  # a block of each group's values is one element
+    first = F.struct(F.array().cast("array<struct<b:bigint,m:double>>").alias("out"), F.lit(None).cast("double").alias("m"))
+    # The first value is already in place after its own step, so its block keeps one step less.
+    fold = F.aggregate(chain, first, lambda s, b: F.struct(F.concat(s["out"], F.array(F.struct(b["__b"].alias("b"), F.coalesce(s["m"], b["x"] / keep).alias("m")))).alias("out"), (F.coalesce(s["m"], b["x"] / keep) * F.pow(F.lit(keep), b["n"] + 1) + b["q"]).alias("m")))
+    carried = blocks.groupBy(by).agg(fold["out"].alias("c")).select(by, F.explode("c").alias("c")).select(by, F.col("c.b").alias("__b"), F.col("c.m").alias("__m"))
+    means = known.join(carried, [by, "__b"]).select(by, "__i", (F.col("__m") * F.pow(F.lit(keep), F.col("__k") + 1) + F.col("__q")).alias(name))
+    return out.join(means, [by, "__i"], "left").select(by, order, name)
+
+
 def indicators(daily: DataFrame, fast: int = 12, slow: int = 26) -> DataFrame:
     """daily with bollinger bands (20, 2), rsi14 (sums), volume_ratio, and macd: the exponential means of all closes so far.
 
-    The means are a recursion, which no window frame says: each symbol's days are one Arrow group; null closes are passed over.
+    The means are recursions, computed as prefix scans (exponential_mean); null closes are passed over.
     """
     w = last_rows(by_daily(), 20)
     mean, dev = F.avg("close").over(w), F.stddev_pop("close").over(w)
@@ -299,17 +352,8 @@ def indicators(daily: DataFrame, fast: int = 12, slow: int = 26) -> DataFrame:
     up, down = F.sum(F.greatest("__c", F.lit(0.0))).over(r), F.sum(F.greatest(-F.col("__c"), F.lit(0.0))).over(r)
     out = out.withColumn("rsi14", F.when(F.count("__c").over(r) == 14, ratio(100 * up, up + down))).drop("__c")
 
-    def means(table):
-        import pandas as pd
-        import pyarrow as pa
-
-        rows = table.to_pandas().sort_values("date")
-        close = rows["close"].astype("float64")
-        fast_mean, slow_mean = (close.ewm(span=n, adjust=False, ignore_na=True).mean() for n in (fast, slow))
-        return pa.table({"symbol": pa.Array.from_pandas(rows["symbol"], type=table.schema.field("symbol").type), "date": pa.Array.from_pandas(pd.Series(rows["date"])), "macd": pa.Array.from_pandas(fast_mean - slow_mean)})
-
-    kind = daily.schema["symbol"].dataType.simpleString()
-    macd = daily.select("symbol", "date", F.col("close").cast("double").alias("close")).groupBy("symbol").applyInArrow(means, f"symbol {kind}, date date, macd double")
+    fast_mean, slow_mean = (exponential_mean(daily, "close", n, f"__{n}") for n in (fast, slow))
+    macd = fast_mean.join(slow_mean, ["symbol", "date"]).select("symbol", "date", (F.col(f"__{fast}") - F.col(f"__{slow}")).alias("macd"))
     return out.join(macd, ["symbol", "date"])
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import last_known
+
 
 def _bucket(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_timestamp(ts) / seconds)
@@ -52,13 +54,15 @@ def session_slices(events: DataFrame, bars: DataFrame, spec: list[tuple[int, str
 
 
 def as_of(left: DataFrame, right: DataFrame, columns: list[str], keys: tuple[str, ...] = ("symbol",), ts: str = "timestamp", order: str = "event_id") -> DataFrame:
-    """left with the columns of the last right row at or before it: a union and one running window, no product. At equal times the right row comes first."""
+    """left with the columns of the last right row at or before it: a union in time order and the last right row known, no product. At
+    equal times the right row comes first. A key may hold most of the rows: its time is cut into parts, and what is known at the
+    end of one is carried into the next."""
     a = left.select("*", *[F.lit(None).cast(right.schema[c].dataType).alias(f"__{c}") for c in columns], F.lit(1).alias("__side"))
     b = right.select(*keys, ts, order, *[F.col(c).alias(f"__{c}") for c in columns], F.lit(0).alias("__side"))
-    w = Window.partitionBy(*keys).orderBy(ts, "__side", order).rowsBetween(Window.unboundedPreceding, 0)
     both = a.unionByName(b, allowMissingColumns=True)
     packed = F.when(F.col("__side") == 0, F.struct(*[F.col(f"__{c}").alias(c) for c in columns]))
-    out = both.withColumn("__last", F.last(packed, ignorenulls=True).over(w)).where("__side = 1")
+    known = last_known(both.withColumn("__packed", packed), keys, (ts, "__side", order), "__packed", "__last")
+    out = known.where("__side = 1")
     return out.select(*left.columns, *[F.col(f"__last.{c}").alias(c) for c in columns])
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.functions.quantiles import exact_quantiles, quantile_columns
 from tideline.functions.time import market_time, session_of
+from tideline.storage import saved
 
 from .aggregates import daily_rate, outliers, side_by_side
 from .rolling import bucket_repeats
@@ -114,8 +116,10 @@ def recommended_checks(events: DataFrame, ssr: str = "ssr", min_dollar_volume: f
     """(name, value, ok): sessions that don't fit their New York time, medians of dollar volume and spread, share of rows with a flag for
     short-sale restrictions, mean price, mean relative volume. Medians are exact."""
     wrong = F.count_if(~F.col("session").eqNullSafe(session_of(market_time(F.col("timestamp"))))).cast("double")
+    events = saved(events.select("session", "timestamp", "dollar_volume_bar", "spread_proxy", ssr, "close", "rvol_day"), "checked")
+    half = exact_quantiles(events, {"dollar_volume_bar": (0.5,), "spread_proxy": (0.5,)})
     row = events.agg(
-        wrong.alias("tz"), F.percentile("dollar_volume_bar", F.lit(0.5)).alias("dv"), F.percentile("spread_proxy", F.lit(0.5)).alias("spread"), F.avg(F.col(ssr).isNotNull().cast("double")).alias("ssr"),
+        wrong.alias("tz"), *quantile_columns(half, "dollar_volume_bar", ((0.5, "dv"),)), *quantile_columns(half, "spread_proxy", ((0.5, "spread"),)), F.avg(F.col(ssr).isNotNull().cast("double")).alias("ssr"),
         F.avg("close").alias("price"), F.avg("rvol_day").alias("rvol"),
     )
     checks = [("timezone", "tz", F.col("tz") == 0), ("dollar_volume_median", "dv", F.col("dv") >= min_dollar_volume), ("spread_median", "spread", F.col("spread") <= max_spread), ("ssr_present", "ssr", F.col("ssr") == 1), ("price_mean", "price", F.col("price").between(*price)), ("rvol_mean", "rvol", F.col("rvol") >= min_rvol)]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import EPS, ratio
 
+from .scans import running_sum
+
 
 def by_symbol() -> WindowSpec:
     return Window.partitionBy("symbol").orderBy("timestamp")
@@ -94,12 +98,18 @@ def rvol_day(daily: DataFrame, days: int = 20) -> DataFrame:
 
 
 def average_rank_cdf(df: DataFrame, score: str = "score", by: tuple[str, ...] = ("event_type", "session")) -> DataFrame:
-    """df without null scores; `score` becomes (average rank - 1) / (largest - 1) within its group (0.5 for a group of one rank), score_raw keeps it."""
-    w = Window.partitionBy(*by)
+    """df without null scores; `score` becomes (average rank - 1) / (largest - 1) within its group (0.5 for a group of one rank), score_raw keeps it.
+
+    Ranks are running counts of the different scores, so a group may be spread over all tasks.
+    """
     out = df.where(F.col(score).isNotNull()).withColumnRenamed(score, "score_raw")
-    ties = F.count("*").over(Window.partitionBy(*by, "score_raw"))
-    out = out.withColumn("__rank", F.rank().over(w.orderBy("score_raw")) + (ties - 1) / 2).withColumn("__top", F.max("__rank").over(w))
-    return out.withColumn(score, F.when(F.col("__top") <= 1, 0.5).otherwise((F.col("__rank") - 1) / (F.col("__top") - 1))).drop("__rank", "__top")
+    ties = out.groupBy(*by, "score_raw").agg(F.count("*").alias("__n"))
+    ranks = running_sum(ties, by, ("score_raw",), "__n", "__below").withColumn("__rank", F.col("__below") + 1 + (F.col("__n") - 1) / 2)
+    top = ranks.groupBy(*by).agg(F.max("__rank").alias("__top"))
+    same = lambda a, b, names: reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in names])
+    scaled = ranks.alias("r").join(top.alias("t"), same("r", "t", by)).select(*[f"r.{c}" for c in (*by, "score_raw")], F.when(F.col("__top") <= 1, 0.5).otherwise((F.col("__rank") - 1) / (F.col("__top") - 1)).alias("__scaled"))
+    joined = out.alias("o").join(scaled.alias("s"), same("o", "s", (*by, "score_raw")))
+    return joined.select(*[F.col(f"o.`{c}`") for c in out.columns], F.col("s.__scaled").alias(score))
 
 
 def forward_metrics(bars: DataFrame, n: int = 5, by: WindowSpec | None = None) -> DataFrame:

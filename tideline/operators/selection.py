@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.config import ManifestConfig, SessionLimits
+from tideline.functions.quantiles import exact_quantiles, quantile_columns
 from tideline.functions.scalars import null_count, ratio, with_derived
 from tideline.functions.time import market_time, minute_of_day
+from tideline.storage import saved
 
 from .aggregates import side_by_side
 
@@ -108,9 +110,11 @@ def session_quotas(kept: DataFrame, cfg: ManifestConfig = ManifestConfig()) -> D
 
 def sanity_checks(kept: DataFrame, cfg: ManifestConfig = ManifestConfig()) -> DataFrame:
     """(name, value, ok) of ten checks."""
+    kept = saved(kept.select("symbol", "session", "score", "rvol_day"), "kept")
+    half = exact_quantiles(kept, {"score": (0.5,), "rvol_day": (0.5,)})
     top = kept.groupBy("symbol").agg(F.count("*").alias("c")).orderBy(F.desc("c"), "symbol").limit(20).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("top"))
     share = lambda s: F.coalesce(F.avg((F.col("session") == s).cast("double")), F.lit(0.0)).alias(s)
-    row = kept.agg(F.count("*").alias("n"), F.count_distinct("symbol").alias("symbols"), F.percentile("score", F.lit(0.5)).alias("score"), F.percentile("rvol_day", F.lit(0.5)).alias("rvol"), share("PM"), share("RTH"), share("AH"))
+    row = kept.agg(F.count("*").alias("n"), F.count_distinct("symbol").alias("symbols"), *quantile_columns(half, "score", ((0.5, "score"),)), *quantile_columns(half, "rvol_day", ((0.5, "rvol"),)), share("PM"), share("RTH"), share("AH"))
     row = side_by_side(row, top)
     n = F.col("n").cast("double")
     checks = [("total_events", n, n.between(*cfg.events_range)), ("symbols", F.col("symbols").cast("double"), F.col("symbols") >= cfg.min_symbols), ("score_median", F.col("score"), F.col("score") >= cfg.min_score_median), ("rvol_median", F.col("rvol"), F.col("rvol") >= cfg.min_rvol_median)]
@@ -131,8 +135,10 @@ def manifest_summary(kept: DataFrame) -> DataFrame:
 
 def freeze_metadata(kept: DataFrame, cfg: ManifestConfig = ManifestConfig()) -> DataFrame:
     """One row to be written beside a frozen manifest."""
+    kept = saved(kept.select("symbol", "session", "score", "timestamp"), "kept")
+    half = exact_quantiles(kept, {"score": (0.5,)})
     return kept.agg(
-        F.count("*").alias("n_events"), F.count_distinct("symbol").alias("n_symbols"), F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"), F.percentile("score", F.lit(0.5)).alias("score_median"),
+        F.count("*").alias("n_events"), F.count_distinct("symbol").alias("n_symbols"), F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"), *quantile_columns(half, "score", ((0.5, "score_median"),)),
         *[F.avg((F.col("session") == s).cast("double")).alias(f"share_{s.lower()}") for s in ("PM", "RTH", "AH")], (F.count("*") * cfg.storage_mb_p90 / 1024).alias("storage_gb_p90"),
     )
 

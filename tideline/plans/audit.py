@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from tideline.operators import aggregates as A
 from tideline.operators import features as X
+from tideline.operators import patterns as P
 from tideline.operators import quality as Q
 from tideline.operators import rolling as R
 from tideline.sources import adapters as S
+from tideline.storage import saved
 
 from .catalog import BARS, TICKS, query
 from .manifest import DUPES, dupes, events
@@ -171,3 +173,20 @@ def news_features(spark, d):
 def similar_vectors(spark, d):
     e = S.table(spark, d, "embeddings")
     return X.similar_vectors(e, e.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id"))
+
+
+@query("q as (select vec_id as query_id, label, embedding from embeddings where vec_id % 100 = 0), s as (select query_id, vec_id, list_cosine_similarity(e.embedding::double[], q.embedding::double[]) as cosine from embeddings e join q using (label) where vec_id <> query_id)\n---\nselect query_id, vec_id, cosine, row_number() over (partition by query_id order by cosine desc, vec_id)::int as rank from s qualify row_number() over (partition by query_id order by cosine desc, vec_id) <= 10", "cosine")
+def indexed_vectors(spark, d):
+    """The neighbours of every hundredth vector by the index: at these sizes all that the exact search finds."""
+    e = S.table(spark, d, "embeddings")
+    return P.search(P.fit_index(e, k=10), e.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id"), k=10)
+
+
+@query()
+def current_patterns(spark, d):
+    """What followed the 20 past patterns of price and volume that are most like the present one of each symbol."""
+    past = P.price_patterns(S.daily_bars(spark, d)).where("v is not null")
+    past = saved(past.select(F.xxhash64("symbol", "date").alias("vec_id"), F.lit("days").alias("label"), F.col("v").alias("embedding"), "symbol", "date", "outcome"), "patterns")
+    now = past.groupBy("symbol").agg(F.max_by(F.struct(F.col("vec_id").alias("query_id"), "label", "embedding", "date"), "date").alias("q")).select("symbol", "q.*")
+    found = P.pattern_outcomes(P.search(P.fit_index(past, k=20), now.drop("symbol", "date"), k=20), past.select("vec_id", "outcome"))
+    return now.select("query_id", "symbol", "date").join(found, "query_id").drop("query_id")

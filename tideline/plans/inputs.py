@@ -1,10 +1,12 @@
 """Queries on inputs as vendors deliver them, on restricted universes, and on options that are off by default."""
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from tideline.functions import scalars as C
+from tideline.functions import time as M
 from tideline.operators import detectors as D
 from tideline.operators import features as X
 from tideline.operators import halts as H
@@ -12,6 +14,8 @@ from tideline.operators import joins as J
 from tideline.operators import quality as Q
 from tideline.sources import adapters as S
 from tideline.sources import bars as B
+from tideline.sources.ledger import Ledger
+from tideline.storage import saved, shared_folder
 
 from . import audit, intraday
 from .catalog import BARS, DAILY, TICKS, et, query
@@ -82,7 +86,7 @@ def universe_filter(spark, d):
     return C.universe(x).select("ticker")
 
 
-@query("select count(*) as n_rows, sum(('0x' || md5(o_orderkey || '|' || o_custkey || '|' || o_orderstatus)[1:15])::bigint)::varchar as fingerprint from orders")
+@query("select count(*) as n_rows, sum(('0x' || md5(strlen(o_orderkey::varchar) || ':' || o_orderkey || strlen(o_custkey::varchar) || ':' || o_custkey || strlen(o_orderstatus) || ':' || o_orderstatus)[1:15])::bigint)::varchar as fingerprint from orders")
 def data_fingerprint(spark, d):
     return C.data_fingerprint(S.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")).withColumn("fingerprint", F.col("fingerprint").cast("string"))
 
@@ -227,3 +231,60 @@ def detector_options(spark, d):
     """The detectors with the options that are off by default; those that no option touches are left out."""
     out = D.detected(S.bars(spark, d), OPTIONS, ("tape_speed", "volume_spike", "vwap_break", "price_momentum", "flush"))
     return out.where("not (event_type = 'price_momentum' and direction = 'up')").select("symbol", "timestamp", "event_type", "direction", "score")
+
+
+@query(BARS + "\n---\nselect symbol, timestamp, date, close, volume from bars", "close", "date", "timestamp")
+def scanned_bars(spark, d):
+    """Bars written by date and scanned back."""
+    path = f"{shared_folder(spark)}/bars"
+    B.write_bars(S.bars(spark, d), path)
+    return B.scan_bars(spark, path).select("symbol", "timestamp", "date", "close", "volume")
+
+
+@query(BARS + "\n---\nselect symbol, timestamp, close, case when transactions > 1 then volume end as volume from bars", "close", "", "timestamp")
+def scanned_shards(spark, d):
+    """Two shards below one folder, one of them without a column."""
+    path, bars = shared_folder(spark), S.bars(spark, d).select("symbol", "timestamp", "close", "volume", "transactions")
+    bars.where("transactions > 1").drop("transactions").write.parquet(f"{path}/worker=1/a")
+    bars.where("transactions <= 1").drop("volume", "transactions").write.parquet(f"{path}/worker=2/b")
+    return B.scan_shards(spark, path).select("symbol", "timestamp", "close", "volume")
+
+
+@query(BARS + ",\nf as (select symbol, date, volume / nullif(quantile_cont(volume, 0.5) over (partition by symbol order by timestamp rows between 19 preceding and current row), 0) as spike_x from bars)\n---\nselect symbol, date, count_if(spike_x >= 2)::bigint as n_spikes, max(spike_x) as max_spike from f group by 1, 2", "max_spike", "date")
+def clustered_spikes(spark, d):
+    """Windows by symbol over a table of bars in buckets by symbol: no exchange between scan and window."""
+    name = f"bars_{uuid.uuid4().hex}"
+    return D.first_half(B.write_clustered(S.bars(spark, d), name, f"{shared_folder(spark)}/{name}", buckets=8))
+
+
+@query(COLUMNS + "\n---\nselect symbol, timestamp, event_type, direction, session, score from events_", "score", "", "timestamp")
+def ledger_events(spark, d):
+    """Events committed as a shard per session, one of them twice, beside a write that died; then merged into one shard."""
+    events = saved(D.intraday_events(S.bars(spark, d), intraday.CFG).select("symbol", "timestamp", "event_type", "direction", "session", "score"), "events")
+    ledger = Ledger(spark, f"{shared_folder(spark)}/events")
+    for session in ("PM", "RTH", "AH", "RTH", "CLOSED"):
+        ledger.append(events.where(F.col("session") == session), f"run-{session}")
+    ledger.write(events)
+    ledger.compact()
+    return ledger.read()
+
+
+@query(
+    "select o_orderkey, case when o_orderkey % 3 <> 0 then o_orderdate end as timestamp, o_orderstatus as event_type, null::int as window_before_min, null::int as window_after_min from orders", "", "", "timestamp",
+)
+def lenient_manifest(spark, d):
+    """Times as text, some unreadable, under a vendor's name for the type: read leniently, with the columns that the contract asks for."""
+    o = S.table(spark, d, "orders")
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.lit("no time")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    raw = o.select("o_orderkey", text.alias("timestamp"), F.col("o_orderstatus").alias("type"))
+    return B.checked_manifest(raw.withColumn("timestamp", M.parsed_timestamp(raw, "timestamp")), ("o_orderkey", "timestamp", "event_type"))
+
+
+@query("select n_nationkey, n_name, n_regionkey from nation")
+def csv_sidecar(spark, d):
+    """A table written as CSV and as JSON, and read back."""
+    path, rows = shared_folder(spark), S.table(spark, d, "nation")
+    B.write_csv(rows.select("n_nationkey", "n_name"), f"{path}/csv")
+    B.write_stats(rows.select("n_nationkey", "n_regionkey"), f"{path}/json")
+    named = spark.read.schema("n_nationkey int, n_name string").option("header", True).csv(f"{path}/csv")
+    return named.join(spark.read.schema("n_nationkey int, n_regionkey int").json(f"{path}/json"), "n_nationkey")

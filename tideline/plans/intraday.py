@@ -1,10 +1,12 @@
 """Queries on ticks and intraday bars."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tideline.config import IntradayConfig, LiquidityConfig
 from tideline.functions import scalars as C
 from tideline.functions import time as M
+from tideline.functions.scalars import ratio
 from tideline.operators import aggregates as A
 from tideline.operators import detectors as D
 from tideline.operators import features as X
@@ -12,6 +14,7 @@ from tideline.operators import halts as H
 from tideline.operators import joins as J
 from tideline.operators import rolling as R
 from tideline.sources import adapters as S
+from tideline.streaming import alerts as AL
 
 from .catalog import BARS, TICKS, et, minute, query, session
 
@@ -192,11 +195,11 @@ def trade_difficulty(spark, d):
 
 
 @query(BARS + f""",
-c as (select *, case when close < 2 then 0.0075 when close <= 10 then 0.005 else 0.0035 end as base, greatest(0, (high - low) / nullif(vwap, 0) - 0.01) * 0.6 as sp, greatest(0, 1000 / nullif(close * volume, 0) - 0.01) * 0.1 as sz, case when {minute()} between 570 and 574 then 0.004 else 0.0 end as cx, least(1.0, coalesce(close * volume / 10000.0, 0)) as fill_ratio from bars where volume > 0)
+c as (select *, case when close < 2 then 0.0075 when close <= 10 then 0.005 else 0.0035 end as base, greatest(0, (high - low) / nullif(vwap, 0) - 0.01) * 0.6 as sp, greatest(0, 1000 / nullif(close * volume, 0) - 0.01) * 0.1 as sz, case when {minute()} between 570 and 574 then 0.004 else 0.0 end as cx, least(1.0, coalesce(close * volume / 10000.0, 0)) as fill_ratio from bars)
 ---
 select symbol, timestamp, base + sp + sz + cx as slippage, fill_ratio, close * (1 + base + sp + sz + cx) as fill_price, case when base + sp + sz + cx < 0.01 and fill_ratio >= 0.9 then 'good' when base + sp + sz + cx < 0.03 and fill_ratio >= 0.5 then 'fair' else 'poor' end as quality from c""", "slippage fill_ratio fill_price", "", "timestamp")
 def execution_cost(spark, d):
-    return X.execution_cost(S.bars(spark, d).where("volume > 0"), position_usd=1000).select("symbol", "timestamp", "slippage", "fill_ratio", "fill_price", "quality")
+    return X.execution_cost(S.bars(spark, d), position_usd=1000).select("symbol", "timestamp", "slippage", "fill_ratio", "fill_price", "quality")
 
 
 TQ = TICKS + ",\ntr as (select user_id as symbol, timestamp, event_id, price, size from ticks where symbol = 'purchase'), qu as (select user_id as symbol, timestamp, event_id, price * 0.99 as bid_price, price * 1.01 as ask_price, size as bid_size, 100 - size as ask_size from ticks where symbol = 'view')"
@@ -259,9 +262,26 @@ def volume_gini(spark, d):
     return X.volume_gini(S.bars(spark, d))
 
 
-@query(BARS + "\n---\nselect symbol, timestamp, lead(close, 3) over w / nullif(close, 0) - 1 as fwd_return, case when lead(close, 3) over w / nullif(close, 0) - 1 >= 0.02 then 1 when lead(close, 3) over w / nullif(close, 0) - 1 <= -0.02 then -1 when lead(close, 3) over w is not null then 0 end::int as fwd_label from bars where close > 0 window w as (partition by symbol, date order by timestamp)", "fwd_return", "", "timestamp")
+@query(BARS + "\n---\nselect symbol, timestamp, lead(close, 3) over w / nullif(close, 0) - 1 as fwd_return, case when lead(close, 3) over w / nullif(close, 0) - 1 >= 0.02 then 1 when lead(close, 3) over w / nullif(close, 0) - 1 <= -0.02 then -1 when lead(close, 3) over w / nullif(close, 0) is not null then 0 end::int as fwd_label from bars window w as (partition by symbol, date order by timestamp)", "fwd_return", "", "timestamp")
 def forward_label(spark, d):
-    return X.forward_label(S.bars(spark, d).where("close > 0"), 3).select("symbol", "timestamp", "fwd_return", "fwd_label")
+    return X.forward_label(S.bars(spark, d), 3).select("symbol", "timestamp", "fwd_return", "fwd_label")
+
+
+@query(BARS + """,
+c as (select *, close / nullif(lag(close) over d, 0) - 1 as r, lead(close, 4) over d / nullif(close, 0) - 1 as exit_return, coalesce(min(low) over (d rows unbounded preceding) <= 0.9 * first_value(open) over d, false) as ssr from bars window d as (partition by symbol, date order by timestamp)),
+s as (select *, stddev_samp(r) over (partition by symbol, date order by timestamp rows between 19 preceding and current row) as sigma from c),
+k as (select *, (2 * 0.003 + 0.0000278 * close * (1 + exit_return)) / nullif(close, 0) as fees, 2 * (greatest(case when ssr then 2.0 else 0.5 end * (high - low), 0.01) + 0.2 * coalesce(sigma, 0) * close) / nullif(close, 0) as slip from s)
+---
+select symbol, timestamp, exit_return, fees, slip, exit_return - fees - slip as net_return, case when exit_return - fees - slip > 0 then 1 when exit_return - fees - slip < 0 then -1 else 0 end as net_label from k where exit_return is not null""", "exit_return fees slip net_return", "", "timestamp")
+def net_labels(spark, d):
+    """The return of the next four bars, less fees and slippage by spread, volatility and short-sale restriction."""
+    bars = S.bars(spark, d)
+    day = R.by_day()
+    start = day.rowsBetween(Window.unboundedPreceding, 0)
+    out = X.intraday_sigma(bars, 20).withColumn("exit_return", ratio(F.lead("close", 4).over(day), F.col("close")) - 1)
+    out = out.withColumn("ssr", F.coalesce(F.min("low").over(start) <= 0.9 * F.first("open").over(start), F.lit(False))).withColumn("spread", F.col("high") - F.col("low")).withColumn("entry", F.col("close"))
+    out = X.net_of_costs(out.where("exit_return is not null"))
+    return out.select("symbol", "timestamp", "exit_return", "fees", "slip", "net_return", "net_label")
 
 
 @query(BARS + """,
@@ -333,6 +353,31 @@ def news_near_events(spark, d):
     return J.within_days(tape_events(spark, d).drop("entry"), n).groupBy("event_key").agg(F.count("*").alias("n_news"))
 
 
+@query(TICKS + ",\nn as (select user_id as symbol, timestamp as published, event_id as nid from ticks where symbol = 'click'), ev as (select user_id as symbol, event_id as event_key, timestamp as event_time from ticks where symbol = 'signup')\n---\nselect event_key, count(*) as n_news, max(published) as last_news from ev join n using (symbol) where abs(floor(epoch(published)) - floor(epoch(event_time))) <= 86400 and published <= event_time group by 1", "", "", "last_news")
+def news_known_in_time(spark, d):
+    """News near events that was out when the event came: nothing from the future."""
+    n = S.ticks(spark, d).where("symbol = 'click'").select(F.col("user_id").alias("symbol"), F.col("timestamp").alias("published"))
+    return J.within_days(tape_events(spark, d).drop("entry"), n, as_of_time=F.col("event_time")).groupBy("event_key").agg(F.count("*").alias("n_news"), F.max("published").alias("last_news"))
+
+
+@query("recursive " + COLUMNS + """,
+u as (select c_custkey as user, (c_custkey % 7)::bigint as rule_id, ['volume_spike', 'vwap_break', 'price_momentum', 'consolidation_break', 'opening_range_break', 'flush'][(c_custkey % 6 + 1)::int] as kind, case c_nationkey % 3 when 0 then 'up' when 1 then 'down' end as direction, c_acctbal / 2000 as min_score, case when c_nationkey % 2 = 0 then c_acctbal / 100 end as max_price from customer),
+m as (select u.user, u.rule_id, e.symbol, e.timestamp, e.date, e.event_type, e.direction, e.score from events_ e join u on u.kind = e.event_type where (u.direction is null or e.direction = u.direction) and e.score >= u.min_score and (u.max_price is null or e.close <= u.max_price))
+---
+select user, rule_id, symbol, timestamp, date, event_type, direction, score, row_number() over (partition by user, date order by score desc nulls last, timestamp, symbol, event_type, direction)::int as rank from m
+qualify row_number() over (partition by user, date order by score desc nulls last, timestamp, symbol, event_type, direction) <= 3""", "score", "date", "timestamp")
+def user_alerts(spark, d):
+    """Each customer's rule on one type of event, with limits from its balance and nation: its three best alerts a day."""
+    c, text, number = S.table(spark, d, "customer"), F.lit(None).cast("array<string>"), F.lit(None).cast("double")
+    kind = F.element_at(F.array(*map(F.lit, AL.TYPES[:6])), (F.col("c_custkey") % 6 + 1).cast("int"))
+    way = F.when(F.col("c_nationkey") % 3 == 0, "up").when(F.col("c_nationkey") % 3 == 1, "down")
+    rules = c.select(
+        (F.col("c_custkey") % 7).alias("rule_id"), F.col("c_custkey").alias("user"), F.array(kind).alias("event_types"), text.alias("sessions"), text.alias("symbols"), way.alias("direction"), number.alias("min_price"),
+        F.when(F.col("c_nationkey") % 2 == 0, F.col("c_acctbal") / 100).alias("max_price"), (F.col("c_acctbal") / 2000).alias("min_score"), number.alias("min_spike"),
+    )
+    return AL.ranked(AL.matched(D.intraday_events(S.bars(spark, d), CFG), rules), 3)
+
+
 @query(COLUMNS + "\n---\nselect symbol, count(distinct event_type) as n_types, count(*) as n from events_ where timestamp >= (select max(timestamp) from events_) - interval 24 hours and direction = 'up' group by 1 having count(distinct event_type) >= 2")
 def multi_event_symbols(spark, d):
     return X.multi_event_symbols(D.intraday_events(S.bars(spark, d), CFG), 24, 2)

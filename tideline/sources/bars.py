@@ -56,10 +56,22 @@ def normalised_quotes(df: DataFrame) -> DataFrame:
     return out
 
 
-def write_bars(df: DataFrame, path: str) -> None:
-    """Bars partitioned by date, sorted in each file; dates that df has are replaced, others stay."""
-    ordered = df.repartition("date").sortWithinPartitions("symbol", "timestamp")
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("date").parquet(path)
+def write_bars(df: DataFrame, path: str, spread: int = 16, rows_per_file: int = 5_000_000) -> None:
+    """Bars partitioned by date, sorted in each file; dates that df has are replaced, others stay.
+
+    The symbols of a date are dealt over `spread` tasks, each of which writes files of so many rows at most.
+    """
+    ordered = df.withColumn("__s", F.pmod(F.xxhash64("symbol"), F.lit(spread))).repartition("date", "__s").sortWithinPartitions("date", "symbol", "timestamp").drop("__s")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file).option("compression", "zstd").partitionBy("date").parquet(path)
+
+
+def write_clustered(df: DataFrame, table: str, path: str, buckets: int = 64, rows_per_file: int = 5_000_000) -> DataFrame:
+    """Bars as a table of `buckets` buckets by symbol, sorted by symbol and time in each file: windows and joins by symbol read it without
+    an exchange. A bucket is written by several tasks, one for each month of a symbol at most, so neither a busy date nor a busy symbol is one task."""
+    month = F.date_format("date", "yyyy-MM")
+    dealt = df.withColumn("__m", month).repartition("symbol", "__m").drop("__m")
+    dealt.write.mode("overwrite").option("path", path).option("maxRecordsPerFile", rows_per_file).option("compression", "zstd").bucketBy(buckets, "symbol").sortBy("symbol", "timestamp").saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def aligned_union(*frames: DataFrame) -> DataFrame:

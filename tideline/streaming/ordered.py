@@ -283,12 +283,6 @@ def _run(keyed: DataFrame, keys: list[str], processor: InOrder, schema: str) ->
             cloudpickle.unregister_pickle_by_value(m)
 
 
-def with_heartbeats(stream: DataFrame, heartbeats: DataFrame) -> DataFrame:
-    """stream joined by rows of another one that have a timestamp only: they move the watermark when no data comes (a market's
-    close, a feed that idles), so that what waits for it is let out. Put it before the watermark."""
-    return stream.unionByName(heartbeats.select("timestamp"), allowMissingColumns=True)
-
-
 def live_events(bars: DataFrame, cfg: IntradayConfig = IntradayConfig(), late: str = "5 minutes") -> DataFrame:
     """Events of a stream of bars (symbol, timestamp, date, open, high, low, close, volume; transactions with the tape option):
     those that intraday_events finds in all bars, each once its bucket is over and the watermark has passed it.

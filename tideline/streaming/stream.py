@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -13,6 +11,7 @@ from pyspark.sql import types as T
 
 from tideline.config import IntradayConfig
 from tideline.operators.detectors import intraday_events
+from tideline.storage import shared_folder
 
 
 def minute_bars(ticks: DataFrame, width: str = "1 minute", late: str = "5 minutes") -> DataFrame:
@@ -89,15 +88,6 @@ def cooldown(events: DataFrame, minutes: int, late: str = "1 hour") -> DataFrame
     return keyed.applyInPandasWithState(accept, "symbol string, event_type string, timestamp timestamp", "last long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, or, where that is unset (tests), a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    master = spark.sparkContext.master
-    if not folder and (master.startswith("local-cluster") or not master.startswith("local")):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{folder or tempfile.mkdtemp(prefix='spark-tideline-', dir='/tmp')}/stream-{uuid.uuid4().hex}"
-
-
 def finished(stream: DataFrame) -> DataFrame:
     """What a stream has written once it has taken all that its source holds."""
     folder = shared_folder(stream.sparkSession)
