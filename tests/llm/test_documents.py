@@ -380,3 +380,24 @@ def test_lm_scores_by_definition(spark, monkeypatch, hot):
     out = {r.doc_id: r.score for r in lm_scoring.score_documents(docs, depth=4).collect()}
     for i, expected in enumerate(by_definition(train, low, 4)):
         assert abs(out[i] - expected) < 1e-4 * max(1, abs(expected)), i
+
+
+def test_rows_alike_are_encoded_once(spark, tmp_path, monkeypatch):
+    """351 rows of null and repeated doc_ids with two contents: two texts are encoded, none once the cache has them."""
+    path = str(tokenizer_path("byte_bpe_50k.json"))
+    rows = [(None, "the same text for all")] * 200 + [(7, "the same text for all")] * 50 + [(7, "another text")] * 100 + [(8, "another text")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    made, whole = [], token_counts.encode_counts
+
+    def encode_counts(misses, *more):
+        out = whole(misses, *more)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(token_counts, "encode_counts", encode_counts)
+    cache = str(tmp_path / "cache")
+    for known in (False, True):
+        out = token_counts.count_tokens(table, path, cache).collect()
+        assert sorted((r.doc_id or 0, r.n_bytes) for r in out) == sorted((d or 0, len(t)) for d, t in rows)
+        assert {r.cached for r in out} == {known} and len({(r.n_bytes, r.n_tokens) for r in out}) == 2
+    assert made == [2, 0]

@@ -204,11 +204,16 @@ def _once(keyed: DataFrame, depth: int) -> DataFrame:
 
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            keep = []
-            for key, text in zip(zip(*[batch.column(i).to_pylist() for i in range(2)]), batch.column(2).cast(pa.binary()).to_pylist()):
-                keep.append(key not in seen or len(text.split()) < depth)
+            again = []
+            for i, key in enumerate(zip(*[batch.column(i).to_pylist() for i in range(2)])):
+                if key in seen and len((batch.column(2)[i].as_py() or "").encode().split()) >= depth:
+                    again.append(i)
                 seen.add(key)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            if again:
+                keep = np.ones(batch.num_rows, dtype=bool)
+                keep[again] = False
+                batch = batch.filter(pa.array(keep))
+            yield batch
 
     return keyed.mapInArrow(run, keyed.schema)
 

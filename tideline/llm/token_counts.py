@@ -27,13 +27,19 @@ def tokenizer_version(path: str) -> str:
 
 
 def encode_counts(misses: DataFrame, path: str, version: str) -> DataFrame:
-    """(content, version, n_tokens) of rows (content, text)."""
+    """(content, version, n_tokens) of rows (content, text), each content once in a task."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        parts = pretoken_ids(path, lower=False)
+        parts, done = pretoken_ids(path, lower=False), set()
         for batch in batches:
+            new = []
+            for i, content in enumerate(batch.column(0).to_pylist()):
+                if content not in done:
+                    done.add(content)
+                    new.append(i)
+            batch = batch.take(pa.array(new, pa.int64()))
             n = [len(parts.of(t or "")) // 4 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())], names=["content", "version", "n_tokens"])
 
@@ -61,13 +67,15 @@ def count_tokens(docs: DataFrame, path: str, cache: str | None = None) -> DataFr
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("content"), text.alias("text"))
     known = read_cache(spark, cache).where(F.col("version") == version)
     target = cache or table_path(spark, "token_cache")
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")
-    small = rows.select("doc_id", "n_bytes", "content", salt)
+    # A row's salt comes from its place, as doc_ids may be null or repeated; written, so that it stays what it is.
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt")
+    small = saved(rows.select("doc_id", "n_bytes", "content", salt), "digests")
     # One document stands for all of a content; what the cache knows drops out before any text moves.
     parts = small.groupBy("content", "salt").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("__doc"))
     parts = saved(parts, "contents")
     first = parts.groupBy("content").agg(F.min("__doc").alias("__doc"))
     first = first.join(known.select("content"), "content", "left_anti").withColumnRenamed("content", "__content").hint("shuffle_hash")
+    # Rows alike in doc_id and content meet in one task, which encodes the first of them.
     misses = rows.join(first, (F.coalesce(rows["doc_id"], F.lit(-(2**63))) == first["__doc"]) & (rows["content"] == first["__content"])).select("content", "text")
     before = known.groupBy("content").agg(F.lit(True).alias("cached"))
     encode_counts(misses, path, version).dropDuplicates(["content"]).write.mode("append").parquet(target)
