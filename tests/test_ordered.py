@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.config import IntradayConfig
-from tideline.operators.detectors import intraday_events, with_cooldown
+from tideline.operators.detectors import detected, intraday_events, with_cooldown
 from tideline.streaming import ordered, stream
 
 BASE = {"min_bars": 10, "rth_spike": 1.2, "ext_spike": 1.2, "rth_volume": 100, "ext_volume": 100, "rth_dollar_volume": 100, "ext_dollar_volume": 100, "min_range_pct": 0.1, "vwap_up_pct": 2, "vwap_down_pct": 2, "vwap_up_volume": 0.5, "vwap_down_volume": 0.5,
@@ -50,6 +50,13 @@ def test_live_events_equal_batch(bars, options):
     assert shown(got) == want
 
 
+def test_hits_come_with_their_bars(bars):
+    cfg = IntradayConfig(**BASE)
+    want = sorted((r.symbol, r.timestamp, r.event_type, r.direction, round(r.score, 6)) for r in detected(bars, cfg).collect())
+    got = stream.replayed(bars, lambda s: ordered.live_events(s, cfg, "20 minutes", best=False), 1200, slices=2)
+    assert sorted((r.symbol, r.timestamp, r.event_type, r.direction, round(r.score, 6)) for r in got.collect()) == want
+
+
 def test_every_rule_bar_by_bar(bars):
     """Without a bucket and a minimum of bars, the processor alone gives what the rules give in one pass."""
     cfg = IntradayConfig(**(BASE | OPTIONS | {"min_bars": 1, "dedup_minutes": 1}))

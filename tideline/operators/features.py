@@ -312,29 +312,26 @@ def similar_outcomes(neighbours: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
 
 
-def exponential_mean(rows: DataFrame, column: str, span: int, name: str, by: str = "symbol", order: str = "date", block: int = 256) -> DataFrame:
+def exponential_mean(rows: DataFrame, column: str, span: int, name: str, by: str = "symbol", order: str = "date", block: int = 1024) -> DataFrame:
     """by, order and name: the mean m = (1 - a) m + a x with a = 2 / (span + 1), from the first value on; at a null the mean so far.
 
-    Each step is x -> p x + q, and steps compose: a block of so many values is one p and one q, the blocks of a group are put
-    together in order, and what comes in from the blocks before is added inside each. Expressions only.
+    Each step is m -> p m + q, and steps compose: a block of so many values is one p and one q, which put together in order say what
+    each block starts from; inside, a fold takes one value after the other. Expressions only, and no array longer than a block,
+    but for one element per block of a group.
     """
-    keep, gain = 1 - 2 / (span + 1), 2 / (span + 1)
-    w = Window.partitionBy(by).orderBy(order)
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    x = F.col(column).cast("double")
-    out = rows.select(by, order, x.alias("__x")).withColumn("__i", F.count("__x").over(so_far) - 1)
-    known = out.where("__x is not null").withColumn("__b", F.expr(f"__i div {block}")).withColumn("__k", F.col("__i") % block)
-    # The first value is the mean itself: it enters the first block as what comes in from before.
-    step = F.when(F.col("__i") == 0, 0.0).otherwise(gain * F.col("__x")) * F.pow(F.lit(1 / keep), F.col("__k") + 1)
-    inner = Window.partitionBy(by, "__b").orderBy("__k").rowsBetween(Window.unboundedPreceding, 0)
-    known = known.withColumn("__q", F.sum(step).over(inner) * F.pow(F.lit(keep), F.col("__k") + 1))
-    blocks = known.groupBy(by, "__b").agg(F.max("__k").alias("n"), F.max_by("__q", "__k").alias("q"), F.min_by("__x", "__k").alias("x"))
-    chain = F.sort_array(F.collect_list(F.struct("__b", "n", "q", "x")))  # a block of each group's values is one element
+    so_far = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.select(by, order, F.col(column).cast("double").alias("__x")).withColumn("__i", F.count("__x").over(so_far) - 1)
+    known = out.where("__x is not null").select(by, F.expr(f"__i div {block}").alias("__b"), (F.col("__i") % block).alias("k"), F.col("__x").alias("x"))
+    blocks = known.groupBy(by, "__b").agg(F.sort_array(F.collect_list(F.struct("k", "x"))).alias("xs"))
+    step = lambda m, x: F.when(m.isNull(), x).otherwise(m * (span - 1) / (span + 1) + x * 2 / (span + 1))
+    alone = F.aggregate("xs", F.when(F.col("__b") > 0, 0.0), lambda m, e: step(m, e["x"]))
+    summed = blocks.select(by, F.struct("__b", F.pow(F.lit((span - 1) / (span + 1)), F.size("xs")).alias("p"), alone.alias("q")).alias("s"))
     first = F.struct(F.array().cast("array<struct<b:bigint,m:double>>").alias("out"), F.lit(None).cast("double").alias("m"))
-    # The first value is already in place after its own step, so its block keeps one step less.
-    fold = F.aggregate(chain, first, lambda s, b: F.struct(F.concat(s["out"], F.array(F.struct(b["__b"].alias("b"), F.coalesce(s["m"], b["x"] / keep).alias("m")))).alias("out"), (F.coalesce(s["m"], b["x"] / keep) * F.pow(F.lit(keep), b["n"] + 1) + b["q"]).alias("m")))
-    carried = blocks.groupBy(by).agg(fold["out"].alias("c")).select(by, F.explode("c").alias("c")).select(by, F.col("c.b").alias("__b"), F.col("c.m").alias("__m"))
-    means = known.join(carried, [by, "__b"]).select(by, "__i", (F.col("__m") * F.pow(F.lit(keep), F.col("__k") + 1) + F.col("__q")).alias(name))
+    fold = F.aggregate(F.sort_array(F.collect_list("s")), first, lambda a, e: F.struct(F.concat(a["out"], F.array(F.struct(e["__b"].alias("b"), a["m"].alias("m")))).alias("out"), (F.coalesce(a["m"] * e["p"], F.lit(0.0)) + e["q"]).alias("m")))
+    carried = summed.groupBy(by).agg(fold["out"].alias("c")).select(by, F.explode("c").alias("c")).select(by, F.col("c.b").alias("__b"), F.col("c.m").alias("__m"))
+    start = F.struct(F.array().cast("array<double>").alias("out"), F.col("__m").alias("m"))
+    run = F.aggregate("xs", start, lambda a, e: F.struct(F.concat(a["out"], F.array(step(a["m"], e["x"]))).alias("out"), step(a["m"], e["x"]).alias("m")))
+    means = blocks.join(carried, [by, "__b"]).select(by, "__b", F.posexplode(run["out"]).alias("__k", name)).select(by, (F.col("__b") * block + F.col("__k")).alias("__i"), name)
     return out.join(means, [by, "__i"], "left").select(by, order, name)
 
 

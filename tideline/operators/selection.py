@@ -68,7 +68,8 @@ def cascade(events: DataFrame, cfg: ManifestConfig = ManifestConfig(), tests: tu
 
     Stages: score, liquidity by session, cap per symbol and month, per symbol and day, per symbol, over all. A rank
     counts only rows that came so far, so each stage is one window over the survivors; the last one ranks through the
-    range-partitioned top of a limit, not through one task.
+    range-partitioned top of a limit, not through one task. What the first two stages discard is set aside before any
+    window, and what the windows have ranked is written once.
     """
     out = events.withColumn("year", F.year("timestamp")).withColumn("month", F.month("timestamp")).withColumn("date_only", F.to_date("timestamp"))
     out = out.withColumn("price_raw", F.col("close")).withColumn("price_clipped", F.greatest(F.least("close", F.lit(cfg.price_max)), F.lit(cfg.price_min)))
@@ -77,6 +78,8 @@ def cascade(events: DataFrame, cfg: ManifestConfig = ManifestConfig(), tests: tu
     out = out.withColumn("__why", why)
     out = out.withColumn("descarte_stage", F.when(low, "stage1_quality").when(F.col("__why").isNotNull(), "stage2_liquidity").otherwise(stage))
     out = out.withColumn("descarte_reason", F.when(low, "low_score").otherwise(F.col("__why"))).drop("__why")
+    out = saved(out, "judged")
+    early, out = out.where("descarte_stage is not null"), out.where("descarte_stage is null")
     order = [*score_order(), F.xxhash64(*events.columns)]  # only rows that are alike in all columns are left in any order
     caps = [("stage3_month_cap", "rank_symbol_month", ("symbol", "year", "month"), cfg.per_symbol_month), ("stage3b_day_cap", "rank_symbol_day", ("symbol", "date_only"), cfg.per_symbol_day), ("stage5_symbol_cap", "rank_symbol_total", ("symbol",), cfg.per_symbol)]
     for name, rank, by, most in caps:
@@ -84,11 +87,13 @@ def cascade(events: DataFrame, cfg: ManifestConfig = ManifestConfig(), tests: tu
         out = out.withColumn(rank, F.when(F.col("descarte_stage").isNull(), F.row_number().over(w)))
         over = F.col("descarte_stage").isNull() & (F.col(rank) > most)
         out = out.withColumn("descarte_reason", F.when(over, F.lit(rank.replace("rank_", "cap_"))).otherwise(F.col("descarte_reason"))).withColumn("descarte_stage", F.when(over, F.lit(name)).otherwise(F.col("descarte_stage")))
+    out = saved(out, "ranked")
     # A symbol, null too, and the rank within it name one row.
     kept = out.where("descarte_stage is null").orderBy(*order).limit(cfg.max_events).select(F.col("symbol").alias("__symbol"), F.col("rank_symbol_total").alias("__rank"), F.lit(True).alias("__kept"))
     out = out.join(kept, F.col("symbol").eqNullSafe(F.col("__symbol")) & (F.col("rank_symbol_total") == F.col("__rank")), "left").drop("__symbol", "__rank")
     over = F.col("descarte_stage").isNull() & F.col("__kept").isNull()
-    return out.withColumn("descarte_reason", F.when(over, "global_cap").otherwise(F.col("descarte_reason"))).withColumn("descarte_stage", F.when(over, "stage5_global_cap").otherwise(F.col("descarte_stage"))).drop("__kept")
+    late = out.withColumn("descarte_reason", F.when(over, "global_cap").otherwise(F.col("descarte_reason"))).withColumn("descarte_stage", F.when(over, "stage5_global_cap").otherwise(F.col("descarte_stage"))).drop("__kept")
+    return late.unionByName(early, allowMissingColumns=True)
 
 
 def kept_and_discarded(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -77,6 +77,12 @@ def stream_live_detectors(spark, d):
     return stream.replayed(S.bars(spark, d), lambda bars: ordered.live_events(bars, intraday.CFG, "1 hour"), 3600).select(*intraday.OUT)
 
 
+@query(intraday.COLUMNS + "\n---\nselect symbol, timestamp, event_type, direction, session, spike_x, score from hits", "spike_x score", "", "timestamp")
+def stream_live_hits(spark, d):
+    """Every hit as soon as the watermark has reached its bar."""
+    return stream.replayed(S.bars(spark, d), lambda bars: ordered.live_events(bars, intraday.CFG, "1 hour", best=False), 3600, slices=2).select(*intraday.OUT)
+
+
 COOLDOWN = (
     "recursive " + GROUPED + """,
 e as (select users, event_type, timestamp, timestamp::date as date, floor(epoch(timestamp))::bigint as s from g),

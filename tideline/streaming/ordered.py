@@ -124,13 +124,14 @@ class LiveDetectors(InOrder):
 
     State holds the last bars that the frames reach back to, running sums of the VWAP, the day's high and opening range,
     the hits of a day that doesn't yet have cfg.min_bars bars, and the best hit of each open bucket. A hit comes out once
-    its bucket is over.
+    its bucket is over; with best=False every hit comes out with its bar.
     """
 
     waits = "ms long, us long, day int, session string, minute int, open double, high double, low double, close double, volume double, transactions double"
     gives = ("symbol", "us", "day", "event_type", "direction", "session", "open", "high", "low", "close", "volume", "spike_x", "range_pct", "volume_x", "vwap_dist_pct", "score")
 
-    def __init__(self, cfg: IntradayConfig):
+    def __init__(self, cfg: IntradayConfig, best: bool = True):
+        self.best = best
         if cfg.compat or cfg.cooldown_minutes or cfg.max_per_symbol_day:
             raise ValueError("live detectors follow the intended rules; cooldown and caps are operators of their own")
         self.cfg = cfg
@@ -146,7 +147,7 @@ class LiveDetectors(InOrder):
             state["n"] += 1
             if state["n"] >= self.cfg.min_bars:
                 for hit in [*state["held"], *hits]:
-                    self._compete(state, hit, out)
+                    self._compete(state, hit, out) if self.best else out.append(hit)
                 state["held"] = []
             else:
                 state["held"] += hits
@@ -283,11 +284,12 @@ def _run(keyed: DataFrame, keys: list[str], processor: InOrder, schema: str) ->
             cloudpickle.unregister_pickle_by_value(m)
 
 
-def live_events(bars: DataFrame, cfg: IntradayConfig = IntradayConfig(), late: str = "5 minutes") -> DataFrame:
+def live_events(bars: DataFrame, cfg: IntradayConfig = IntradayConfig(), late: str = "5 minutes", best: bool = True) -> DataFrame:
     """Events of a stream of bars (symbol, timestamp, date, open, high, low, close, volume; transactions with the tape option):
     those that intraday_events finds in all bars, each once its bucket is over and the watermark has passed it.
 
     Bars may come in any order within `late`. A symbol's state is its last bars and sums, whatever the length of the day.
+    best=False: all hits, as `detected` has them, each as soon as the watermark has reached its bar (and the day has cfg.min_bars bars).
     """
     clock = market_time(F.col("timestamp"))
     number = lambda c: (F.col(c) if c in bars.columns else F.lit(None)).cast("double").alias(c)
@@ -296,7 +298,7 @@ def live_events(bars: DataFrame, cfg: IntradayConfig = IntradayConfig(), late: s
         *[number(c) for c in ("open", "high", "low", "close", "volume", "transactions")],
     )
     schema = "symbol string, us long, day int, event_type string, direction string, session string, open double, high double, low double, close double, volume double, spike_x double, range_pct double, volume_x double, vwap_dist_pct double, score double"
-    out = _run(rows, ["symbol"], LiveDetectors(cfg), schema)
+    out = _run(rows, ["symbol"], LiveDetectors(cfg, best), schema)
     out = out.withColumn("timestamp", F.timestamp_micros("us")).withColumn("date", F.date_from_unix_date("day")).withColumn("volume", F.col("volume").cast("long")).drop("us", "day")
     return with_labels(out)
 
