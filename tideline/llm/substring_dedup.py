@@ -299,6 +299,40 @@ def _cut(rows: DataFrame, depth: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def _counted(rows: DataFrame, depth: int) -> DataFrame:
+    """rows (doc_id, n_words, copies, text, cuts) with n_removed and kept_sha256 in place of text and cuts: the cuts of a batch are taken
+    together, and only digests leave the task."""
+
+    def run(batches: Iterator) -> Iterator:
+        import hashlib
+
+        import pyarrow as pa
+
+        for batch in batches:
+            cuts = batch.column(4)
+            of_doc = cuts.fill_null([]).offsets.to_numpy() if cuts.null_count else cuts.offsets.to_numpy()
+            cuts = cuts.fill_null([]) if cuts.null_count else cuts
+            at, runs = cuts.values.field("at").to_numpy(), cuts.values.field("runs")
+            of_cut = runs.offsets.to_numpy()
+            places = runs.values.to_numpy().astype(np.int64)
+            places = places + np.repeat(at, np.diff(of_cut))[: len(places)] if len(places) else places
+            removed, digests = [], []
+            for i, text in enumerate(batch.column(3).cast(pa.binary()).to_pylist()):
+                words = (text or b"").split()
+                low, high = of_cut[of_doc[i]], of_cut[of_doc[i + 1]]
+                n = len(words)
+                if high > low:
+                    pairs, edge = places[low:high], np.zeros(len(words) + 1, dtype=np.int32)
+                    np.add.at(edge, pairs[0::2], 1)
+                    np.add.at(edge, pairs[1::2] + depth - 1, -1)
+                    words = [words[k] for k in np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()]
+                removed.append(n - len(words))
+                digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(removed, pa.int64()), pa.array(digests, pa.string())], names=["doc_id", "n_words", "copies", "n_removed", "kept_sha256"])
+
+    return rows.mapInArrow(run, "doc_id long, n_words long, copies long, n_removed long, kept_sha256 string")
+
+
 def count_removed(docs: DataFrame, depth: int = 35, gram: int = 16, split: int = 200) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space).
 
@@ -311,8 +345,7 @@ def count_removed(docs: DataFrame, depth: int = 35, gram: int = 16, split: int =
     cuts = reports(scan, depth, gram)
     single = scan.where("whole_sha256 is not null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("whole_sha256").alias("kept_sha256"))
     rows = scan.where("text is not null").select("doc", "mark", "doc_id", "n_words", "copies", "text").join(cuts, ["doc", "mark"], "left").select("doc_id", "n_words", "copies", "text", "cuts")
-    squeezed = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
-    several = _cut(rows, depth).select("doc_id", "n_words", "n_removed", F.sha2(squeezed, 256).alias("kept_sha256"), F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("col")
+    several = _counted(rows, depth).select("doc_id", "n_words", "n_removed", "kept_sha256", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("col")
     return single.unionByName(several)
 
 
