@@ -9,9 +9,9 @@ import pytest
 
 from tideline.llm import cover_tree, embedding_dedup
 from tideline.llm.components import connected_components, union_find
-from tideline.llm.context_tree import TopNodes, deep, gram_codes, log_kt
+from tideline.llm.context_tree import Cuts, KeyTable, TopNodes, deep, gram_codes, log_kt
 from tideline.llm.fm_index import FMIndex
-from tideline.llm.lm_scoring import pack, unpack
+from tideline.llm.lm_scoring import END, block_counts, pack, unpack, word_keys
 
 
 def test_fm_index_counts_windows():
@@ -92,6 +92,39 @@ def test_pack():
         assert unpack(pack(np.array(x, dtype=np.int64))).tolist() == x
 
 
+def test_word_keys():
+    long = "x" * 64
+    texts = [t.encode() for t in ("", " \n", "one two  one\tthree", "\x0bone\x0c\r", "eightlet eightlets \x1c\x85 eightlet\0", f"{long} {long}y {long}yz {long}y \0 \0\0", "caf\u00e9 caf", "")]
+    split = [[*t.split(), None] for t in texts]
+    keys, begins = word_keys(texts)
+    assert begins.tolist() == np.cumsum([0, *map(len, split)])[:-1].tolist()
+    pairs = set(zip((w for s in split for w in s), keys.tolist(), strict=True))
+    assert len(pairs) == len({w for w, _ in pairs}) == len({k for _, k in pairs}) and (None, int(END)) in pairs
+
+
+def test_counting_a_block_takes_no_step_by_word():
+    import cProfile
+    import pstats
+
+    texts, profile = [" ".join(f"w{i}" for i in range(a, a + 20_000)).encode() for a in (0, 10_000)], cProfile.Profile()
+    (grams, g_counts, _, _), (words, w_counts, order, bounds) = profile.runcall(block_counts, texts, np.array([1, 0]), 5, 7, Cuts({}))
+    assert pstats.Stats(profile).total_calls < 5_000
+    assert len(words) == 30_001 and w_counts.sum() == 20_001 and set(w_counts.tolist()) == {0, 1}
+    codes = [gram_codes([t + b"\xff"], 5)[0].tolist() for t in texts]
+    expected = Counter(codes[0])
+    assert dict(zip(grams.tolist(), g_counts.tolist())) == {c: expected[c] for c in codes[0] + codes[1]}
+    assert bounds[-1] == len(words) and all((np.diff(words[order[a:b]].astype(object)) > 0).all() for a, b in zip(bounds, bounds[1:]))
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_key_table(n):
+    keys = np.unique(np.random.default_rng(n).integers(0, 2**40, n).astype(np.uint64))
+    others = np.append(keys + np.uint64(1), np.uint64(0))
+    assert KeyTable(keys).find(keys).tolist() == list(range(len(keys)))
+    where = {k: i for i, k in enumerate(keys.tolist())}
+    assert KeyTable(keys).find(others).tolist() == [where.get(k, -1) for k in others.tolist()]
+
+
 def test_union_find():
     nodes, roots = union_find([5, 3, 9], [3, 1, 8])
     assert dict(zip(nodes, roots)) == {5: 1, 3: 1, 1: 1, 9: 8, 8: 8}

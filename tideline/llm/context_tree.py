@@ -188,16 +188,19 @@ class TopNodes:
 
 
 class KeyTable:
-    """Places of 64-bit keys in a sorted array, found through a table of slots."""
+    """Places of distinct 64-bit keys in an array, found through a table of slots; keys that lose their slot to another are in a table of their own."""
 
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys
+    def __init__(self, keys: np.ndarray, factor: int = 0x9E3779B97F4A7C15):
+        self.keys, self.factor = keys, U64(factor)
         self.shift = U64(64 - max(4, int(8 * len(keys) + 1).bit_length()))
         self.slots = np.zeros(1 << (64 - int(self.shift)), dtype=np.int32)
-        self.slots[self._slot(keys)] = np.arange(len(keys), dtype=np.int32)
+        at = self._slot(keys)
+        self.slots[at] = np.arange(len(keys), dtype=np.int32)
+        self.lost = np.flatnonzero(self.slots[at] != np.arange(len(keys)))
+        self.rest = KeyTable(keys[self.lost], factor * 0xD1342543DE82EF95 % 2**64) if len(self.lost) else None
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * U64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        return ((keys * self.factor) >> self.shift).view(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Places, -1 for keys that aren't there."""
@@ -205,29 +208,52 @@ class KeyTable:
             return np.full(len(keys), -1, dtype=np.int64)
         at = self.slots[self._slot(keys)].astype(np.int64)
         miss = np.flatnonzero(self.keys[at] != keys)
-        if len(miss):
-            other = np.minimum(np.searchsorted(self.keys, keys[miss]), len(self.keys) - 1)
-            at[miss] = np.where(self.keys[other] == keys[miss], other, -1)
+        if self.rest and len(miss):
+            other = self.rest.find(keys[miss])
+            at[miss] = np.where(other >= 0, self.lost[other], -1)
+        else:
+            at[miss] = -1
         return at
 
 
+def tally(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each comes with weight 1; those of weight 0 are only to be known."""
+    on = weights > 0
+    found, n = np.unique(keys if on.all() else keys[on], return_counts=True)
+    if on.all():
+        return found, n
+    other = np.unique(keys[~on], return_counts=True)[0]
+    return merged([(found, n), (other, np.zeros(len(other), dtype=np.int64))])
+
+
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of several parts as one: the distinct keys in order and their sums."""
+    keys, counts = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
 class Counter:
-    """Counts of 64-bit keys, chunk after chunk."""
+    """Counts of 64-bit keys, chunk after chunk: sorted parts, which become one when they hold more than what is known so far."""
 
     def __init__(self):
-        self.table, self.counts = KeyTable(np.empty(0, dtype=U64)), np.empty(0, dtype=np.int64)
-
-    def add(self, keys: np.ndarray, weights: np.ndarray) -> None:
-        """weights: 1 for keys that count, 0 for those only to be known."""
-        at = self.table.find(keys)
-        known = at >= 0
-        self.counts += np.bincount(at[known], weights[known], len(self.counts)).astype(np.int64)
-        if not known.all():
-            new, of = np.unique(keys[~known], return_inverse=True)
-            both = np.concatenate([self.table.keys, new])
-            counts = np.concatenate([self.counts, np.bincount(of, weights[~known], len(new)).astype(np.int64)])
-            order = np.argsort(both, kind="stable")
-            self.table, self.counts = KeyTable(both[order]), counts[order]
+        self.parts = [(np.empty(0, dtype=U64), np.empty(0, dtype=np.int64))]
+        self.waiting = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """keys: distinct ones."""
+        self.parts.append((keys, counts))
+        self.waiting += len(keys)
+        if self.waiting > max(1_000_000, len(self.parts[0][0])):
+            self.all()
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        """All keys in order, and their counts."""
+        if len(self.parts) > 1:
+            self.parts, self.waiting = [merged(self.parts)], 0
+        return self.parts[0]
 
 
 def gram_codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:

@@ -18,9 +18,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WordHashes, saved
+from .common import U64, mix64, saved
 from .context_tree import END as LAST
-from .context_tree import TOP, Counter, Cuts, DividedNodes, TopNodes, context_of, deep, gram_codes
+from .context_tree import TOP, Counter, Cuts, DividedNodes, KeyTable, TopNodes, context_of, deep, gram_codes, tally
 
 #: Bytes of text in a block, about; the least number of blocks; bytes of text for each shard, and the least number of these.
 BLOCK_BYTES, MIN_BLOCKS, SHARD_BYTES, MIN_SHARDS = 16_000_000, 8, 16_000_000, 32
@@ -28,7 +28,10 @@ BLOCK_BYTES, MIN_BLOCKS, SHARD_BYTES, MIN_SHARDS = 16_000_000, 8, 16_000_000, 32
 HOT_BYTES, HOT_MOST = 16_000_000, 4096
 #: Bytes of text whose grams are taken at a time.
 CHUNK = 2_000_000
-END = b"\n"  # no word: stands for the end of a document
+#: Stands for the end of a document among the hashes of words.
+END = U64(0x8CB92BA72F3D8DD7)
+#: The bytes that part words, by byte; words of more bytes than LONG are hashed one by one.
+SPACE, LONG = np.isin(np.arange(256), [*b" \t\n\r\x0b\x0c"]), 64
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -52,11 +55,33 @@ def chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def word_keys(texts: list[bytes], words: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of some texts and of each one's end, in order, and where each text begins."""
-    split = [[*t.split(), END] for t in texts]
-    sizes = np.array([len(s) for s in split])
-    return words.of([w for s in split for w in s]), np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    raw = np.frombuffer(b"\n".join([b"", *texts, b"\0" * 8]), dtype=np.uint8)  # a space before and after each text
+    ends_of_texts = np.cumsum([len(t) + 1 for t in texts])
+    space = SPACE[raw[: ends_of_texts[-1] + 1]]
+    starts, ends = np.flatnonzero(space[:-1] & ~space[1:]) + 1, np.flatnonzero(~space[:-1] & space[1:]) + 1
+    n = np.searchsorted(starts, ends_of_texts)
+    is_word = np.ones(len(starts) + len(texts), dtype=bool)
+    is_word[n + np.arange(len(texts))] = False
+    keys = np.full(len(is_word), END)
+    keys[is_word] = _hashes(raw, starts, ends - starts)
+    return keys, np.concatenate([[0], n[:-1] + np.arange(1, len(texts))])
+
+
+def _hashes(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words that begin at starts, eight bytes of all at a time; at least eight bytes follow the last word."""
+    import xxhash
+
+    eight = np.ndarray(len(raw) - 7, dtype="<u8", buffer=raw, strides=(1,))
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U64)
+    out, left = mix64(sizes.astype(U64)), np.flatnonzero(sizes <= LONG)
+    for at in range(0, LONG, 8):
+        left = left[sizes[left] > at]
+        out[left] = mix64(out[left] ^ (eight[starts[left] + at] & masks[np.minimum(sizes[left] - at, 8)]))
+    for i in np.flatnonzero(sizes > LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(raw[starts[i] : starts[i] + sizes[i]])
+    return out
 
 
 def _spread(begins: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
@@ -107,8 +132,8 @@ def hot_contexts(rows: DataFrame, depth: int, least: int) -> Cuts:
                             ends, context = ends[on], context[on]
                     found, n = np.unique(context, return_counts=True)
                     longer.add(found, n)
-            keys, n = (np.flatnonzero(pairs), pairs[pairs > 0]) if length == TOP else (longer.table.keys.view(np.int64), longer.counts)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], names=["context", "n"])
+            keys, n = (np.flatnonzero(pairs), pairs[pairs > 0]) if length == TOP else longer.all()
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64), pa.int64()), pa.array(n, pa.int64())], names=["context", "n"])
 
         counted = rows.select("text").mapInArrow(run, "context long, n long").groupBy("context").agg(F.sum("n").alias("n"))
         top = [r["context"] for r in counted.where(F.col("n") > least).collect()]  # each holds a share of the corpus: HOT_MOST at most
@@ -118,19 +143,18 @@ def hot_contexts(rows: DataFrame, depth: int, least: int) -> Cuts:
     return Cuts(hot)
 
 
-def block_counts(texts: list[bytes], train: np.ndarray, depth: int, shards: int, cuts: Cuts) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
-    """(keys, counts, shard bounds) of the grams and of the words of a block, ordered by shard and key; with the words' and grams' tables."""
-    grams, words, hashes = Counter(), Counter(), WordHashes()
+def block_counts(texts: list[bytes], train: np.ndarray, depth: int, shards: int, cuts: Cuts) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of the grams and of the words of a block: keys in order, counts, the keys' places by shard and key, and where each shard begins among these."""
+    grams, words = Counter(), Counter()
     for a, b in chunks(texts):
-        codes, begins = block_grams(texts[a:b], depth)
-        grams.add(codes, _spread(begins, len(codes), train[a:b]))
-        keys, begins = word_keys(texts[a:b], hashes)
-        words.add(keys, _spread(begins, len(keys), train[a:b]))
+        for counter, (keys, begins) in ((grams, block_grams(texts[a:b], depth)), (words, word_keys(texts[a:b]))):
+            counter.add(*tally(keys, _spread(begins, len(keys), train[a:b])))
     out = []
-    for counter, shard in ((grams, cuts.shards(grams.table.keys, shards)), (words, words.table.keys % U64(shards))):
+    for counter, shard_of in ((grams, lambda keys: cuts.shards(keys, shards)), (words, lambda keys: keys % U64(shards))):
+        keys, counts = counter.all()
+        shard = shard_of(keys)
         order = np.argsort(shard.astype(np.int64), kind="stable")
-        bounds = np.searchsorted(shard[order], np.arange(shards + 1, dtype=U64))
-        out.append((counter, order, bounds))
+        out.append((keys, counts, order, np.searchsorted(shard[order], np.arange(shards + 1, dtype=U64))))
     return out
 
 
@@ -163,11 +187,11 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
         import pyarrow as pa
 
         out = {n: [] for n in ("shard", "g_keys", "g_counts", "w_keys", "w_counts")}
-        (grams, g_order, g_at), (words, w_order, w_at) = block_counts(*read(table), depth, shards, cuts)
+        (grams, g_counts, g_order, g_at), (words, w_counts, w_order, w_at) = block_counts(*read(table), depth, shards, cuts)
         for s in range(shards):
             g, w = g_order[g_at[s] : g_at[s + 1]], w_order[w_at[s] : w_at[s + 1]]
             if len(g) or len(w):
-                row = (s, pack(grams.table.keys[g]), pack(grams.counts[g]), pack(words.table.keys[w].view(np.int64)), pack(words.counts[w]))
+                row = (s, pack(grams[g]), pack(g_counts[g]), pack(words[w].view(np.int64)), pack(w_counts[w]))
                 for column, x in zip(out.values(), row):
                     column.append(x)
         return pa.table({"block": pa.array([key[0].as_py()] * len(out["shard"]), pa.int32()), "shard": pa.array(out.pop("shard"), pa.int32()), **{k: pa.array(v, pa.binary()) for k, v in out.items()}})
@@ -228,19 +252,19 @@ def score_documents(docs: DataFrame, depth: int = 5) -> DataFrame:
         import pyarrow as pa
 
         texts, train = read(left)
-        (grams, g_order, _), (words, w_order, _) = block_counts(texts, train, depth, shards, cuts)
+        (grams, _, g_order, _), (words, _, w_order, _) = block_counts(texts, train, depth, shards, cuts)
         got = sorted(right.to_pylist(), key=lambda r: r["shard"])
         g_values, w_values = np.empty(len(g_order)), np.empty(len(w_order), dtype=np.int64)
         g_values[g_order] = np.concatenate([np.frombuffer(r["g_values"], dtype=np.float32) for r in got])
         w_values[w_order] = np.concatenate([unpack(r["w_counts"]) for r in got])
         out = np.zeros((len(texts), 4))
-        hashes, scale = WordHashes(), np.log10(max(1, n_train + n_types + 1))
+        gram_table, word_table, scale = KeyTable(grams), KeyTable(words), np.log10(max(1, n_train + n_types + 1))
         for a, b in chunks(texts):
             codes, begins = block_grams(texts[a:b], depth)
-            sums = np.concatenate([[0.0], np.cumsum(g_values[grams.table.find(codes)])])
+            sums = np.concatenate([[0.0], np.cumsum(g_values[gram_table.find(codes)])])
             out[a:b, 0] = sums[np.append(begins[1:], len(codes))] - sums[begins]
-            keys, begins = word_keys(texts[a:b], hashes)
-            c = w_values[words.table.find(keys)]
+            keys, begins = word_keys(texts[a:b])
+            c = w_values[word_table.find(keys)]
             out[a:b, 1] = np.diff(np.append(begins, len(keys)))
             out[a:b, 2] = np.add.reduceat(c > 0, begins, dtype=np.int64)
             out[a:b, 3] = np.add.reduceat(np.log10(c + 1.0) - scale, begins)
