@@ -243,3 +243,29 @@ def test_agendas_together_equal_one_by_one():
     for rate in (0.0, 0.2, 0.9):
         limit = int(rate * 2**53)
         assert model.segment_many(parts, keys, limit) == [np.array(model.segment(p, int(k), limit), dtype="<u4").tobytes() for p, k in zip(parts, keys)]
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.9])
+@pytest.mark.parametrize("limit", [400, 1_200_000])
+def test_units_are_remembered_from_their_second_time_on(rate, limit):
+    import random
+
+    from tideline.llm.piece_sampling import PieceModel, SegmentTree
+    from tideline.llm.queries import tokenizer_path
+
+    rng, drop = random.Random(8), int(rate * 2**53)
+    tree = SegmentTree(PieceModel(tokenizer_path("piece_bpe_32k.model")), limit)
+    model = tree.model
+    often = [" the", " and", "\n", "▁", " ꙮꙮ你.", " " + "on" * 40, " " + "on" * 40 + ",", "x", " "]
+    single = list(dict.fromkeys(" " + "".join(rng.choice("etaoinshrdlué你ꙮ") for _ in range(rng.randint(3, 14))) + rng.choice(("", ".", ",")) for _ in range(3000)))
+    for call in range(6):
+        units = single[call * 500 : call * 500 + 500] + [rng.choice(often) for _ in range(200)] + single[:50] * (call > 3)
+        rng.shuffle(units)
+        keys = np.array([rng.getrandbits(64) for _ in units], dtype=np.uint64)
+        ids, counts = tree.encode(units, keys, drop)
+        expected = [[i for p, limit_ in zip(model.parts(u), (drop, 0)) for i in model.segment(p, int(k), limit_)] for u, k in zip(units, keys)]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == expected
+        if not call:
+            assert len(tree.roots) < 50 and not any(u in tree.units for u in single[:500] if u.rstrip(".,").replace(" ", "▁") not in tree.roots)
+    ids, counts = tree.encode([], np.zeros(0, dtype=np.uint64), drop)
+    assert not len(ids) and not len(counts)

@@ -8,15 +8,16 @@ back every text.
 
 Texts are taken apart into units no piece can cross: white space and what follows it, and line ends; a unit loses its last
 character, mostly a mark, if no piece holds it behind the one before. What is remembered depends on no draw: for a part
-and the candidates skipped in it, which merges come up from there and the ids if none of them is skipped.
+and the candidates skipped in it, which merges come up from there and the ids if none of them is skipped. Only parts that
+come a second time are remembered; the others, most of all different ones, are drawn for and merged in one go.
 """
 
 from __future__ import annotations
 
 import re
-import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,9 +34,16 @@ NONE = float("-inf")
 LONG = 64
 #: What a span adds to the key of a unit, by span.
 SPANS = np.arange(LONG * LONG, dtype=U64) // U64(LONG) * U64(0x9E3779B97F4A7C15) + np.arange(LONG * LONG, dtype=U64) % U64(LONG) * U64(0xC2B2AE3D27D4EB4F)
+#: Of a unit that isn't remembered.
+NEW = -1
 LITERAL = "\ue000▁"  # stands for a U+2581 of the text, which is written as bytes; no text part is cut like this
 
 
+def places(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each row, count of them, one row after the other."""
+    return np.arange(count.sum()) + np.repeat(begin - np.cumsum(count) + count, count)
+
+
 class PieceModel:
     """Pieces, scores and bytes of a merge-type SentencePiece model."""
 
@@ -118,7 +126,7 @@ class PieceModel:
         for c, i in symbols.items():
             if len(c) == 1:
                 self.symbol_of[ord(c)] = i
-        self.piece_of = np.array([self.ids.get(c, -1) for c in symbols], dtype=np.int64)
+        self.piece_of = np.array([*(self.ids.get(c, -1) for c in symbols), -1], dtype=np.int64)
         found = {}
         for piece, score in self.scores.items():
             for cut in range(1, len(piece)):
@@ -138,61 +146,74 @@ class PieceModel:
 
     def segment_many(self, parts: list[str], keys: np.ndarray, limit: int) -> list[bytes]:
         """segment() of many parts at once, a step of every agenda at a time; ids as little-endian uint32."""
-        return self._together(parts, keys, limit, None, None)
+        ids, counts = self.together(parts, keys, limit)
+        return [x.astype("<u4").tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])] if parts else []
 
-    def follow(self, parts: list[str], skips: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Of parts shorter than LONG, if the spans in a row of skips (0: none) are skipped and no others: ids, the number of merges after the last skip, and their spans one part after the other."""
+    def follow(self, parts: list[str], skips: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of parts shorter than LONG, if the spans in a row of skips (0: none) are skipped and no others: ids one part after the other and their numbers, the numbers of merges after the last skip, and their spans one part after the other."""
         taken = np.zeros((len(parts), LONG + 1), dtype=np.uint16)  # the count, then spans
-        out = self._together(parts, np.zeros(len(parts), dtype=U64), 0, skips, taken)
-        return out, taken[:, 0].astype(np.int64), taken[:, 1:][np.arange(LONG) < taken[:, :1]]
-
-    def _together(self, parts: list[str], keys: np.ndarray, limit: int, skips: np.ndarray | None, taken: np.ndarray | None) -> list[bytes]:
-        out: list[bytes] = [b""] * len(parts)
-        sizes = np.array([len(p) for p in parts])
+        ids, counts = self.together(parts, np.zeros(len(parts), dtype=U64), 0, skips, taken)
+        return ids, counts, taken[:, 0].astype(np.int64), taken[:, 1:][np.arange(LONG) < taken[:, :1]]
+
+    def together(self, parts: list[str], keys: np.ndarray, limit: int, skips: np.ndarray | None = None, taken: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of parts one after the other, and how many each has."""
+        sizes = np.array([len(p) for p in parts], dtype=np.int64)
+        got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # rows, ids, numbers of ids
+        single: list[int] = np.flatnonzero(sizes >= LONG).tolist()
         for low, high in ((1, 2), (2, 4), (4, 6), (6, 7), (7, 8), (8, 9), (9, 10), (10, 11), (11, 12), (12, 14), (14, 17), (17, 24), (24, LONG)):
             rows = np.flatnonzero((sizes >= low) & (sizes < high))
-            if skips is not None and len(rows) < 150:  # not worth the arrays
-                for i in rows.tolist():
-                    spans: list[int] = []
-                    ids = self.segment(parts[i], 0, 0, skips[i].tolist(), spans)
-                    out[i] = struct.pack(f"<{len(ids)}I", *ids)
-                    taken[i, : len(spans) + 1] = [len(spans), *spans]
+            if len(rows) < 150:  # not worth the arrays
+                single += rows.tolist()
                 continue
             for at in range(0, len(rows), 20_000):
-                self._segment_rows([parts[i] for i in rows[at : at + 20_000]], rows[at : at + 20_000], keys, limit, out, skips, taken)
-        for i in np.flatnonzero(sizes >= LONG).tolist():
-            ids = self.segment(parts[i], int(keys[i]), limit)
-            out[i] = struct.pack(f"<{len(ids)}I", *ids)
-        return out
-
-    def _segment_rows(self, parts: list[str], rows: np.ndarray, keys: np.ndarray, limit: int, out: list[bytes], skips: np.ndarray | None, taken: np.ndarray | None) -> None:
+                some = rows[at : at + 20_000]
+                got.append((some, *self._segment_rows([parts[i] for i in some.tolist()], some, keys, limit, skips, taken)))
+        own = []
+        for i in single:
+            spans: list[int] = []
+            own.append(self.segment(parts[i], int(keys[i]), limit, () if skips is None else skips[i].tolist(), spans))
+            if taken is not None:
+                taken[i, : len(spans) + 1] = [len(spans), *spans]
+        got.append((np.array(single, dtype=np.int64), np.array([x for ids in own for x in ids], dtype=np.int64), np.array([len(ids) for ids in own], dtype=np.int64)))
+        counts = np.zeros(len(parts), dtype=np.int64)
+        for rows, _, n in got:
+            counts[rows] = n
+        begins, out = np.cumsum(counts) - counts, np.zeros(counts.sum(), dtype=np.uint32)
+        for rows, ids, n in got:
+            out[places(begins[rows], n)] = ids
+        return out, counts
+
+    def _segment_rows(self, parts: list[str], rows: np.ndarray, keys: np.ndarray, limit: int, skips: np.ndarray | None, taken: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """A symbol stays at the place of its first character; -2 stands where none is, behind the last one too."""
         chars = np.array(parts)
         width = chars.dtype.itemsize // 4
         chars = chars.view(np.uint32).reshape(len(parts), width)
         n = np.array([len(p) for p in parts])
-        place = np.arange(width)
-        sym = np.where(place[None, :] < n[:, None], self.symbol_of[chars], np.int32(-2))
-        start = np.broadcast_to(place.astype(np.int16), sym.shape).copy()
+        sym = np.full((len(parts), width + 1), -2, dtype=np.int32)
+        sym[:, :width] = np.where(np.arange(width) < n[:, None], self.symbol_of[chars], np.int32(-2))
+        after = np.broadcast_to(np.arange(1, width + 2, dtype=np.int16), sym.shape).copy()
+        before = np.broadcast_to(np.arange(-1, width, dtype=np.int16), sym.shape).copy()
+        # Of a symbol and the one after it.
         score = np.full(sym.shape, NONE, dtype=np.float32)
         merged = np.full(sym.shape, -1, dtype=np.int32)
-        if width > 1:
-            m, s = self._pair(sym[:, :-1].reshape(-1), sym[:, 1:].reshape(-1))
-            merged[:, :-1], score[:, :-1] = m.reshape(len(parts), -1), s.reshape(len(parts), -1)
+        m, s = self._pair(sym[:, :-1].reshape(-1), sym[:, 1:].reshape(-1))
+        merged[:, :-1], score[:, :-1] = m.reshape(len(parts), -1), s.reshape(len(parts), -1)
         key = keys[rows] if skips is None else skips[rows]
         left = np.arange(len(parts))
         done = np.full_like(sym, -2)
-        while len(left):
+        while True:
             line, i = np.arange(len(left)), score.argmax(1)
             live = score[line, i] > NONE
             if 2 * live.sum() < len(left):  # most rows are through: go on with the others only
                 done[left[~live]] = sym[~live]
-                left, sym, start, score, merged, key, n, i = (x[live] for x in (left, sym, start, score, merged, key, n, i))
+                left, sym, after, before, score, merged, key, i = (x[live] for x in (left, sym, after, before, score, merged, key, i))
                 line, live = np.arange(len(left)), np.ones(len(left), dtype=bool)
-            if limit or skips is not None:
-                begin, second = start[line, i], np.minimum(i + 2, width - 1)
-                after = np.where((i + 2 < width) & (sym[line, second] != -2), start[line, second], n)
+                if not len(left):
+                    break
+            second = after[line, i]
+            end = after[line, second]
             if skips is not None:
-                span = (begin << 6 | after - begin).astype(np.uint16)
+                span = (i << 6 | end - i).astype(np.uint16)
                 skip = (key == span[:, None]).any(1) & live
                 score[line[skip], i[skip]] = NONE
                 live &= ~skip
@@ -201,36 +222,28 @@ class PieceModel:
                 taken[to, 0] += 1
                 taken[to, taken[to, 0]] = span[live]
             elif limit:
-                mixed = (key ^ (begin.astype(U64) * U64(0x9E3779B97F4A7C15) + (after - begin).astype(U64) * U64(0xC2B2AE3D27D4EB4F))) * U64(0xBF58476D1CE4E5B9)
+                mixed = (key ^ (i.astype(U64) * U64(0x9E3779B97F4A7C15) + (end - i).astype(U64) * U64(0xC2B2AE3D27D4EB4F))) * U64(0xBF58476D1CE4E5B9)
                 skip = (mixed >> U64(11)) < U64(limit)
                 score[line[skip], i[skip]] = NONE
                 live &= ~skip
             go = np.flatnonzero(live)
-            g = i[go]
-            sym[go, g] = merged[go, g]
-            # Symbols shift from i + 1 on; pair i goes, so pairs shift from i on.
-            behind, at_pair = place[None, :-1] > g[:, None], place[None, :-1] >= g[:, None]
-            for x, empty, mask in ((sym, -2, behind), (start, 0, behind), (score, NONE, at_pair), (merged, -1, at_pair)):
-                old = x[go]
-                moved = np.empty_like(old)
-                moved[:, -1] = empty
-                moved[:, :-1] = np.where(mask, old[:, 1:], old[:, :-1])
-                x[go] = moved
-            for at in (g - 1, g):
-                ok = np.flatnonzero((at >= 0) & (at + 1 < width))
-                r, c = go[ok], at[ok]
-                m, s = self._pair(sym[r, c], sym[r, c + 1])
-                merged[r, c], score[r, c] = m, s
-        ids = np.where(done >= 0, self.piece_of[np.maximum(done, 0)], np.where(done == -1, -1, -2)).astype(np.int64)
-        plain = ((ids >= 0) | (ids == -2)).all(1)
-        counts = (ids != -2).sum(1)
-        packed = ids.astype("<u4")
-        for k, (row, c, ok) in enumerate(zip(rows.tolist(), counts.tolist(), plain.tolist())):
-            if ok:
-                out[row] = packed[k, :c].tobytes()
-            else:  # characters that are no piece: as bytes
-                got = self.segment(parts[k], int(keys[row]), limit, () if skips is None else skips[row].tolist())
-                out[row] = struct.pack(f"<{len(got)}I", *got)
+            at, gone, then = i[go], second[go], end[go]
+            whole, ahead = merged[go, at], before[go, at]  # ahead: -1, the last column, where no symbol is, for none
+            sym[go, at], sym[go, gone], score[go, gone] = whole, -2, NONE
+            after[go, at], before[go, then] = then, at
+            m, s = self._pair(np.concatenate([sym[go, ahead], whole]), np.concatenate([whole, sym[go, then]]))
+            merged[go, ahead], score[go, ahead] = m[: len(go)], s[: len(go)]
+            merged[go, at], score[go, at] = m[len(go) :], s[len(go) :]
+        there = done != -2
+        counts, ids = there.sum(1), self.piece_of[done[there]]
+        odd = np.unique(np.repeat(np.arange(len(parts)), counts)[ids < 0])
+        if len(odd):  # characters that are no piece: as bytes
+            each = np.split(ids, np.cumsum(counts)[:-1])
+            for k in odd.tolist():
+                each[k] = np.array(self.segment(parts[k], int(keys[rows[k]]), limit, () if skips is None else skips[rows[k]].tolist()))
+                counts[k] = len(each[k])
+            ids = np.concatenate(each)
+        return ids, counts
 
     def decode(self, ids: list[int]) -> bytes:
         """The text's UTF-8 bytes: the leading mark goes."""
@@ -256,8 +269,8 @@ class SegmentTree:
     """What becomes of parts, whatever is drawn: a node for a part and the candidates skipped in it so far.
 
     A node has the ids it comes to if no more is skipped, and an edge for each merge on the way there, to the node where
-    that one is skipped. Nodes are made when first asked for; once there are `limit` nodes, or eight times as many ids,
-    all is forgotten.
+    that one is skipped. A part has nodes from its second time on, each made when first asked for; once there are `limit`
+    nodes or units, or eight times as many ids, all is forgotten.
     """
 
     def __init__(self, model: PieceModel, limit: int = 1_200_000):
@@ -267,6 +280,7 @@ class SegmentTree:
     def _clear(self) -> None:
         self.units: dict[str, int] = {}  # node of the last character cut off << 32 | node of the rest
         self.roots: dict[str, int] = {}
+        self.once: set[str] = set()  # parts that came once
         self.text: dict[int, str] = {}
         self.long: dict[int, str] = {}
         # Node 0 has no ids. By node: where its ids and edges end, and the parent, root and span it was skipped at.
@@ -274,11 +288,11 @@ class SegmentTree:
         self.parent, self.root, self.skipped = Column(np.int32, -1), Column(np.int32, 0), Column(np.uint16, 0)
         self.span, self.child = Column(np.uint16), Column(np.int32)
 
-    def _add(self, ids: list[bytes], edges: np.ndarray, spans: np.ndarray, parent: np.ndarray, root: np.ndarray | None, skipped: np.ndarray) -> np.ndarray:
+    def _add(self, ids: np.ndarray, counts: np.ndarray, edges: np.ndarray, spans: np.ndarray, parent: np.ndarray, root: np.ndarray | None, skipped: np.ndarray) -> np.ndarray:
         """New nodes; root: None if they are roots themselves."""
-        new = np.arange(self.parent.n, self.parent.n + len(ids))
-        self.ids_end.add(self.ids.n + np.cumsum([len(x) // 4 for x in ids], dtype=np.int64))
-        self.ids.add(np.frombuffer(b"".join(ids), dtype="<u4"))
+        new = np.arange(self.parent.n, self.parent.n + len(counts))
+        self.ids_end.add(self.ids.n + np.cumsum(counts))
+        self.ids.add(ids)
         self.edges_end.add(self.span.n + np.cumsum(edges))
         self.span.add(spans)
         self.child.add(np.full(len(spans), -1, dtype=np.int32))
@@ -292,10 +306,10 @@ class SegmentTree:
                 continue
             none = np.zeros(len(some), dtype=np.int64)
             if follow:
-                ids, edges, spans = self.model.follow(some, np.zeros((len(some), 1), dtype=np.uint16))
+                ids, counts, edges, spans = self.model.follow(some, np.zeros((len(some), 1), dtype=np.uint16))
             else:
-                ids, edges, spans = self.model.segment_many(some, none.astype(U64), 0), none, np.zeros(0, dtype=np.uint16)
-            new = self._add(ids, edges, spans, none - 1, None, none).tolist()
+                (ids, counts), edges, spans = self.model.together(some, none.astype(U64), 0), none, np.zeros(0, dtype=np.uint16)
+            new = self._add(ids, counts, edges, spans, none - 1, None, none).tolist()
             self.roots.update(zip(some, new))
             (self.text if follow else self.long).update(zip(new, some))
 
@@ -305,37 +319,66 @@ class SegmentTree:
             columns.append(self.skipped.data[at])  # 0 for roots
             at = np.where(self.parent.data[at] >= 0, self.parent.data[at], at)
         root = self.root.data[parents]
-        ids, counts, spans = self.model.follow([self.text[r] for r in root.tolist()], np.stack(columns, 1))
-        self.child.data[edges] = self._add(ids, counts, spans, parents, root, self.span.data[edges])
-
-    def _nodes(self, units: list[str]) -> np.ndarray:
-        found = list(map(self.units.get, units))
-        new = {u: self.model.parts(u) for u in {u for u, x in zip(units, found) if x is None}}
-        if new:
-            self._add_parts([p for p in {p for parts in new.values() for p in parts} if p not in self.roots])
-            for u, parts in new.items():
-                self.units[u] = self.roots[parts[0]] | (self.roots[parts[1]] << 32 if len(parts) > 1 else 0)
-            found = list(map(self.units.__getitem__, units))
-        return np.array(found, dtype=np.int64)
+        ids, counts, merges, spans = self.model.follow([self.text[r] for r in root.tolist()], np.stack(columns, 1))
+        self.child.data[edges] = self._add(ids, counts, merges, spans, parents, root, self.span.data[edges])
+
+    def _nodes(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Nodes of units as in self.units; the rows whose part comes for the first time, with node 0 for it, and these parts."""
+        found = np.array(list(map(self.units.get, units, repeat(NEW))), dtype=np.int64)
+        rows = np.flatnonzero(found == NEW).tolist()
+        if len(self.once) > self.limit // 4:
+            self.once.clear()
+        split: dict[str, list[str]] = {}
+        fresh: dict[str, int] = {}  # rows of parts not met so far
+        again: dict[str, None] = {}
+        for r in rows:
+            u = units[r]
+            parts = split.get(u)
+            if parts is None:
+                parts = split[u] = self.model.parts(u)
+                if len(parts) > 1 and parts[1] not in self.roots:
+                    again[parts[1]] = None
+            first = parts[0]
+            if first in self.roots or first in again:
+                continue
+            if first in fresh or first in self.once:
+                again[first] = None
+            else:
+                fresh[first] = r
+        for p in again:
+            fresh.pop(p, None)
+        self.once.difference_update(again)
+        self.once.update(fresh)
+        if again:
+            self._add_parts(list(again))
+        for r in rows:
+            u = units[r]
+            parts = split[u]
+            tail = self.roots[parts[1]] << 32 if len(parts) > 1 else 0
+            root = self.roots.get(parts[0])
+            if root is None:
+                found[r] = tail
+            else:
+                self.units[u] = found[r] = root | tail
+        return found, np.array(list(fresh.values()), dtype=np.int64), list(fresh)
 
     def encode(self, units: list[str], keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of units, one after the other, and how many each has. A candidate merge of a unit is skipped if its hash under the unit's key is below limit."""
-        if self.parent.n > self.limit or self.ids.n > 8 * self.limit:
+        if max(self.parent.n, len(self.units)) > self.limit or self.ids.n > 8 * self.limit:
             self._clear()
-        both = self._nodes(units)
+        both, rows, parts = self._nodes(units)
         node, tail = both & 0xFFFFFFFF, both >> 32
         left = np.arange(len(units)) if limit else np.zeros(0, dtype=np.int64)
         if self.long and limit:
-            rows = np.flatnonzero(np.isin(node, list(self.long)))
-            own = [np.array(self.model.segment(self.long[r], k, limit), dtype="<u4").tobytes() for r, k in zip(node[rows].tolist(), keys[rows].tolist())]
-            none = np.zeros(len(rows), dtype=np.int64)
-            node[rows] = self._add(own, none, np.zeros(0, dtype=np.uint16), none - 1, None, none)
+            more = np.flatnonzero(np.isin(node, list(self.long)))
+            rows, parts = np.concatenate([rows, more]), [*parts, *(self.long[r] for r in node[more].tolist())]
+            node[more] = 0
         while len(left):
             at = node[left]
             begin = self.edges_end.data[at]
             count = self.edges_end.data[at + 1] - begin
             which = np.repeat(np.arange(len(left)), count)
-            edge = np.arange(len(which)) + np.repeat(begin - np.cumsum(count) + count, count)
+            edge = places(begin, count)
             mixed = (keys[left][which] ^ SPANS[self.span.data[edge]]) * U64(0xBF58476D1CE4E5B9)
             hit = np.flatnonzero((mixed >> U64(11)) < U64(limit))
             which, edge = which[hit], edge[hit]
@@ -346,10 +389,17 @@ class SegmentTree:
                 self._add_children(at[which[self.child.data[edge] < 0][one]], new)
             left = left[which]
             node[left] = self.child.data[edge]
+        ids, counts = self.model.together(parts, keys[rows], limit)
+        if len(rows):  # nodes of these rows alone, which are not kept
+            columns = self.ids, self.ids_end, self.edges_end, self.parent, self.root, self.skipped
+            before, none = [c.n for c in columns], np.zeros(len(rows), dtype=np.int64)
+            node[rows] = self._add(ids, counts, none, np.zeros(0, dtype=np.uint16), none - 1, None, none)
+            for c, n in zip(columns, before):
+                c.n = n
         pairs = np.stack([node, tail], 1).reshape(-1)
         begin = self.ids_end.data[pairs]
         count = self.ids_end.data[pairs + 1] - begin
-        return self.ids.data[np.arange(count.sum()) + np.repeat(begin - np.cumsum(count) + count, count)], count.reshape(-1, 2).sum(1)
+        return self.ids.data[places(begin, count)], count.reshape(-1, 2).sum(1)
 
 
 @lru_cache(maxsize=1)
