@@ -99,3 +99,25 @@ def test_patterns_and_outcomes(spark):
     assert (a.n_similar, a.n_known) == (4, 3) and [round(x, 9) for x in (a.bullish, a.neutral, a.bearish)] == [round(1 / 3, 9)] * 3
     assert (a.mean_bullish, a.mean_bearish) == (0.1, -0.2) and abs(a.weighted_outcome - (0.09 - 0.1 + 0.004) / 2.2) < 1e-12
     assert (got[2].n_similar, got[2].n_known, got[2].bullish) == (2, 1, 1.0) and P.pattern_outcomes(found, after, least=0.95).count() == 0
+
+
+def test_search_moves_no_pairs(spark, vectors):
+    index, store = P.fit_index(vectors, k=10), spark.sparkContext._jsc.sc().statusStore()
+    written = lambda: store.executorList(False).apply(0).totalShuffleWrite()
+    vectors.groupBy("vec_id").count().collect()
+    before = written()
+    assert len(P.search(index, asked(vectors), k=10).collect()) > 2000
+    assert written() - before < 2_000_000
+
+
+@pytest.mark.parametrize(("block", "pairs"), [(65_536, 2_000_000), (50, 300)])
+def test_nearest_is_the_search_without_an_index(spark, vectors, monkeypatch, block, pairs):
+    monkeypatch.setattr(P, "ASKED", block)
+    monkeypatch.setattr(P, "PAIRS", pairs)
+    v = vectors.withColumn("outcome", F.col("vec_id") * 0.5)
+    want = {(r.query_id, r["rank"]): (r.vec_id, r.cosine) for r in P.search(P.fit_index(vectors, k=5), asked(vectors), k=5).collect()}
+    for sample in (None, v.where("vec_id % 4 = 0").coalesce(1)):
+        got = P.nearest(v, asked(vectors), k=5, sample=sample).collect()
+        same = [want.get((r.query_id, r["rank"])) == (r.vec_id, r.cosine) for r in got]
+        assert len(got) > 1000 and sum(same) > 0.98 * len(got)  # copies are counted apart, so labels with many have a bit more
+        assert all(r.outcome == r.vec_id * 0.5 for r in got)

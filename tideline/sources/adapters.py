@@ -34,10 +34,11 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars_of(ticks(spark, sf_dir).withColumn("symbol", F.concat_ws("-", "symbol", F.floor(F.col("user_id") / 150))))
 
 
-def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars; symbols are the suppliers."""
+def daily_bars(spark: SparkSession, sf_dir: str, dealt: int | None = None) -> DataFrame:
+    """Daily bars; symbols are the suppliers. dealt: so many tasks get whole symbols, from the rows as they are read: no other exchange follows."""
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
-    rows = table(spark, sf_dir, "lineitem").withColumn("price", F.col("l_extendedprice") / F.col("l_quantity"))
+    rows = table(spark, sf_dir, "lineitem")
+    rows = (rows.repartition(dealt, "l_suppkey") if dealt else rows).withColumn("price", F.col("l_extendedprice") / F.col("l_quantity"))
     return rows.groupBy(F.col("l_suppkey").alias("symbol"), F.to_date("l_shipdate").alias("date")).agg(
         F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", order).alias("close"), F.sum("l_quantity").alias("volume")
     )
