@@ -166,3 +166,32 @@ def test_fingerprints_differ(spark):
     of = lambda *rows: data_fingerprint(spark.createDataFrame(rows, "a string, b string")).first().fingerprint
     assert len({of(("a|b", "c")), of(("a", "b|c")), of((None, "x")), of(("-", "x")), of(("", "1:x")), of(("1:x", "")), of(("\\N", "x"))}) == 7
     assert of(("a", "b"), ("c", None)) == of(("c", None), ("a", "b"))
+
+
+@pytest.mark.parametrize("limits", [(), ("max_price",), ("min_price", "sessions", "min_score"), ("min_spike", "direction", "symbols"), ("direction", "min_score", "max_price"), ("min_price", "max_price", "min_spike", "sessions", "symbols", "direction", "min_score")])
+def test_best_alerts_without_all_pairs(spark, limits, monkeypatch):
+    monkeypatch.setattr(alerts, "BROADCAST_EVENTS", 200 if "sessions" in limits else 200_000)
+    rng, t0 = random.Random(len(limits)), datetime(2025, 1, 10)
+    odd = lambda x: rng.choice((None, math.nan, x, x, x, x, x, x))
+    at = [(s, t0 + timedelta(hours=i), t, d) for s in "ABC" for i in range(40) for t in ("flush", "vwap_break", "other") for d in ("up", "down", None) if rng.random() < 0.6]
+    events = [(s, ts, ts.date(), t, d, rng.choice(("RTH", "PM", "late")), odd(float(rng.randint(1, 20))), odd(round(rng.random(), 1)), odd(float(rng.randint(1, 5)))) for s, ts, t, d in at]
+    limit = lambda c, x: x if c in limits and rng.random() < 0.6 else None
+    rules = [(i, i % 25, rng.choice((None, ["flush"], ["other", "flush"], [])), limit("sessions", ["RTH", "late"]), limit("symbols", ["A", "C"]), limit("direction", "up"), limit("min_price", rng.uniform(1, 20)), limit("max_price", rng.uniform(1, 20)), limit("min_score", rng.random()), limit("min_spike", rng.uniform(1, 5))) for i in range(60)]
+    events, rules = spark.createDataFrame(events, EVENT).repartition(3), spark.createDataFrame(rules, alerts.RULES)
+    columns = ("user", "symbol", "timestamp", "event_type", "direction", "rule_id", "date", "score", "rank")
+    shown = lambda df: sorted(map(str, df.select(*columns).collect()))
+    assert shown(alerts.best(events, rules, 3)) == shown(alerts.ranked(alerts.matched(events, rules), 3))
+    if len(limits) < 3:
+        assert alerts._worth_keeping(events, rules, 3).count() < events.count() / 2
+
+
+def test_best_alerts_write_little(spark):
+    rng, t0 = random.Random(5), datetime(2025, 1, 10)
+    events = spark.createDataFrame([("A", t0 + timedelta(minutes=i), date(2025, 1, 10 + i % 4), "flush", "up", "RTH", rng.uniform(1, 20), rng.random(), 1.0) for i in range(1000)], EVENT)
+    rules = spark.createDataFrame([(i, i, None, None, None, None, None, rng.uniform(1, 20), rng.random() / 2, None) for i in range(500)], alerts.RULES)
+    store = spark.sparkContext._jsc.sc().statusStore()
+    written = lambda: store.executorList(False).apply(0).totalShuffleWrite()
+    events.groupBy("symbol").count().collect()
+    before = written()
+    assert alerts.best(events, rules, 3).count() > 4000
+    assert written() - before < 300_000

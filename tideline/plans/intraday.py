@@ -375,7 +375,7 @@ def user_alerts(spark, d):
         (F.col("c_custkey") % 7).alias("rule_id"), F.col("c_custkey").alias("user"), F.array(kind).alias("event_types"), text.alias("sessions"), text.alias("symbols"), way.alias("direction"), number.alias("min_price"),
         F.when(F.col("c_nationkey") % 2 == 0, F.col("c_acctbal") / 100).alias("max_price"), (F.col("c_acctbal") / 2000).alias("min_score"), number.alias("min_spike"),
     )
-    return AL.ranked(AL.matched(D.intraday_events(S.bars(spark, d), CFG), rules), 3)
+    return AL.best(D.intraday_events(S.bars(spark, d), CFG), rules, 3)
 
 
 @query(COLUMNS + "\n---\nselect symbol, count(distinct event_type) as n_types, count(*) as n from events_ where timestamp >= (select max(timestamp) from events_) - interval 24 hours and direction = 'up' group by 1 having count(distinct event_type) >= 2")
