@@ -173,6 +173,18 @@ def test_logs(spark):
     assert (r.done, r.total, r.rate, r.eta_minutes) == (30, 100, 2.0, 35.0)
 
 
+def test_numbers_that_are_no_status(spark):
+    lines = {
+        "timeout": ["ERROR request timed out for 429", "ERROR request timed out for 14290", "timeout after 404 rows"],
+        "error": ["ERROR user 404 has no bars", "error in 512 rows", "exception at line 1429", "Error: bad row 503"],
+        "rate_limit": ["HTTP 429", "HTTP/1.1 429", "Rate limited (429), giving up", "Max retries exceeded (429) for AAPL", "429 Too Many Requests", "status_code=429", "HTTPError: 429 Client Error", "2025-01-01 10:00:00 ERROR - 429"],
+        "not_found": ["HTTP 404", "status: 404", "page not found"],
+        "server": ["HTTP 503", "502 Bad Gateway", "got 500 from host", "ERROR (504)"],
+    }
+    df = spark.createDataFrame([(x,) for v in lines.values() for x in v], "value string")
+    assert {r["class"]: r.n for r in quality.log_classes(df).collect()} == {c: len(v) for c, v in lines.items()}
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], BAR)
     assert detectors.intraday_events(df).count() == 0 and halts.detect_halts(df).count() == 0 and detectors.daily_events(df.drop("timestamp", "vwap")).count() == 0

@@ -12,8 +12,17 @@ from tideline.storage import saved
 from .aggregates import daily_rate, outliers, side_by_side
 from .rolling import bucket_repeats
 
+def _status(code: str, reason: str) -> str:
+    """A pattern for a number that reads as a status: after a word that announces one, alone in parentheses, or before its reason; in
+    other places it counts or names something."""
+    return rf"\b(?:http\S*|\w*status|\w*code|\w*error|response|returned|received|got)[\s:=(\"'-]*{code}\b|\({code}\)|\b{code}\W+(?:{reason})"
+
+
 #: Classes of log lines; the first that matches counts.
-LOG_CLASSES = (("rate_limit", r"(429|rate limit)"), ("timeout", r"(timed? ?out|timeout)"), ("connection", r"(connection|reset by peer|refused)"), ("not_found", r"(404|not found)"), ("server", r"\b5\d\d\b"), ("memory", r"(memoryerror|out of memory)"), ("error", r"(error|exception|traceback)"))
+LOG_CLASSES = (
+    ("rate_limit", f"({_status('429', 'too many|client error')}|rate limit)"), ("timeout", r"(timed? ?out|timeout)"), ("connection", r"(connection|reset by peer|refused)"), ("not_found", f"({_status('404', 'client error')}|not found)"),
+    ("server", _status(r"5\d\d", "server error|internal|not implemented|bad gateway|service|gateway")), ("memory", r"(memoryerror|out of memory)"), ("error", r"(error|exception|traceback)"),
+)
 #: Lines that are no errors.
 LOG_EXCLUDED = r"(debug|retrying|0 errors)"
 
