@@ -185,6 +185,14 @@ def test_numbers_that_are_no_status(spark):
     assert {r["class"]: r.n for r in quality.log_classes(df).collect()} == {c: len(v) for c, v in lines.items()}
 
 
+def test_l2_selection_breaks_ties_by_type(spark):
+    at = datetime(2025, 1, 10, 15, 0)
+    rows = [(s, at, t, x, x, 9.0) for s, x in (("B", 5.0), ("A", 5.0), ("C", 1.0)) for t in ("d", "c", "b", "a")]
+    df = spark.createDataFrame(rows, "symbol string, timestamp timestamp, event_type string, liquidity_score double, rvol_day double, dollar_volume_day double").coalesce(1)
+    out = features.l2_selection(df, 0.2, 5.0, 6).orderBy("rank_month").collect()
+    assert [r.symbol + r.event_type for r in out] == ["Aa", "Ab", "Ac", "Ad", "Ba", "Bb"]
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], BAR)
     assert detectors.intraday_events(df).count() == 0 and halts.detect_halts(df).count() == 0 and detectors.daily_events(df.drop("timestamp", "vwap")).count() == 0

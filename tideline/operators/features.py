@@ -75,7 +75,7 @@ def l2_selection(events: DataFrame, q: float = 0.90, min_day: float = 5_000_000,
     least = exact_quantiles(events, {"liquidity_score": (q,), "rvol_day": (q,)})
     above = [F.col(c) > F.lit(x).cast("double") for (c, _), x in least.items()]
     out = events.where(above[0] & above[1] & (F.col("dollar_volume_day") > min_day))
-    w = Window.partitionBy(F.date_format("timestamp", "yyyy-MM")).orderBy(F.desc("liquidity_score"), "symbol", "timestamp")
+    w = Window.partitionBy(F.date_format("timestamp", "yyyy-MM")).orderBy(F.desc("liquidity_score"), "symbol", "timestamp", "event_type")
     return out.withColumn("rank_month", F.row_number().over(w)).where(F.col("rank_month") <= per_month)
 
 
