@@ -1,5 +1,6 @@
 """The contract: every query with an oracle gives the oracle's rows on the smallest tables."""
 
+import math
 import os
 
 import duckdb
@@ -7,6 +8,7 @@ import pandas as pd
 import pytest
 
 from tideline.plans import market_oracles, market_queries
+from tideline.plans.catalog import plain
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -35,6 +37,18 @@ def test_query_equals_oracle(spark, duck, name):
     assert texts(ours) == texts(theirs)
 
 
+def test_rounded_like_the_sql(spark):
+    """At halves of the last place, where a double reads as more than it is."""
+    xs = [k / 640 for k in range(-500, 500)] + [1.0418625, 1.0996375, 0.8193125, 1e300, -1e306, 4e15 + 0.5, math.nan, math.inf, -math.inf, 0.0, None]
+    xs += [math.nextafter(x, s * math.inf) for x in xs[:500] for s in (-1, 1)]
+    got = plain(spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i long, x double")).orderBy("i").collect()
+    con = duckdb.connect()
+    con.sql("create table t (i bigint, x double)")
+    con.executemany("insert into t values (?, ?)", [(i, x) for i, x in enumerate(xs)])
+    want = con.sql("select round(x, 6) + 0.0 from t order by i").fetchall()
+    assert [str(r.x) for r in got] == [str(x) for x, in want]
+
+
 def test_entry(spark):
     import __spark_entry__
 

@@ -193,6 +193,22 @@ def test_l2_selection_breaks_ties_by_type(spark):
     assert [r.symbol + r.event_type for r in out] == ["Aa", "Ab", "Ac", "Ad", "Ba", "Bb"]
 
 
+def test_mean_spread_is_added_up_in_order(spark):
+    """Last bits are those of a sum in the order of events, however rows are dealt: means of prices in cents often lie between two roundings."""
+    at, spreads = datetime(2025, 1, 10, 15, 0), [((i * 7919) % 1000) / 7 for i in range(400)]
+    rows = [(f"S{i % 4}", at + timedelta(seconds=i * 31 % 400), i, 0.1, x + 0.1) for i, x in enumerate(spreads)]
+    want = {}
+    for s in range(4):
+        total = 0.0
+        for r in rows[s::4]:
+            total += r[4] - r[3]
+        want[f"S{s}"] = total / 100
+    trades = spark.createDataFrame([(f"S{i % 4}", at, i, 1.0 + i) for i in range(8)], "symbol string, timestamp timestamp, event_id long, price double")
+    quotes = spark.createDataFrame(rows, "symbol string, timestamp timestamp, event_id long, bid_price double, ask_price double")
+    for dealt in (quotes.coalesce(1), quotes.repartition(7), quotes.orderBy(F.desc("ask_price"))):
+        assert {r.symbol: r.mean_spread for r in features.l2_metrics(trades, dealt).collect()} == want
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], BAR)
     assert detectors.intraday_events(df).count() == 0 and halts.detect_halts(df).count() == 0 and detectors.daily_events(df.drop("timestamp", "vwap")).count() == 0

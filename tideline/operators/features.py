@@ -88,8 +88,12 @@ def aggressor_delta(trades: DataFrame, quotes: DataFrame) -> DataFrame:
 
 
 def l2_metrics(trades: DataFrame, quotes: DataFrame) -> DataFrame:
-    """Per symbol: mean NBBO spread, share of crossed quotes, upticks to downticks, and burstiness (variance of trades a minute over their mean)."""
-    q = quotes.groupBy("symbol").agg(F.avg(F.col("ask_price") - F.col("bid_price")).alias("mean_spread"), F.avg((F.col("bid_price") >= F.col("ask_price")).cast("double")).alias("cross_rate"))
+    """Per symbol: mean NBBO spread, share of crossed quotes, upticks to downticks, and burstiness (variance of trades a minute over their mean).
+
+    Spreads are added up in the order of events, so that the mean's last bits, and how it rounds, don't depend on how rows are dealt over tasks.
+    """
+    so_far = F.avg(F.col("ask_price") - F.col("bid_price")).over(Window.partitionBy("symbol").orderBy("event_id", "timestamp").rowsBetween(Window.unboundedPreceding, 0))
+    q = quotes.withColumn("__m", so_far).groupBy("symbol").agg(F.max_by("__m", F.struct("event_id", "timestamp")).alias("mean_spread"), F.avg((F.col("bid_price") >= F.col("ask_price")).cast("double")).alias("cross_rate"))
     step = F.col("price") - F.lag("price").over(Window.partitionBy("symbol").orderBy("timestamp", "event_id"))
     t = trades.withColumn("__s", step).groupBy("symbol").agg(F.count_if(F.col("__s") > 0).alias("upticks"), F.count_if(F.col("__s") < 0).alias("downticks"))
     n = trades.groupBy("symbol", F.date_trunc("hour", "timestamp").alias("h")).agg(F.count("*").alias("c")).groupBy("symbol").agg(F.try_divide(F.var_pop("c"), F.avg("c")).alias("burstiness"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,12 @@ ORACLES: dict[str, str] = {}
 DIGITS = 6
 
 
+def rounded(x: Column) -> Column:
+    """x to DIGITS places as the SQL's round has it: the multiple is rounded, not the decimal that x reads as, which differs where x lies at a half."""
+    near = F.round(x * 10.0**DIGITS) / 10.0**DIGITS
+    return F.when(F.abs(near) == float("inf"), x).otherwise(near)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Timestamps as epoch microseconds, dates as text, doubles rounded: what both engines print alike."""
     out = []
@@ -23,7 +29,7 @@ def plain(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), DIGITS) + 0.0  # no negative zero
+            c = rounded(c.cast("double")) + 0.0  # no negative zero
         out.append(c.alias(f.name))
     return df.select(*out)
 
